@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle import model, star  # noqa: F401  (registers the CTEs)
+from oracle import model, search, star  # noqa: F401  (registers the CTEs)
 from oracle.model import CTES, with_model
 
 _DUCK_CAST = {"i": "BIGINT", "n": "DOUBLE", "d": "DOUBLE", "s": "VARCHAR", "b": "BOOLEAN"}
@@ -32,5 +32,7 @@ def shaped_sql(name: str, cols: list[tuple[str, str]]) -> str:
 
 for _n in ("dim_date", "dim_route", "dim_fare", "dim_flight", "dim_channel", "fact_ticket_sale",
            "fact_flight_occupancy", "fact_reservation_lifecycle", "occupancy_by_route", "revenue_by_fare",
-           "cancellation_patterns", "lead_time_by_class"):
+           "cancellation_patterns", "lead_time_by_class",
+           "flight_availability", "available_flights", "cheapest_eligible_fare", "one_stop_connections",
+           "search_direct", "search_one_stop", "search_offers", "next_sellable_flight", "two_stop_connections"):
     oracle(_n)

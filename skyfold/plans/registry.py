@@ -6,6 +6,7 @@ import importlib
 
 MODULES = (
     "skyfold.plans.star_queries",
+    "skyfold.plans.search_queries",
 )
 
 
