@@ -84,7 +84,8 @@ FROM fbase""", ("fbase",))
 
 cte("scheduled_flight", """
 SELECT scheduled_flight_id, 'F' || suppkey AS flight_number, route_id, suppkey % 3 + 1 AS seat_map_id,
-       min(strftime(departure_utc, '%H:%M')) AS departure_time_local
+       min(strftime(departure_utc, '%H:%M')) AS departure_time_local,
+       min(strftime(arrival_utc, '%H:%M')) AS arrival_time_local
 FROM fbase GROUP BY scheduled_flight_id, suppkey, route_id""", ("fbase",))
 
 cte("aircraft", """

@@ -7,6 +7,7 @@ import importlib
 MODULES = (
     "skyfold.plans.star_queries",
     "skyfold.plans.search_queries",
+    "skyfold.plans.inventory_queries",
 )
 
 
