@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle import inventory, model, search, star  # noqa: F401  (registers the CTEs)
+from oracle import inventory, model, reservations, search, star  # noqa: F401  (registers the CTEs)
 from oracle.model import CTES, with_model
 
 _DUCK_CAST = {"i": "BIGINT", "n": "DOUBLE", "d": "DOUBLE", "s": "VARCHAR", "b": "BOOLEAN"}
@@ -37,5 +37,9 @@ for _n in ("dim_date", "dim_route", "dim_fare", "dim_flight", "dim_channel", "fa
            "search_direct", "search_one_stop", "search_offers", "next_sellable_flight", "two_stop_connections",
            "seat_map_seats", "seat_map_capacity", "materialize_flights", "assign_aircraft", "flight_inventory_init",
            "fare_grid", "seed_scarcity", "scarce_inventory", "oversell_check", "inventory_reconciliation",
-           "inventory_from_events", "capacity_cut_impact"):
+           "inventory_from_events", "capacity_cut_impact",
+           "itinerary_validation", "transition_audit", "expired_holds", "seat_demand", "quote_segments",
+           "reservation_total", "issue_tickets", "apply_cancellations", "state_as_of", "dedupe_payments",
+           "upsert_passengers", "agency_credit_ledger", "expire_holds", "unknown_flights", "reservation_by_name",
+           "request_latency_summary"):
     oracle(_n)

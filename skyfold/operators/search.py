@@ -62,16 +62,17 @@ def available_flights(avail: DataFrame, passengers: int | str = 1) -> DataFrame:
 
 # J10
 def fare_ladder(fare: DataFrame, fare_class: DataFrame, fare_rule: DataFrame,
-                fare_class_code: str | None = None) -> DataFrame:
-    """Per (route, cabin, currency, validity) and advance step: cheapest fare
-    among fares needing at most that many advance days; ``next_adv`` is the
-    next step (NULL for the last)."""
+                fare_class_code: str | None = None, by_class: bool = False) -> DataFrame:
+    """Per (route, cabin[, class], currency, validity) and advance step: the
+    cheapest fare among fares needing at most that many advance days;
+    ``next_adv`` is the next step (NULL for the last)."""
     fc = fare_class.select("fare_class_code", "cabin_code")
     fr = F.broadcast(fare_rule.select("fare_rule_id", "min_advance_days"))
     f = fare.join(fc, "fare_class_code").join(fr, "fare_rule_id")
     if fare_class_code is not None:
         f = f.where(F.col("fare_class_code") == fare_class_code)
-    key = ["route_id", "cabin_code", "currency", "valid_from", "valid_to"]
+    key = ["route_id", "cabin_code", "currency", "valid_from", "valid_to"] + (["_class"] if by_class else [])
+    f = f.withColumn("_class", F.col("fare_class_code")) if by_class else f
     best = F.struct("base_amount", "fare_id", "fare_class_code", "tax_pct")
     steps = f.groupBy(*key, "min_advance_days").agg(F.min(best).alias("step_best"))
     w = Window.partitionBy(*key).orderBy("min_advance_days")
@@ -80,20 +81,22 @@ def fare_ladder(fare: DataFrame, fare_class: DataFrame, fare_rule: DataFrame,
             .drop("step_best"))
 
 
-def cheapest_eligible_fare(keys: DataFrame, ladder: DataFrame) -> DataFrame:
-    """J10 for distinct (route_id, cabin_code, currency, flight_date, as_of)
-    keys: cheapest fare with matching currency, as_of within validity and
-    min_advance_days <= flight_date - as_of; ties by fare_id. Keys without an
-    eligible fare get no row (the reference's inner LATERAL)."""
-    k = keys.select("route_id", "cabin_code", "currency", "flight_date", "as_of").distinct()
+def cheapest_eligible_fare(keys: DataFrame, ladder: DataFrame, by_class: bool = False) -> DataFrame:
+    """J10 for distinct (route_id, cabin_code[, fare_class_code], currency,
+    flight_date, as_of) keys: cheapest fare with matching currency, as_of
+    within validity and min_advance_days <= flight_date - as_of; ties by
+    fare_id. Keys without an eligible fare get no row (the reference's inner
+    LATERAL). ``by_class`` needs a ladder built with ``by_class=True``."""
+    kc = ["route_id", "cabin_code", "currency", "flight_date", "as_of"]
+    k = keys.select(*kc, *([F.col("fare_class_code").alias("_class")] if by_class else [])).distinct()
     lead = F.datediff(F.col("flight_date"), F.col("as_of"))
-    j = (k.join(ladder, ["route_id", "cabin_code", "currency"])
+    jk = ["route_id", "cabin_code", "currency"] + (["_class"] if by_class else [])
+    j = (k.join(ladder, jk)
          .where(F.col("as_of").between(F.col("valid_from"), F.col("valid_to"))
                 & (F.col("min_advance_days") <= lead)
                 & (F.col("next_adv").isNull() | (lead < F.col("next_adv")))))
-    g = j.groupBy("route_id", "cabin_code", "currency", "flight_date", "as_of").agg(F.min("best").alias("b"))
-    return g.select("route_id", "cabin_code", "currency", "flight_date", "as_of",
-                    F.col("b.fare_id").alias("fare_id"), F.col("b.fare_class_code").alias("fare_class_code"),
+    g = j.groupBy(*kc, *(["_class"] if by_class else [])).agg(F.min("best").alias("b"))
+    return g.select(*kc, F.col("b.fare_id").alias("fare_id"), F.col("b.fare_class_code").alias("fare_class_code"),
                     F.col("b.base_amount").alias("base_amount"), F.col("b.tax_pct").alias("tax_pct"))
 
 

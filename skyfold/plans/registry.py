@@ -8,6 +8,7 @@ MODULES = (
     "skyfold.plans.star_queries",
     "skyfold.plans.search_queries",
     "skyfold.plans.inventory_queries",
+    "skyfold.plans.reservation_queries",
 )
 
 
