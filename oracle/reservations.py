@@ -147,12 +147,12 @@ SELECT document_type, document_number,
 FROM passenger_x GROUP BY document_type, document_number""", ("passenger_x",))
 
 cte("agency_credit_ledger", """
-SELECT agency_id, reservation_id, at, kind, amount,
-       sum(amount) OVER (PARTITION BY agency_id ORDER BY at, kind, reservation_id
+SELECT agency_id, reservation_id, entry_at, kind, amount,
+       sum(amount) OVER (PARTITION BY agency_id ORDER BY entry_at, kind, reservation_id
                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS credit_used,
-       sum(amount) OVER (PARTITION BY agency_id ORDER BY at, kind, reservation_id
+       sum(amount) OVER (PARTITION BY agency_id ORDER BY entry_at, kind, reservation_id
                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) > 50000000 AS is_breach
-FROM (SELECT agency_id, reservation_id, created_at AS at, 0 AS kind, total_amount AS amount
+FROM (SELECT agency_id, reservation_id, created_at AS entry_at, 0 AS kind, total_amount AS amount
       FROM reservation WHERE agency_id IS NOT NULL
       UNION ALL
       SELECT agency_id, reservation_id, created_at, 1, -total_amount

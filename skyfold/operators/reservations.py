@@ -325,14 +325,15 @@ def agency_credit_ledger(reservation: DataFrame, agency: DataFrame, release_on_e
     reference's GREATEST(x, 0) is the identity here."""
     b2b = reservation.where(F.col("agency_id").isNotNull()).select(
         "agency_id", "reservation_id", "status", "total_amount", "created_at", "updated_at")
-    debit = b2b.select("agency_id", "reservation_id", F.col("created_at").alias("at"), F.lit(0).alias("kind"),
+    debit = b2b.select("agency_id", "reservation_id", F.col("created_at").alias("entry_at"), F.lit(0).alias("kind"),
                        F.col("total_amount").alias("amount"))
     back = ["CANCELLED", "EXPIRED"] if release_on_expiry else ["CANCELLED"]
     credit = b2b.where(F.col("status").isin(*back)).select(
-        "agency_id", "reservation_id", F.col("updated_at").alias("at"), F.lit(1).alias("kind"),
+        "agency_id", "reservation_id", F.col("updated_at").alias("entry_at"), F.lit(1).alias("kind"),
         (-F.col("total_amount")).alias("amount"))
     entries = debit.unionByName(credit)
-    led = prefix_sum(entries, ["agency_id"], ["at", "kind", "reservation_id"], "amount", F.to_date("at"), "_before")
+    led = prefix_sum(entries, ["agency_id"], ["entry_at", "kind", "reservation_id"], "amount", F.to_date("entry_at"),
+                     "_before")
     ag = F.broadcast(agency.select("agency_id", "credit_limit"))
     return (led.join(ag, "agency_id")
             .withColumn("credit_used", (F.col("_before") + F.col("amount")).cast(X.MONEY_TOTAL))

@@ -121,7 +121,7 @@ def q_upsert_passengers(spark, sf_dir):
     return R.upsert_passengers(FlightModel(spark, sf_dir).passenger)
 
 
-@register("agency_credit_ledger", "agency_id:i reservation_id:i at:t kind:i amount:d credit_used:d is_breach:b")
+@register("agency_credit_ledger", "agency_id:i reservation_id:i entry_at:t kind:i amount:d credit_used:d is_breach:b")
 def q_agency_credit_ledger(spark, sf_dir):
     m = FlightModel(spark, sf_dir)
     return R.agency_credit_ledger(m.reservation, m.agency)
