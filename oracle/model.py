@@ -84,6 +84,7 @@ FROM fbase""", ("fbase",))
 
 cte("scheduled_flight", """
 SELECT scheduled_flight_id, 'F' || suppkey AS flight_number, route_id, suppkey % 3 + 1 AS seat_map_id,
+       0 AS arrival_day_offset, DATE '1995-01-01' AS valid_from, DATE '2001-12-31' AS valid_to,
        min(strftime(departure_utc, '%H:%M')) AS departure_time_local,
        min(strftime(arrival_utc, '%H:%M')) AS arrival_time_local
 FROM fbase GROUP BY scheduled_flight_id, suppkey, route_id""", ("fbase",))
@@ -116,7 +117,9 @@ SELECT p_partkey AS fare_id, p_partkey % 625 AS route_id, p_brand || ':' || {CAB
 FROM part""")
 
 cte("agency", """
-SELECT CAST(row_number() OVER (ORDER BY c_mktsegment) AS INTEGER) AS agency_id, c_mktsegment AS legal_name
+SELECT CAST(row_number() OVER (ORDER BY c_mktsegment) AS INTEGER) AS agency_id, c_mktsegment AS legal_name,
+       CAST(8.00 AS DECIMAL(5,2)) AS net_fare_discount_pct, CAST(5.00 AS DECIMAL(5,2)) AS commission_pct,
+       CAST(50000000 AS DECIMAL(14,2)) AS credit_limit, CAST(0 AS DECIMAL(14,2)) AS credit_used
 FROM (SELECT DISTINCT c_mktsegment FROM customer) s""")
 
 cte("orders_x", """
@@ -159,7 +162,7 @@ JOIN orders_x o ON o.o_orderkey = l.l_orderkey
 JOIN part p ON p.p_partkey = l.l_partkey""", ("orders_x",))
 
 cte("ticket", f"""
-SELECT ticket_id, {pnr('reservation_id')} || '-' || line_seq || '-1' AS ticket_number, reservation_id,
+SELECT ticket_id, {pnr('reservation_id')} || '-' || line_seq || '-1' AS ticket_number, reservation_id, 1 AS passenger_ref,
        ticket_id AS segment_id, fare_id, fare_amount, tax_amount, discount_amount, commission_amount,
        'COP' AS currency, ticket_status AS status, created_at AS issued_at,
        CASE WHEN ticket_status = 'CANCELLED' THEN created_at + to_days(CAST(l_linenumber AS INTEGER)) END AS cancelled_at,

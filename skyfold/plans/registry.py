@@ -9,6 +9,7 @@ MODULES = (
     "skyfold.plans.search_queries",
     "skyfold.plans.inventory_queries",
     "skyfold.plans.reservation_queries",
+    "skyfold.plans.quality_queries",
 )
 
 
