@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle import inventory, model, quality, reservations, search, star  # noqa: F401  (registers the CTEs)
+from oracle import inventory, model, quality, reservations, search, sinks, star  # noqa: F401  (registers the CTEs)
 from oracle.model import CTES, with_model
 
 _DUCK_CAST = {"i": "BIGINT", "n": "DOUBLE", "d": "DOUBLE", "s": "VARCHAR", "b": "BOOLEAN"}
@@ -42,5 +42,7 @@ for _n in ("dim_date", "dim_route", "dim_fare", "dim_flight", "dim_channel", "fa
            "reservation_total", "issue_tickets", "apply_cancellations", "state_as_of", "dedupe_payments",
            "upsert_passengers", "agency_credit_ledger", "expire_holds", "unknown_flights", "reservation_by_name",
            "request_latency_summary",
-           "dq_range_checks", "dq_enum_checks", "dq_unique_checks", "dq_foreign_keys", "star_vs_source"):
+           "dq_range_checks", "dq_enum_checks", "dq_unique_checks", "dq_foreign_keys", "star_vs_source",
+           "incremental_tickets", "watermark_advance", "upsert_occupancy", "insert_if_absent_channel",
+           "star_row_counts", "catalog_report", "etl_run_log"):
     oracle(_n)

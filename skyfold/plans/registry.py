@@ -10,6 +10,7 @@ MODULES = (
     "skyfold.plans.inventory_queries",
     "skyfold.plans.reservation_queries",
     "skyfold.plans.quality_queries",
+    "skyfold.plans.sink_queries",
 )
 
 
