@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle import inventory, model, quality, reservations, search, sinks, star  # noqa: F401  (registers the CTEs)
+from oracle import extensions, inventory, model, quality, reservations, search, sinks, star, streaming  # noqa: F401,E501
 from oracle.model import CTES, with_model
 
 _DUCK_CAST = {"i": "BIGINT", "n": "DOUBLE", "d": "DOUBLE", "s": "VARCHAR", "b": "BOOLEAN"}
@@ -44,5 +44,7 @@ for _n in ("dim_date", "dim_route", "dim_fare", "dim_flight", "dim_channel", "fa
            "request_latency_summary",
            "dq_range_checks", "dq_enum_checks", "dq_unique_checks", "dq_foreign_keys", "star_vs_source",
            "incremental_tickets", "watermark_advance", "upsert_occupancy", "insert_if_absent_channel",
-           "star_row_counts", "catalog_report", "etl_run_log"):
+           "star_row_counts", "catalog_report", "etl_run_log",
+           "stream_status_counts", "stream_payment_dedup", "stream_ticket_fact",
+           "agency_settlement", "refund_due", "anonymise_passengers", "payment_reconciliation"):
     oracle(_n)

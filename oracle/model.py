@@ -103,7 +103,8 @@ CABIN_OF = "CASE WHEN p_type IN ('PROMO', 'LARGE') THEN 'BUS' ELSE 'ECO' END"
 
 cte("fare_rule", """
 SELECT DISTINCT p_size AS fare_rule_id, 'ADV' || p_size || 'd' AS name, p_size AS min_advance_days,
-       p_size % 2 = 0 AS is_refundable, p_size % 3 <> 0 AS is_changeable
+       p_size % 2 = 0 AS is_refundable, p_size % 3 <> 0 AS is_changeable,
+       CAST(p_size * 1000 AS DECIMAL(12,2)) AS refund_penalty
 FROM part""")
 
 cte("fare_class", f"""

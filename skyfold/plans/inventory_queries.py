@@ -25,43 +25,43 @@ def _materialized(m: FlightModel):
                             "is_window:b is_aisle:b is_exit_row:b")
 def q_seat_map_seats(spark, sf_dir):
     """Seat inventory of the whole fleet: each aircraft's seat map, row × letter."""
-    return _fleet_seats(FlightModel(spark, sf_dir))
+    return _fleet_seats(FlightModel.shared(spark, sf_dir))
 
 
 @register("seat_map_capacity", "aircraft_id:i seat_map_id:i cabin_code:s capacity:i")
 def q_seat_map_capacity(spark, sf_dir):
-    seats = _fleet_seats(FlightModel(spark, sf_dir))
+    seats = _fleet_seats(FlightModel.shared(spark, sf_dir))
     return seats.groupBy("aircraft_id", "seat_map_id", "cabin_code").agg(F.count(F.lit(1)).alias("capacity"))
 
 
 @register("materialize_flights", "flight_instance_id:i scheduled_flight_id:i flight_date:D departure_utc:t "
                                  "arrival_utc:t aircraft_id:n status:s")
 def q_materialize_flights(spark, sf_dir):
-    return _materialized(FlightModel(spark, sf_dir))
+    return _materialized(FlightModel.shared(spark, sf_dir))
 
 
 @register("assign_aircraft", "scheduled_flight_id:i flight_date:D aircraft_id:n")
 def q_assign_aircraft(spark, sf_dir):
-    return _materialized(FlightModel(spark, sf_dir))
+    return _materialized(FlightModel.shared(spark, sf_dir))
 
 
 @register("flight_inventory_init", "flight_instance_id:i cabin_code:s capacity:i seats_sold:i seats_held:i")
 def q_flight_inventory_init(spark, sf_dir):
-    m = FlightModel(spark, sf_dir)
+    m = FlightModel.shared(spark, sf_dir)
     cap = I.seat_map_capacity(I.seat_map_seats(I.seat_layouts(spark)))
     return I.flight_inventory_init(_materialized(m), cap)
 
 
 @register("fare_grid", "fare_id:i route_id:i fare_class_code:s fare_rule_id:i base_amount:d tax_pct:d")
 def q_fare_grid(spark, sf_dir):
-    m = FlightModel(spark, sf_dir)
+    m = FlightModel.shared(spark, sf_dir)
     return I.fare_grid(m.route, "1995-01-01", "2001-12-31")
 
 
 @register("seed_scarcity", INV_COLS)
 def q_seed_scarcity(spark, sf_dir):
     """Leave one seat on the next sellable flight of each cabin; whole inventory out."""
-    m = FlightModel(spark, sf_dir)
+    m = FlightModel.shared(spark, sf_dir)
     targets = S.next_sellable_flight(m.flight_instance, m.flight_inventory, DEFAULT_AS_OF)
     return I.seed_scarcity(m.flight_inventory, targets, 1)
 
@@ -69,33 +69,33 @@ def q_seed_scarcity(spark, sf_dir):
 @register("scarce_inventory", "flight_instance_id:i cabin_code:s capacity:i seats_sold:i seats_held:i "
                               "seats_available:i")
 def q_scarce_inventory(spark, sf_dir):
-    m = FlightModel(spark, sf_dir)
+    m = FlightModel.shared(spark, sf_dir)
     avail = S.flight_availability(m.flight_instance, m.scheduled_flight, m.route, m.flight_inventory)
     return I.scarce_inventory(avail, 1)
 
 
 @register("oversell_check", "flight_instance_id:i cabin_code:s capacity:i seats_sold:i seats_held:i committed:i")
 def q_oversell_check(spark, sf_dir):
-    return I.oversell_check(FlightModel(spark, sf_dir).flight_inventory)
+    return I.oversell_check(FlightModel.shared(spark, sf_dir).flight_inventory)
 
 
 @register("inventory_reconciliation", "flight_instance_id:i cabin_code:s seats_sold:i seats_held:i "
                                       "actual_confirmed:i actual_held:i is_mismatch:b")
 def q_inventory_reconciliation(spark, sf_dir):
-    m = FlightModel(spark, sf_dir)
+    m = FlightModel.shared(spark, sf_dir)
     committed = I.committed_seats(m.itinerary_segment, m.itinerary, m.reservation)
     return I.inventory_reconciliation(m.flight_inventory, committed)
 
 
 @register("inventory_from_events", "flight_instance_id:i cabin_code:s seats_held:i seats_sold:i is_negative:b")
 def q_inventory_from_events(spark, sf_dir):
-    m = FlightModel(spark, sf_dir)
+    m = FlightModel.shared(spark, sf_dir)
     return I.inventory_from_events(m.reservation_event, m.itinerary_segment, m.itinerary)
 
 
 @register("capacity_cut_impact", "flight_instance_id:i cabin_code:s seat_map_id:i old_capacity:i new_capacity:i "
                                  "committed:i seats_to_reaccommodate:i")
 def q_capacity_cut_impact(spark, sf_dir):
-    m = FlightModel(spark, sf_dir)
+    m = FlightModel.shared(spark, sf_dir)
     cap = I.seat_map_capacity(I.seat_map_seats(I.seat_layouts(spark)))
     return I.capacity_cut_impact(m.flight_inventory, m.flight_instance, m.scheduled_flight, cap)

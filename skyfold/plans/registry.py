@@ -11,6 +11,8 @@ MODULES = (
     "skyfold.plans.reservation_queries",
     "skyfold.plans.quality_queries",
     "skyfold.plans.sink_queries",
+    "skyfold.plans.stream_queries",
+    "skyfold.plans.extension_queries",
 )
 
 

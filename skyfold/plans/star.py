@@ -15,8 +15,9 @@ from skyfold.sources.fixtures import DEFAULT_AS_OF, FlightModel
 
 class Star:
     def __init__(self, model: FlightModel, as_of: str = DEFAULT_AS_OF,
-                 watermark: str | None = None, change_mode: str = "latest"):
+                 watermark: str | None = None, change_mode: str = "latest", channels: DataFrame | None = None):
         self.m = model
+        self._channels = channels
         self.as_of = as_of
         self.watermark = watermark
         self.change_mode = change_mode
@@ -48,6 +49,8 @@ class Star:
 
     @cached_property
     def dim_channel(self) -> DataFrame:
+        if self._channels is not None:   # a persisted dimension (incremental / streaming loads)
+            return self._channels
         return dims.dim_channel(self.m.reservation, self.m.agency)
 
     @cached_property

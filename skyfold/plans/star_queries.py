@@ -10,7 +10,7 @@ from skyfold.sources.fixtures import FlightModel
 
 
 def star(spark: SparkSession, sf_dir: str) -> Star:
-    return Star(FlightModel(spark, sf_dir))
+    return Star(FlightModel.shared(spark, sf_dir))
 
 
 @register("dim_date", "date_key:i full_date:D year:i quarter:i month:i month_name:s day:i "
