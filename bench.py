@@ -21,7 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from skyfold.plans import registry  # noqa: E402
 from skyfold.plans.catalog import QUERIES  # noqa: E402
 from skyfold.plans.etl import run_etl  # noqa: E402
-from skyfold.session import get_spark  # noqa: E402
+from skyfold.session import checkpoint_dir, get_spark  # noqa: E402
 
 HEADLINE = [
     "occupancy_by_route", "revenue_by_fare", "cancellation_patterns", "lead_time_by_class",
@@ -39,8 +39,7 @@ def main() -> None:
     only = os.environ.get("BENCH_QUERIES")
     names = only.split(",") if only else HEADLINE
     spark = get_spark(f"local[{cpus}]", app="skyfold-bench", shuffle_partitions=max(8, 2 * cpus))
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="skyfold-bench-ckpt-"))
+    checkpoint_dir(spark)      # the configured shared folder; a local one only when none is set
     registry.load_all()
     times: dict[str, float] = {}
 

@@ -46,5 +46,6 @@ for _n in ("dim_date", "dim_route", "dim_fare", "dim_flight", "dim_channel", "fa
            "incremental_tickets", "watermark_advance", "upsert_occupancy", "insert_if_absent_channel",
            "star_row_counts", "catalog_report", "etl_run_log",
            "stream_status_counts", "stream_payment_dedup", "stream_ticket_fact",
-           "agency_settlement", "refund_due", "anonymise_passengers", "payment_reconciliation"):
+           "agency_settlement", "refund_due", "anonymise_passengers", "payment_reconciliation",
+           "seat_map_status", "first_status_times", "trip_summary"):
     oracle(_n)

@@ -115,3 +115,20 @@ JOIN scheduled_flight sf ON sf.scheduled_flight_id = fi.scheduled_flight_id
 LEFT JOIN layout_capacity c ON c.seat_map_id = sf.seat_map_id AND c.cabin_code = inv.cabin_code
 WHERE inv.seats_sold + inv.seats_held > coalesce(c.capacity, 0)""",
     ("flight_inventory", "flight_instance", "scheduled_flight", "layout_capacity"))
+
+cte("seat_map_status", """
+SELECT g.flight_instance_id, g.cabin_code, g.seat_number, g.seat_rank,
+       CASE WHEN r.ticket_id IS NULL THEN 'FREE' ELSE 'TAKEN' END AS status, r.ticket_id
+FROM (SELECT fi.flight_instance_id, s.cabin_code, s.seat_number, s.seat_rank
+      FROM flight_instance fi JOIN scheduled_flight sf ON sf.scheduled_flight_id = fi.scheduled_flight_id
+      JOIN (SELECT *, row_number() OVER (PARTITION BY seat_map_id, cabin_code ORDER BY row_num, seat_letter) AS seat_rank
+            FROM seats) s ON s.seat_map_id = sf.seat_map_id) g
+LEFT JOIN (SELECT sg.flight_instance_id, sg.cabin_code, t.ticket_id,
+                  sum(t.seats) OVER (PARTITION BY sg.flight_instance_id, sg.cabin_code ORDER BY t.ticket_id
+                                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS hi, t.seats
+           FROM ticket t JOIN reservation r ON r.reservation_id = t.reservation_id
+           JOIN itinerary_segment sg ON sg.segment_id = t.segment_id
+           WHERE t.status <> 'CANCELLED' AND r.status = 'CONFIRMED') r
+  ON r.flight_instance_id = g.flight_instance_id AND r.cabin_code = g.cabin_code
+ AND g.seat_rank > r.hi - r.seats AND g.seat_rank <= r.hi""",
+    ("flight_instance", "scheduled_flight", "seats", "ticket", "reservation", "itinerary_segment"))

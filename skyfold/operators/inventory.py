@@ -4,7 +4,7 @@ S5 seat_map_seats, A3 seat_map_capacity, J9 assign_aircraft,
 M1 materialize_flights, J16 flight_inventory_init, J15/P20/M3 fare_grid,
 M4 seed_scarcity, A12 scarce_inventory, F6 oversell_check,
 A4/J17 inventory_reconciliation, E5 inventory_from_events,
-X8 capacity_cut_impact.
+X2 seat_map_status, X8 capacity_cut_impact.
 """
 
 from __future__ import annotations
@@ -254,3 +254,32 @@ def capacity_cut_impact(inventory: DataFrame, flight_instance: DataFrame, schedu
             .select("flight_instance_id", "cabin_code", "seat_map_id", F.col("capacity").alias("old_capacity"),
                     new_cap.alias("new_capacity"), committed.alias("committed"),
                     (committed - new_cap).alias("seats_to_reaccommodate")))
+
+
+# X2
+def seat_map_status(flight_instance: DataFrame, scheduled_flight: DataFrame, seats: DataFrame,
+                    taken: DataFrame) -> DataFrame:
+    """Every seat of every flight instance (its schedule's seat map) as FREE
+    or TAKEN, with the ticket holding it. ``taken``: flight_instance_id,
+    cabin_code, ticket_id, seats. Seats are handed out per (flight, cabin)
+    in ticket order, in seat order (row, letter): ticket k holds the seat
+    ranks (seats of earlier tickets, + its own seats]. The range join is on
+    (flight, cabin), so fan-out is bounded by seats × tickets of one flight
+    cabin."""
+    w_seat = Window.partitionBy("seat_map_id", "cabin_code").orderBy("row_num", "seat_letter")
+    ranked = seats.select("seat_map_id", "cabin_code", "seat_number", "row_num", "seat_letter") \
+        .withColumn("seat_rank", F.row_number().over(w_seat))
+    fl = (flight_instance.select("flight_instance_id", "scheduled_flight_id")
+          .join(scheduled_flight.select("scheduled_flight_id", "seat_map_id"), "scheduled_flight_id")
+          .drop("scheduled_flight_id"))
+    grid = fl.join(F.broadcast(ranked), "seat_map_id")          # seat layouts: a few hundred rows
+    w_t = Window.partitionBy("flight_instance_id", "cabin_code").orderBy("ticket_id")
+    ranges = (taken.select("flight_instance_id", "cabin_code", "ticket_id", "seats")
+              .withColumn("hi", F.sum("seats").over(w_t.rowsBetween(Window.unboundedPreceding, 0)))
+              .withColumn("lo", F.col("hi") - F.col("seats"))
+              .select(F.col("flight_instance_id").alias("_f"), F.col("cabin_code").alias("_c"), "ticket_id", "lo", "hi"))
+    j = grid.join(ranges, (grid.flight_instance_id == ranges._f) & (grid.cabin_code == ranges._c)
+                  & (grid.seat_rank > ranges.lo) & (grid.seat_rank <= ranges.hi), "left")
+    return j.select("flight_instance_id", "cabin_code", "seat_number", "seat_rank",
+                    F.when(F.col("ticket_id").isNull(), F.lit("FREE")).otherwise(F.lit("TAKEN")).alias("status"),
+                    "ticket_id")

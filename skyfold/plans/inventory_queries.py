@@ -99,3 +99,15 @@ def q_capacity_cut_impact(spark, sf_dir):
     m = FlightModel.shared(spark, sf_dir)
     cap = I.seat_map_capacity(I.seat_map_seats(I.seat_layouts(spark)))
     return I.capacity_cut_impact(m.flight_inventory, m.flight_instance, m.scheduled_flight, cap)
+
+
+@register("seat_map_status", "flight_instance_id:i cabin_code:s seat_number:s seat_rank:i status:s ticket_id:n")
+def q_seat_map_status(spark, sf_dir):
+    """Seat status of every flight: seats go to the issued tickets of
+    confirmed reservations in ticket order."""
+    m = FlightModel.shared(spark, sf_dir)
+    seats = I.seat_map_seats(I.seat_layouts(spark))
+    taken = (m.ticket.where(F.col("status") != "CANCELLED").select("ticket_id", "segment_id", "reservation_id", "seats")
+             .join(m.reservation.where(F.col("status") == "CONFIRMED").select("reservation_id"), "reservation_id")
+             .join(m.itinerary_segment.select("segment_id", "flight_instance_id", "cabin_code"), "segment_id"))
+    return I.seat_map_status(m.flight_instance, m.scheduled_flight, seats, taken)

@@ -89,3 +89,16 @@ def q_cancellation_patterns(spark, sf_dir):
                                 "avg_days_before_departure:d min_days_before_departure:i max_days_before_departure:i")
 def q_lead_time_by_class(spark, sf_dir):
     return star(spark, sf_dir).lead_time_by_class
+
+
+@register("first_status_times", "reservation_id:i held_at:t confirmed_at:t cancelled_at:t expired_at:t event_count:i")
+def q_first_status_times(spark, sf_dir):
+    from skyfold.operators.facts import first_status_times
+    return first_status_times(FlightModel.shared(spark, sf_dir).reservation_event)
+
+
+@register("trip_summary", "reservation_id:i route_id:i first_departure:D segments:i")
+def q_trip_summary(spark, sf_dir):
+    from skyfold.operators.facts import trip_summary
+    m = FlightModel.shared(spark, sf_dir)
+    return trip_summary(m.itinerary, m.itinerary_segment, m.flight_instance, m.scheduled_flight)

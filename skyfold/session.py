@@ -32,22 +32,25 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts and job state.
+    """Shared folder for lineage cuts and written intermediate tables.
 
-    On a cluster this must be set by the operator (``spark.checkpoint.dir``,
-    a shared file system). Only when it is unset — tests, local runs — do we
-    fall back to a fresh local folder.
+    On a cluster it is the folder the operator names in
+    ``spark.checkpoint.dir`` (a shared file system). Only when nothing is
+    configured — local tests — do we fall back to a fresh local folder, set
+    through ``SparkContext.setCheckpointDir`` (the config itself is static).
     """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     current = sc._jsc.sc().getCheckpointDir()
+    if conf_dir:
+        if not current.isDefined():
+            sc.setCheckpointDir(conf_dir)
+        return conf_dir
     if current.isDefined():
         return current.get()
-    if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="skyfold-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
-    sc.setCheckpointDir(conf_dir)
-    return conf_dir
+    local = tempfile.mkdtemp(prefix="skyfold-ckpt-")
+    sc.setCheckpointDir(local)
+    return local
 
 
 def work_dir(spark: SparkSession, name: str) -> str:

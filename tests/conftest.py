@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -12,9 +11,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from skyfold.session import get_spark
+    from skyfold.session import checkpoint_dir
     s = get_spark("local[4]", app="skyfold-tests", shuffle_partitions=4)
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="skyfold-test-ckpt-"))
+    checkpoint_dir(s)          # the configured folder, or a local one when none is set
     yield s
     s.stop()
 
