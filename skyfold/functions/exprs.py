@@ -142,11 +142,14 @@ def duration_minutes(start: str | Column, end: str | Column) -> Column:
 # P18
 def local_to_utc(day: str | Column, local_hhmm: str | Column, tz: str | Column,
                  day_offset: str | Column | None = None) -> Column:
-    """date + local wall time (+ day offset) at an airport zone -> UTC instant."""
+    """date + local wall time 'HH:mm' (+ day offset) at an airport zone ->
+    UTC instant. Arithmetic on the parts, no per-row string parsing."""
     d = col(day)
     if day_offset is not None:
         d = F.date_add(d, col(day_offset).cast("int"))
-    wall = F.to_timestamp(F.concat_ws(" ", d.cast("string"), col(local_hhmm)), "yyyy-MM-dd HH:mm")
+    hh = F.substring(col(local_hhmm), 1, 2).cast("int")
+    mm = F.substring(col(local_hhmm), 4, 2).cast("int")
+    wall = F.to_timestamp(d) + F.make_dt_interval(F.lit(0), hh, mm)
     return F.to_utc_timestamp(wall, col(tz))
 
 

@@ -104,13 +104,13 @@ def dim_channel(reservation: DataFrame, agency: DataFrame) -> DataFrame:
     ag = F.broadcast(agency.select("agency_id", F.col("legal_name").alias("agency_name")))
     pairs = (reservation.select("channel", "agency_id").distinct()
              .join(ag, "agency_id", "left")
-             .select("channel", "agency_name").distinct())
-    n = pairs.agg(F.count(F.lit(1)).alias("n")).withColumn("_k", F.lit(1))
-    default = (reservation.sparkSession.range(1)
-               .select(F.lit("WEB").alias("channel"), F.lit(None).cast("string").alias("agency_name"),
-                       F.lit(1).alias("_k"))
-               .join(n, "_k").where(F.col("n") == 0).select("channel", "agency_name"))
-    allp = pairs.unionByName(default)
+             .select("channel", "agency_name", F.lit(False).alias("_default")).distinct())
+    default = reservation.sparkSession.range(1).select(
+        F.lit("WEB").alias("channel"), F.lit(None).cast("string").alias("agency_name"), F.lit(True).alias("_default"))
+    everything = Window.partitionBy()
+    allp = (pairs.unionByName(default)
+            .withColumn("_real", F.count(F.when(~F.col("_default"), 1)).over(everything))
+            .where(~F.col("_default") | (F.col("_real") == 0)))
     w = Window.orderBy(F.col("channel"), F.col("agency_name").asc_nulls_first())
     return allp.select(F.row_number().over(w).cast("int").alias("channel_key"), "channel", "agency_name",
                        X.is_indirect("channel").alias("is_indirect"))

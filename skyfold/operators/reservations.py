@@ -21,22 +21,28 @@ LEGAL_TRANSITIONS = [(None, "HELD"), ("HELD", "CONFIRMED"), ("HELD", "CANCELLED"
                      ("HELD", "EXPIRED"), ("CONFIRMED", "CANCELLED")]
 
 
-def prefix_sum(df: DataFrame, keys: list[str], order: list[str], value: str, bucket: Column,
-               out: str) -> DataFrame:
-    """Exclusive running sum of ``value`` per ``keys`` in ``order``.
+def prefix_sum(df: DataFrame, keys: list[str], order: list[str], value: str | list[str], bucket: Column,
+               out: str | list[str]) -> DataFrame:
+    """Exclusive running sums of ``value`` column(s) per ``keys`` in ``order``.
 
     Computed as (sum of earlier buckets) + (running sum inside the bucket):
     the window over the raw rows is partitioned by (keys, bucket), the
     window over bucket totals by keys only — that table has one row per
-    (key, bucket) and stays small."""
+    (key, bucket) and stays small. Several value columns share one pass."""
+    values = [value] if isinstance(value, str) else list(value)
+    outs = [out] if isinstance(out, str) else list(out)
     d = df.withColumn("_ps_bucket", bucket)
     w_in = Window.partitionBy(*keys, "_ps_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    d = d.withColumn("_ps_in", F.coalesce(F.sum(value).over(w_in), F.lit(0)))
-    tot = d.groupBy(*keys, "_ps_bucket").agg(F.sum(value).alias("_ps_bt"))
+    for i, v in enumerate(values):
+        d = d.withColumn(f"_ps_in{i}", F.coalesce(F.sum(v).over(w_in), F.lit(0)))
+    tot = d.groupBy(*keys, "_ps_bucket").agg(*[F.sum(v).alias(f"_ps_bt{i}") for i, v in enumerate(values)])
     w_b = Window.partitionBy(*keys).orderBy("_ps_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    tot = tot.withColumn("_ps_before", F.coalesce(F.sum("_ps_bt").over(w_b), F.lit(0))).drop("_ps_bt")
-    return (d.join(tot, [*keys, "_ps_bucket"]).withColumn(out, F.col("_ps_before") + F.col("_ps_in"))
-            .drop("_ps_bucket", "_ps_in", "_ps_before"))
+    for i in range(len(values)):
+        tot = tot.withColumn(f"_ps_before{i}", F.coalesce(F.sum(f"_ps_bt{i}").over(w_b), F.lit(0))).drop(f"_ps_bt{i}")
+    d = d.join(tot, [*keys, "_ps_bucket"])
+    for i, o in enumerate(outs):
+        d = d.withColumn(o, F.col(f"_ps_before{i}") + F.col(f"_ps_in{i}"))
+    return d.drop("_ps_bucket", *[f"_ps_{p}{i}" for i in range(len(values)) for p in ("in", "before")])
 
 
 # W1
@@ -175,8 +181,7 @@ def seat_admission(requests: DataFrame, remaining: DataFrame, max_rounds: int =
     for rnd in range(1, max_rounds + 1):
         acc = legs.withColumn("_acc", F.when(F.col("state") == "A", F.col("demand")).otherwise(0)) \
                   .withColumn("_und", F.when(F.col("state") == "U", F.col("demand")).otherwise(0))
-        acc = prefix_sum(acc, key, order, "_acc", bucket, "lower")
-        acc = prefix_sum(acc, key, order, "_und", bucket, "_und_before")
+        acc = prefix_sum(acc, key, order, ["_acc", "_und"], bucket, ["lower", "_und_before"])
         acc = acc.withColumn("upper", F.col("lower") + F.col("_und_before"))
         verdict = (acc.where(F.col("state") == "U")
                    .groupBy("request_id")
