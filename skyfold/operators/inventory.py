@@ -204,11 +204,12 @@ TRANSITION_DELTAS = [
 
 def with_prior_status(reservation_event: DataFrame) -> DataFrame:
     """Each status event with the status the reservation had before it
-    (the last non-null to_status of earlier events, by time then id)."""
+    (the to_status of the previous status event, by time then id), computed
+    per (reservation, day) so a hot reservation is not one task."""
+    from skyfold.operators.reservations import prior_value
     ev = reservation_event.where(F.col("to_status").isNotNull())
-    w = (Window.partitionBy("reservation_id").orderBy("occurred_at", "event_id")
-         .rowsBetween(Window.unboundedPreceding, -1))
-    return ev.withColumn("prior_status", F.last("to_status", ignorenulls=True).over(w))
+    return prior_value(ev, ["reservation_id"], ["occurred_at", "event_id"], "to_status", F.to_date("occurred_at"),
+                       "prior_status")
 
 
 def _delta(prior: F.Column, new: F.Column, which: int) -> F.Column:

@@ -45,6 +45,23 @@ def prefix_sum(df: DataFrame, keys: list[str], order: list[str], value: str | li
     return d.drop("_ps_bucket", *[f"_ps_{p}{i}" for i in range(len(values)) for p in ("in", "before")])
 
 
+def prior_value(df: DataFrame, keys: list[str], order: list[str], value: str, bucket: Column,
+                out: str) -> DataFrame:
+    """``value`` of the previous row per ``keys`` in ``order`` (a lag),
+    hot-key safe: lag inside (keys, bucket); the first row of a bucket takes
+    the last value of the nearest earlier bucket, from a small table of one
+    row per (key, bucket). ``value`` must be non-null on every row."""
+    d = df.withColumn("_pv_b", bucket)
+    w_in = Window.partitionBy(*keys, "_pv_b").orderBy(*order)
+    d = d.withColumn("_pv_lag", F.lag(value).over(w_in)).withColumn("_pv_first", F.row_number().over(w_in) == 1)
+    last = d.groupBy(*keys, "_pv_b").agg(F.max_by(value, F.struct(*order)).alias("_pv_last"))
+    w_b = Window.partitionBy(*keys).orderBy("_pv_b")
+    last = last.withColumn("_pv_prev", F.lag("_pv_last").over(w_b)).drop("_pv_last")
+    d = d.join(last, [*keys, "_pv_b"])
+    return (d.withColumn(out, F.when(F.col("_pv_first"), F.col("_pv_prev")).otherwise(F.col("_pv_lag")))
+            .drop("_pv_b", "_pv_lag", "_pv_first", "_pv_prev"))
+
+
 # W1
 def itinerary_validation(segment: DataFrame, flights: DataFrame, airport: DataFrame, now: str,
                          max_hours: int = X.MAX_CONNECTION_HOURS) -> DataFrame:
@@ -85,8 +102,8 @@ def transition_audit(reservation_event: DataFrame) -> DataFrame:
     """Status events with the previous to_status; flags a from_status that
     does not match it and moves that are not legal."""
     ev = reservation_event.where(F.col("to_status").isNotNull())
-    w = Window.partitionBy("reservation_id").orderBy("occurred_at", "event_id")
-    ev = ev.withColumn("previous_status", F.lag("to_status").over(w))
+    ev = prior_value(ev, ["reservation_id"], ["occurred_at", "event_id"], "to_status", F.to_date("occurred_at"),
+                     "previous_status")
     return ev.select("event_id", "reservation_id", "occurred_at", "previous_status", "from_status", "to_status",
                      F.col("from_status").eqNullSafe(F.col("previous_status")).alias("from_matches"),
                      _legal(F.col("previous_status"), F.col("to_status")).alias("is_legal"))
@@ -431,19 +448,37 @@ def pnr_assign(reservation: DataFrame, max_rounds: int = 8) -> DataFrame:
 
 
 # A13
-def request_latency_summary(log: DataFrame, group: list[str]) -> DataFrame:
-    """Per group: created / rejected / error counts, median, p95 as element
+def request_latency_summary(log: DataFrame, group: list[str], tiebreak: str | None = None) -> DataFrame:
+    """Per group: created / rejected / error counts, median (linear
+    interpolation, like an exact percentile), p95 as element
     min(int(n × 0.95), n − 1) of the sorted latencies (0-based), max.
-    ``log``: group columns, outcome, latency_ms."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(*group))
-    w = Window.partitionBy(*group).orderBy("latency_ms")
-    ranked = log.withColumn("_n", n).withColumn("_idx", F.row_number().over(w) - 1)
-    p95_idx = F.least(F.floor(F.col("_n") * 0.95), F.col("_n") - 1)
-    return (ranked.groupBy(*group)
-            .agg(F.count(F.when(F.col("outcome") == "created", 1)).alias("created"),
-                 F.count(F.when(F.col("outcome") == "rejected", 1)).alias("rejected"),
-                 F.count(F.when(F.col("outcome") == "error", 1)).alias("errors"),
-                 F.count(F.lit(1)).alias("requests"),
-                 F.percentile("latency_ms", 0.5).alias("p50_ms"),
-                 F.max(F.when(F.col("_idx") == p95_idx, F.col("latency_ms"))).alias("p95_ms"),
-                 F.max("latency_ms").alias("max_ms")))
+    ``log``: group columns, outcome, latency_ms.
+
+    Exact positions without sorting a whole group in one task: the log is
+    range-partitioned by (group, latency), so a row's position is the rows of
+    its group in earlier partitions plus its rank inside its partition — a
+    ``prefix_sum`` with the partition id as bucket."""
+    order = ["latency_ms"] + ([tiebreak] if tiebreak else [])
+    ranged = (log.repartitionByRange(*group, *order)
+              .withColumn("_pid", F.spark_partition_id()).withColumn("_one", F.lit(1)))
+    idx = prefix_sum(ranged, group, order, "_one", F.col("_pid"), "_idx")
+    n = log.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))   # one row per group
+    j = idx.join(n, group)
+    pos = (F.col("_n") - 1) * F.lit(0.5)
+    lo, hi = F.floor(pos), F.ceil(pos)
+    p95 = F.least(F.floor(F.col("_n") * F.lit(0.95)), F.col("_n") - 1)
+    j = (j.withColumn("_pos", pos).withColumn("_lo", lo).withColumn("_hi", hi)
+         .withColumn("_is_p95", F.col("_idx") == p95))
+    agg = (j.groupBy(*group)
+           .agg(F.count(F.when(F.col("outcome") == "created", 1)).alias("created"),
+                F.count(F.when(F.col("outcome") == "rejected", 1)).alias("rejected"),
+                F.count(F.when(F.col("outcome") == "error", 1)).alias("errors"),
+                F.count(F.lit(1)).alias("requests"),
+                F.max(F.when(F.col("_idx") == F.col("_lo"), F.col("latency_ms"))).alias("_vlo"),
+                F.max(F.when(F.col("_idx") == F.col("_hi"), F.col("latency_ms"))).alias("_vhi"),
+                F.first("_pos").alias("_pos"), F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"),
+                F.max(F.when(F.col("_is_p95"), F.col("latency_ms"))).alias("p95_ms"),
+                F.max("latency_ms").alias("max_ms")))
+    median = (F.when(F.col("_lo") == F.col("_hi"), F.col("_vlo"))
+              .otherwise((F.col("_hi") - F.col("_pos")) * F.col("_vlo") + (F.col("_pos") - F.col("_lo")) * F.col("_vhi")))
+    return agg.select(*group, "created", "rejected", "errors", "requests", median.alias("p50_ms"), "p95_ms", "max_ms")
