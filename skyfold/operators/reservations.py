@@ -9,6 +9,8 @@ window task ever holds a whole key.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -190,11 +192,13 @@ def seat_admission(requests: DataFrame, remaining: DataFrame, max_rounds: int =
     checkpoint_dir(requests.sparkSession)
     bucket = bucket if bucket is not None else F.to_date("requested_at")
     key = ["flight_instance_id", "cabin_code"]
+    cols = [*requests.columns, "remaining", "state", "decided_round"]
     legs = (requests.join(remaining.select(*key, "remaining"), key, "left")
             .withColumn("remaining", F.coalesce("remaining", F.lit(0)))
             .withColumn("state", F.lit("U"))
             .withColumn("decided_round", F.lit(None).cast("int")))
     order = ["requested_at", "request_id"]
+    settled: list[DataFrame] = []
     for rnd in range(1, max_rounds + 1):
         acc = legs.withColumn("_acc", F.when(F.col("state") == "A", F.col("demand")).otherwise(0)) \
                   .withColumn("_und", F.when(F.col("state") == "U", F.col("demand")).otherwise(0))
@@ -207,15 +211,20 @@ def seat_admission(requests: DataFrame, remaining: DataFrame, max_rounds: int =
         new_state = (F.when(F.col("state") != "U", F.col("state"))
                      .when(F.col("fits_all"), F.lit("A")).when(F.col("over_any"), F.lit("R"))
                      .otherwise(F.lit("U")))
-        legs = (acc.join(verdict, "request_id", "left")
-                .withColumn("decided_round", F.when((F.col("state") == "U") & (new_state != "U"), F.lit(rnd))
-                            .otherwise(F.col("decided_round")))
-                .withColumn("state", new_state)
-                .select(*requests.columns, "remaining", "state", "decided_round")
-                .checkpoint())
-        if legs.where(F.col("state") == "U").limit(1).count() == 0:
+        decided = (acc.join(verdict, "request_id", "left")
+                   .withColumn("decided_round", F.when((F.col("state") == "U") & (new_state != "U"), F.lit(rnd))
+                               .otherwise(F.col("decided_round")))
+                   .withColumn("state", new_state))
+        # A key with no undecided leg can no longer influence anyone (every leg of
+        # an undecided request is undecided): its legs leave the working set.
+        open_keys = decided.groupBy(*key).agg(F.max(F.col("state") == "U").alias("_open"))
+        marked = decided.join(open_keys, key).select(*cols, "_open").checkpoint()
+        settled.append(marked.where(~F.col("_open")).select(*cols))
+        legs = marked.where(F.col("_open")).select(*cols)
+        if legs.limit(1).count() == 0:
             break
-    return (legs.groupBy("request_id", "requested_at")
+    out = reduce(DataFrame.unionByName, settled + [legs])
+    return (out.groupBy("request_id", "requested_at")
             .agg(F.first("state").alias("state"), F.max("decided_round").alias("decided_round"),
                  F.count(F.lit(1)).alias("legs"), F.sum("demand").alias("seats"))
             .withColumn("accepted", F.col("state") == "A").drop("state"))
