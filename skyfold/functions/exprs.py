@@ -185,6 +185,12 @@ def normalise_code(c: str | Column) -> Column:
     return F.upper(F.trim(col(c)))
 
 
+# P25
+def optional_filter(c: str | Column, value) -> Column:
+    """Predicate that is always true when the parameter is None (no filter)."""
+    return F.lit(True) if value is None else (col(c) == F.lit(value))
+
+
 # P24
 def audit_payload(*fields: str | Column) -> Column:
     return F.to_json(F.struct(*[col(f) for f in fields]))

@@ -387,13 +387,20 @@ def expire_holds(reservation: DataFrame, segment: DataFrame, itinerary: DataFram
                     X.floor_at_zero(F.col("seats_held") - F.col("held_released")).alias("seats_held"))
 
 
+# J13
+def key_semi_join(df: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``df`` whose key is in ``wanted`` (``IN (pairs)`` / ``= ANY``);
+    a semi join never duplicates rows, whatever ``wanted`` repeats."""
+    return df.join(wanted.select(*keys), keys, "left_semi")
+
+
 # J14
 def unknown_flights(requested: DataFrame, flight_instance: DataFrame, inventory: DataFrame) -> DataFrame:
     """Requested (flight, cabin) pairs with no flight, or no inventory row."""
     req = requested.select("flight_instance_id", "cabin_code").distinct()
     no_flight = req.join(flight_instance.select("flight_instance_id"), "flight_instance_id", "left_anti") \
         .withColumn("reason", F.lit("UNKNOWN_FLIGHT"))
-    known = req.join(flight_instance.select("flight_instance_id"), "flight_instance_id", "left_semi")
+    known = key_semi_join(req, flight_instance, ["flight_instance_id"])
     no_inv = known.join(inventory.select("flight_instance_id", "cabin_code"), ["flight_instance_id", "cabin_code"],
                         "left_anti").withColumn("reason", F.lit("NO_INVENTORY"))
     return no_flight.unionByName(no_inv)

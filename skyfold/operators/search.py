@@ -69,8 +69,7 @@ def fare_ladder(fare: DataFrame, fare_class: DataFrame, fare_rule: DataFrame,
     fc = fare_class.select("fare_class_code", "cabin_code")
     fr = F.broadcast(fare_rule.select("fare_rule_id", "min_advance_days"))
     f = fare.join(fc, "fare_class_code").join(fr, "fare_rule_id")
-    if fare_class_code is not None:
-        f = f.where(F.col("fare_class_code") == fare_class_code)
+    f = f.where(X.optional_filter("fare_class_code", fare_class_code))
     key = ["route_id", "cabin_code", "currency", "valid_from", "valid_to"] + (["_class"] if by_class else [])
     f = f.withColumn("_class", F.col("fare_class_code")) if by_class else f
     best = F.struct("base_amount", "fare_id", "fare_class_code", "tax_pct")

@@ -70,21 +70,18 @@ def run_etl(spark: SparkSession, source_dir: str, out_dir: str | None = None, as
     for name, keys in INSERT_ONLY.items():
         path = f"{out}/{name}"
         merged = sinks.insert_if_absent(sinks.read_current(spark, path), getattr(star, name), keys)
-        v = sinks.write_version(merged, path)
-        counts[name] = spark.read.parquet(f"{path}/v={v}").count()
+        _, counts[name] = sinks.write_version_counted(merged, path)
     for name in ("dim_route", "dim_fare", "dim_flight"):
         keys, mutable = MUTABLE[name]
-        v, df = sinks.upsert_table(getattr(star, name), f"{out}/{name}", keys, mutable)
-        counts[name] = df.count()
+        _, counts[name] = sinks.upsert_table(getattr(star, name), f"{out}/{name}", keys, mutable)
 
     extract = star.fact_ticket_sale.withColumn("loaded_at", loaded_at)
     extract_path = f"{out}/_extract_fact_ticket_sale"
-    ev = sinks.write_version(extract, extract_path)          # cut lineage once, reuse twice
+    ev, read_rows = sinks.write_version_counted(extract, extract_path)   # cut lineage once, reuse twice
     extract = spark.read.parquet(f"{extract_path}/v={ev}")
-    read_rows = extract.count()
     keys, mutable = MUTABLE["fact_ticket_sale"]
-    _, fact = sinks.upsert_table(extract.drop("issued_at"), f"{out}/fact_ticket_sale", keys, mutable)
-    counts["fact_ticket_sale"] = fact.count()
+    _, counts["fact_ticket_sale"] = sinks.upsert_table(extract.drop("issued_at"), f"{out}/fact_ticket_sale", keys,
+                                                       mutable)
     if read_rows:
         new_wm = sinks.watermark_advance(extract, "issued_at", "fact_ticket_sale", old_wm)
         old_rows = wm_df.where(F.col("table_name") != "fact_ticket_sale") if wm_df is not None else None
@@ -92,9 +89,8 @@ def run_etl(spark: SparkSession, source_dir: str, out_dir: str | None = None, as
 
     for name in ("fact_flight_occupancy", "fact_reservation_lifecycle"):
         keys, mutable = MUTABLE[name]
-        _, df = sinks.upsert_table(getattr(star, name).withColumn("loaded_at", loaded_at), f"{out}/{name}", keys,
-                                   mutable)
-        counts[name] = df.count()
+        _, counts[name] = sinks.upsert_table(getattr(star, name).withColumn("loaded_at", loaded_at), f"{out}/{name}",
+                                             keys, mutable)
 
     done = sinks.run_log_entry(spark, run_id, started, _now(), "SUCCESS", counts)
     log = sinks.read_current(spark, log_path).where(F.col("run_id") != run_id).unionByName(done)

@@ -83,13 +83,15 @@ class FlightModel:
         file versions), stored under the shared checkpoint folder, so many
         jobs over the same tables read the extract instead of re-deriving it."""
         import hashlib
-        import os
 
         from skyfold.session import work_dir
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
         stamp = []
         for t in ("nation", "region", "supplier", "part", "customer", "orders", "lineitem", "events"):
-            p = f"{base_dir.rstrip('/')}/{t}.parquet"
-            stamp.append(str(os.path.getmtime(p)) if os.path.exists(p) else t)
+            path = jvm.org.apache.hadoop.fs.Path(f"{base_dir.rstrip('/')}/{t}.parquet")
+            fs = path.getFileSystem(conf)
+            stamp.append(str(fs.getFileStatus(path).getModificationTime()) if fs.exists(path) else t)
         key = (spark._jsparkSession.hashCode(), base_dir, tuple(stamp))
         model = _SHARED.get(key)
         if model is None:
