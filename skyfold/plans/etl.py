@@ -54,7 +54,7 @@ def run_etl(spark: SparkSession, source_dir: str, out_dir: str | None = None, as
     running = sinks.run_log_entry(spark, run_id, started, None, "RUNNING", {})
     sinks.write_version(running if prev_log is None else prev_log.unionByName(running), log_path)
 
-    model = FlightModel(spark, source_dir).snapshot(f"{out}/_snapshot/run={run_id}")
+    model = FlightModel(spark, source_dir).snapshot(f"{out}/_snapshot/run={run_id}", FlightModel.STAR_SNAPSHOT)
     wm_path = f"{out}/etl_watermark"
     wm_df = sinks.read_current(spark, wm_path)
     old_wm = None

@@ -61,20 +61,30 @@ class FlightModel:
         self.base_dir = base_dir
         self.overrides = dict(overrides or {})
 
-    SNAPSHOT = ("_flight_base", "_orders", "lines", "scheduled_flight", "flight_inventory", "itinerary")
+    SNAPSHOT = ("_flight_base", "_orders", "lines", "scheduled_flight", "route", "agency", "flight_inventory",
+                "itinerary", "search_requests")
+    DERIVED = ("route", "flight_instance", "reservation", "reservation_passenger", "passenger", "ticket",
+               "itinerary_segment", "itinerary", "ancillary", "flight_inventory", "search_requests",
+               "admission_requests", "scheduled_flight", "agency")
 
-    def snapshot(self, folder: str) -> "FlightModel":
+    STAR_SNAPSHOT = ("_flight_base", "_orders", "lines", "scheduled_flight", "route", "agency", "flight_inventory",
+                     "itinerary")
+
+    def snapshot(self, folder: str, names: tuple[str, ...] | None = None) -> "FlightModel":
         """Extract step (S1): write the wide derived relations once (flights,
-        orders with customers, numbered lines and their aggregates) to
-        ``folder`` and derive every other model table from the written
-        copies. Cuts lineage: the joins and the line window run once."""
-        for name in self.SNAPSHOT:
+        orders with customers, numbered lines, their aggregates, routes,
+        agencies, shopping requests) to ``folder`` and derive every other
+        model table from the written copies. Cuts lineage: the joins, the line
+        window and the distincts run once."""
+        stored: set[str] = set()
+        for name in names or self.SNAPSHOT:
             path = f"{folder.rstrip('/')}/{name.strip('_')}"
             getattr(self, name).write.mode("errorifexists").parquet(path)
             self.__dict__[name] = self.spark.read.parquet(path)
-            for dep in ("route", "flight_instance", "reservation", "reservation_passenger", "passenger", "ticket",
-                        "itinerary_segment", "ancillary", "search_requests", "admission_requests"):
-                self.__dict__.pop(dep, None)
+            stored.add(name)
+            for dep in self.DERIVED:
+                if dep not in stored:
+                    self.__dict__.pop(dep, None)
         return self
 
     @classmethod
