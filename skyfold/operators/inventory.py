@@ -206,7 +206,7 @@ def with_prior_status(reservation_event: DataFrame) -> DataFrame:
     """Each status event with the status the reservation had before it
     (the to_status of the previous status event, by time then id), computed
     per (reservation, day) so a hot reservation is not one task."""
-    from skyfold.operators.reservations import prior_value
+    from skyfold.operators.ranking import prior_value
     ev = reservation_event.where(F.col("to_status").isNotNull())
     return prior_value(ev, ["reservation_id"], ["occurred_at", "event_id"], "to_status", F.to_date("occurred_at"),
                        "prior_status")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from skyfold.functions import exprs as X
 from skyfold.operators import search as S
+from skyfold.operators.ranking import prefix_sum, prior_value  # noqa: F401  (re-exported)
 from skyfold.session import checkpoint_dir
 
 # Legal moves of a reservation (code of the reference: B2B also starts HELD).
@@ -23,58 +24,19 @@ LEGAL_TRANSITIONS = [(None, "HELD"), ("HELD", "CONFIRMED"), ("HELD", "CANCELLED"
                      ("HELD", "EXPIRED"), ("CONFIRMED", "CANCELLED")]
 
 
-def prefix_sum(df: DataFrame, keys: list[str], order: list[str], value: str | list[str], bucket: Column,
-               out: str | list[str]) -> DataFrame:
-    """Exclusive running sums of ``value`` column(s) per ``keys`` in ``order``.
-
-    Computed as (sum of earlier buckets) + (running sum inside the bucket):
-    the window over the raw rows is partitioned by (keys, bucket), the
-    window over bucket totals by keys only — that table has one row per
-    (key, bucket) and stays small. Several value columns share one pass."""
-    values = [value] if isinstance(value, str) else list(value)
-    outs = [out] if isinstance(out, str) else list(out)
-    d = df.withColumn("_ps_bucket", bucket)
-    w_in = Window.partitionBy(*keys, "_ps_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    for i, v in enumerate(values):
-        d = d.withColumn(f"_ps_in{i}", F.coalesce(F.sum(v).over(w_in), F.lit(0)))
-    tot = d.groupBy(*keys, "_ps_bucket").agg(*[F.sum(v).alias(f"_ps_bt{i}") for i, v in enumerate(values)])
-    w_b = Window.partitionBy(*keys).orderBy("_ps_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    for i in range(len(values)):
-        tot = tot.withColumn(f"_ps_before{i}", F.coalesce(F.sum(f"_ps_bt{i}").over(w_b), F.lit(0))).drop(f"_ps_bt{i}")
-    d = d.join(tot, [*keys, "_ps_bucket"])
-    for i, o in enumerate(outs):
-        d = d.withColumn(o, F.col(f"_ps_before{i}") + F.col(f"_ps_in{i}"))
-    return d.drop("_ps_bucket", *[f"_ps_{p}{i}" for i in range(len(values)) for p in ("in", "before")])
-
-
-def prior_value(df: DataFrame, keys: list[str], order: list[str], value: str, bucket: Column,
-                out: str) -> DataFrame:
-    """``value`` of the previous row per ``keys`` in ``order`` (a lag),
-    hot-key safe: lag inside (keys, bucket); the first row of a bucket takes
-    the last value of the nearest earlier bucket, from a small table of one
-    row per (key, bucket). ``value`` must be non-null on every row."""
-    d = df.withColumn("_pv_b", bucket)
-    w_in = Window.partitionBy(*keys, "_pv_b").orderBy(*order)
-    d = d.withColumn("_pv_lag", F.lag(value).over(w_in)).withColumn("_pv_first", F.row_number().over(w_in) == 1)
-    last = d.groupBy(*keys, "_pv_b").agg(F.max_by(value, F.struct(*order)).alias("_pv_last"))
-    w_b = Window.partitionBy(*keys).orderBy("_pv_b")
-    last = last.withColumn("_pv_prev", F.lag("_pv_last").over(w_b)).drop("_pv_last")
-    d = d.join(last, [*keys, "_pv_b"])
-    return (d.withColumn(out, F.when(F.col("_pv_first"), F.col("_pv_prev")).otherwise(F.col("_pv_lag")))
-            .drop("_pv_b", "_pv_lag", "_pv_first", "_pv_prev"))
-
-
 # W1
 def itinerary_validation(segment: DataFrame, flights: DataFrame, airport: DataFrame, now: str,
                          max_hours: int = X.MAX_CONNECTION_HOURS) -> DataFrame:
     """Per itinerary: the first failing leg (by sequence) and its rule, or OK.
     ``flights``: flight_instance_id, status, departure_utc, arrival_utc,
     origin_iata, destination_iata."""
-    s = segment.select("itinerary_id", "sequence_no", "flight_instance_id").join(flights, "flight_instance_id")
+    s = (segment.select("itinerary_id", "sequence_no", "flight_instance_id").join(flights, "flight_instance_id")
+         .withColumn("_leg", F.struct("destination_iata", "arrival_utc")))
     mct = F.broadcast(airport.select(F.col("iata_code").alias("_hub"), F.col("min_connection_min").alias("_mct")))
-    w = Window.partitionBy("itinerary_id").orderBy("sequence_no")
-    s = (s.withColumn("prev_dest", F.lag("destination_iata").over(w))
-         .withColumn("prev_arr", F.lag("arrival_utc").over(w))
+    # previous leg per itinerary, in buckets of 64 legs (no itinerary is one task)
+    s = prior_value(s, ["itinerary_id"], ["sequence_no"], "_leg", F.floor(F.col("sequence_no") / 64), "_prev")
+    s = (s.withColumn("prev_dest", F.col("_prev.destination_iata")).withColumn("prev_arr", F.col("_prev.arrival_utc"))
+         .drop("_leg", "_prev")
          .join(mct, F.col("prev_dest") == F.col("_hub"), "left"))
     gap_s = F.unix_seconds("departure_utc") - F.unix_seconds("prev_arr")
     reason = (F.when(F.col("status") != "SCHEDULED", F.lit("NOT_SCHEDULED"))

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyfold.functions import exprs as X
+from skyfold.operators.ranking import number_rows
 from skyfold.session import configure
 from skyfold.sources.tables import read_table, values
 
@@ -335,9 +336,9 @@ class FlightModel:
     def lines(self) -> DataFrame:
         li = self._src("lineitem")
         p = self._src("part")
-        all_cols = [F.col(c) for c in li.columns]
-        w = Window.partitionBy("l_orderkey").orderBy(*all_cols)
-        numbered = li.withColumn("line_seq", F.row_number().over(w))
+        # line_seq = row_number over (order, all columns): whole rows are unique.
+        # number_rows spreads a hot order over several tasks.
+        numbered = number_rows(li, ["l_orderkey"], [c for c in li.columns if c != "l_orderkey"], "line_seq")
         o = self._orders.select("o_orderkey", "created_at", "channel", F.col("status").alias("reservation_status"))
         pp = p.select(F.col("p_partkey"), F.col("p_brand"), F.col("p_type"))
         j = (numbered.join(o, numbered.l_orderkey == o.o_orderkey)
