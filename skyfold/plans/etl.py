@@ -37,6 +37,16 @@ MUTABLE = {
                                                          "loaded_at"]),
 }
 INSERT_ONLY = {"dim_date": ["date_key"], "dim_channel": ["channel", "agency_name"]}
+# Facts are stored partitioned by month of their date key, so date-bounded
+# reads (marts by month, occupancy windows) prune whole folders.
+FACT_PARTITION = {"fact_ticket_sale": ("issue_month", "issue_date_key"),
+                  "fact_flight_occupancy": ("departure_month", "departure_date_key"),
+                  "fact_reservation_lifecycle": ("created_month", "created_date_key")}
+
+
+def _with_month(df: DataFrame, name: str) -> DataFrame:
+    col, key = FACT_PARTITION[name]
+    return df.withColumn(col, F.floor(F.col(key) / 100).cast("int"))
 
 
 def _now() -> str:
@@ -80,8 +90,9 @@ def run_etl(spark: SparkSession, source_dir: str, out_dir: str | None = None, as
     ev, read_rows = sinks.write_version_counted(extract, extract_path)   # cut lineage once, reuse twice
     extract = spark.read.parquet(f"{extract_path}/v={ev}")
     keys, mutable = MUTABLE["fact_ticket_sale"]
-    _, counts["fact_ticket_sale"] = sinks.upsert_table(extract.drop("issued_at"), f"{out}/fact_ticket_sale", keys,
-                                                       mutable)
+    _, counts["fact_ticket_sale"] = sinks.upsert_table(
+        _with_month(extract.drop("issued_at"), "fact_ticket_sale"), f"{out}/fact_ticket_sale", keys, mutable,
+        [FACT_PARTITION["fact_ticket_sale"][0]])
     if read_rows:
         new_wm = sinks.watermark_advance(extract, "issued_at", "fact_ticket_sale", old_wm)
         old_rows = wm_df.where(F.col("table_name") != "fact_ticket_sale") if wm_df is not None else None
@@ -89,8 +100,8 @@ def run_etl(spark: SparkSession, source_dir: str, out_dir: str | None = None, as
 
     for name in ("fact_flight_occupancy", "fact_reservation_lifecycle"):
         keys, mutable = MUTABLE[name]
-        _, counts[name] = sinks.upsert_table(getattr(star, name).withColumn("loaded_at", loaded_at), f"{out}/{name}",
-                                             keys, mutable)
+        fact = _with_month(getattr(star, name).withColumn("loaded_at", loaded_at), name)
+        _, counts[name] = sinks.upsert_table(fact, f"{out}/{name}", keys, mutable, [FACT_PARTITION[name][0]])
 
     done = sinks.run_log_entry(spark, run_id, started, _now(), "SUCCESS", counts)
     log = sinks.read_current(spark, log_path).where(F.col("run_id") != run_id).unionByName(done)
