@@ -34,9 +34,9 @@ GROUP BY itinerary_id""", ("itinerary_segment", "conn_flights", "airport"))
 cte("transition_audit", """
 SELECT event_id, reservation_id, previous_status, from_status, to_status,
        from_status IS NOT DISTINCT FROM previous_status AS from_matches,
-       (previous_status IS NULL AND to_status = 'HELD')
-       OR (previous_status = 'HELD' AND to_status IN ('CONFIRMED', 'CANCELLED', 'EXPIRED'))
-       OR (previous_status = 'CONFIRMED' AND to_status = 'CANCELLED') AS is_legal
+       coalesce((previous_status IS NULL AND to_status = 'HELD')
+                OR (previous_status = 'HELD' AND to_status IN ('CONFIRMED', 'CANCELLED', 'EXPIRED'))
+                OR (previous_status = 'CONFIRMED' AND to_status = 'CANCELLED'), FALSE) AS is_legal
 FROM (SELECT *, lag(to_status) OVER (PARTITION BY reservation_id ORDER BY occurred_at, event_id) AS previous_status
       FROM reservation_event WHERE to_status IS NOT NULL) e""", ("reservation_event",))
 

@@ -58,7 +58,7 @@ def _legal(prior: Column, new: Column) -> Column:
     for p, n in LEGAL_TRANSITIONS:
         c = (prior.isNull() if p is None else prior == p) & (new == n)
         cond = c if cond is None else (cond | c)
-    return cond
+    return F.coalesce(cond, F.lit(False))     # unknown prior -> not a legal move, never NULL
 
 
 # W3
