@@ -2,7 +2,6 @@
 
 import random
 
-from pyspark.sql import functions as F
 
 from skyfold.operators.reservations import seat_admission, seat_admission_sequential
 

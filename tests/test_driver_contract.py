@@ -1,6 +1,5 @@
 """The driver contract, and Spark vs DuckDB parity on the smallest tables."""
 
-import os
 
 import duckdb
 import pytest
