@@ -90,9 +90,9 @@ def run_etl(spark: SparkSession, source_dir: str, out_dir: str | None = None, as
     ev, read_rows = sinks.write_version_counted(extract, extract_path)   # cut lineage once, reuse twice
     extract = spark.read.parquet(f"{extract_path}/v={ev}")
     keys, mutable = MUTABLE["fact_ticket_sale"]
-    _, counts["fact_ticket_sale"] = sinks.upsert_table(
+    _, counts["fact_ticket_sale"] = sinks.upsert_partitions(
         _with_month(extract.drop("issued_at"), "fact_ticket_sale"), f"{out}/fact_ticket_sale", keys, mutable,
-        [FACT_PARTITION["fact_ticket_sale"][0]])
+        FACT_PARTITION["fact_ticket_sale"][0])
     if read_rows:
         new_wm = sinks.watermark_advance(extract, "issued_at", "fact_ticket_sale", old_wm)
         old_rows = wm_df.where(F.col("table_name") != "fact_ticket_sale") if wm_df is not None else None
@@ -101,7 +101,7 @@ def run_etl(spark: SparkSession, source_dir: str, out_dir: str | None = None, as
     for name in ("fact_flight_occupancy", "fact_reservation_lifecycle"):
         keys, mutable = MUTABLE[name]
         fact = _with_month(getattr(star, name).withColumn("loaded_at", loaded_at), name)
-        _, counts[name] = sinks.upsert_table(fact, f"{out}/{name}", keys, mutable, [FACT_PARTITION[name][0]])
+        _, counts[name] = sinks.upsert_partitions(fact, f"{out}/{name}", keys, mutable, FACT_PARTITION[name][0])
 
     done = sinks.run_log_entry(spark, run_id, started, _now(), "SUCCESS", counts)
     log = sinks.read_current(spark, log_path).where(F.col("run_id") != run_id).unionByName(done)
@@ -110,5 +110,10 @@ def run_etl(spark: SparkSession, source_dir: str, out_dir: str | None = None, as
 
 
 def read_star(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
-    names = list(INSERT_ONLY) + list(MUTABLE)
-    return {n: sinks.read_current(spark, f"{out_dir}/{n}") for n in names}
+    out = {}
+    for n in list(INSERT_ONLY) + list(MUTABLE):
+        if n in FACT_PARTITION:
+            out[n] = sinks.read_current_partitioned(spark, f"{out_dir}/{n}", FACT_PARTITION[n][0])
+        else:
+            out[n] = sinks.read_current(spark, f"{out_dir}/{n}")
+    return out
