@@ -47,5 +47,5 @@ for _n in ("dim_date", "dim_route", "dim_fare", "dim_flight", "dim_channel", "fa
            "star_row_counts", "catalog_report", "etl_run_log",
            "stream_status_counts", "stream_payment_dedup", "stream_ticket_fact",
            "agency_settlement", "refund_due", "anonymise_passengers", "payment_reconciliation",
-           "seat_map_status", "first_status_times", "trip_summary"):
+           "seat_map_status", "first_status_times", "trip_summary", "flexible_dates"):
     oracle(_n)

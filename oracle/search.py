@@ -178,3 +178,24 @@ SELECT cabin_code, flight_instance_id, flight_date, capacity FROM (
   FROM flight_instance fi JOIN flight_inventory inv ON inv.flight_instance_id = fi.flight_instance_id
   WHERE fi.status = 'SCHEDULED' AND fi.flight_date >= {AS_OF} + 2) x WHERE rn = 1""",
     ("flight_instance", "flight_inventory"))
+
+cte("fx_cand", """
+SELECT q.request_id, s AS shift, q.passengers, q.search_date, CAST(q.flight_date + CAST(s AS INTEGER) AS DATE) AS flight_date,
+       a.flight_instance_id AS l1_id, a.route_id AS l1_route, a.flight_date AS l1_date, a.cabin_code,
+       a.departure_utc AS l1_dep
+FROM search_requests q CROSS JOIN range(-3, 4) t(s)
+JOIN flight_availability a ON a.origin_iata = q.origin AND a.destination_iata = q.destination
+ AND a.flight_date = q.flight_date + CAST(s AS INTEGER) AND a.cabin_code = q.cabin_code
+WHERE a.flight_status = 'SCHEDULED' AND a.seats_available >= q.passengers""",
+    ("search_requests", "flight_availability"))
+cte("fx_keys", "SELECT l1_route AS route_id, cabin_code, l1_date AS flight_date, search_date AS as_of FROM fx_cand",
+    ("fx_cand",))
+cte("fx_fares", fare_pick("fx_keys"), ("fx_keys", "fare", "fare_class", "fare_rule"))
+cte("flexible_dates", """
+SELECT request_id, shift, flight_date, flight_instance_id, unit_price FROM (
+  SELECT c.request_id, c.shift, c.flight_date, c.l1_id AS flight_instance_id,
+         CAST(f.price_e6 AS DOUBLE) / 1000000 AS unit_price,
+         row_number() OVER (PARTITION BY c.request_id, c.shift ORDER BY f.price_e6, c.l1_dep, c.l1_id) AS rn
+  FROM fx_cand c JOIN fx_fares f ON f.route_id = c.l1_route AND f.cabin_code = c.cabin_code
+   AND f.flight_date = c.l1_date AND f.as_of = c.search_date) x
+WHERE rn = 1""", ("fx_cand", "fx_fares"))
