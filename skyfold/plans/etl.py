@@ -92,7 +92,7 @@ def run_etl(spark: SparkSession, source_dir: str, out_dir: str | None = None, as
     keys, mutable = MUTABLE["fact_ticket_sale"]
     _, counts["fact_ticket_sale"] = sinks.upsert_partitions(
         _with_month(extract.drop("issued_at"), "fact_ticket_sale"), f"{out}/fact_ticket_sale", keys, mutable,
-        FACT_PARTITION["fact_ticket_sale"][0])
+        FACT_PARTITION["fact_ticket_sale"][0], materialized=True)     # the extract is a written copy
     if read_rows:
         new_wm = sinks.watermark_advance(extract, "issued_at", "fact_ticket_sale", old_wm)
         old_rows = wm_df.where(F.col("table_name") != "fact_ticket_sale") if wm_df is not None else None
