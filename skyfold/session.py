@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -59,6 +60,26 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(base, name) if "://" not in base else f"{base.rstrip('/')}/{name}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors' Python workers, once per Spark context.
+
+    Jobs with Python functions then run wherever the driver's own path leads
+    (the same as ``--py-files`` of a submitted job)."""
+    sc = spark.sparkContext
+    if getattr(sc, "_skyfold_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="skyfold-ship-"), "skyfold.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(here):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.join("skyfold", os.path.relpath(path, here)))
+    sc.addPyFile(archive)
+    sc._skyfold_shipped = True
+
+
 def get_spark(master: str | None = None, app: str = "skyfold",
               shuffle_partitions: int | None = None) -> SparkSession:
     """Build (or reuse) a session with sane defaults for local runs and tests."""
