@@ -10,9 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyfold.llm import decontaminate, linededup, minhash, pieces
+from skyfold.llm import decontaminate, linededup, minhash, pieces, toxicity
 from skyfold.llm.store import Store
 
+#: Documents of at least this probability of being toxic go.
+TOXIC = 0.5
 #: Similar documents have this many consecutive words in a shingle.
 SHINGLE = 5
 
@@ -24,6 +26,12 @@ def _text_changed(out: DataFrame, columns: list[str]) -> DataFrame:
     return out.select(*columns)
 
 
+def toxic_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier takes for toxic go."""
+    classifier = toxicity.fit(Store(spark, "toxicity"), docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.scores(docs, classifier).where(F.col("_sk_score") < TOXIC).select(*docs.columns)
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of three-line passages go; a document that loses all its lines goes."""
     out = linededup.dedup_lines(docs)
@@ -46,7 +54,7 @@ def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return pieces.encode(docs).drop("text")
 
 
-STAGES = [("line_dedup", line_dedup), ("near_dedup", near_dedup), ("decontamination", decontamination), ("sentencepiece", sentencepiece)]
+STAGES = [("toxicity", toxic_filter), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("decontamination", decontamination), ("sentencepiece", sentencepiece)]
 
 #: Learned scores, reachability and segmentation have no SQL form; tests hold run() against brute force.
 ORACLE_SQL: str | None = None

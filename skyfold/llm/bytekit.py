@@ -13,13 +13,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from skyfold.session import ship_package
+
 SLICE_BYTES = 1 << 20
 BATCH_BYTES = 16 << 20
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _LEN = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD1342543DE82EF95
 _BASE_INV = pow(_BASE, -1, 1 << 64)
-_TABLE = np.random.Generator(np.random.PCG64(20240229)).integers(0, 1 << 64, 256, dtype=np.uint64, endpoint=False)
+#: Two independent tables of a random number per byte value.
+_TABLES = np.random.Generator(np.random.PCG64(20240229)).integers(0, 1 << 64, (2, 256), dtype=np.uint64, endpoint=False)
 _POWERS: dict[int, np.ndarray] = {}
 
 #: A-Z to a-z, every other byte unchanged.
@@ -40,6 +43,7 @@ def bounded_batches(spark: SparkSession) -> None:
 
 def map_batches(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     """``mapInArrow`` with bounded batches; ``fn`` takes and gives batches."""
+    ship_package(df.sparkSession)
     bounded_batches(df.sparkSession)
     return df.mapInArrow(fn, schema)
 
@@ -84,10 +88,10 @@ def _powers(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
-def prefix_hash(buf: np.ndarray) -> np.ndarray:
+def prefix_hash(buf: np.ndarray, table: int = 0) -> np.ndarray:
     """Prefix sums from which ``span_hash`` hashes any substring at once."""
     out = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum(_TABLE[buf] * _powers(_BASE, len(buf)), out=out[1:])
+    np.cumsum(_TABLES[table][buf] * _powers(_BASE, len(buf)), out=out[1:])
     return out
 
 

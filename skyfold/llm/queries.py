@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyfold.llm import decontaminate, linededup, minhash, pieces, warc
+from skyfold.llm import decontaminate, importance, langid, linededup, minhash, pieces, quality, repeats, toxicity, warc
 from skyfold.llm.store import Store
 
 Job = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,10 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_warc(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(Store(spark, "importance"), _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -40,7 +44,30 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("_sk_lines").alias("n_lines"), F.col("_sk_removed").alias("n_removed"), "text")
 
 
-QUERIES: dict[str, Job] = {f.__name__: f for f in (op1_sentencepiece, op2_warc, op4_decontamination, op5_minhash, op6_line_dedup)}
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    out = langid.identify(docs.select("doc_id", "text"), langid.fit(Store(spark, "langid"), docs))
+    return out.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), F.col("_sk_lang").alias("lang_pred"), F.col("_sk_score").alias("score"))
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(Store(spark, "quality"), _table(spark, sf_dir, "documents"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    classifier = toxicity.fit(Store(spark, "toxicity"), docs, _table(spark, sf_dir, "labels"))
+    out = toxicity.scores(docs.select("doc_id", "text"), classifier)
+    return out.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), F.col("_sk_score").alias("score"),
+                      (F.col("_sk_score") >= 0.5).cast("int").alias("predicted"))
+
+
+QUERIES: dict[str, Job] = {f.__name__: f for f in (
+    op1_sentencepiece, op2_warc, op3_importance, op4_decontamination, op5_minhash, op6_line_dedup, op7_repeats, op8_language_id, op9_quality_rules, op10_toxicity)}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_warc": """
