@@ -5,16 +5,17 @@ bijective mixer, reduced to ``UNIVERSE`` positions) scatters the shingles, a
 second one, a fixed permutation table, is read at circularly shifted places:
 coordinate k of the signature is the least ``table[(position + k) mod UNIVERSE]``.
 ``BANDS`` bands of ``ROWS`` coordinates propose candidates (a pair at 0.8 is
-missed with probability (1 - 0.8**5)**48 = 5e-9); every link is confirmed on
+missed with probability (1 - 0.8**6)**48 = 5e-7); every link is confirmed on
 the full sets.
 
 Work on groups stays linear: documents with one set form a class, classes
 that share a band are first compared with the least class of that bucket, and
 links make components. Only buckets that still hold several components are
-looked at again: in rounds, each compares about ``PIVOTS`` of its members
-(by a range of a hash, so that every member has its turn once) with the
-members of other components. Pairs inside one component need no check, so a
-large group of near copies never emits its pairs.
+looked at again: every pair across components has a member outside the
+bucket's largest component, so in rounds about ``PIVOTS`` of those are
+compared with the members of other components and leave the bucket, until
+one component is left. Pairs inside one component need no check, so a large
+group of near copies never emits its pairs.
 
 Defined cases: a document without words or text has an empty set, is its own
 component and is kept; fewer words than the shingle make one shingle of the
@@ -35,7 +36,7 @@ from skyfold.llm import bytekit as bk
 from skyfold.llm.store import Store
 
 UNIVERSE = 1 << 20
-BANDS, ROWS = 48, 5
+BANDS, ROWS = 48, 6
 PERCENT = 80
 PIVOTS = 32
 _CHUNK = 1 << 14
@@ -169,10 +170,9 @@ def _links(store: Store, pairs: DataFrame, texts: DataFrame, shingle: int) -> Da
     return store.keep(bk.map_batches(with_text.select("a", "b", "text_a", "text_b"), _confirm(shingle), "a binary, b binary"))
 
 
-def _turn(node: Column, bucket: Column, members: Column) -> Column:
-    """The round in which a member is a pivot of its bucket: a hash, so about PIVOTS members a round."""
-    rounds = F.ceil(members / PIVOTS)
-    return F.pmod(F.xxhash64(node, bucket), rounds)
+def _near_size(x: str, y: str) -> Column:
+    """Sets of these sizes can be similar enough."""
+    return 100 * F.least(x, y) >= PERCENT * F.greatest(x, y)
 
 
 def duplicate_groups(docs: DataFrame, shingle: int = 2) -> DataFrame:
@@ -183,27 +183,35 @@ def duplicate_groups(docs: DataFrame, shingle: int = 2) -> DataFrame:
     schema = "doc_id long, node binary, n_shingles long, "
     docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
     sketch = store.keep(bk.map_batches(docs, _sketch(shingle, True), schema + "bands array<long>"))
-    nodes = store.keep(sketch.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands")))
-    entries = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = entries.groupBy("bucket").agg(F.min("node").alias("first"), F.count("*").alias("members")).where("members > 1")
+    nodes = store.keep(sketch.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n_shingles"),
+                                                                            F.first("bands").alias("bands")))
+    entries = nodes.select("node", "n_shingles", F.explode("bands").alias("bucket"))
+    shared = entries.groupBy("bucket").agg(F.min(F.struct("node", "n_shingles")).alias("first"), F.count("*").alias("members")) \
+                    .where("members > 1").drop("members")
     members = store.keep(entries.join(shared, "bucket"))
     near = members.select("node").distinct()
     again = bk.map_batches(docs, _sketch(shingle, False), schema + "text string").where("node is not null").select("node", "text")
     texts = store.keep(again.join(near, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")))
-    done = store.keep(members.where("node != first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct())
+    done = store.keep(members.where("node != first.node").where(_near_size("n_shingles", "first.n_shingles"))
+                      .select(F.col("first.node").alias("a"), F.col("node").alias("b")).distinct())
     links = _links(store, done, texts, shingle)
     label = components(store, links)
+    active = members.select("bucket", "node", "n_shingles")
     turn = 0
     while True:
-        # buckets with members of several components, and members whose turn is still to come
-        now = members.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        mixed = now.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("members").alias("n")) \
-                   .where((F.col("lo") != F.col("hi")) & (F.ceil(F.col("n") / PIVOTS) > turn)).select("bucket")
-        now = store.keep(now.join(mixed, "bucket", "left_semi"))
+        # pairs still to be checked lie in buckets with members of several components
+        now = active.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        sizes = now.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+        mixed = sizes.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("major"), F.sum("n").alias("all"), F.count("*").alias("parts")) \
+                     .where("parts > 1").select("bucket", F.col("major.component").alias("major"), (F.col("all") - F.col("major.n")).alias("outside"))
+        now = store.keep(now.join(mixed, "bucket"))
         if now.isEmpty():
             break
-        pivots = now.where(_turn(F.col("node"), F.col("bucket"), F.col("members")) == turn).select("bucket", F.col("node").alias("p"), F.col("component").alias("pc"))
-        pairs = now.join(pivots, "bucket").where("component != pc") \
+        # each such pair has a member outside the bucket's largest component: those are the pivots, in turns
+        chosen = F.pmod(F.xxhash64("node", "bucket", F.lit(turn)), F.ceil(F.col("outside") / PIVOTS)) == 0
+        pivots = now.where((F.col("component") != F.col("major")) & chosen)
+        other = pivots.select("bucket", F.col("node").alias("p"), F.col("component").alias("pc"), F.col("n_shingles").alias("pn"))
+        pairs = now.join(other, "bucket").where((F.col("component") != F.col("pc")) & _near_size("n_shingles", "pn")) \
                    .select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
         pairs = store.keep(pairs.join(done, ["a", "b"], "left_anti"))
         if not pairs.isEmpty():
@@ -212,6 +220,7 @@ def duplicate_groups(docs: DataFrame, shingle: int = 2) -> DataFrame:
             if not more.isEmpty():
                 links = links.unionByName(more)
                 label = components(store, links)
+        active = store.keep(now.join(pivots.select("bucket", "node"), ["bucket", "node"], "left_anti").select("bucket", "node", "n_shingles"))
         turn += 1
     least = nodes.select("node", "least").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     ids = least.groupBy("component").agg(F.min("least").alias("component_id"))

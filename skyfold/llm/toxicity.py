@@ -229,8 +229,11 @@ def fit_label_model(v: np.ndarray, label: np.ndarray) -> tuple[LabelModel, np.nd
                 wu = w[:, None] * (up == u)
                 fires[y, u] = ((wu * v).sum(axis=0) + 0.5) / (wu.sum(axis=0) + 1.0)
         model = LabelModel(float(np.clip(q.mean(), 1e-4, 1 - 1e-4)), parent, fires)
-        right = np.clip(np.where(label == 1, q, 1 - q).mean(), 0.6, 0.98)      # the row's own label as a voter
-        odds = model.log_odds(v.astype(int)) + np.where(label == 1, 1, -1) * np.log(right / (1 - right))
+        odds = model.log_odds(v.astype(int))
+        # the row's own label as a voter, as accurate as the other voters find it
+        others = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
+        right = np.clip(np.where(label == 1, others, 1 - others).mean(), 0.6, 0.98)
+        odds = odds + np.where(label == 1, 1, -1) * np.log(right / (1 - right))
         q = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
     return model, q
 
