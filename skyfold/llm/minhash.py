@@ -5,17 +5,19 @@ bijective mixer, reduced to ``UNIVERSE`` positions) scatters the shingles, a
 second one, a fixed permutation table, is read at circularly shifted places:
 coordinate k of the signature is the least ``table[(position + k) mod UNIVERSE]``.
 ``BANDS`` bands of ``ROWS`` coordinates propose candidates (a pair at 0.8 is
-missed with probability (1 - 0.8**6)**48 = 5e-7); every link is confirmed on
-the full sets.
-
-Work on groups stays linear: documents with one set form a class, classes
-that share a band are first compared with the least class of that bucket, and
-links make components. Only buckets that still hold several components are
-looked at again: every pair across components has a member outside the
-bucket's largest component, so in rounds about ``PIVOTS`` of those are
-compared with the members of other components and leave the bucket, until
-one component is left. Pairs inside one component need no check, so a large
-group of near copies never emits its pairs.
+missed with probability (1 - 0.8**6)**48 = 5e-7), which must agree in most of
+the coordinates' lowest bits too (a pair at 0.8 fails with 2e-8); every link
+is confirmed on the full sets.
+
+Work on groups: documents with one set form a class, classes that share a
+band are first compared with the least class of that bucket, and links make
+components. Pairs inside one component need no check, so a large group of
+near copies never emits its pairs. In buckets that still hold several
+components, every pair across them has a member outside the bucket's largest
+one. In rounds, about ``PIVOTS`` of those outsiders a bucket are compared with all
+members of other components, and leave the bucket, until one component is
+left: with a large component as a whole, block by block inside tasks, with
+the members of others as single pairs.
 
 Defined cases: a document without words or text has an empty set, is its own
 component and is kept; fewer words than the shingle make one shingle of the
@@ -38,7 +40,12 @@ from skyfold.llm.store import Store
 UNIVERSE = 1 << 20
 BANDS, ROWS = 48, 6
 PERCENT = 80
-PIVOTS = 32
+#: Lowest bits of the coordinates, in longs; sets at 0.8 differ in a tenth of them (28.8, deviation 5.1).
+BITS = ("b0", "b1", "b2", "b3", "b4")
+MAX_BITS = 60
+PIVOTS = 256
+#: Components of at least this many nodes are compared as a whole, in blocks of about so many shingles.
+LARGE, BLOCK = 64, 1_000_000
 _CHUNK = 1 << 14
 _CACHE: dict[str, np.ndarray] = {}
 
@@ -94,8 +101,14 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
+def low_bits(sig: np.ndarray) -> np.ndarray:
+    """Lowest bits of the coordinates, one row of len(BITS) longs a set."""
+    packed = np.packbits((sig & 1).astype(np.uint8), axis=1)
+    return np.pad(packed, ((0, 0), (0, 8 * len(BITS) - packed.shape[1]))).view(np.int64)
+
+
 def _sketch(shingle: int, bands: bool):
-    """Batches (doc_id, text) to (doc_id, node, n_shingles[, bands] or [, text]); node: 128-bit hash of the set."""
+    """Batches (doc_id, text) to (doc_id, node, n_shingles[, BITS, bands] or [, text]); node: 128-bit hash of the set."""
     def run(batches):
         for batch in batches:
             buf, off = bk.text_bytes(batch)
@@ -107,23 +120,30 @@ def _sketch(shingle: int, bands: bool):
                 cols = [batch.column(0).slice(i, j - i), pa.array(node, pa.binary()), pa.array(size)]
                 if bands:
                     full = np.flatnonzero(size)
-                    keys = band_keys(signatures(values, np.concatenate([set_off[:-1][full], set_off[-1:]]))) if len(full) else np.zeros((0, BANDS), np.int64)
+                    sig = signatures(values, np.concatenate([set_off[:-1][full], set_off[-1:]])) if len(full) else np.zeros((0, BANDS * ROWS), np.int32)
+                    bits = np.zeros((len(size), len(BITS)), np.int64)
+                    bits[full] = low_bits(sig)
+                    cols += [pa.array(bits[:, k]) for k in range(len(BITS))]
                     ends = np.concatenate([[0], np.cumsum(size > 0) * BANDS]).astype(np.int32)
-                    cols.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel())))
+                    cols.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(band_keys(sig).ravel())))
                 else:
                     cols.append(batch.column(1).slice(i, j - i))
-                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "node", "n_shingles", "bands" if bands else "text"])
+                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "node", "n_shingles", *((*BITS, "bands") if bands else ("text",))])
     return run
 
 
 def _confirm(shingle: int):
     """Batches (a, b, text_a, text_b) to the pairs (a, b) whose sets are similar enough."""
     def sets(batch, name):
-        buf, off = bk.text_bytes(batch, name)
+        """The set of each row's text; texts that come again are read once."""
+        coded = batch.column(batch.schema.get_field_index(name)).dictionary_encode()
+        texts = pa.RecordBatch.from_arrays([coded.dictionary], names=["text"])
+        buf, off = bk.text_bytes(texts)
+        each = []
         for _, _, part, part_off in bk.slices(buf, off):
             values, set_off = shingle_sets(part, part_off, shingle)
-            for s, e in zip(set_off[:-1].tolist(), set_off[1:].tolist()):
-                yield values[s:e]
+            each += [values[s:e] for s, e in zip(set_off[:-1].tolist(), set_off[1:].tolist())]
+        return [each[k] for k in coded.indices.to_pylist()]
 
     def run(batches):
         for batch in batches:
@@ -170,9 +190,75 @@ def _links(store: Store, pairs: DataFrame, texts: DataFrame, shingle: int) -> Da
     return store.keep(bk.map_batches(with_text.select("a", "b", "text_a", "text_b"), _confirm(shingle), "a binary, b binary"))
 
 
-def _near_size(x: str, y: str) -> Column:
-    """Sets of these sizes can be similar enough."""
-    return 100 * F.least(x, y) >= PERCENT * F.greatest(x, y)
+def _may_link(x: str, y: str) -> Column:
+    """Whether the sets of two structs can be similar enough, by their sizes and lowest bits."""
+    size = [F.col(f"{s}.n_shingles") for s in (x, y)]
+    differ = sum((F.bit_count(F.col(f"{x}.{b}").bitwiseXOR(F.col(f"{y}.{b}"))) for b in BITS), F.lit(0))
+    return (100 * F.least(*size) >= PERCENT * F.greatest(*size)) & (differ <= MAX_BITS)
+
+
+def _groups(batches, *keys: str):
+    """The rows of each run of equal keys, from batches sorted by them."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        table = pa.Table.from_batches(held)
+        cols = [table.column(k).to_pylist() for k in keys]
+        cuts = [0] + [i for i in range(1, len(table)) if any(c[i] != c[i - 1] for c in cols)]
+        for i, j in zip(cuts, cuts[1:]):
+            yield table.slice(i, j - i)
+        held = table.slice(cuts[-1]).to_batches() if len(table) else []
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _block_links(shingle: int):
+    """Blocks of (component, i, j, outside, node, text) to one link (a, b) of each outsider that has any."""
+    def run(batches):
+        for table in _groups(batches, "component", "i", "j"):
+            batch = table.combine_chunks().to_batches()[0]
+            buf, off = bk.text_bytes(batch)
+            parts = [(part, part_off) for _, _, part, part_off in bk.slices(buf, off)]
+            sets = [values[s:e] for part, part_off in parts for values, o in [shingle_sets(part, part_off, shingle)] for s, e in zip(o[:-1].tolist(), o[1:].tolist())]
+            nodes = batch.column(batch.schema.get_field_index("node")).to_pylist()
+            outside = batch.column(batch.schema.get_field_index("outside")).to_pylist()
+            inner = [k for k, x in enumerate(outside) if not x]
+            if not inner:
+                continue
+            size = np.array([len(sets[k]) for k in inner])
+            owner = np.repeat(np.arange(len(inner)), size)
+            values = np.concatenate([sets[k] for k in inner])
+            order = np.argsort(values, kind="stable")
+            values, owner = values[order], owner[order]
+            found = [[], []]
+            for k, x in enumerate(outside):
+                if x:
+                    lo, hi = np.searchsorted(values, sets[k]), np.searchsorted(values, sets[k], "right")
+                    n = hi - lo
+                    at = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+                    both = np.bincount(owner[at], minlength=len(inner))
+                    near = np.flatnonzero(100 * both >= PERCENT * (len(sets[k]) + size - both))
+                    if len(near):
+                        found[0].append(nodes[k])
+                        found[1].append(nodes[inner[near[0]]])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in found], names=["a", "b"])
+    return run
+
+
+def _component_links(store: Store, targets: DataFrame, label: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
+    """Links of nodes with whole components, for ``targets`` (node, component)."""
+    size = texts.select("node", "n_shingles")
+    inner = label.join(targets.select("component").distinct(), "component", "left_semi").join(size, "node")
+    outer = targets.join(size, "node")
+    blocks = inner.groupBy("component").agg(F.ceil(F.sum("n_shingles") / BLOCK).alias("ni")) \
+                  .join(outer.groupBy("component").agg(F.ceil(F.sum("n_shingles") / BLOCK).alias("nj")), "component")
+    i, j = F.pmod(F.xxhash64("node"), F.col("ni")), F.pmod(F.xxhash64("node"), F.col("nj"))
+    all_of = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    inner = inner.join(blocks, "component").select("component", i.alias("i"), all_of("nj").alias("j"), F.lit(False).alias("outside"), "node")
+    outer = outer.join(blocks, "component").select("component", all_of("ni").alias("i"), j.alias("j"), F.lit(True).alias("outside"), "node")
+    rows = inner.unionByName(outer).join(texts.select("node", "text"), "node").select("component", "i", "j", "outside", "node", "text")
+    rows = rows.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j")
+    return store.keep(bk.map_batches(rows, _block_links(shingle), "a binary, b binary"))
 
 
 def duplicate_groups(docs: DataFrame, shingle: int = 2) -> DataFrame:
@@ -182,21 +268,23 @@ def duplicate_groups(docs: DataFrame, shingle: int = 2) -> DataFrame:
     docs = docs.select("doc_id", "text")
     schema = "doc_id long, node binary, n_shingles long, "
     docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
-    sketch = store.keep(bk.map_batches(docs, _sketch(shingle, True), schema + "bands array<long>"))
-    nodes = store.keep(sketch.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"), F.first("n_shingles").alias("n_shingles"),
-                                                                            F.first("bands").alias("bands")))
-    entries = nodes.select("node", "n_shingles", F.explode("bands").alias("bucket"))
-    shared = entries.groupBy("bucket").agg(F.min(F.struct("node", "n_shingles")).alias("first"), F.count("*").alias("members")) \
-                    .where("members > 1").drop("members")
-    members = store.keep(entries.join(shared, "bucket"))
+    bits = ", ".join(f"{b} long" for b in BITS)
+    sketch = store.keep(bk.map_batches(docs, _sketch(shingle, True), f"{schema}{bits}, bands array<long>"))
+    nodes = store.keep(sketch.where("node is not null").groupBy("node").agg(
+        F.min("doc_id").alias("least"), F.first(F.struct("n_shingles", *BITS, "bands")).alias("set")))
+    entries = nodes.select(F.struct("node", "set.n_shingles", *(f"set.{b}" for b in BITS)).alias("x"), F.explode("set.bands").alias("bucket"))
+    shared = entries.groupBy("bucket").agg(F.min("x").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    members = store.keep(entries.join(shared, "bucket").select("bucket", "x.node", "x", "first"))
     near = members.select("node").distinct()
-    again = bk.map_batches(docs, _sketch(shingle, False), schema + "text string").where("node is not null").select("node", "text")
-    texts = store.keep(again.join(near, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")))
-    done = store.keep(members.where("node != first.node").where(_near_size("n_shingles", "first.n_shingles"))
+    again = bk.map_batches(docs, _sketch(shingle, False), schema + "text string").where("node is not null").select("node", "n_shingles", "text")
+    texts = store.keep(again.join(near, "node", "left_semi").groupBy("node")
+                       .agg(F.first("n_shingles").alias("n_shingles"), F.first("text").alias("text")))
+    done = store.keep(members.where("node != first.node").where(_may_link("x", "first"))
                       .select(F.col("first.node").alias("a"), F.col("node").alias("b")).distinct())
     links = _links(store, done, texts, shingle)
     label = components(store, links)
-    active = members.select("bucket", "node", "n_shingles")
+    active = members.select("bucket", "node", "x")
+    compared = store.keep(label.where("false"))
     turn = 0
     while True:
         # pairs still to be checked lie in buckets with members of several components
@@ -207,20 +295,24 @@ def duplicate_groups(docs: DataFrame, shingle: int = 2) -> DataFrame:
         now = store.keep(now.join(mixed, "bucket"))
         if now.isEmpty():
             break
-        # each such pair has a member outside the bucket's largest component: those are the pivots, in turns
         chosen = F.pmod(F.xxhash64("node", "bucket", F.lit(turn)), F.ceil(F.col("outside") / PIVOTS)) == 0
         pivots = now.where((F.col("component") != F.col("major")) & chosen)
-        other = pivots.select("bucket", F.col("node").alias("p"), F.col("component").alias("pc"), F.col("n_shingles").alias("pn"))
-        pairs = now.join(other, "bucket").where((F.col("component") != F.col("pc")) & _near_size("n_shingles", "pn")) \
-                   .select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
+        large = store.keep(label.groupBy("component").count().where(F.col("count") >= LARGE).select("component"))
+        targets = pivots.select("node", F.col("major").alias("component")).distinct().join(large, "component", "left_semi")
+        targets = store.keep(targets.join(compared, ["node", "component"], "left_anti"))
+        more = _component_links(store, targets, label, texts, shingle)
+        other = pivots.select("bucket", F.col("x").alias("p"), F.col("component").alias("pc"))
+        rest = now.join(large.withColumnRenamed("component", "big"), F.col("major") == F.col("big"), "left") \
+                  .where(F.col("big").isNull() | (F.col("component") != F.col("major")))
+        pairs = rest.join(other, "bucket").where((F.col("component") != F.col("pc")) & _may_link("x", "p")) \
+                    .select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
         pairs = store.keep(pairs.join(done, ["a", "b"], "left_anti"))
-        if not pairs.isEmpty():
-            more = _links(store, pairs, texts, shingle)
-            done = done.unionByName(pairs)
-            if not more.isEmpty():
-                links = links.unionByName(more)
-                label = components(store, links)
-        active = store.keep(now.join(pivots.select("bucket", "node"), ["bucket", "node"], "left_anti").select("bucket", "node", "n_shingles"))
+        more = store.keep(more.unionByName(_links(store, pairs, texts, shingle)))
+        done, compared = done.unionByName(pairs), compared.unionByName(targets)
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            label = components(store, links)
+        active = store.keep(now.join(pivots.select("bucket", "node"), ["bucket", "node"], "left_anti").select("bucket", "node", "x"))
         turn += 1
     least = nodes.select("node", "least").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     ids = least.groupBy("component").agg(F.min("least").alias("component_id"))

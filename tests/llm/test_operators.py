@@ -93,7 +93,7 @@ def test_archives_are_plain_zstandard_frames_with_the_dictionary_first(spark, tm
 
 
 def test_dictionary_without_enough_records(spark):
-    few = warc.plan_records(spark.createDataFrame([(1, "u", "abc")], "page_id long, url string, html string"))
+    few = warc.payloads(spark.createDataFrame([(1, "u", "abc")], "page_id long, url string, html string"))
     assert warc.train_dictionary(few) == b"abc"
     assert warc.train_dictionary(few.where("page_id = 2")) == b""
 
@@ -156,6 +156,8 @@ def test_components_of_long_chains(spark):
 def test_links_between_components_of_one_bucket_are_found(spark, monkeypatch):
     """With few pivots a round, every pair across components has its turn."""
     monkeypatch.setattr(minhash, "PIVOTS", 2)
+    monkeypatch.setattr(minhash, "LARGE", 3)
+    monkeypatch.setattr(minhash, "BLOCK", 300)
     docs = [(r[0], r[1]) for r in X.document_rows()]
     got = X.rows_of(minhash.duplicate_groups(spark.createDataFrame(docs, "doc_id long, text string"), 2), "doc_id", "n_shingles", "component_id", "kept")
     assert got == sorted(X.near_groups(docs, 2), key=str)
