@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyfold.llm import bytekit as bk
+from skyfold.llm.store import Store
 
 MIN_REVISIT = 100
 SAMPLE_RECORDS, SAMPLE_BYTES, DICTIONARY_BYTES = 2000, 1 << 14, 1 << 16
@@ -42,13 +43,20 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 _STEP = 1 << 14
 
 
-def plan_records(pages: DataFrame) -> DataFrame:
-    """(page_id, url, payload, payload_bytes, payload_digest, record_type, refers_to) per page."""
+def payloads(pages: DataFrame) -> DataFrame:
+    """(page_id, url, payload, payload_bytes, payload_digest) per page."""
     p = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                      F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"))
-    p = p.withColumns({"payload_bytes": F.octet_length("payload").cast("long"), "payload_digest": F.sha2("payload", 256)})
+    return p.withColumns({"payload_bytes": F.octet_length("payload").cast("long"), "payload_digest": F.sha2("payload", 256)})
+
+
+def plan_records(pages: DataFrame) -> DataFrame:
+    """``payloads`` with record_type and refers_to."""
+    p = payloads(pages)
     first = p.where(F.col("payload_bytes") >= MIN_REVISIT).groupBy("payload_digest") \
              .agg(F.min("page_id").alias("first_id"), F.count("*").alias("copies")).where("copies > 1 and first_id is not null").drop("copies")
+    # written first: where few payloads repeat, Spark sees that and need not shuffle the payloads to join
+    first = Store(pages.sparkSession, "warc").keep(first)
     revisit = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     return p.join(first, "payload_digest", "left").withColumns({
         "record_type": F.when(revisit, "revisit").otherwise("response"),
@@ -56,8 +64,8 @@ def plan_records(pages: DataFrame) -> DataFrame:
 
 
 def train_dictionary(records: DataFrame) -> bytes:
-    """A dictionary of at most DICTIONARY_BYTES from a bounded sample of the records; empty without records."""
-    sample = records.where("record_type = 'response' and payload_bytes > 0") \
+    """A dictionary of at most DICTIONARY_BYTES from a bounded sample of the payloads; empty without any."""
+    sample = records.where("payload_bytes > 0") \
                     .select(F.xxhash64("page_id", "payload_digest").alias("h"), F.substring("payload", 1, SAMPLE_BYTES).alias("head")) \
                     .orderBy("h").limit(SAMPLE_RECORDS)
     heads = [bytes(r[0]) for r in sample.select("head").collect()]
