@@ -41,7 +41,7 @@ for _n in ("dim_date", "dim_route", "dim_fare", "dim_flight", "dim_channel", "fa
            "itinerary_validation", "transition_audit", "expired_holds", "seat_demand", "quote_segments",
            "reservation_total", "issue_tickets", "apply_cancellations", "state_as_of", "dedupe_payments",
            "upsert_passengers", "agency_credit_ledger", "expire_holds", "unknown_flights", "reservation_by_name",
-           "request_latency_summary",
+           "request_latency_summary", "pnr_assign",
            "dq_range_checks", "dq_enum_checks", "dq_unique_checks", "dq_foreign_keys", "star_vs_source",
            "incremental_tickets", "watermark_advance", "upsert_occupancy", "insert_if_absent_channel",
            "star_row_counts", "catalog_report", "etl_run_log",

@@ -26,10 +26,12 @@ FROM ticket t JOIN fare f ON f.fare_id = t.fare_id JOIN fare_rule fr ON fr.fare_
 WHERE t.status = 'CANCELLED'""", ("ticket", "fare", "fare_rule"))
 
 cte("anonymise_passengers", """
-SELECT p.passenger_id,
+SELECT CASE WHEN old THEN NULL ELSE p.passenger_id END AS passenger_id,
+       CASE WHEN old THEN NULL ELSE p.birth_date END AS birth_date, CASE WHEN old THEN NULL ELSE p.phone END AS phone,
+       CASE WHEN old THEN NULL ELSE p.document_type END AS document_type,
        CASE WHEN old THEN NULL ELSE p.first_name END AS first_name,
        CASE WHEN old THEN NULL ELSE p.last_name END AS last_name,
-       CASE WHEN old THEN sha256(p.document_type || '|' || p.document_number) ELSE p.document_number END AS document_number,
+       CASE WHEN old THEN NULL ELSE p.document_number END AS document_number,
        CASE WHEN old THEN NULL ELSE p.email END AS email,
        l.last_travel, old AS is_anonymised
 FROM passenger_x p

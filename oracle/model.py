@@ -145,7 +145,7 @@ SELECT o_orderkey AS reservation_id, ref AS passenger_ref, o_orderkey * 10 + ref
 FROM (SELECT o_orderkey, unnest(range(1, CAST(o_orderkey % 3 + 2 AS BIGINT))) AS ref FROM orders) x""")
 
 cte("lines", f"""
-SELECT (l_orderkey * 100 + line_seq) AS ticket_id, l_orderkey AS reservation_id, line_seq, l_linenumber,
+SELECT (l_orderkey * 1000000 + line_seq) AS ticket_id, l_orderkey AS reservation_id, line_seq, l_linenumber,
        l_suppkey * 1000 + CAST((year(l_shipdate) - 1995) * 12 + month(l_shipdate) - 1 AS INTEGER) AS flight_instance_id,
        {CABIN_OF} AS cabin_code, p_brand || ':' || {CABIN_OF} AS fare_class_code, l_partkey AS fare_id,
        {money('l_extendedprice')} AS fare_amount,

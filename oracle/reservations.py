@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.model import cte
+from oracle.model import pnr, cte
 from oracle.search import he
 
 NOW = "TIMESTAMP '1998-01-01 00:00:00'"
@@ -42,8 +42,7 @@ FROM (SELECT *, lag(to_status) OVER (PARTITION BY reservation_id ORDER BY occurr
 
 cte("expired_holds", f"""
 SELECT reservation_id, pnr, hold_expires_at FROM reservation
-WHERE status = 'HELD' AND hold_expires_at < {NOW}
-ORDER BY hold_expires_at, reservation_id LIMIT 500""", ("reservation",))
+WHERE status = 'HELD' AND hold_expires_at < {NOW}""", ("reservation",))
 
 cte("seat_demand", """
 SELECT i.reservation_id, s.flight_instance_id, s.cabin_code, sum(st.seats) AS demand
@@ -102,12 +101,13 @@ WHERE r.status = 'CONFIRMED' AND s.status = 'ACTIVE' AND p.passenger_type <> 'IN
 
 cte("apply_cancellations", """
 SELECT r.reservation_id, r.status AS previous_status, 'CANCELLED' AS new_status,
+       it.n AS itineraries_cancelled,
        coalesce(c.n, 0) AS segments_cancelled, coalesce(c.seats, 0) AS seats_released,
        CASE WHEN r.status = 'CONFIRMED' THEN 'seats_sold' ELSE 'seats_held' END AS released_from,
        CASE WHEN r.agency_id IS NOT NULL THEN r.total_amount END AS credit_returned
 FROM (SELECT DISTINCT reservation_id FROM reservation_event WHERE to_status = 'CANCELLED') q
 JOIN reservation r ON r.reservation_id = q.reservation_id
-JOIN (SELECT DISTINCT reservation_id FROM itinerary) it ON it.reservation_id = r.reservation_id
+JOIN (SELECT reservation_id, count(*) FILTER (WHERE status = 'ACTIVE') AS n FROM itinerary GROUP BY 1) it ON it.reservation_id = r.reservation_id
 LEFT JOIN (SELECT i.reservation_id, count(*) AS n, sum(st.seats) AS seats
            FROM itinerary_segment s JOIN itinerary i ON i.itinerary_id = s.itinerary_id
            JOIN seated st ON st.reservation_id = i.reservation_id
@@ -200,3 +200,19 @@ FROM (SELECT *, row_number() OVER (PARTITION BY day ORDER BY latency_ms) - 1 AS
                    CASE WHEN event_type = 'purchase' THEN 'created' WHEN event_type = 'error' THEN 'error'
                         ELSE 'rejected' END AS outcome, value AS latency_ms FROM events) a) b
 GROUP BY day""")
+
+_CODES = 32 ** 6
+
+
+def _drawn(salt: int) -> str:
+    return pnr(f"CAST('0x' || substr(md5(reservation_id || ':{salt}'), 1, 15) AS BIGINT) % {_CODES}")
+
+
+cte("pnr_assign", f"""
+WITH zero AS (SELECT min(reservation_id) AS reservation_id, pnr FROM (SELECT reservation_id, {_drawn(0)} AS pnr FROM reservation) a
+              GROUP BY pnr),
+one AS (SELECT min(reservation_id) AS reservation_id, pnr
+        FROM (SELECT reservation_id, {_drawn(1)} AS pnr FROM reservation
+              WHERE reservation_id NOT IN (SELECT reservation_id FROM zero)) b
+        WHERE pnr NOT IN (SELECT pnr FROM zero) GROUP BY pnr)
+SELECT reservation_id, pnr, 0 AS salt FROM zero UNION ALL SELECT reservation_id, pnr, 1 FROM one""", ("reservation",))

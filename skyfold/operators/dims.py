@@ -1,10 +1,10 @@
 """Dimensions of the star schema: S4 dim_date, J1 dim_route, J2 dim_fare,
 J3 dim_flight, A11 dim_channel and the J12 channel-key lookup.
 
-Broadcast policy: airports (one per nation), cabins, fare rules and channels
-are bounded by construction and broadcast explicitly. Flights and fares grow
-with the data and are joined by plain equi-joins; AQE turns those into
-broadcast joins only when the measured side is small.
+Broadcast policy: airports (one per nation), cabins and aircraft models are
+bounded by construction and broadcast explicitly. Agencies, channels, fare
+rules, flights and fares are users' tables and joined by plain equi-joins;
+Spark turns those into broadcast joins only when the measured side is small.
 """
 
 from __future__ import annotations
@@ -70,8 +70,7 @@ def dim_fare(fare: DataFrame, fare_class: DataFrame, cabin: DataFrame, fare_rule
     """J2: fare ⋈ class ⋈ cabin ⋈ rule."""
     fc = fare_class.select("fare_class_code", "cabin_code", F.col("name").alias("fare_class_name"))
     c = F.broadcast(cabin.select("cabin_code", F.col("name").alias("cabin_name")))
-    fr = F.broadcast(fare_rule.select("fare_rule_id", F.col("name").alias("rule_name"),
-                                      "min_advance_days", "is_refundable", "is_changeable"))
+    fr = fare_rule.select("fare_rule_id", F.col("name").alias("rule_name"), "min_advance_days", "is_refundable", "is_changeable")
     j = fare.join(fc, "fare_class_code").join(c, "cabin_code").join(fr, "fare_rule_id")
     return j.select(F.col("fare_id").alias("fare_key"), "fare_class_code", "fare_class_name",
                     "cabin_code", "cabin_name", "rule_name", "min_advance_days",
@@ -101,7 +100,7 @@ def dim_channel(reservation: DataFrame, agency: DataFrame) -> DataFrame:
     when there are no reservations. ``channel_key`` is deterministic: the rank
     of (channel, agency name) with NULL first. The distinct set is bounded by
     the number of agencies, so the final ranking runs on a tiny input."""
-    ag = F.broadcast(agency.select("agency_id", F.col("legal_name").alias("agency_name")))
+    ag = agency.select("agency_id", F.col("legal_name").alias("agency_name"))
     pairs = (reservation.select("channel", "agency_id").distinct()
              .join(ag, "agency_id", "left")
              .select("channel", "agency_name", F.lit(False).alias("_default")).distinct())
@@ -116,13 +115,24 @@ def dim_channel(reservation: DataFrame, agency: DataFrame) -> DataFrame:
                        X.is_indirect("channel").alias("is_indirect"))
 
 
+def extend_channels(stored: DataFrame | None, current: DataFrame) -> DataFrame:
+    """The stored dimension with the pairs it lacks: a key once given never
+    changes, new pairs are numbered after the greatest one. Facts take their
+    keys from the result, never from a fresh ranking."""
+    if stored is None:
+        return current
+    both = (current["channel"] == stored["channel"]) & current["agency_name"].eqNullSafe(stored["agency_name"])
+    fresh = current.join(stored, both, "left_anti")
+    top = stored.agg(F.max("channel_key")).first()[0] or 0
+    number = F.row_number().over(Window.orderBy("channel_key"))      # one row per new agency
+    return stored.unionByName(fresh.withColumn("channel_key", (F.lit(top) + number).cast("int")).select(*stored.columns))
+
+
 def with_channel_key(df: DataFrame, channels: DataFrame, channel: str = "channel",
                      agency_name: str = "agency_name") -> DataFrame:
     """J12: key of (channel, agency) if present, else of (channel, NULL)."""
-    ch = F.broadcast(channels.select(F.col("channel").alias("_c1"), F.col("agency_name").alias("_a1"),
-                                     F.col("channel_key").alias("_k1")))
-    fb = F.broadcast(channels.where(F.col("agency_name").isNull())
-                     .select(F.col("channel").alias("_c2"), F.col("channel_key").alias("_k2")))
+    ch = channels.select(F.col("channel").alias("_c1"), F.col("agency_name").alias("_a1"), F.col("channel_key").alias("_k1"))
+    fb = channels.where(F.col("agency_name").isNull()).select(F.col("channel").alias("_c2"), F.col("channel_key").alias("_k2"))
     j = (df.join(ch, (F.col(channel) == F.col("_c1")) & F.col(agency_name).eqNullSafe(F.col("_a1")), "left")
          .join(fb, F.col(channel) == F.col("_c2"), "left"))
     return (j.withColumn("channel_key", F.coalesce(F.col("_k1"), F.col("_k2")))

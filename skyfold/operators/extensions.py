@@ -21,7 +21,7 @@ CARD_PATTERN = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
 def agency_settlement(ticket_fact: DataFrame, dim_channel: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Per agency and issue month: sales (non-cancelled totals), commission,
     cancelled value and the balance owed (sales − commission)."""
-    ch = F.broadcast(dim_channel.where(F.col("is_indirect")).select("channel_key", "agency_name"))
+    ch = dim_channel.where(F.col("is_indirect")).select("channel_key", "agency_name")
     d = dim_date.select(F.col("date_key").alias("issue_date_key"), "year", "month")
     j = ticket_fact.join(ch, "channel_key").join(d, "issue_date_key")
     live = ~F.col("is_cancelled")
@@ -39,7 +39,7 @@ def refund_due(ticket: DataFrame, fare: DataFrame, fare_rule: DataFrame) -> Data
     """Cancelled tickets: refundable amount = fare + tax − penalty (floored
     at 0) under a refundable rule, otherwise 0."""
     t = ticket.where(F.col("status") == "CANCELLED").select("ticket_id", "fare_id", "fare_amount", "tax_amount")
-    fr = F.broadcast(fare_rule.select("fare_rule_id", "is_refundable", "refund_penalty"))
+    fr = fare_rule.select("fare_rule_id", "is_refundable", "refund_penalty")
     j = t.join(fare.select("fare_id", "fare_rule_id"), "fare_id").join(fr, "fare_rule_id")
     paid = F.col("fare_amount") + F.col("tax_amount")
     refund = F.when(F.col("is_refundable"), X.floor_at_zero(paid - F.col("refund_penalty"))).otherwise(F.lit(0))
@@ -52,8 +52,8 @@ def anonymise_passengers(passenger: DataFrame, reservation_passenger: DataFrame,
                          itinerary: DataFrame, flight_instance: DataFrame, as_of: str,
                          years: int = ANONYMISE_AFTER_YEARS) -> DataFrame:
     """Passengers whose last travel ended more than ``years`` ago lose names,
-    document, contact data and birth date; the document number becomes an unsalted
-    SHA-256 digest, so repeat travellers still match. Others are unchanged."""
+    passenger id, document, contact data and birth date (a digest of a document
+    number could be reversed by trying all numbers). Others are unchanged."""
     last = (reservation_passenger.select("reservation_id", "passenger_id")
             .join(itinerary.select("itinerary_id", "reservation_id"), "reservation_id")
             .join(segment.select("itinerary_id", "flight_instance_id"), "itinerary_id")
@@ -62,12 +62,10 @@ def anonymise_passengers(passenger: DataFrame, reservation_passenger: DataFrame,
     cutoff = F.add_months(F.lit(as_of).cast("date"), -12 * years)
     p = passenger.join(last, "passenger_id", "left")
     old = F.coalesce(F.col("last_travel") < cutoff, F.lit(False))
-    digest = F.sha2(F.concat_ws("|", "document_type", "document_number"), 256)
     def blank(c: str) -> Column:
         return F.when(old, F.lit(None).cast(passenger.schema[c].dataType)).otherwise(F.col(c)).alias(c)
-    return p.select("passenger_id", blank("first_name"), blank("last_name"), blank("birth_date"),
-                    "document_type", F.when(old, digest).otherwise(F.col("document_number")).alias("document_number"),
-                    blank("email"), blank("phone"), "last_travel", old.alias("is_anonymised"))
+    personal = ("passenger_id", "first_name", "last_name", "birth_date", "document_type", "document_number", "email", "phone")
+    return p.select(*map(blank, personal), "last_travel", old.alias("is_anonymised"))
 
 
 def luhn_ok(digits: Column) -> Column:

@@ -69,7 +69,7 @@ def fact_ticket_sale(ticket: DataFrame, segment: DataFrame, itinerary: DataFrame
                  "status", "issued_at", "seats")
     s = segment.select("segment_id", "itinerary_id", "flight_instance_id")
     i = itinerary.select("itinerary_id")
-    ag = F.broadcast(agency.select("agency_id", F.col("legal_name").alias("agency_name")))
+    ag = agency.select("agency_id", F.col("legal_name").alias("agency_name"))
     r = (reservation.select("reservation_id", "pnr", "channel", "agency_id")
          .join(ag, "agency_id", "left").drop("agency_id"))
     fi = flight_instance.select("flight_instance_id", "scheduled_flight_id", "flight_date")
@@ -162,7 +162,7 @@ def fact_reservation_lifecycle(reservation: DataFrame, reservation_event: DataFr
     e = first_status_times(reservation_event)
     tr = trip_summary(itinerary, segment, flight_instance, scheduled_flight)
     pax = passenger_count(reservation_passenger)
-    ag = F.broadcast(agency.select("agency_id", F.col("legal_name").alias("agency_name")))
+    ag = agency.select("agency_id", F.col("legal_name").alias("agency_name"))
     r = reservation.select("reservation_id", "pnr", "channel", "agency_id", "created_at",
                            "status", "total_amount", "currency")
     j = (r.join(e, "reservation_id", "left").join(tr, "reservation_id", "left")

@@ -58,7 +58,7 @@ def revenue_by_fare(ticket_fact: DataFrame, dim_fare: DataFrame, dim_date: DataF
 # A7
 def cancellation_patterns(lifecycle: DataFrame, dim_channel: DataFrame, dim_route: DataFrame,
                           dim_date: DataFrame) -> DataFrame:
-    c = F.broadcast(dim_channel.select("channel_key", "channel", "agency_name"))
+    c = dim_channel.select("channel_key", "channel", "agency_name")
     r = dim_route.select("route_key", "route_label")
     d = dim_date.select(F.col("date_key").alias("created_date_key"), "year", "month")
     j = (lifecycle.join(c, "channel_key").join(r, "route_key", "left")

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyfold.session import checkpoint_dir
+
 
 def prefix_sum(df: DataFrame, keys: list[str], order: list[str], value: str | list[str], bucket: Column,
                out: str | list[str]) -> DataFrame:
@@ -59,8 +61,12 @@ def number_rows(df: DataFrame, keys: list[str], order: list[str], out: str) -> D
     """``row_number()`` over (keys order by ``order``), 1-based, without
     giving a key to one task: range-partition by (keys, order), then a row's
     number is the rows of its key in earlier partitions plus its rank inside
-    its own partition (``prefix_sum`` with the partition id as bucket)."""
+    its own partition (``prefix_sum`` with the partition id as bucket).
+
+    The ranged frame is checkpointed: range boundaries are sampled anew by
+    each evaluation, and both sides of ``prefix_sum`` must see the same ones."""
+    checkpoint_dir(df.sparkSession)
     ranged = (df.repartitionByRange(*keys, *order)
-              .withColumn("_nr_pid", F.spark_partition_id()).withColumn("_nr_one", F.lit(1)))
+              .withColumn("_nr_pid", F.spark_partition_id()).withColumn("_nr_one", F.lit(1)).checkpoint())
     numbered = prefix_sum(ranged, keys, order, "_nr_one", F.col("_nr_pid"), "_nr_before")
     return numbered.withColumn(out, (F.col("_nr_before") + 1).cast("int")).drop("_nr_pid", "_nr_one", "_nr_before")

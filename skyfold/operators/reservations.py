@@ -11,12 +11,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyfold.functions import exprs as X
 from skyfold.operators import search as S
-from skyfold.operators.ranking import prefix_sum, prior_value  # noqa: F401  (re-exported)
+from skyfold.operators.ranking import prefix_sum, prior_value
 from skyfold.session import checkpoint_dir
 
 # Legal moves of a reservation (code of the reference: B2B also starts HELD).
@@ -74,9 +74,9 @@ def transition_audit(reservation_event: DataFrame) -> DataFrame:
 
 
 # F7 / O4
-def expired_holds(reservation: DataFrame, as_of: str, limit: int | None = 500) -> DataFrame:
-    """HELD reservations whose hold expired before as_of, oldest first; the
-    reference's batch of at most ``limit`` (None = all)."""
+def expired_holds(reservation: DataFrame, as_of: str, limit: int | None = None) -> DataFrame:
+    """HELD reservations whose hold expired before as_of: all of them, or the
+    oldest ``limit`` (a worker's batch)."""
     r = reservation.where((F.col("status") == "HELD")
                           & (F.col("hold_expires_at") < F.lit(as_of).cast("timestamp")))
     if limit is None:
@@ -119,7 +119,7 @@ def quote_segments(requests: DataFrame, avail: DataFrame, fare: DataFrame, fare_
     q_any = (r.where(F.col("fare_class_code").isNull()).drop("fare_class_code")
              .join(any_cls.select(*k, "fare_class_code", *f_cols), k, "left"))
     q = q_cls.unionByName(q_any)
-    ag = F.broadcast(agency.select("agency_id", "net_fare_discount_pct"))
+    ag = agency.select("agency_id", "net_fare_discount_pct")
     q = q.join(ag, "agency_id", "left")
     net = X.net_fare("base_amount", "net_fare_discount_pct")
     _, tax = X.tax_split(net, "tax_pct")
@@ -138,8 +138,7 @@ def reservation_total(quotes: DataFrame, seats: DataFrame) -> DataFrame:
 
 
 # E1
-def seat_admission(requests: DataFrame, remaining: DataFrame, max_rounds: int = 64,
-                   bucket: Column | None = None) -> DataFrame:
+def seat_admission(requests: DataFrame, remaining: DataFrame, bucket: Column | None = None) -> DataFrame:
     """All-or-nothing admission in arrival order, computed in exact parallel
     rounds. ``requests``: request_id, requested_at, flight_instance_id,
     cabin_code, demand (one row per leg). ``remaining``: flight_instance_id,
@@ -149,8 +148,9 @@ def seat_admission(requests: DataFrame, remaining: DataFrame, max_rounds: int =
     lower = demand already accepted before me, upper = lower + demand still
     undecided before me. A request is accepted when upper + d <= remaining on
     all its legs, refused when lower + d > remaining on any, else it waits.
-    The earliest undecided request always decides, so rounds end; accepted
-    sets equal a sequential loop. Each round is checkpointed."""
+    The earliest undecided request always decides, so every round decides at
+    least one and the loop runs until none is left; accepted sets equal a
+    sequential loop. Each round is checkpointed."""
     checkpoint_dir(requests.sparkSession)
     bucket = bucket if bucket is not None else F.to_date("requested_at")
     key = ["flight_instance_id", "cabin_code"]
@@ -161,7 +161,9 @@ def seat_admission(requests: DataFrame, remaining: DataFrame, max_rounds: int =
             .withColumn("decided_round", F.lit(None).cast("int")))
     order = ["requested_at", "request_id"]
     settled: list[DataFrame] = []
-    for rnd in range(1, max_rounds + 1):
+    rnd, waiting = 0, None
+    while True:
+        rnd += 1
         acc = legs.withColumn("_acc", F.when(F.col("state") == "A", F.col("demand")).otherwise(0)) \
                   .withColumn("_und", F.when(F.col("state") == "U", F.col("demand")).otherwise(0))
         acc = prefix_sum(acc, key, order, ["_acc", "_und"], bucket, ["lower", "_und_before"])
@@ -183,8 +185,12 @@ def seat_admission(requests: DataFrame, remaining: DataFrame, max_rounds: int =
         marked = decided.join(open_keys, key).select(*cols, "_open").checkpoint()
         settled.append(marked.where(~F.col("_open")).select(*cols))
         legs = marked.where(F.col("_open")).select(*cols)
-        if legs.limit(1).count() == 0:
+        undecided = legs.where(F.col("state") == "U").select("request_id").distinct().count()
+        if not undecided:
             break
+        if undecided == waiting:
+            raise RuntimeError(f"seat admission: round {rnd} decided none of {undecided} requests")
+        waiting = undecided
     out = reduce(DataFrame.unionByName, settled + [legs])
     return (out.groupBy("request_id", "requested_at")
             .agg(F.first("state").alias("state"), F.max("decided_round").alias("decided_round"),
@@ -219,7 +225,7 @@ def issue_tickets(reservation: DataFrame, segment: DataFrame, itinerary: DataFra
          .select("segment_id", "itinerary_id", "quoted_fare_id", "quoted_fare_amount", "quoted_tax_amount")
          .join(itinerary.select("itinerary_id", "reservation_id"), "itinerary_id"))
     pax = reservation_passenger.where(F.col("passenger_type") != "INF").select("reservation_id", "passenger_ref")
-    ag = F.broadcast(agency.select("agency_id", "commission_pct"))
+    ag = agency.select("agency_id", "commission_pct")
     j = s.join(r, "reservation_id").join(pax, "reservation_id").join(ag, "agency_id", "left")
     return j.select(
         X.ticket_number("pnr", "segment_id", "passenger_ref").alias("ticket_number"),
@@ -230,33 +236,42 @@ def issue_tickets(reservation: DataFrame, segment: DataFrame, itinerary: DataFra
 
 
 # E4
+def cancelled_itineraries(requests: DataFrame, reservation: DataFrame, itinerary: DataFrame) -> DataFrame:
+    """One row per itinerary of a HELD or CONFIRMED reservation that has a request: whether a request
+    (itinerary_id NULL: the whole reservation) hits it while it is ACTIVE. Several requests of one
+    reservation count together."""
+    req = requests.groupBy("reservation_id").agg(F.max(F.col("itinerary_id").isNull()).alias("_whole"))
+    one = requests.where("itinerary_id IS NOT NULL").select("reservation_id", "itinerary_id").distinct().withColumn("_named", F.lit(True))
+    live = reservation.where(F.col("status").isin("HELD", "CONFIRMED")).select("reservation_id", "status", "agency_id", "total_amount")
+    it = itinerary.select("reservation_id", "itinerary_id", (F.col("status") == "ACTIVE").alias("_active"))
+    hit = F.col("_active") & (F.col("_whole") | F.coalesce("_named", F.lit(False)))
+    return (live.join(req, "reservation_id").join(it, "reservation_id").join(one, ["reservation_id", "itinerary_id"], "left")
+            .select("reservation_id", "itinerary_id", "status", "agency_id", "total_amount", "_active", hit.alias("hit")))
+
+
+def cancelled_segments(hits: DataFrame, segment: DataFrame) -> DataFrame:
+    """Row-level effect: the ACTIVE segments that become CANCELLED, with the reservation's prior status."""
+    return (segment.where(F.col("status") == "ACTIVE").select("itinerary_id", "segment_id", "flight_instance_id", "cabin_code")
+            .join(hits.where("hit").select("itinerary_id", "reservation_id", F.col("status").alias("prior_status")), "itinerary_id"))
+
+
 def apply_cancellations(requests: DataFrame, reservation: DataFrame, itinerary: DataFrame,
                         segment: DataFrame, seats: DataFrame) -> DataFrame:
-    """Cancel a whole reservation (itinerary_id NULL) or one itinerary.
-    Its ACTIVE segments, itineraries and tickets become CANCELLED; the
+    """Cancel whole reservations (itinerary_id NULL) or single itineraries.
+    ACTIVE segments and itineraries that are hit become CANCELLED; the
     reservation only when no ACTIVE itinerary remains; reservations already
     CANCELLED or EXPIRED are unchanged. Seats released go back to sold or
     held by the reservation's prior status."""
-    req = requests.select("reservation_id", "itinerary_id").distinct()
-    r = reservation.select("reservation_id", "status", "agency_id", "total_amount")
-    live = req.join(r, "reservation_id").where(F.col("status").isin("HELD", "CONFIRMED"))
-    it = itinerary.select(F.col("itinerary_id").alias("it_id"), "reservation_id", F.col("status").alias("it_status"))
-    target = (live.join(it, "reservation_id")
-              .withColumn("hit", F.col("itinerary_id").isNull() | (F.col("itinerary_id") == F.col("it_id"))))
-    per_res = (target.groupBy("reservation_id", "status", "agency_id", "total_amount")
-               .agg(F.max(F.col("hit") & (F.col("it_status") == "ACTIVE")).alias("_any_cut"),
-                    F.max(~F.col("hit") & (F.col("it_status") == "ACTIVE")).alias("still_active")))
-    seg = (segment.where(F.col("status") == "ACTIVE")
-           .select("itinerary_id", "segment_id", "flight_instance_id", "cabin_code")
-           .join(target.where("hit").select(F.col("it_id").alias("itinerary_id"), "reservation_id").distinct(),
-                 "itinerary_id")
-           .join(seats, "reservation_id"))
-    released = seg.groupBy("reservation_id").agg(F.count(F.lit(1)).alias("segments_cancelled"),
-                                                 F.sum("seats").alias("seats_released"))
+    hits = cancelled_itineraries(requests, reservation, itinerary)
+    per_res = (hits.groupBy("reservation_id", "status", "agency_id", "total_amount")
+               .agg(F.max(F.col("_active") & ~F.col("hit")).alias("still_active"),
+                    F.count(F.when(F.col("hit"), 1)).alias("itineraries_cancelled")))
+    released = (cancelled_segments(hits, segment).join(seats, "reservation_id").groupBy("reservation_id")
+                .agg(F.count(F.lit(1)).alias("segments_cancelled"), F.sum("seats").alias("seats_released")))
     out = per_res.join(released, "reservation_id", "left")
-    new_status = F.when(F.coalesce("still_active", F.lit(False)), F.col("status")).otherwise(F.lit("CANCELLED"))
+    new_status = F.when(F.col("still_active"), F.col("status")).otherwise(F.lit("CANCELLED"))
     return out.select(
-        "reservation_id", F.col("status").alias("previous_status"), new_status.alias("new_status"),
+        "reservation_id", F.col("status").alias("previous_status"), new_status.alias("new_status"), "itineraries_cancelled",
         F.coalesce("segments_cancelled", F.lit(0)).alias("segments_cancelled"),
         F.coalesce("seats_released", F.lit(0)).alias("seats_released"),
         F.when(F.col("status") == "CONFIRMED", F.lit("seats_sold")).otherwise(F.lit("seats_held")).alias("released_from"),
@@ -264,15 +279,13 @@ def apply_cancellations(requests: DataFrame, reservation: DataFrame, itinerary:
          .alias("credit_returned"))
 
 
-def release_seats(segment: DataFrame, itinerary: DataFrame, cancellations: DataFrame, seats: DataFrame) -> DataFrame:
-    """Seats released per (flight, cabin), split by counter (sold / held)."""
-    s = (segment.where(F.col("status") == "ACTIVE").select("itinerary_id", "flight_instance_id", "cabin_code")
-         .join(itinerary.select("itinerary_id", "reservation_id"), "itinerary_id"))
-    c = cancellations.select("reservation_id", "released_from")
-    j = s.join(c, "reservation_id").join(seats, "reservation_id")
-    return (j.groupBy("flight_instance_id", "cabin_code")
-            .agg(F.sum(F.when(F.col("released_from") == "seats_sold", F.col("seats")).otherwise(0)).alias("sold_released"),
-                 F.sum(F.when(F.col("released_from") == "seats_held", F.col("seats")).otherwise(0)).alias("held_released")))
+def release_seats(requests: DataFrame, reservation: DataFrame, itinerary: DataFrame, segment: DataFrame,
+                  seats: DataFrame) -> DataFrame:
+    """Inventory effect of the same requests: seats released per (flight, cabin), by counter (sold / held)."""
+    cut = cancelled_segments(cancelled_itineraries(requests, reservation, itinerary), segment).join(seats, "reservation_id")
+    return (cut.groupBy("flight_instance_id", "cabin_code")
+            .agg(F.sum(F.when(F.col("prior_status") == "CONFIRMED", F.col("seats")).otherwise(0)).alias("sold_released"),
+                 F.sum(F.when(F.col("prior_status") == "HELD", F.col("seats")).otherwise(0)).alias("held_released")))
 
 
 # E6
@@ -327,7 +340,7 @@ def agency_credit_ledger(reservation: DataFrame, agency: DataFrame, release_on_e
     entries = debit.unionByName(credit)
     led = prefix_sum(entries, ["agency_id"], ["entry_at", "kind", "reservation_id"], "amount", F.to_date("entry_at"),
                      "_before")
-    ag = F.broadcast(agency.select("agency_id", "credit_limit"))
+    ag = agency.select("agency_id", "credit_limit")
     return (led.join(ag, "agency_id")
             .withColumn("credit_used", (F.col("_before") + F.col("amount")).cast(X.MONEY_TOTAL))
             .withColumn("is_breach", F.col("credit_used") > F.col("credit_limit"))
@@ -340,7 +353,7 @@ def expire_holds(reservation: DataFrame, segment: DataFrame, itinerary: DataFram
     """All expired holds -> EXPIRED; their seats leave seats_held (clamped
     at 0). Segments stay ACTIVE and agency credit is not returned (as the
     reference). Returns the updated inventory rows."""
-    exp = expired_holds(reservation, as_of, limit=None).select("reservation_id")
+    exp = expired_holds(reservation, as_of).select("reservation_id")
     dem = seat_demand(segment, itinerary, seats).join(exp, "reservation_id")
     rel = dem.groupBy("flight_instance_id", "cabin_code").agg(F.sum("demand").alias("held_released"))
     j = inventory.join(rel, ["flight_instance_id", "cabin_code"])
@@ -407,56 +420,67 @@ def reservation_document(reservation: DataFrame, reservation_passenger: DataFram
 
 
 # P22
-def pnr_assign(reservation: DataFrame, max_rounds: int = 8) -> DataFrame:
-    """Six characters of the PNR alphabet from a hash of the reservation
-    key (not sequential, so PNRs cannot be enumerated); reservations whose
-    PNR collides are re-hashed with the next salt until all are unique."""
-    def code(salt: int) -> Column:
-        h = F.abs(F.xxhash64(F.col("reservation_id"), F.lit(salt))) % (32 ** X.PNR_LENGTH)
-        return X.pnr_from_number(h)
-
-    cur = reservation.select("reservation_id", code(0).alias("pnr"), F.lit(0).alias("salt"))
-    for salt in range(1, max_rounds + 1):
-        w = Window.partitionBy("pnr").orderBy("reservation_id")
-        cur = cur.withColumn("_rank", F.row_number().over(w))
-        dup = F.col("_rank") > 1
-        cur = (cur.withColumn("pnr", F.when(dup, code(salt)).otherwise(F.col("pnr")))
-                  .withColumn("salt", F.when(dup, F.lit(salt)).otherwise(F.col("salt"))).drop("_rank"))
-    return cur
+def pnr_code(reservation_id: Column, salt: int) -> Column:
+    """Six characters of the PNR alphabet from an MD5 of the key and a salt (not sequential, so PNRs
+    cannot be enumerated)."""
+    digest = F.md5(F.concat_ws(":", reservation_id.cast("string"), F.lit(str(salt))).cast("binary"))
+    number = F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+    return X.pnr_from_number(F.pmod(number, F.lit(32 ** X.PNR_LENGTH)))
+
+
+def pnr_assign(reservation: DataFrame) -> DataFrame:
+    """A unique PNR per reservation. In round ``salt`` every reservation without a code draws one; the
+    least id of those that drew a free code keeps it, settled codes never change hands, and the others
+    go on. Rounds end when all are settled; more reservations than codes are an error."""
+    spark = reservation.sparkSession
+    checkpoint_dir(spark)
+    waiting = reservation.select("reservation_id").distinct().checkpoint()
+    left = waiting.count()
+    if left > 32 ** X.PNR_LENGTH:
+        raise ValueError(f"{left} reservations exceed the {32 ** X.PNR_LENGTH} codes")
+    settled = None
+    salt = 0
+    while left:
+        drawn = waiting.withColumn("pnr", pnr_code(F.col("reservation_id"), salt))
+        if settled is not None:
+            drawn = drawn.join(settled.select("pnr"), "pnr", "left_anti")
+        won = drawn.groupBy("pnr").agg(F.min("reservation_id").alias("reservation_id")) \
+                   .select("reservation_id", "pnr", F.lit(salt).alias("salt")).checkpoint()
+        settled = won if settled is None else settled.unionByName(won)
+        waiting = waiting.join(won.select("reservation_id"), "reservation_id", "left_anti").checkpoint()
+        left, salt = waiting.count(), salt + 1
+    return settled if settled is not None else waiting.select("reservation_id", F.lit("").alias("pnr"), F.lit(0).alias("salt"))
 
 
 # A13
-def request_latency_summary(log: DataFrame, group: list[str], tiebreak: str | None = None) -> DataFrame:
+def request_latency_summary(log: DataFrame, group: list[str], width: float = 16.0) -> DataFrame:
     """Per group: created / rejected / error counts, median (linear
     interpolation, like an exact percentile), p95 as element
     min(int(n × 0.95), n − 1) of the sorted latencies (0-based), max.
     ``log``: group columns, outcome, latency_ms.
 
-    Exact positions without sorting a whole group in one task: the log is
-    range-partitioned by (group, latency), so a row's position is the rows of
-    its group in earlier partitions plus its rank inside its partition — a
-    ``prefix_sum`` with the partition id as bucket."""
-    order = ["latency_ms"] + ([tiebreak] if tiebreak else [])
-    ranged = (log.repartitionByRange(*group, *order)
-              .withColumn("_pid", F.spark_partition_id()).withColumn("_one", F.lit(1)))
-    idx = prefix_sum(ranged, group, order, "_one", F.col("_pid"), "_idx")
-    n = log.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))   # one row per group
-    j = idx.join(n, group)
-    pos = (F.col("_n") - 1) * F.lit(0.5)
-    lo, hi = F.floor(pos), F.ceil(pos)
-    p95 = F.least(F.floor(F.col("_n") * F.lit(0.95)), F.col("_n") - 1)
-    j = (j.withColumn("_pos", pos).withColumn("_lo", lo).withColumn("_hi", hi)
-         .withColumn("_is_p95", F.col("_idx") == p95))
-    agg = (j.groupBy(*group)
-           .agg(F.count(F.when(F.col("outcome") == "created", 1)).alias("created"),
-                F.count(F.when(F.col("outcome") == "rejected", 1)).alias("rejected"),
-                F.count(F.when(F.col("outcome") == "error", 1)).alias("errors"),
-                F.count(F.lit(1)).alias("requests"),
-                F.max(F.when(F.col("_idx") == F.col("_lo"), F.col("latency_ms"))).alias("_vlo"),
-                F.max(F.when(F.col("_idx") == F.col("_hi"), F.col("latency_ms"))).alias("_vhi"),
-                F.first("_pos").alias("_pos"), F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"),
-                F.max(F.when(F.col("_is_p95"), F.col("latency_ms"))).alias("p95_ms"),
-                F.max("latency_ms").alias("max_ms")))
-    median = (F.when(F.col("_lo") == F.col("_hi"), F.col("_vlo"))
-              .otherwise((F.col("_hi") - F.col("_pos")) * F.col("_vlo") + (F.col("_pos") - F.col("_lo")) * F.col("_vhi")))
-    return agg.select(*group, "created", "rejected", "errors", "requests", median.alias("p50_ms"), "p95_ms", "max_ms")
+    The log is first counted per (group, latency). Positions are running sums
+    of those counts in buckets of ``width`` ms — boundaries fixed by value, so
+    they do not depend on how Spark deals the rows — and no group is sorted in
+    one task. Rows without a latency count, but have no position."""
+    counts = log.where(F.col("latency_ms").isNotNull()).groupBy(*group, "latency_ms").agg(F.count(F.lit(1)).alias("_c"))
+    first = prefix_sum(counts, group, ["latency_ms"], "_c", F.floor(F.col("latency_ms") / width), "_first")
+    total = log.groupBy(*group).agg(
+        F.count(F.when(F.col("outcome") == "created", 1)).alias("created"),
+        F.count(F.when(F.col("outcome") == "rejected", 1)).alias("rejected"),
+        F.count(F.when(F.col("outcome") == "error", 1)).alias("errors"),
+        F.count(F.lit(1)).alias("requests"), F.count("latency_ms").alias("_n"), F.max("latency_ms").alias("max_ms"))
+    middle = (F.col("_n") - 1) / F.lit(2.0)
+    j = first.join(total.select(*group, "_n"), group)
+
+    def at(position: Column) -> Column:
+        inside = (position >= F.col("_first")) & (position < F.col("_first") + F.col("_c"))
+        return F.max(F.when(inside, F.col("latency_ms")))
+
+    values = j.groupBy(*group).agg(
+        at(F.floor(middle)).alias("_lo"), at(F.ceil(middle)).alias("_hi"),
+        at(F.least(F.floor(F.col("_n") * F.lit(0.95)), F.col("_n") - 1)).alias("p95_ms"))
+    part = middle - F.floor(middle)
+    return total.join(values, group, "left").select(
+        *group, "created", "rejected", "errors", "requests",
+        (F.col("_lo") * (1 - part) + F.col("_hi") * part).alias("p50_ms"), "p95_ms", "max_ms")

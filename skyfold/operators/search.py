@@ -67,7 +67,7 @@ def fare_ladder(fare: DataFrame, fare_class: DataFrame, fare_rule: DataFrame,
     cheapest fare among fares needing at most that many advance days;
     ``next_adv`` is the next step (NULL for the last)."""
     fc = fare_class.select("fare_class_code", "cabin_code")
-    fr = F.broadcast(fare_rule.select("fare_rule_id", "min_advance_days"))
+    fr = fare_rule.select("fare_rule_id", "min_advance_days")
     f = fare.join(fc, "fare_class_code").join(fr, "fare_rule_id")
     f = f.where(X.optional_filter("fare_class_code", fare_class_code))
     key = ["route_id", "cabin_code", "currency", "valid_from", "valid_to"] + (["_class"] if by_class else [])

@@ -16,6 +16,8 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyfold.operators.dims import dim_channel, extend_channels
+from skyfold.operators.facts import change_time
 from skyfold.plans.star import Star
 from skyfold.session import configure, work_dir
 from skyfold.sources import sinks
@@ -36,7 +38,7 @@ MUTABLE = {
                                                          "was_cancelled", "expired_without_payment", "event_count",
                                                          "loaded_at"]),
 }
-INSERT_ONLY = {"dim_date": ["date_key"], "dim_channel": ["channel", "agency_name"]}
+INSERT_ONLY = {"dim_date": ["date_key"]}
 # Facts are stored partitioned by month of their date key, so date-bounded
 # reads (marts by month, occupancy windows) prune whole folders.
 FACT_PARTITION = {"fact_ticket_sale": ("issue_month", "issue_date_key"),
@@ -64,6 +66,23 @@ def run_etl(spark: SparkSession, source_dir: str, out_dir: str | None = None, as
     running = sinks.run_log_entry(spark, run_id, started, None, "RUNNING", {})
     sinks.write_version(running if prev_log is None else prev_log.unionByName(running), log_path)
 
+    try:
+        counts = _load(spark, source_dir, out, run_id, started, as_of, full_refresh, lookback_minutes)
+    except Exception:
+        _finish(spark, log_path, run_id, started, "FAILED", {})
+        raise
+    _finish(spark, log_path, run_id, started, "SUCCESS", counts)
+    return counts
+
+
+def _finish(spark: SparkSession, log_path: str, run_id: int, started: str, status: str, counts: dict[str, int]) -> None:
+    """Replaces the run's RUNNING entry."""
+    done = sinks.run_log_entry(spark, run_id, started, _now(), status, counts)
+    sinks.write_version(sinks.read_current(spark, log_path).where(F.col("run_id") != run_id).unionByName(done), log_path)
+
+
+def _load(spark: SparkSession, source_dir: str, out: str, run_id: int, started: str, as_of: str, full_refresh: bool,
+          lookback_minutes: int) -> dict[str, int]:
     model = FlightModel(spark, source_dir).snapshot(f"{out}/_snapshot/run={run_id}", FlightModel.STAR_SNAPSHOT)
     wm_path = f"{out}/etl_watermark"
     wm_df = sinks.read_current(spark, wm_path)
@@ -73,10 +92,14 @@ def run_etl(spark: SparkSession, source_dir: str, out_dir: str | None = None, as
             F.date_format("last_loaded_at", "yyyy-MM-dd HH:mm:ss")).first()
         old_wm = row[0] if row else None
     bound = sinks.extract_bound(old_wm, lookback_minutes, full_refresh)
-    star = Star(model, as_of=as_of, watermark=bound, change_mode="strict")
+    counts: dict[str, int] = {}
+    # channels first: facts take their keys from the stored dimension
+    channel_path = f"{out}/dim_channel"
+    channels = extend_channels(sinks.read_current(spark, channel_path), dim_channel(model.reservation, model.agency))
+    _, counts["dim_channel"] = sinks.write_version_counted(channels, channel_path)
+    star = Star(model, as_of=as_of, watermark=bound, change_mode="latest", channels=sinks.read_current(spark, channel_path))
     loaded_at = F.lit(started).cast("timestamp")
 
-    counts: dict[str, int] = {}
     for name, keys in INSERT_ONLY.items():
         path = f"{out}/{name}"
         merged = sinks.insert_if_absent(sinks.read_current(spark, path), getattr(star, name), keys)
@@ -94,7 +117,8 @@ def run_etl(spark: SparkSession, source_dir: str, out_dir: str | None = None, as
         _with_month(extract.drop("issued_at"), "fact_ticket_sale"), f"{out}/fact_ticket_sale", keys, mutable,
         FACT_PARTITION["fact_ticket_sale"][0], materialized=True)     # the extract is a written copy
     if read_rows:
-        new_wm = sinks.watermark_advance(extract, "issued_at", "fact_ticket_sale", old_wm)
+        changed = model.ticket.select(change_time(model.ticket, "latest").alias("changed_at")).where(F.col("changed_at") > F.lit(bound).cast("timestamp"))
+        new_wm = sinks.watermark_advance(changed, "changed_at", "fact_ticket_sale", old_wm)
         old_rows = wm_df.where(F.col("table_name") != "fact_ticket_sale") if wm_df is not None else None
         sinks.write_version(new_wm if old_rows is None else old_rows.unionByName(new_wm), wm_path)
 
@@ -103,15 +127,12 @@ def run_etl(spark: SparkSession, source_dir: str, out_dir: str | None = None, as
         fact = _with_month(getattr(star, name).withColumn("loaded_at", loaded_at), name)
         _, counts[name] = sinks.upsert_partitions(fact, f"{out}/{name}", keys, mutable, FACT_PARTITION[name][0])
 
-    done = sinks.run_log_entry(spark, run_id, started, _now(), "SUCCESS", counts)
-    log = sinks.read_current(spark, log_path).where(F.col("run_id") != run_id).unionByName(done)
-    sinks.write_version(log, log_path)
     return counts
 
 
 def read_star(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
     out = {}
-    for n in list(INSERT_ONLY) + list(MUTABLE):
+    for n in [*INSERT_ONLY, "dim_channel", *MUTABLE]:
         if n in FACT_PARTITION:
             out[n] = sinks.read_current_partitioned(spark, f"{out_dir}/{n}", FACT_PARTITION[n][0])
         else:

@@ -23,8 +23,8 @@ def q_refund_due(spark, sf_dir):
     return XT.refund_due(m.ticket, m.fare, m.fare_rule)
 
 
-@register("anonymise_passengers", "passenger_id:i first_name:s last_name:s document_number:s email:s "
-                                  "last_travel:D is_anonymised:b")
+@register("anonymise_passengers", "passenger_id:n first_name:s last_name:s birth_date:D document_type:s "
+                                  "document_number:s email:s phone:s last_travel:D is_anonymised:b")
 def q_anonymise_passengers(spark, sf_dir):
     m = FlightModel.shared(spark, sf_dir)
     return XT.anonymise_passengers(m.passenger, m.reservation_passenger, m.itinerary_segment, m.itinerary,

@@ -39,8 +39,7 @@ def q_transition_audit(spark, sf_dir):
 
 @register("expired_holds", "reservation_id:i pnr:s hold_expires_at:t")
 def q_expired_holds(spark, sf_dir):
-    """The reference's expiry batch: the 500 oldest expired holds."""
-    return R.expired_holds(FlightModel.shared(spark, sf_dir).reservation, NOW, 500)
+    return R.expired_holds(FlightModel.shared(spark, sf_dir).reservation, NOW)
 
 
 @register("seat_demand", "reservation_id:i flight_instance_id:i cabin_code:s demand:i")
@@ -93,12 +92,15 @@ def q_issue_tickets(spark, sf_dir):
 
 
 def _cancel_requests(m: FlightModel):
-    """Whole-reservation cancellations: reservations whose log has a cancel event."""
+    """Reservations whose log has a cancel event ask for the whole reservation; of those divisible by 3
+    each single itinerary with an odd number is asked for instead, by a request of its own."""
     ev = m.reservation_event.where(F.col("to_status") == "CANCELLED").select("reservation_id").distinct()
-    return ev.withColumn("itinerary_id", F.lit(None).cast("bigint"))
+    whole = ev.where("reservation_id % 3 != 0").withColumn("itinerary_id", F.lit(None).cast("bigint"))
+    it = m.itinerary.where("sequence_no % 2 = 1").select("reservation_id", "itinerary_id")
+    return whole.unionByName(ev.where("reservation_id % 3 = 0").join(it, "reservation_id"))
 
 
-@register("apply_cancellations", "reservation_id:i previous_status:s new_status:s segments_cancelled:i "
+@register("apply_cancellations", "reservation_id:i previous_status:s new_status:s itineraries_cancelled:i segments_cancelled:i "
                                  "seats_released:i released_from:s credit_returned:d")
 def q_apply_cancellations(spark, sf_dir):
     m = FlightModel.shared(spark, sf_dir)

@@ -4,34 +4,31 @@ three marts over one operational model. Nothing is executed here; sinks
 
 from __future__ import annotations
 
+import datetime as _dt
 from functools import cached_property
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from skyfold.operators import dims, facts, marts
-from skyfold.sources.fixtures import DEFAULT_AS_OF, FlightModel
+from skyfold.sources.fixtures import CALENDAR, DEFAULT_AS_OF, FlightModel
 
 
 class Star:
     def __init__(self, model: FlightModel, as_of: str = DEFAULT_AS_OF,
-                 watermark: str | None = None, change_mode: str = "latest", channels: DataFrame | None = None):
+                 watermark: str | None = None, change_mode: str = "latest", channels: DataFrame | None = None,
+                 calendar: tuple[str, str] = CALENDAR):
         self.m = model
         self._channels = channels
+        self.calendar = calendar
         self.as_of = as_of
         self.watermark = watermark
         self.change_mode = change_mode
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        """Calendar covering the data: first day of the first order year to
-        the last day of the last ship year (a one-row aggregate, then explode)."""
-        days = (self.m._src("orders").select(F.col("o_orderdate").alias("d"))
-                .unionByName(self.m._src("lineitem").select(F.col("l_shipdate").alias("d"))))
-        bounds = (days.agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
-                  .select(F.make_date(F.year("lo"), F.lit(1), F.lit(1)).alias("lo"),
-                          F.make_date(F.year("hi"), F.lit(12), F.lit(31)).alias("hi")))
-        return dims.dim_date_between(bounds)
+        """Calendar of the given bounds; no scan of the data."""
+        first, last = (_dt.date.fromisoformat(d) for d in self.calendar)
+        return dims.dim_date(self.m.spark, first.isoformat(), (last - first).days + 1)
 
     @cached_property
     def dim_route(self) -> DataFrame:

@@ -49,6 +49,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return conf_dir
     if current.isDefined():
         return current.get()
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="skyfold-ckpt-")
     sc.setCheckpointDir(local)
     return local

@@ -37,6 +37,8 @@ AIRCRAFT_MODELS = [("AT72", "ATR", "ATR 72-600"), ("A320", "Airbus", "A320-200")
 # seat map id -> (model, ECO capacity, BUS capacity) for the test tables
 SEAT_MAP_CAPACITY = {1: ("AT72", 68, 90), 2: ("A320", 150, 90), 3: ("A20N", 162, 90)}
 BUSINESS_PART_TYPES = ("PROMO", "LARGE")
+CALENDAR = ("1992-01-01", "1998-12-31")      # the years of the supplied orders and shipments
+LINES_PER_ORDER = 1_000_000      # ticket ids: order and line, with room for very large orders
 CURRENCY = "COP"
 FARE_VALID_FROM = "1995-01-01"
 FARE_VALID_TO = "2001-12-31"
@@ -246,7 +248,7 @@ class FlightModel:
     def fare(self) -> DataFrame:
         p = self._src("part")
         return p.select(
-            p.p_partkey.cast("int").alias("fare_id"),
+            p.p_partkey.cast("bigint").alias("fare_id"),
             (p.p_partkey % 625).cast("int").alias("route_id"),
             self._class_of(p.p_brand, self._cabin_of(p.p_type)).alias("fare_class_code"),
             p.p_size.cast("int").alias("fare_rule_id"),
@@ -291,7 +293,7 @@ class FlightModel:
     def reservation(self) -> DataFrame:
         o = self._orders
         ag = self.agency.select("agency_id", F.col("legal_name").alias("_seg"))
-        r = o.join(F.broadcast(ag), (o.c_mktsegment == ag._seg) & (o.channel == "B2B"), "left")
+        r = o.join(ag, (o.c_mktsegment == ag._seg) & (o.channel == "B2B"), "left")
         return r.select(
             F.col("o_orderkey").alias("reservation_id"),
             X.pnr_from_number(F.col("o_orderkey")).alias("pnr"),
@@ -345,11 +347,11 @@ class FlightModel:
              .join(pp, numbered.l_partkey == pp.p_partkey))
         cabin = self._cabin_of(F.col("p_type"))
         return j.select(
-            (F.col("l_orderkey") * 100 + F.col("line_seq")).alias("ticket_id"),
+            (F.col("l_orderkey") * LINES_PER_ORDER + F.col("line_seq")).alias("ticket_id"),
             F.col("l_orderkey").alias("reservation_id"), "line_seq", "l_linenumber",
             (F.col("l_suppkey") * 1000 + month_index(F.col("l_shipdate"))).cast("bigint").alias("flight_instance_id"),
             cabin.alias("cabin_code"), self._class_of(F.col("p_brand"), cabin).alias("fare_class_code"),
-            F.col("l_partkey").cast("int").alias("fare_id"),
+            F.col("l_partkey").cast("bigint").alias("fare_id"),
             X.money_from_double(F.col("l_extendedprice")).alias("fare_amount"),
             X.money_from_double(F.col("l_extendedprice") * F.col("l_tax")).alias("tax_amount"),
             X.money_from_double(F.col("l_extendedprice") * F.col("l_discount")).alias("discount_amount"),

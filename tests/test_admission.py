@@ -3,6 +3,8 @@
 import random
 
 
+from pyspark.sql import functions as F
+
 from skyfold.operators.reservations import seat_admission, seat_admission_sequential
 
 SCHEMA = "request_id long, requested_at timestamp, flight_instance_id long, cabin_code string, demand int"
@@ -48,3 +50,17 @@ def test_equals_sequential_on_random_inputs(spark):
         [dict(request_id=r[0], requested_at=r[1], flight_instance_id=r[2], cabin_code=r[3], demand=r[4]) for r in reqs],
         remaining)
     assert got == want
+
+
+def test_a_chain_of_two_leg_requests_equals_the_loop(spark):
+    """Each request waits for the one before it: as many rounds as requests, and no cap on them."""
+    legs, left = [], {(0, "ECO"): 1}
+    for i in range(40):
+        left[i + 1, "ECO"] = 1
+        for f in (i, i + 1):
+            legs.append({"request_id": i, "requested_at": f"2024-01-01 00:00:{i:02d}", "flight_instance_id": f, "cabin_code": "ECO", "demand": 1})
+    want = seat_admission_sequential(legs, left)
+    rq = spark.createDataFrame([tuple(x.values()) for x in legs], "request_id int, requested_at string, flight_instance_id int, cabin_code string, demand int") \
+              .withColumn("requested_at", F.col("requested_at").cast("timestamp"))
+    rem = spark.createDataFrame([(f, c, n) for (f, c), n in left.items()], "flight_instance_id int, cabin_code string, remaining int")
+    assert {r.request_id: r.accepted for r in seat_admission(rq, rem).collect()} == want

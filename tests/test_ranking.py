@@ -36,3 +36,10 @@ def test_number_rows_equals_row_number(spark):
     got = number_rows(df, ["k"], ["v", "t"], "n")
     want = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("v", "t")))
     assert sorted(got.select("t", "n").collect()) == sorted(want.select("t", "n").collect())
+
+
+def test_number_rows_equals_row_number_on_many_rows(spark):
+    df = spark.range(0, 1_000_000, 1, 12).select((F.col("id") % 3).alias("k"), F.pmod(F.xxhash64("id"), F.lit(10**6)).alias("v"), "id")
+    got = number_rows(df, ["k"], ["v", "id"], "n")
+    want = df.withColumn("m", F.row_number().over(Window.partitionBy("k").orderBy("v", "id")))
+    assert got.join(want, "id").where("n != m").count() == 0

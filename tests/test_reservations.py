@@ -98,3 +98,45 @@ def test_credit_ledger_never_negative_and_flags_breach(spark):
     led = sorted(R.agency_credit_ledger(res, ag).collect(), key=lambda r: (r.entry_at, r.kind))
     assert [float(r.credit_used) for r in led] == [600.0, 1100.0, 600.0]
     assert [r.is_breach for r in led] == [False, True, False]
+
+
+def _two_itineraries(spark):
+    reservation = spark.createDataFrame([(1, "CONFIRMED", 5, 100), (2, "HELD", None, 50), (3, "CANCELLED", None, 9)],
+                                        "reservation_id long, status string, agency_id int, total_amount int")
+    itinerary = spark.createDataFrame([(10, 1, "ACTIVE"), (11, 1, "ACTIVE"), (20, 2, "ACTIVE"), (21, 2, "ACTIVE"), (30, 3, "ACTIVE")],
+                                      "itinerary_id long, reservation_id long, status string")
+    segment = spark.createDataFrame([(100, 10, 1, "ECO", "ACTIVE"), (101, 11, 2, "ECO", "ACTIVE"), (200, 20, 1, "ECO", "ACTIVE"), (201, 21, 3, "BUS", "ACTIVE")],
+                                    "segment_id long, itinerary_id long, flight_instance_id long, cabin_code string, status string")
+    seats = spark.createDataFrame([(1, 2), (2, 1)], "reservation_id long, seats int")
+    return reservation, itinerary, segment, seats
+
+
+def test_itineraries_cancelled_one_by_one(spark):
+    from skyfold.operators import reservations as R
+    tables = _two_itineraries(spark)
+    both = spark.createDataFrame([(1, 10), (1, 11), (2, 20), (3, None)], "reservation_id long, itinerary_id long")
+    got = {r.reservation_id: r for r in R.apply_cancellations(both, *tables).collect()}
+    assert set(got) == {1, 2}
+    assert (got[1].new_status, got[1].itineraries_cancelled, got[1].segments_cancelled, got[1].seats_released, got[1].credit_returned) == ("CANCELLED", 2, 2, 4, 100)
+    assert (got[2].new_status, got[2].itineraries_cancelled, got[2].segments_cancelled, got[2].credit_returned) == ("HELD", 1, 1, None)
+    rel = {(r.flight_instance_id, r.cabin_code): (r.sold_released, r.held_released) for r in R.release_seats(both, *tables).collect()}
+    assert rel == {(1, "ECO"): (2, 1), (2, "ECO"): (2, 0)}
+
+
+def test_pnr_collisions_move_on_and_settled_codes_stay(spark, monkeypatch):
+    from skyfold.operators import reservations as R
+    res = spark.range(20_000).withColumnRenamed("id", "reservation_id")
+    real = R.pnr_code
+    monkeypatch.setattr(R, "pnr_code", lambda c, salt: F.substring(real(c, salt), 1, 3))      # 32,768 codes
+    out = R.pnr_assign(res).collect()
+    assert len(out) == 20_000 and len({r.pnr for r in out}) == 20_000 and max(r.salt for r in out) > 3
+
+
+def test_latency_summary_equals_percentile_on_many_rows(spark):
+    from skyfold.operators import reservations as R
+    log = spark.range(0, 2_000_000, 1, 16).select(
+        (F.col("id") % 3).alias("g"), F.lit("created").alias("outcome"),
+        F.round(F.pow(F.pmod(F.xxhash64("id"), F.lit(100_000)) / 1000, F.lit(2.0)) - F.lit(500.0), 3).alias("latency_ms"))
+    got = {r.g: r.p50_ms for r in R.request_latency_summary(log, ["g"]).collect()}
+    want = {r.g: r.p for r in log.groupBy("g").agg(F.percentile("latency_ms", 0.5).alias("p")).collect()}
+    assert got == want
