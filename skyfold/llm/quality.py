@@ -214,8 +214,9 @@ class Model:
         def arrays(which: int, value: str) -> HashArrays:
             parts = []
             for k, pair in enumerate(orders, 1):
-                got = pair[which].select("lang", "gram", F.log(value).cast("float").alias("v")).toPandas()
-                parts.append((_slots(got["lang"].to_numpy(np.int64), got["gram"].to_numpy(np.int64).view(np.uint64), k), got["v"].to_numpy(np.float32)))
+                got = pair[which].select("lang", "gram", F.log(value).cast("float").alias("v")).toArrow()
+                lang, gram, v = (got.column(c).to_numpy() for c in ("lang", "gram", "v"))
+                parts.append((_slots(lang.astype(np.int64), gram.astype(np.int64).view(np.uint64), k), v.astype(np.float32)))
             return HashArrays(parts)
 
         self.p, self.weight = arrays(0, "p"), arrays(1, "weight")
