@@ -37,7 +37,7 @@ AIRCRAFT_MODELS = [("AT72", "ATR", "ATR 72-600"), ("A320", "Airbus", "A320-200")
 # seat map id -> (model, ECO capacity, BUS capacity) for the test tables
 SEAT_MAP_CAPACITY = {1: ("AT72", 68, 90), 2: ("A320", 150, 90), 3: ("A20N", 162, 90)}
 BUSINESS_PART_TYPES = ("PROMO", "LARGE")
-CALENDAR = ("1992-01-01", "1998-12-31")      # the years of the supplied orders and shipments
+CALENDAR = ("1995-01-01", "2001-12-31")      # the years of the supplied orders and shipments
 LINES_PER_ORDER = 1_000_000      # ticket ids: order and line, with room for very large orders
 CURRENCY = "COP"
 FARE_VALID_FROM = "1995-01-01"
