@@ -78,6 +78,22 @@ SELECT q.page_id, q.payload_bytes, q.payload_digest,
        CASE WHEN f.first_id < q.page_id THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN f.first_id < q.page_id THEN f.first_id END AS refers_to
 FROM q LEFT JOIN f USING (payload_digest)""",
+    "op4_decontamination": r"""
+WITH b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL),
+d AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+f AS (SELECT item_id, w, unnest(range(1, len(w) - 8)) AS p FROM b WHERE len(w) >= 10),
+k AS (SELECT DISTINCT item_id, 10 AS n, array_to_string(w[p:p + 9], ' ') AS words FROM f
+      UNION SELECT item_id, len(w), array_to_string(w, ' ') FROM b WHERE len(w) BETWEEN 1 AND 9),
+s AS (SELECT DISTINCT n FROM k),
+g AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d, s WHERE len(w) >= n),
+h AS (SELECT doc_id, item_id, p, n FROM (SELECT doc_id, p, n, array_to_string(w[p:p + n - 1], ' ') AS words FROM g) x JOIN k USING (n, words)),
+c AS (SELECT doc_id, count(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS word FROM h) y GROUP BY doc_id),
+i AS (SELECT doc_id, list_sort(list(DISTINCT item_id)) AS items FROM h GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(len(items), 0)::BIGINT AS n_items,
+       sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN i USING (doc_id)""",
     "op6_line_dedup": """
 WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
 w AS (SELECT doc_id, unnest(range(len(l) - 2)) AS p, l FROM d WHERE len(l) >= 3),
