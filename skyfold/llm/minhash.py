@@ -292,7 +292,8 @@ def duplicate_groups(docs: DataFrame, shingle: int = 2) -> DataFrame:
         sizes = now.groupBy("bucket", "component").agg(F.count("*").alias("n"))
         mixed = sizes.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("major"), F.sum("n").alias("all"), F.count("*").alias("parts")) \
                      .where("parts > 1").select("bucket", F.col("major.component").alias("major"), (F.col("all") - F.col("major.n")).alias("outside"))
-        now = store.keep(now.join(mixed, "bucket"))
+        now = now.join(mixed, "bucket")
+        now = store.keep(now.join(now.groupBy("node").agg(F.collect_list("bucket").alias("places")), "node"))
         if now.isEmpty():
             break
         chosen = F.pmod(F.xxhash64("node", "bucket", F.lit(turn)), F.ceil(F.col("outside") / PIVOTS)) == 0
@@ -301,10 +302,13 @@ def duplicate_groups(docs: DataFrame, shingle: int = 2) -> DataFrame:
         targets = pivots.select("node", F.col("major").alias("component")).distinct().join(large, "component", "left_semi")
         targets = store.keep(targets.join(compared, ["node", "component"], "left_anti"))
         more = _component_links(store, targets, label, texts, shingle)
-        other = pivots.select("bucket", F.col("x").alias("p"), F.col("component").alias("pc"))
+        other = pivots.select("bucket", F.col("x").alias("p"), F.col("component").alias("pc"), F.col("places").alias("pp"))
         rest = now.join(large.withColumnRenamed("component", "big"), F.col("major") == F.col("big"), "left") \
                   .where(F.col("big").isNull() | (F.col("component") != F.col("major")))
-        pairs = rest.join(other, "bucket").where((F.col("component") != F.col("pc")) & _may_link("x", "p")) \
+        # a pair that meets in several of these buckets is taken in the least: there one of the two is
+        # a pivot now, or stays and will be
+        once = F.array_min(F.array_intersect("places", "pp")) == F.col("bucket")
+        pairs = rest.join(other, "bucket").where((F.col("component") != F.col("pc")) & _may_link("x", "p") & once) \
                     .select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
         pairs = store.keep(pairs.join(done, ["a", "b"], "left_anti"))
         more = store.keep(more.unionByName(_links(store, pairs, texts, shingle)))
