@@ -65,10 +65,11 @@ def plan_records(pages: DataFrame) -> DataFrame:
 
 def train_dictionary(records: DataFrame) -> bytes:
     """A dictionary of at most DICTIONARY_BYTES from a bounded sample of the payloads; empty without any."""
-    sample = records.where("payload_bytes > 0") \
-                    .select(F.xxhash64("page_id", "payload_digest").alias("h"), F.substring("payload", 1, SAMPLE_BYTES).alias("head")) \
-                    .orderBy("h").limit(SAMPLE_RECORDS)
-    heads = [bytes(r[0]) for r in sample.select("head").collect()]
+    full = records.where("payload_bytes > 0").withColumn("h", F.xxhash64("page_id", "payload_digest"))
+    # the hashes alone are ranked, so that no task sends more payloads than are in the sample
+    last = full.select("h").orderBy("h").limit(SAMPLE_RECORDS).agg(F.max("h")).first()[0]
+    sample = full.where(F.col("h") <= F.lit(last)).select(F.substring("payload", 1, SAMPLE_BYTES).alias("head")).limit(SAMPLE_RECORDS)
+    heads = sorted(bytes(r[0]) for r in sample.collect()) if last is not None else []
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, heads).as_bytes()
     except (zstandard.ZstdError, ValueError):      # too little to train on: the heads themselves serve
