@@ -38,6 +38,7 @@ from skyfold.llm.store import Store
 SAMPLE_PER_LANG = 2500
 ROUNDS = 3
 WORD_BYTES = 32
+MAX_LANGUAGES = 1000
 PRIOR = 200.0
 FOLDS = 3
 _CHUNK_CELLS = 4 << 20
@@ -168,8 +169,14 @@ def training_sample(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> DataFra
     """(lang, text): about ``per_lang`` documents of every language, those of least hash."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))) \
                .select(F.col("lang").cast("string").alias("lang"), "text", F.xxhash64("doc_id", "text").alias("h"))
-    share = rows.groupBy("lang").agg((F.lit(float(per_lang)) / F.count("*")).alias("share"))
-    return rows.join(share, "lang").where(F.col("h") / F.lit(2.0 ** 63) < 2 * F.col("share") - 1).select("lang", "text")
+    # one count a language: as literals, so that no language's texts meet in one task
+    sizes = rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    if not sizes:
+        return rows.select("lang", "text")
+    share = F.create_map(*[F.lit(x) for lang, n in sizes for x in (lang, per_lang / n)])[F.col("lang")]
+    return rows.where(F.col("h") / F.lit(2.0 ** 63) < 2 * share - 1).select("lang", "text")
 
 
 @dataclass
