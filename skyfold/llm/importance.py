@@ -96,7 +96,7 @@ def weigh(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
                 out.append(np.where(n > 0, SCALE * total / np.maximum(n, 1), np.nan))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(out), from_pandas=True)], names=[*batch.schema.names, "_sk_weight"])
 
-    return bk.map_batches(docs, run, docs.withColumn("_sk_weight", F.lit(0.0).cast("double")).schema)
+    return bk.map_batches(docs, run, docs.withColumn("_sk_weight", F.lit(None).cast("double")).schema)
 
 
 def gumbel(*row: Column) -> Column:
