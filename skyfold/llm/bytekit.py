@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from skyfold.session import ship_package
 
 SLICE_BYTES = 1 << 20
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
+pa.set_memory_pool(pa.system_memory_pool())      # idle workers give memory back
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _LEN = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0xD1342543DE82EF95
