@@ -16,8 +16,9 @@ near copies never emits its pairs. In buckets that still hold several
 components, every pair across them has a member outside the bucket's largest
 one. In rounds, about ``PIVOTS`` of those outsiders a bucket are compared with all
 members of other components, and leave the bucket, until one component is
-left: with a large component as a whole, block by block inside tasks, with
-the members of others as single pairs.
+left: with a large component as a whole, block by block inside tasks (later
+only with the members it has got since), with the members of others as single
+pairs.
 
 Defined cases: a document without words or text has an empty set, is its own
 component and is kept; fewer words than the shingle make one shingle of the
@@ -213,9 +214,9 @@ def _groups(batches, *keys: str):
 
 
 def _block_links(shingle: int):
-    """Blocks of (component, i, j, outside, node, text) to one link (a, b) of each outsider that has any."""
+    """Blocks of (component, seen, i, j, outside, node, text) to one link (a, b) of each outsider that has any."""
     def run(batches):
-        for table in _groups(batches, "component", "i", "j"):
+        for table in _groups(batches, "component", "seen", "i", "j"):
             batch = table.combine_chunks().to_batches()[0]
             buf, off = bk.text_bytes(batch)
             parts = [(part, part_off) for _, _, part, part_off in bk.slices(buf, off)]
@@ -246,18 +247,19 @@ def _block_links(shingle: int):
 
 
 def _component_links(store: Store, targets: DataFrame, label: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
-    """Links of nodes with whole components, for ``targets`` (node, component)."""
+    """Links of nodes with whole components, for ``targets`` (node, component, seen): with the members since turn ``seen``."""
     size = texts.select("node", "n_shingles")
-    inner = label.join(targets.select("component").distinct(), "component", "left_semi").join(size, "node")
+    inner = label.join(targets.select("component", "seen").distinct(), "component").where("since >= seen").join(size, "node")
     outer = targets.join(size, "node")
-    blocks = inner.groupBy("component").agg(F.ceil(F.sum("n_shingles") / BLOCK).alias("ni")) \
-                  .join(outer.groupBy("component").agg(F.ceil(F.sum("n_shingles") / BLOCK).alias("nj")), "component")
+    of = ["component", "seen"]
+    blocks = inner.groupBy(*of).agg(F.ceil(F.sum("n_shingles") / BLOCK).alias("ni")) \
+                  .join(outer.groupBy(*of).agg(F.ceil(F.sum("n_shingles") / BLOCK).alias("nj")), of)
     i, j = F.pmod(F.xxhash64("node"), F.col("ni")), F.pmod(F.xxhash64("node"), F.col("nj"))
     all_of = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    inner = inner.join(blocks, "component").select("component", i.alias("i"), all_of("nj").alias("j"), F.lit(False).alias("outside"), "node")
-    outer = outer.join(blocks, "component").select("component", all_of("ni").alias("i"), j.alias("j"), F.lit(True).alias("outside"), "node")
-    rows = inner.unionByName(outer).join(texts.select("node", "text"), "node").select("component", "i", "j", "outside", "node", "text")
-    rows = rows.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j")
+    inner = inner.join(blocks, of).select(*of, i.alias("i"), all_of("nj").alias("j"), F.lit(False).alias("outside"), "node")
+    outer = outer.join(blocks, of).select(*of, all_of("ni").alias("i"), j.alias("j"), F.lit(True).alias("outside"), "node")
+    rows = inner.unionByName(outer).join(texts.select("node", "text"), "node").select(*of, "i", "j", "outside", "node", "text")
+    rows = rows.repartition(*of, "i", "j").sortWithinPartitions(*of, "i", "j")
     return store.keep(bk.map_batches(rows, _block_links(shingle), "a binary, b binary"))
 
 
@@ -282,13 +284,14 @@ def duplicate_groups(docs: DataFrame, shingle: int = 2) -> DataFrame:
     done = store.keep(members.where("node != first.node").where(_may_link("x", "first"))
                       .select(F.col("first.node").alias("a"), F.col("node").alias("b")).distinct())
     links = _links(store, done, texts, shingle)
-    label = components(store, links)
+    # a component keeps its name while it grows, so members bear the turn that brought them under it
+    label = components(store, links).withColumn("since", F.lit(-1))
     active = members.select("bucket", "node", "x")
-    compared = store.keep(label.where("false"))
+    compared = store.keep(label.select("node", "component", F.col("since").alias("turn")).where("false"))
     turn = 0
     while True:
         # pairs still to be checked lie in buckets with members of several components
-        now = active.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        now = active.join(label.drop("since"), "node", "left").withColumn("component", F.coalesce("component", "node"))
         sizes = now.groupBy("bucket", "component").agg(F.count("*").alias("n"))
         mixed = sizes.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("major"), F.sum("n").alias("all"), F.count("*").alias("parts")) \
                      .where("parts > 1").select("bucket", F.col("major.component").alias("major"), (F.col("all") - F.col("major.n")).alias("outside"))
@@ -300,7 +303,8 @@ def duplicate_groups(docs: DataFrame, shingle: int = 2) -> DataFrame:
         pivots = now.where((F.col("component") != F.col("major")) & chosen)
         large = store.keep(label.groupBy("component").count().where(F.col("count") >= LARGE).select("component"))
         targets = pivots.select("node", F.col("major").alias("component")).distinct().join(large, "component", "left_semi")
-        targets = store.keep(targets.join(compared, ["node", "component"], "left_anti"))
+        seen = compared.groupBy("node", "component").agg(F.max("turn").alias("seen"))
+        targets = store.keep(targets.join(seen, ["node", "component"], "left").withColumn("seen", F.coalesce("seen", F.lit(-1))))
         more = _component_links(store, targets, label, texts, shingle)
         other = pivots.select("bucket", F.col("x").alias("p"), F.col("component").alias("pc"), F.col("places").alias("pp"))
         rest = now.join(large.withColumnRenamed("component", "big"), F.col("major") == F.col("big"), "left") \
@@ -312,10 +316,12 @@ def duplicate_groups(docs: DataFrame, shingle: int = 2) -> DataFrame:
                     .select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
         pairs = store.keep(pairs.join(done, ["a", "b"], "left_anti"))
         more = store.keep(more.unionByName(_links(store, pairs, texts, shingle)))
-        done, compared = done.unionByName(pairs), compared.unionByName(targets)
+        done, compared = done.unionByName(pairs), compared.unionByName(targets.select("node", "component", F.lit(turn).alias("turn")))
         if not more.isEmpty():
             links = links.unionByName(more)
-            label = components(store, links)
+            was = label.withColumnRenamed("component", "was")
+            label = store.keep(components(store, links).join(was, "node", "left").select(
+                "node", "component", F.when(F.col("component") == F.col("was"), F.col("since")).otherwise(turn).alias("since")))
         active = store.keep(now.join(pivots.select("bucket", "node"), ["bucket", "node"], "left_anti").select("bucket", "node", "x"))
         turn += 1
     least = nodes.select("node", "least").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from skyfold.llm import bytekit, decontaminate, importance, langid, linededup, minhash, pieces, quality, toxicity, warc
@@ -163,6 +164,39 @@ def test_links_between_components_of_one_bucket_are_found(spark, monkeypatch):
     assert got == sorted(X.near_groups(docs, 2), key=str)
 
 
+def test_members_that_a_component_gets_later_are_compared(spark, monkeypatch):
+    """p is compared with the large component before x, its only link, joins that; then they meet in one bucket."""
+    def node(text):
+        values, _ = minhash.shingle_sets(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]), 1)
+        return xxhash.xxh3_128_digest(values.tobytes())
+
+    def words(a, b, name):
+        return [f"{name}{i}" for i in range(a, b)]
+
+    core = words(0, 100, "w")
+    c = [" ".join(core + extra) for extra in ([], ["one"], ["two"])]
+    name = min(map(node, c))
+    x = next(t for k in range(99) if node(t := " ".join(core[10:] + words(0, 10, f"x{k}-"))) > name)      # the component keeps its name
+    p = " ".join(core[20:] + x.split()[-10:] + words(0, 10, "p"))
+    e = " ".join(words(0, 50, "e"))
+    d = min((" ".join(words(0, 50, f"d{k}-")) for k in range(999)), key=node)      # the first of its buckets, like none of them
+    assert node(d) < min(map(node, [*c, x, p, e]))
+    apart = F.pmod(F.xxhash64(F.col("node"), F.col("bucket"), F.lit(0)), F.lit(2)) != 0      # no pivot in turn 0
+    late = spark.range(1000, 1200).withColumnRenamed("id", "bucket").crossJoin(spark.createDataFrame([(node(p),), (node(x),)], "node binary")) \
+                .where(apart).groupBy("bucket").count().where("count = 2").first()["bucket"]
+    buckets = {t: [1, 2, 3, late] for t in c} | {x: [3, late], p: [2, late], e: [late], d: [3, late]}
+    plan = {}
+    for i, (text, mine) in enumerate(buckets.items()):
+        sig = minhash.signatures(*minhash.shingle_sets(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]), 1))[0]
+        plan[sig.tobytes()] = mine + [10_000 + 100 * i + k for k in range(minhash.BANDS - len(mine))]
+    monkeypatch.setattr(minhash, "band_keys", lambda sig: np.array([plan[r.tobytes()] for r in sig], np.int64).reshape(-1, minhash.BANDS))
+    monkeypatch.setattr(minhash, "PIVOTS", 2)
+    monkeypatch.setattr(minhash, "LARGE", 3)
+    docs = list(enumerate(buckets))
+    got = X.rows_of(minhash.duplicate_groups(spark.createDataFrame(docs, "doc_id long, text string"), 1), "doc_id", "n_shingles", "component_id", "kept")
+    assert got == sorted(X.near_groups(docs, 1), key=str)
+
+
 # ---- 6 line dedup
 
 def test_line_dedup_plan_is_native(spark):
