@@ -9,10 +9,12 @@ and not on the number of documents.
 Counting: tasks count 5-grams of their rows, Spark sums them over all
 documents; lower orders are continuation counts of distinct longer n-grams.
 Discounts D1, D2, D3+ and interpolation weights follow modified Kneser-Ney and
-are joined order by order in Spark. The result is held in sorted hash arrays
-(n-gram hash of ``HASH_BITS`` bits, log probability): at most 2**HASH_BITS
-entries of 8 bytes whatever the corpus, which bounds the broadcast. Unseen
-n-grams back off with the weights of their contexts.
+are joined order by order in Spark, where the tables stay. The texts judged are
+those counted, so that each of their 5-grams has its own probability, and only
+the 5-grams are looked up, by language and bytes and without hashing. They are
+dealt to pieces of about ``PIECE`` n-grams; one piece at a time goes through the driver
+to the tasks, which sum its n-grams' bits in every text, and the sums of the
+pieces are added. A corpus of more n-grams takes more passes, not more memory.
 
 Bands: per language the quartiles of bits per byte over all texts that pass the base
 rules, from a histogram of thousandths; a text is rejected outside
@@ -26,8 +28,11 @@ band; repeated rows are judged alike.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +40,9 @@ from skyfold.llm import bytekit as bk
 from skyfold.llm.store import Store
 
 ORDER = 5
-HASH_BITS = 26
+HASH_BITS = 64
+#: 5-grams of one broadcast, 12 bytes each.
+PIECE = 1 << 22
 SPREAD, NOISE = 3.0, 4.0
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
 MAX_LANGUAGES = 1000
@@ -186,11 +193,11 @@ def kneser_ney(store: Store, counts: DataFrame) -> list[tuple[DataFrame, DataFra
 
 def _slots(lang: np.ndarray, gram: np.ndarray, k: int) -> np.ndarray:
     h = bk.mix(gram ^ bk.mix((lang.astype(np.uint64) << np.uint64(8)) | np.uint64(k)))
-    return (h >> np.uint64(64 - HASH_BITS)).astype(np.uint32)
+    return h >> np.uint64(64 - HASH_BITS)
 
 
 class HashArrays:
-    """Sorted hashes of n-grams with a value each; of equal hashes the greater value stays."""
+    """Sorted keys (or hashes) of n-grams with a value each."""
 
     def __init__(self, parts: list[tuple[np.ndarray, np.ndarray]]) -> None:
         keys, values = (np.concatenate(x) for x in zip(*parts))
@@ -208,7 +215,8 @@ class HashArrays:
 
 
 class Model:
-    """Log probabilities of the n-grams of all orders, and log weights of their contexts."""
+    """Log probabilities of the n-grams of all orders, and log weights of their contexts, for any
+    n-gram whether seen or not. Holds the tables whole, for small corpora; ``judge`` doesn't need it."""
 
     def __init__(self, orders: list[tuple[DataFrame, DataFrame]]) -> None:
         def arrays(which: int, value: str) -> HashArrays:
@@ -240,28 +248,72 @@ class Model:
         return out
 
 
-def measure(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, lang, base counts, n_bytes, bits, variance): bits per byte and their variance within the text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = ["doc_id", "lang", *BASE, "n_bytes", "bits", "variance"]
-
-    def run(batches):
-        for batch in batches:
-            buf, off = bk.text_bytes(batch)
-            lang = batch.column(2).to_numpy(zero_copy_only=False)
-            for i, j, part, part_off in bk.slices(buf, off):
-                base = base_counts(part, part_off)
-                grams, rows = _grams(part, part_off, lang[i:j])
-                bits = shared.value.log_p(grams) / -np.log(2)
-                n = np.diff(part_off)
-                mean = np.bincount(rows, bits, j - i) / np.maximum(n, 1)
-                square = np.bincount(rows, bits * bits, j - i) / np.maximum(n, 1)
-                cols = [batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), *(pa.array(base[c].astype(np.int64)) for c in BASE),
-                        pa.array(n), pa.array(mean), pa.array(np.maximum(square - mean * mean, 0))]
-                yield pa.RecordBatch.from_arrays(cols, names=names)
-
-    kinds = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang int, " + ", ".join(f"{c} long" for c in BASE) + ", n_bytes long, bits double, variance double"
-    return bk.map_batches(docs.select("doc_id", "text", "lang"), run, kinds)
+def _pieces(seen: DataFrame) -> Iterator[tuple[int, HashArrays]]:
+    """The number of pieces and one piece after another of the 5-grams' log probabilities, for (lang, gram, p)."""
+    n = max(1, -(-seen.count() // PIECE))
+    key = F.shiftleft(F.col("lang").cast("long"), 40).bitwiseOR(F.col("gram"))
+    keyed = seen.select(key.alias("key"), F.log("p").cast("float").alias("v"))
+    for i in range(n):
+        got = keyed.where(F.pmod(F.xxhash64("key"), F.lit(n)) == i).toArrow()
+        yield n, HashArrays([(got.column("key").to_numpy().astype(np.int64).view(np.uint64), got.column("v").to_numpy().astype(np.float32))])
+
+
+def _bits(batch: pa.RecordBatch, i: int, j: int, part: np.ndarray, part_off: np.ndarray, scores: HashArrays) -> list[pa.Array]:
+    """Of each row, the 5-grams that are in ``scores``, the sum of their bits and of the squares."""
+    grams, rows = _grams(part, part_off, batch.column(2).slice(i, j - i).to_numpy(zero_copy_only=False))
+    bits = scores.find(grams) / -np.log(2)
+    found = ~np.isnan(bits)
+    bits, rows = bits[found], rows[found]
+    return [pa.array(np.bincount(rows, minlength=j - i)), pa.array(np.bincount(rows, bits, j - i)), pa.array(np.bincount(rows, bits * bits, j - i))]
+
+
+def measure(store: Store, docs: DataFrame, seen: DataFrame) -> DataFrame:
+    """(doc_id, lang, base counts, n_bytes, bits, variance): bits per byte and their variance within the text.
+
+    With one piece of scores the texts are read once; with more, once for the base counts and once a
+    piece, and the sums are joined by language and 128-bit hash of the text."""
+    sums, names = ["n_found", "sum", "square"], ["doc_id", "lang", *BASE, "n_bytes"]
+    kinds = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang int, " + ", ".join(f"{c} long" for c in BASE) + ", n_bytes long"
+    sum_kinds = "n_found long, sum double, square double"
+    texts = docs.select("doc_id", "text", "lang")
+
+    def scan(base: bool, shared=None):
+        def run(batches):
+            for batch in batches:
+                buf, off = bk.text_bytes(batch)
+                for i, j, part, part_off in bk.slices(buf, off):
+                    n = np.diff(part_off)
+                    cols, header = [batch.column(2).slice(i, j - i)], ["lang"]
+                    if base:
+                        counts = base_counts(part, part_off)
+                        cols = [batch.column(0).slice(i, j - i), *cols, *(pa.array(counts[c].astype(np.int64)) for c in BASE), pa.array(n)]
+                        header = list(names)
+                    if not (base and shared):
+                        raw = part.tobytes()
+                        cols.append(pa.array([xxhash.xxh3_128_digest(raw[s:e]) for s, e in zip(part_off[:-1].tolist(), part_off[1:].tolist())], pa.binary()))
+                        header.append("text_key")
+                    if shared:
+                        cols += _bits(batch, i, j, part, part_off, shared.value)
+                        header += sums
+                    yield pa.RecordBatch.from_arrays(cols, names=header)
+
+        schema = [kinds if base else "lang int", *([] if base and shared else ["text_key binary"]), *([sum_kinds] if shared else [])]
+        return bk.map_batches(texts, run, ", ".join(schema))
+
+    parts = None
+    for n, scores in _pieces(seen):
+        shared = store.spark.sparkContext.broadcast(scores)
+        del scores
+        out = store.keep(scan(n == 1, shared) if n == 1 else scan(False, shared).dropDuplicates(["lang", "text_key"]))
+        shared.destroy()
+        parts = out if parts is None else parts.unionByName(out)
+    if n > 1:
+        total = parts.groupBy("lang", "text_key").agg(*(F.sum(c).alias(c) for c in sums))
+        parts = scan(True).join(total, ["lang", "text_key"])
+    size = F.greatest(F.col("n_bytes"), F.lit(1))
+    mean = F.col("sum") / size
+    whole = F.when(F.col("n_found") == F.col("n_bytes"), mean).otherwise(F.raise_error(F.lit("the texts changed after their n-grams were counted")))
+    return parts.select(*names, whole.alias("bits"), F.greatest(F.col("square") / size - mean * mean, F.lit(0.0)).alias("variance"))
 
 
 def base_failed() -> Column:
@@ -296,8 +348,8 @@ def bands(measured: DataFrame) -> list[tuple[int, float, float, float]]:
 def judge(store: Store, docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, the base counts, base_failed, kept, bits_per_byte."""
     numbered = _numbered(docs, languages(docs))
-    model = Model(kneser_ney(store, count_grams(numbered)))
-    measured = store.keep(measure(numbered, model))
+    seen = kneser_ney(store, count_grams(numbered))[-1][0]
+    measured = store.keep(measure(store, numbered, seen))
     rows = bands(measured)
     limits = F.broadcast(store.spark.createDataFrame(rows, "lang int, low double, high double, deviation double"))      # one row a language
     slack = NOISE * F.col("deviation") / F.sqrt(F.greatest(F.col("n_bytes"), F.lit(1)))

@@ -274,6 +274,33 @@ def test_counts_cover_all_documents(spark):
     assert total == sum(len(t.encode()) for _, t, _ in rows)
 
 
+@pytest.mark.parametrize("piece", [1 << 22, 150_000])
+def test_every_5_gram_has_its_own_probability(spark, monkeypatch, piece):
+    """Half a million n-grams, of which thousands would collide in 26 bits, in one piece and in several."""
+    monkeypatch.setattr(quality, "PIECE", piece, raising=False)
+    collected = []
+    to_arrow = type(spark.range(0)).toArrow
+    monkeypatch.setattr(type(spark.range(0)), "toArrow", lambda df: collected.append((t := to_arrow(df)).num_rows) or t)
+    rng = random.Random(5)
+    rows = [(i % 30, "".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789 ", k=10_000)), ("en", "de")[i % 2]) for i in range(50)] + [(None, None, "en"), (1, "", None)]
+    rows += rows[:2]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = quality.judge(Store(spark, "own"), docs).select("doc_id", "bits_per_byte").collect()
+    assert max(collected) <= 1.1 * piece
+    numbers = {"": 0, "de": 1, "en": 2}
+    table = quality.kneser_ney(Store(spark, "own"), quality.count_grams(quality._numbered(docs, sorted(numbers))))[-1][0].toPandas()
+    p = dict(zip((table["lang"].astype("int64") * (1 << 40) + table["gram"]).tolist(), table["p"]))
+    expected = []
+    for doc_id, text, lang in rows:
+        buf = np.frombuffer((text or "").encode(), np.uint8)
+        grams, _ = quality._grams(buf, np.array([0, len(buf)]), np.array([numbers[lang or ""]]))
+        expected.append((doc_id, sum(-math.log2(p[g]) for g in grams.tolist()) / max(len(buf), 1)))
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    got, expected = sorted(map(tuple, got), key=key), sorted(expected, key=key)
+    assert [r[0] for r in got] == [r[0] for r in expected]
+    assert [r[1] for r in got] == pytest.approx([r[1] for r in expected], rel=1e-6)
+
+
 # ---- 10 toxicity
 
 def test_label_model_finds_accuracies_and_a_dependence():
