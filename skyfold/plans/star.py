@@ -4,31 +4,27 @@ three marts over one operational model. Nothing is executed here; sinks
 
 from __future__ import annotations
 
-import datetime as _dt
 from functools import cached_property
 
 from pyspark.sql import DataFrame
 
 from skyfold.operators import dims, facts, marts
-from skyfold.sources.fixtures import CALENDAR, DEFAULT_AS_OF, FlightModel
+from skyfold.sources.fixtures import DEFAULT_AS_OF, FlightModel
 
 
 class Star:
     def __init__(self, model: FlightModel, as_of: str = DEFAULT_AS_OF,
-                 watermark: str | None = None, change_mode: str = "latest", channels: DataFrame | None = None,
-                 calendar: tuple[str, str] = CALENDAR):
+                 watermark: str | None = None, change_mode: str = "latest", channels: DataFrame | None = None):
         self.m = model
         self._channels = channels
-        self.calendar = calendar
         self.as_of = as_of
         self.watermark = watermark
         self.change_mode = change_mode
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        """Calendar of the given bounds; no scan of the data."""
-        first, last = (_dt.date.fromisoformat(d) for d in self.calendar)
-        return dims.dim_date(self.m.spark, first.isoformat(), (last - first).days + 1)
+        """Calendar of the years that the data has; the bounds are part of a snapshot."""
+        return dims.dim_date_between(self.m.date_bounds)
 
     @cached_property
     def dim_route(self) -> DataFrame:

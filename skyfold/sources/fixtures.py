@@ -37,7 +37,6 @@ AIRCRAFT_MODELS = [("AT72", "ATR", "ATR 72-600"), ("A320", "Airbus", "A320-200")
 # seat map id -> (model, ECO capacity, BUS capacity) for the test tables
 SEAT_MAP_CAPACITY = {1: ("AT72", 68, 90), 2: ("A320", 150, 90), 3: ("A20N", 162, 90)}
 BUSINESS_PART_TYPES = ("PROMO", "LARGE")
-CALENDAR = ("1995-01-01", "2001-12-31")      # the years of the supplied orders and shipments
 LINES_PER_ORDER = 1_000_000      # ticket ids: order and line, with room for very large orders
 CURRENCY = "COP"
 FARE_VALID_FROM = "1995-01-01"
@@ -65,13 +64,13 @@ class FlightModel:
         self.overrides = dict(overrides or {})
 
     SNAPSHOT = ("_flight_base", "_orders", "lines", "scheduled_flight", "route", "agency", "flight_inventory",
-                "itinerary", "search_requests")
+                "itinerary", "search_requests", "date_bounds")
     DERIVED = ("route", "flight_instance", "reservation", "reservation_passenger", "passenger", "ticket",
                "itinerary_segment", "itinerary", "ancillary", "flight_inventory", "search_requests",
                "admission_requests", "scheduled_flight", "agency")
 
     STAR_SNAPSHOT = ("_flight_base", "_orders", "lines", "scheduled_flight", "route", "agency", "flight_inventory",
-                     "itinerary")
+                     "itinerary", "date_bounds")
 
     def snapshot(self, folder: str, names: tuple[str, ...] | None = None) -> "FlightModel":
         """Extract step (S1): write the wide derived relations once (flights,
@@ -120,6 +119,16 @@ class FlightModel:
             return self.overrides[name]
         return read_table(self.spark, self.base_dir, name)
 
+    # -- calendar ----------------------------------------------------------
+    @cached_property
+    def date_bounds(self) -> DataFrame:
+        """One row (lo, hi): the whole years of all order and ship dates (none without dates)."""
+        days = [self._src(t).agg(F.min(c).cast("date").alias("lo"), F.max(c).cast("date").alias("hi"))
+                for t, c in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"))]
+        b = days[0].unionByName(days[1]).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+        return b.select(F.make_date(F.year("lo"), F.lit(1), F.lit(1)).alias("lo"),
+                        F.make_date(F.year("hi"), F.lit(12), F.lit(31)).alias("hi"))
+
     # -- geography ---------------------------------------------------------
     @cached_property
     def airport(self) -> DataFrame:
