@@ -48,10 +48,14 @@ def _features(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return (h % np.uint64(BUCKETS)).astype(np.int64), np.concatenate([row, row[pair]])
 
 
+def labelled(labels: DataFrame) -> DataFrame:
+    """(doc_id, good) of all labelled documents."""
+    return labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg((F.min("quality") > 0).alias("good"))
+
+
 def good_rows(labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """(doc_id, good) of at most ``sample_rows`` labelled documents."""
-    return labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg((F.min("quality") > 0).alias("good")) \
-                 .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
+    return labelled(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
 
 
 def log_ratio(docs: DataFrame, good: DataFrame) -> np.ndarray:
@@ -143,7 +147,7 @@ def resample(store: Store, docs: DataFrame, labels: DataFrame, share: float | No
     """One row per document: doc_id, log_weight, gumbel_key, kept."""
     good = store.keep(good_rows(labels))
     if share is None:
-        share = good.agg(F.avg(F.col("good").cast("double"))).first()[0] or 0.0
+        share = labelled(labels).agg(F.avg(F.col("good").cast("double"))).first()[0] or 0.0
     weighed = weigh(docs.select("doc_id", "text"), log_ratio(docs, good))
     noisy = weighed.select("doc_id", F.col("_sk_weight").alias("log_weight"),
                            F.coalesce(F.col("_sk_weight") + gumbel(F.col("doc_id"), F.col("text")), F.lit(-9e8)).alias("gumbel_key"))

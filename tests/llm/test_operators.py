@@ -362,3 +362,11 @@ def test_selection_follows_importance(spark):
     out = importance.resample(Store(spark, "imp"), spark.createDataFrame(good + junk, "doc_id long, text string"), labels).collect()
     kept = [r["doc_id"] for r in out if r["kept"]]
     assert len(kept) == 200 and sum(i < 200 for i in kept) > 180
+
+
+def test_the_share_is_that_of_all_labelled_rows(spark, monkeypatch):
+    monkeypatch.setattr(importance.good_rows, "__defaults__", (21,))      # an odd sample has no share of a half
+    docs = [(i, X.prose(random.Random(i), 30)) for i in range(100)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(100)], "doc_id long, quality int")
+    out = importance.resample(Store(spark, "share"), spark.createDataFrame(docs, "doc_id long, text string"), labels)
+    assert out.where("kept").count() == 50
