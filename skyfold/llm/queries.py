@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyfold.llm import decontaminate, importance, langid, linededup, minhash, pieces, quality, repeats, toxicity, warc
+from skyfold.llm import audit, bpe, decontaminate, importance, langid, linededup, minhash, pieces, quality, repeats, toxicity, trie, warc
 from skyfold.llm.store import Store
 
 Job = Callable[[SparkSession, str], DataFrame]
@@ -66,8 +66,25 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("_sk_score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = Store(spark, "trie")
+    turns = store.keep(trie.turns(store, _table(spark, sf_dir, "conversations")))
+    return trie.trie(store, turns.select("conv_id").distinct(), trie.shared_heads(turns))
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("text", F.coalesce("text", F.lit("")))).drop("text"))
+    ids = F.array_join(F.col("token_ids").cast("array<string>"), " ")
+    return out.select("doc_id", "n_tokens", F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(audit.failures(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Job] = {f.__name__: f for f in (
-    op1_sentencepiece, op2_warc, op3_importance, op4_decontamination, op5_minhash, op6_line_dedup, op7_repeats, op8_language_id, op9_quality_rules, op10_toxicity)}
+    op1_sentencepiece, op2_warc, op3_importance, op4_decontamination, op5_minhash, op6_line_dedup, op7_repeats, op8_language_id, op9_quality_rules, op10_toxicity,
+    op11_conversation_trie, op12_bpe, op13_filter_audit)}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_warc": """
@@ -105,6 +122,56 @@ SELECT d.doc_id, coalesce(len(l), 0)::BIGINT AS n_lines, coalesce(len(gone), 0):
        CASE WHEN gone IS NULL THEN text
             ELSE array_to_string(list_filter(l, lambda y, i: NOT list_contains(gone, i - 1)), chr(10)) END AS text
 FROM d LEFT JOIN x USING (doc_id)""",
+    "op11_conversation_trie": """
+WITH i AS (SELECT conv_id, md5(coalesce(role, '')) AS r, md5(coalesce(text, '')) AS t, length(coalesce(text, '')) AS chars,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(coalesce(role, '')), md5(coalesce(text, ''))) AS pos
+           FROM conversations WHERE conv_id IS NOT NULL),
+z AS (SELECT DISTINCT conv_id, conv_id - conv_id % 100 AS base, conv_id::VARCHAR AS s FROM i),
+c AS (SELECT conv_id, base, xor(4294967295, list_reduce(list_transform(range(1, length(s) + 1), lambda k: ascii(s[k])::BIGINT), lambda a, b:
+             list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda u, v: xor(u >> 1, (u & 1) * 3988292384)), 4294967295)) % 6 AS h FROM z),
+f AS (SELECT conv_id AS base, max(pos) AS have FROM i WHERE conv_id % 100 = 0 AND pos < 6 GROUP BY 1),
+n AS (SELECT c.conv_id, i.pos, r, t, chars FROM c JOIN i ON i.conv_id = base AND i.pos <= h
+      UNION ALL
+      SELECT c.conv_id, least(h, coalesce(have, 0)) + i.pos - h, r, t, chars FROM c JOIN i USING (conv_id) LEFT JOIN f USING (base) WHERE i.pos > h),
+p AS (SELECT conv_id, pos, chars, string_agg(r || t, '') OVER (PARTITION BY conv_id ORDER BY pos) AS k, max(pos) OVER (PARTITION BY conv_id) AS len FROM n
+      UNION ALL SELECT conv_id, 0, 0, '', coalesce((SELECT max(pos) FROM n WHERE n.conv_id = c.conv_id), 0) FROM c),
+a AS (SELECT k, pos AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars, list(conv_id ORDER BY conv_id) FILTER (len = pos) AS ends FROM p GROUP BY ALL),
+b AS (SELECT k, depth, conv_id, n_convs, (n_convs - 1) * (CASE WHEN depth = 0 THEN 0 ELSE chars END) AS own, ends FROM
+      (SELECT k, depth, min(conv_id) AS conv_id, sum(n_convs)::BIGINT AS n_convs, min(chars) AS chars, list_sort(flatten(list(ends) FILTER (ends IS NOT NULL))) AS ends FROM a GROUP BY k, depth)),
+d AS (SELECT left(k, 64 * (depth - 1)) AS k, count(*) AS n_children FROM b WHERE depth > 0 GROUP BY 1),
+e AS (SELECT b.*, coalesce(n_children, 0) AS n_children FROM b LEFT JOIN d USING (k)),
+g AS (SELECT left(k, 64 * unnest(range(depth + 1))) AS k, own, (n_children = 0)::INT AS leaf FROM e),
+s AS (SELECT k, sum(own)::BIGINT AS saved_tokens, sum(leaf)::BIGINT AS n_leaves FROM g GROUP BY k)
+SELECT e.conv_id, e.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, e.n_convs, e.n_children::BIGINT AS n_children, n_leaves, saved_tokens,
+       sha256(coalesce(array_to_string(e.ends, ','), '')) AS ends_sha256
+FROM e JOIN s USING (k) LEFT JOIN e u ON e.depth > 0 AND u.k = left(e.k, 64 * (e.depth - 1))""",
+    "op13_filter_audit": r"""
+WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS s FROM documents),
+w AS (SELECT *, regexp_extract_all(s, '[^\x20\x09-\x0D]+') AS l FROM t),
+f AS (SELECT s, min(doc_id) AS first FROM t GROUP BY s),
+b AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS bad FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+d AS (SELECT part, coalesce(good, false) AS good, coalesce(bad, false) AS bad,
+             (len(l) < 200)::INT + 2 * (100 * len(list_distinct(l)) < 50 * len(l))::INT
+             + 4 * (100 * length(regexp_replace(s, '[^A-Z]', '', 'g')) > 3 * length(s))::INT
+             + 8 * regexp_matches(s, '[#$%&*|]')::INT + 16 * coalesce(first < doc_id, false)::INT AS mask
+      FROM w JOIN f USING (s) LEFT JOIN b USING (doc_id)),
+c AS (SELECT part, good, bad, mask, count(*) AS n FROM d GROUP BY ALL),
+x AS (SELECT chr(65 + i::INT) AS a, (1 << i::INT) AS bit FROM range(5) r(i)),
+o AS (SELECT x1.a || x2.a || x3.a || x4.a || x5.a AS filter_order, [x1.bit, x2.bit, x3.bit, x4.bit, x5.bit] AS bits
+      FROM x x1, x x2, x x3, x x4, x x5 WHERE x1.bit | x2.bit | x3.bit | x4.bit | x5.bit = 31),
+s AS (SELECT filter_order, k::INT AS step, bits[k] AS bit, list_sum(bits[1:k - 1])::INT AS earlier FROM o, range(1, 6) r(k)),
+r AS (SELECT part, filter_order, step, bit,
+             sum(n) FILTER (mask & (coalesce(earlier, 0) | bit) = 0) AS kept,
+             sum(n) FILTER (mask & coalesce(earlier, 0) = 0 AND mask & bit <> 0) AS removed,
+             sum(n) FILTER (mask & coalesce(earlier, 0) <> 0 AND mask & bit <> 0) AS redundant,
+             sum(n) FILTER (mask = bit) AS unique_fails,
+             sum(n) FILTER (mask & coalesce(earlier, 0) = 0 AND mask & bit <> 0 AND good) AS good_lost,
+             sum(n) FILTER (mask & coalesce(earlier, 0) = 0 AND mask & bit <> 0 AND bad) AS toxic_lost
+      FROM c, s GROUP BY ALL)
+SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant,
+       coalesce(unique_fails, 0)::BIGINT AS unique_fails, coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+       coalesce(sum(removed) OVER (PARTITION BY part, bit), 0)::BIGINT AS shapley
+FROM r""",
 }
 
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import itertools
 import random
 import re
+import zlib
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile("[^\x20\x09-\x0D]+")
@@ -74,10 +76,93 @@ def label_rows() -> list[tuple]:
     return [(i, int(i % 5 != 0), int(i % 7 == 0)) for i in range(0, 90, 2)] + [(3, None, None), (None, 1, 1), (4, 0, 1), (10 ** 9, 1, 0)]
 
 
+def conversation_rows() -> list[tuple]:
+    """(conv_id, turn, role, text, pos): the last clashes with a name the operator uses."""
+    rng = random.Random(21)
+    roles = ("user", "assistant")
+    out = []
+    for base in (0, 100, 300):
+        for c in range(base, base + 30, 1 + base // 100):
+            out += [(c, k, roles[k % 2], f"t{rng.randrange(4)}" if rng.random() < 0.7 else prose(rng, 6), "x") for k in range(rng.randrange(1, 9))]
+    for c in range(500, 540):        # copies of one conversation, and of one with other ends
+        out += [(c, k, roles[k % 2], f"same {k}", None) for k in range(6 + c % 3)]
+    out += [(700, k, "user", "long é", "x") for k in range(150)] + [(799, 0, "user", "own", "x"), (710, 9, "user", "long é", "x")]
+    out += [(801, None, None, None, "x"), (801, 0, None, "", "x"), (801, 0, "", "b", "x"), (801, 0, "a", "b", "x"), (801, 0, "a", "b", "x"), (802, 5, "user", "", "x")]
+    out += [(None, 0, "user", "nobody", "x"), (-5, 0, "user", "t1", "x"), (-105, 1, "user", "t2", "x"), (-100, 0, "user", "minus", "x"), (2 ** 62, 0, "user", "x" * 10_000, "x")]
+    # conversations that lose all their own turns and have no base
+    out += [(c, 0, "user", "gone", "x") for c in range(901, 920)]
+    rng.shuffle(out)
+    return out
+
+
+def prefix_nodes(rows: list[tuple], share: int = 100, heads: int = 6) -> list[tuple]:
+    own: dict = collections.defaultdict(list)
+    for c, turn, role, text, *_ in rows:
+        if c is not None:
+            role, text = role or "", text or ""
+            key = (turn is not None, turn or 0, hashlib.md5(role.encode()).digest(), hashlib.md5(text.encode()).digest())
+            own[c].append((key, (role, text)))
+    own = {c: [t for _, t in sorted(v, key=lambda x: x[0])] for c, v in own.items()}
+    members = {}
+    for c, v in own.items():
+        h = zlib.crc32(str(c).encode()) % heads
+        base = c - (abs(c) % share) * (1 if c >= 0 else -1)
+        members[c] = tuple(own.get(base, [])[:h] + v[h:])
+    nodes: dict = collections.defaultdict(list)
+    for c, v in members.items():
+        for d in range(len(v) + 1):
+            nodes[v[:d]].append(c)
+    children = collections.defaultdict(int)
+    leaves, saved = collections.Counter(), collections.Counter()
+    for k in nodes:
+        if k:
+            children[k[:-1]] += 1
+    for k, ids in nodes.items():
+        for d in range(len(k) + 1):
+            leaves[k[:d]] += not children[k]
+            saved[k[:d]] += (len(ids) - 1) * len(k[-1][1]) if k else 0
+    out = []
+    for k, ids in nodes.items():
+        ends = ",".join(str(c) for c in sorted(ids) if len(members[c]) == len(k))
+        out.append((min(ids), len(k), min(nodes[k[:-1]]) if k else None, len(ids), children[k], leaves[k], saved[k], hashlib.sha256(ends.encode()).hexdigest()))
+    return out
+
+
+def filter_audit(docs: list[tuple], labels: list[tuple]) -> list[tuple]:
+    """``docs``: (doc_id, text, lang); ``labels``: (doc_id, quality, toxic)."""
+    first: dict = {}
+    for i, t, _ in docs:
+        if i is not None:
+            first[t or ""] = min(i, first.get(t or "", i))
+    good = {i for i, q, _ in labels if i is not None and q == 1}
+    bad = {i for i, _, x in labels if i is not None and x == 1}
+    parts = collections.defaultdict(list)
+    for i, t, lang in docs:
+        t = t or ""
+        w = WORD.findall(t)
+        fails = {"A": len(w) < 200, "B": 100 * len(set(w)) < 50 * len(w), "C": 100 * len(re.findall("[A-Z]", t)) > 3 * len(t),
+                 "D": bool(re.search(r"[#$%&*|]", t)), "E": i is not None and t in first and first[t] < i}
+        parts[lang or ""].append((fails, i in good, i in bad))
+    out = []
+    for part, rows in parts.items():
+        shapley = collections.Counter()
+        steps = []
+        for order in itertools.permutations("ABCDE"):
+            for k, f in enumerate(order):
+                gone = [any(x[0][e] for e in order[:k]) for x in rows]
+                here = [x[0][f] and not g for x, g in zip(rows, gone)]
+                shapley[f] += sum(here)
+                steps.append((part, "".join(order), k + 1, sum(not g and not x[0][f] for x, g in zip(rows, gone)), sum(here), sum(x[0][f] and g for x, g in zip(rows, gone)),
+                              sum(x[0][f] and sum(x[0].values()) == 1 for x in rows), sum(h and x[1] for x, h in zip(rows, here)), sum(h and x[2] for x, h in zip(rows, here)), f))
+        out += [(*s[:-1], shapley[s[-1]]) for s in steps]
+    return out
+
+
 def write_tables(spark, path: str, empty: bool = False) -> str:
     for name, rows, schema in (
             ("documents", document_rows(), "doc_id long, text string, lang string, source string, n_chars long, n_words string, kept boolean"),
             ("benchmark", benchmark_rows(), "item_id long, text string"), ("pages", page_rows(), "page_id long, url string, html string"),
+            ("conversations", conversation_rows(), "conv_id long, turn long, role string, text string, pos string"),
             ("labels", label_rows(), "doc_id long, quality int, toxic int")):
         spark.createDataFrame([] if empty else rows, schema).repartition(3).write.parquet(f"{path}/{name}.parquet")
     return path

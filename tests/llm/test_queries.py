@@ -17,10 +17,10 @@ def _same(got, expected):
     assert got == expected
 
 
-def test_all_eleven_are_registered():
+def test_all_operators_are_registered():
     names = E.queries()
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([x for x in names if x.startswith(f"op{n}_")]) == 1
 
 
@@ -119,6 +119,31 @@ def test_importance_selects_the_share(spark, tables):
     assert min(r[2] for r in got if r[3]) >= low
 
 
+def test_conversation_trie(spark, tables):
+    got = _run(spark, tables, "op11_conversation_trie", "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+    _same(got, X.prefix_nodes(X.conversation_rows()))
+    assert max(r[1] for r in got) >= 150 and max(r[3] for r in got) > 100
+
+
+def test_bpe(spark, tables):
+    import hashlib
+    from tokenizers import Tokenizer
+    from skyfold.llm.bpe import default_path
+    library = Tokenizer.from_file(default_path())
+    expected = []
+    for doc_id, text in DOCS:
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        joined = " ".join(map(str, ids)), library.decode(ids, skip_special_tokens=False)
+        expected.append((doc_id, len(ids), *(hashlib.sha256(x.encode()).hexdigest() for x in joined)))
+    _same(_run(spark, tables, "op12_bpe", "doc_id", "n_tokens", "ids_sha256", "decoded_sha256"), expected)
+
+
+def test_filter_audit(spark, tables):
+    got = _run(spark, tables, "op13_filter_audit", "part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley")
+    _same(got, X.filter_audit([(r[0], r[1], r[2]) for r in X.document_rows()], X.label_rows()))
+    assert len(got) == 600 * len({r[2] or "" for r in X.document_rows()})
+
+
 @pytest.mark.parametrize("name", sorted(x for x in E.queries() if x.startswith("op")) + ["pipeline"])
 def test_empty_tables(spark, empty_tables, name):
     assert E.queries()[name](spark, empty_tables).collect() == []
