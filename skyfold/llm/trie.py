@@ -32,6 +32,7 @@ of c; an empty table has no node, not even the root. Other columns are not read.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -89,10 +90,12 @@ def _running(rows: DataFrame, key: str, up: bool, **values: tuple) -> DataFrame:
 
 
 def prefixes(rows: DataFrame) -> DataFrame:
-    """(conv_id, pos, p, q, chars): p and q are the 128 bits of the first ``pos`` turns."""
+    """(conv_id, pos, p, q, chars, upto): p and q are the 128 bits of the first ``pos`` turns, ``upto``
+    their code points."""
     lane = lambda seed: F.xxhash64(F.lit(seed), "pos", "role", "text")
     rows = rows.select("conv_id", F.col("pos").cast("long").alias("pos"), "chars", lane(1).alias("x"), lane(2).alias("y"))
-    return _running(rows, "conv_id", False, p=(F.bit_xor, F.col("x")), q=(F.bit_xor, F.col("y"))).select("conv_id", "pos", "p", "q", "chars")
+    rows = _running(rows, "conv_id", False, p=(F.bit_xor, F.col("x")), q=(F.bit_xor, F.col("y")), upto=(F.sum, F.col("chars")))
+    return rows.select("conv_id", "pos", "p", "q", "chars", "upto")
 
 
 def two_fattest(low: Column, high: Column) -> Column:
@@ -101,94 +104,75 @@ def two_fattest(low: Column, high: Column) -> Column:
     return high - high % F.pow(F.lit(2), zeros).cast("long")
 
 
-def _search(found: DataFrame, handles: DataFrame, path: DataFrame, steps: int) -> DataFrame:
-    """Fat binary search: ``found`` (.., conv_id, l, r, at, depth) moves to the deepest node (at, depth)
-    whose handle is a prefix of the conversation, in ``steps`` lookups."""
-    own = path.select("conv_id", F.col("pos").alias("f"), "p", "q")
-    nodes = handles.select(F.col("fat").alias("f"), "p", "q", F.col("g").alias("hit"), F.col("hi"))
+def _search(found: DataFrame, nodes: DataFrame, path: DataFrame, steps: int) -> DataFrame:
+    """Fat binary search: ``found`` (conv_id, len, l, r, low) moves to the deepest node whose handle
+    is a prefix of the conversation, ``low`` being the depth of that node's parent."""
+    own = path.select("conv_id", F.col("pos").alias("fat"), "p", "q")
+    nodes = nodes.select("fat", "p", "q", "lo", "hi")
     for _ in range(steps):
-        found = found.withColumn("f", F.when(F.col("l") < F.col("r"), two_fattest(F.col("l"), F.col("r"))))
-        found = found.join(own, ["conv_id", "f"], "left").join(nodes, ["f", "p", "q"], "left")
+        found = found.withColumn("fat", F.when(F.col("l") < F.col("r"), two_fattest(F.col("l"), F.col("r"))))
+        found = found.join(own, ["conv_id", "fat"], "left").join(nodes, ["fat", "p", "q"], "left")
         hit = F.col("hi").isNotNull()
-        found = found.select("conv_id", "len", F.when(hit, F.col("hi")).otherwise(F.col("l")).alias("l"),
-                             F.when(hit | F.col("f").isNull(), F.col("r")).otherwise(F.col("f") - 1).alias("r"),
-                             F.when(hit, F.col("hit")).otherwise(F.col("at")).alias("at"), F.when(hit, F.col("hi")).otherwise(F.col("depth")).alias("depth"))
+        found = found.select("conv_id", "len", F.coalesce("hi", "l").alias("l"), F.when(hit | F.col("fat").isNull(), F.col("r")).otherwise(F.col("fat") - 1).alias("r"),
+                             F.coalesce("lo", "low").alias("low"))
     return found
 
 
-def _exits(found: DataFrame, nodes: DataFrame, path: DataFrame) -> DataFrame:
+def _exits(found: DataFrame, edges: DataFrame, path: DataFrame) -> DataFrame:
     """(conv_id, len, g, m, b, c): the place (leader g or null for the root, depth m) where each
     conversation leaves the trie, and its prefix one turn further (null at its end)."""
     own = path.select("conv_id", "pos", "p", "q")
-    at = nodes.select(F.col("g").alias("at"), F.col("hi").alias("depth"), F.col("lo").alias("at_lo"), F.col("hp"), F.col("hq"))
-    found = found.select("conv_id", "len", "at", "depth").join(at, ["at", "depth"], "left")
-    # does it go through the whole node? then on to the child with its next turn, if there is one
-    end = own.select("conv_id", F.col("pos").alias("depth"), F.col("p").alias("ep"), F.col("q").alias("eq"))
-    found = found.join(end, ["conv_id", "depth"], "left")
-    through = F.col("at").isNull() | ((F.col("ep") == F.col("hp")) & (F.col("eq") == F.col("hq")))
-    found = found.withColumn("through", F.coalesce(through, F.lit(False)))
-    after = own.select("conv_id", (F.col("pos") - 1).alias("depth"), F.col("p").alias("np"), F.col("q").alias("nq"))
-    child = nodes.select(F.col("lo").alias("depth"), F.col("ep").alias("np"), F.col("eq").alias("nq"), F.col("g").alias("child"), F.col("hi").alias("child_hi"))
-    found = found.join(after, ["conv_id", "depth"], "left").join(child, ["depth", "np", "nq"], "left")
-    down = F.col("through") & F.col("child").isNotNull()
-    found = found.select("conv_id", "len", F.when(down, F.col("child")).otherwise(F.col("at")).alias("g"),
-                         F.when(F.col("through"), F.col("depth")).otherwise(F.col("at_lo")).alias("low"),
-                         F.when(down, F.col("child_hi")).when(F.col("through"), F.col("depth")).otherwise(F.col("depth")).alias("high"))
-    # along the edge, the deepest prefix shared with the leader
-    edge = found.where("low < high").join(own, "conv_id").where("pos > low and pos <= high")
-    same = edge.join(own.withColumnRenamed("conv_id", "g"), ["g", "pos", "p", "q"], "left_semi").groupBy("conv_id").agg(F.max("pos").alias("most"))
-    found = found.join(same, "conv_id", "left").select("conv_id", "len", "g", F.coalesce("most", "low").alias("m"))
+    # from the parent of the node found on, the deepest prefix shared with a leader's stretch
+    walk = found.select("conv_id", "len", "low").join(own, "conv_id").where("pos > low")
+    met = walk.join(edges.select("g", "pos", "p", "q"), ["pos", "p", "q"], "left")
+    m = F.coalesce(F.max(F.when(F.col("g").isNotNull(), F.col("pos"))), F.min("low"))
+    out = met.groupBy("conv_id").agg(F.first("len").alias("len"), m.alias("m"), F.max_by("g", F.when(F.col("g").isNotNull(), F.col("pos"))).alias("g"))
     nxt = own.select("conv_id", (F.col("pos") - 1).alias("m"), F.col("p").alias("b"), F.col("q").alias("c"))
-    return found.join(nxt, ["conv_id", "m"], "left")
+    return out.join(nxt, ["conv_id", "m"], "left").select("conv_id", "len", "g", "m", "b", "c")
 
 
-def _nodes(leaders: DataFrame, cuts: DataFrame, path: DataFrame) -> DataFrame:
-    """Compacted nodes (g, lo, hi) with the prefixes of their handle (fat, p, q), first turn (ep, eq) and end (hp, hq)."""
-    on = cuts.join(leaders.select("g", "start"), "g")
-    blocks = F.floor(F.col("hi") / BLOCK)
-    inner = Window.partitionBy("g", "blk").orderBy("hi")
-    last = on.groupBy("g", blocks.alias("blk")).agg(F.max("hi").alias("end"))
-    last = last.select("g", "blk", F.lag("end").over(Window.partitionBy("g").orderBy("blk")).alias("before"))
-    on = on.withColumn("blk", blocks).join(last, ["g", "blk"])
-    on = on.select("g", "hi", F.coalesce(F.lag("hi").over(inner), "before", "start").alias("lo")).withColumn("fat", two_fattest(F.col("lo"), F.col("hi")))
-    own = lambda pos, p, q: path.select(F.col("conv_id").alias("g"), pos, F.col("p").alias(p), F.col("q").alias(q))
-    return on.join(own(F.col("pos").alias("fat"), "p", "q"), ["g", "fat"]) \
-             .join(own((F.col("pos") - 1).alias("lo"), "ep", "eq"), ["g", "lo"]).join(own(F.col("pos").alias("hi"), "hp", "hq"), ["g", "hi"])
+def _nodes(leaders: DataFrame, cuts: DataFrame, edges: DataFrame) -> DataFrame:
+    """Compacted nodes: the prefix (p, q) at the handle ``fat`` of each stretch (lo, hi] between cuts."""
+    on = cuts.join(leaders.select("g", "start"), "g").withColumn("blk", F.floor(F.col("hi") / BLOCK))
+    inner, outer = Window.partitionBy("g", "blk").orderBy("hi"), Window.partitionBy("g").orderBy("blk")
+    last = on.groupBy("g", "blk").agg(F.max("hi").alias("end")).select("g", "blk", F.lag("end").over(outer).alias("before"))
+    on = on.withColumn("prior", F.lag("hi").over(inner)).join(last, ["g", "blk"])
+    on = on.select("g", "hi", F.coalesce("prior", "before", "start").alias("lo"))
+    return on.withColumn("fat", two_fattest(F.col("lo"), F.col("hi"))).join(edges.select("g", F.col("pos").alias("fat"), "p", "q"), ["g", "fat"])
 
 
 def insert_all(store: Store, classes: DataFrame, path: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-    """Inserts ``classes`` (conv_id, len), whose prefixes are ``path``: the leaders (g, start, up, len,
-    turn) and where every class ends (conv_id, g, m), with the number of batches."""
-    todo = classes.select("conv_id", "len", F.lit(0).cast("long").alias("l"), F.lit(None).cast("long").alias("at"))
-    leaders = placed = cuts = nodes = None
+    """Inserts ``classes`` (conv_id, len), whose prefixes are ``path``. Returns the leaders' stretches (g,
+    start, up, len, turn and the columns of path), where each class ends (conv_id, g, m), and the
+    number of batches."""
+    todo = classes.select("conv_id", "len", F.lit(0).cast("long").alias("l"))
     longest = classes.agg(F.max("len")).first()[0] or 0
-    turn = 0
+    leaders, ends, cuts, edges, turn = [], [], [], [], 0
+    union = lambda parts: reduce(DataFrame.unionByName, parts)
     while True:
-        found = todo.select("conv_id", "len", "l", F.col("len").alias("r"), "at", F.col("l").alias("depth"))
-        if nodes is None:       # the empty trie: everything leaves at the root
+        if not turn:            # the empty trie: everything leaves at the root
             first = path.where("pos = 1").select("conv_id", F.col("p").alias("b"), F.col("q").alias("c"))
-            out = found.join(first, "conv_id").select("conv_id", "len", F.col("at").alias("g"), F.col("depth").alias("m"), "b", "c")
+            out = todo.join(first, "conv_id").select("conv_id", "len", F.lit(None).cast("long").alias("g"), F.lit(0).cast("long").alias("m"), "b", "c")
         else:
-            left = longest.bit_length()
+            grown = union(edges)
+            nodes = store.keep(_nodes(union(leaders), union(cuts).distinct(), grown))
+            # the place where it left before is a node by now, and the search goes on below it
+            found, left = todo.select("conv_id", "len", "l", F.col("len").alias("r"), F.col("l").alias("low")), longest.bit_length()
             while left > STEPS:
                 found, left = store.keep(_search(found, nodes, path, STEPS)), left - STEPS
-            out = _exits(_search(found, nodes, path, left), nodes, path)
+            out = _exits(_search(found, nodes, path, left), grown, path)
         out = store.keep(out)
         drawn = out.where("b is not null").groupBy("b", "c").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "conv_id"), "conv_id", "len", "g", "m")).alias("x"))
-        new = drawn.select(F.col("x.conv_id").alias("g"), F.col("x.m").alias("start"), F.col("x.g").alias("up"), F.col("x.len").alias("len"), F.lit(turn).alias("turn"))
+        new = store.keep(drawn.select(F.col("x.conv_id").alias("g"), F.col("x.m").alias("start"), F.col("x.g").alias("up"), F.col("x.len").alias("len"), F.lit(turn).alias("turn")))
+        edges.append(store.keep(path.withColumnRenamed("conv_id", "g").join(new, "g").where("pos > start")))
         ended = out.where("b is null").select("conv_id", "g", "m")
-        leaders = store.keep(new if leaders is None else leaders.unionByName(new))
-        now = leaders.where(F.col("turn") == turn)
-        ends = ended.unionByName(now.select(F.col("g").alias("conv_id"), "g", F.col("len").alias("m")))
-        placed = store.keep(ends if placed is None else placed.unionByName(ends))
-        more = now.select("g", F.col("len").alias("hi")).union(now.where("up is not null").select("up", "start")).union(ended.select("g", "m"))
-        cuts = store.keep((more if cuts is None else cuts.union(more)).distinct())
-        todo = store.keep(out.where("b is not null").join(now.select(F.col("g").alias("conv_id")), "conv_id", "left_anti")
-                          .select("conv_id", "len", F.col("m").alias("l"), F.col("g").alias("at")))
+        leaders.append(new)
+        ends += [ended, new.select(F.col("g").alias("conv_id"), "g", F.col("len").alias("m"))]
+        cuts += [new.select("g", F.col("len").alias("hi")), new.where("up is not null").select(F.col("up").alias("g"), F.col("start").alias("hi")), ended.select("g", F.col("m").alias("hi"))]
+        todo = store.keep(out.where("b is not null").join(new.select(F.col("g").alias("conv_id")), "conv_id", "left_anti").select("conv_id", "len", F.col("m").alias("l")))
         turn += 1
         if todo.isEmpty():
-            return leaders, placed, turn
-        nodes = store.keep(_nodes(leaders, cuts, path))
+            return union(edges), union(ends), turn
 
 
 def _end_hashes(batches):
@@ -229,36 +213,37 @@ def trie(store: Store, ids: DataFrame, rows: DataFrame) -> DataFrame:
     convs = store.keep(ids.join(ends, "conv_id", "left").select("conv_id", *(F.coalesce(f"x.{a}", zero).alias(b) for a, b in (("pos", "len"), ("p", "p"), ("q", "q")))))
     classes = store.keep(convs.groupBy("len", "p", "q").agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n")))
     path = store.keep(path.join(classes.select("conv_id"), "conv_id", "left_semi"))
-    leaders, placed, batches = insert_all(store, classes.where("len > 0").select("conv_id", "len"), path)
+    edges, placed, batches = insert_all(store, classes.where("len > 0").select("conv_id", "len"), path)
 
-    # each edge's depths, with the members that end there
+    # a row per depth, with the members that end there; sums run up each stretch and on to the one it hangs from
     at = placed.join(classes.select("conv_id", "n"), "conv_id").select("g", F.col("m").alias("pos"), F.col("n").alias("n_end"), F.col("conv_id").alias("least_end"))
-    steps = path.withColumnRenamed("conv_id", "g").join(leaders, "g").where("pos > start").join(at, ["g", "pos"], "left")
-    steps = store.keep(steps)
-    done, below = None, None
+    steps = store.keep(edges.join(at, ["g", "pos"], "left"))
+    none = lambda c: F.coalesce(c, zero)
+    levels, below = [], None
     for turn in reversed(range(batches)):
         level = steps.where(F.col("turn") == turn)
         if below is not None:
-            level = level.join(below, ["g", "pos"], "left")
+            level = level.join(below.where("g is not null"), ["g", "pos"], "left")
         else:
             level = level.withColumns({c: F.lit(None).cast("long") for c in ("b_n", "b_least", "b_leaves", "b_saved", "b_count")})
-        none = lambda c: F.coalesce(c, zero)
-        level = level.withColumns({"own_n": none("n_end") + none("b_n"), "own_least": F.least("least_end", "b_least"),
-                                   "n_children": none("b_count") + (F.col("pos") < F.col("len")).cast("long")})
-        level = level.withColumn("own_leaves", none("b_leaves") + (F.col("n_children") == 0).cast("long"))
-        level = _running(level, "g", True, n_convs=(F.sum, F.col("own_n")), least=(F.min, F.col("own_least")), n_leaves=(F.sum, F.col("own_leaves")))
-        level = level.withColumn("own_saved", (F.col("n_convs") - 1) * F.col("chars") + none("b_saved"))
-        level = _running(level, "g", True, saved_tokens=(F.sum, F.col("own_saved")))
+        level = level.withColumns({"own_n": none("n_end") + none("b_n"), "n_children": none("b_count") + (F.col("pos") < F.col("len")).cast("long")})
+        level = _running(level, "g", True, n_convs=(F.sum, F.col("own_n")), least=(F.min, F.least("least_end", "b_least")), weighed=(F.sum, F.col("own_n") * F.col("upto")),
+                         n_leaves=(F.sum, none("b_leaves") + (F.col("n_children") == 0).cast("long")), saved=(F.sum, none("b_saved") - F.col("chars")))
+        # the sum of n_convs * chars from here to the end, by the members that end at each depth
+        level = level.withColumn("saved_tokens", F.col("weighed") - F.col("n_convs") * (F.col("upto") - F.col("chars")) + F.col("saved"))
         level = store.keep(level.select("g", "pos", "p", "q", "start", "up", "least", "n_convs", "n_children", "n_leaves", "saved_tokens"))
-        done = level if done is None else done.unionByName(level)
-        tops = done.where("pos = start + 1").groupBy(F.col("up").alias("g"), F.col("start").alias("pos")).agg(
+        levels.append(level)
+        tops = reduce(DataFrame.unionByName, levels).where("pos = start + 1")
+        below = tops.groupBy(F.col("up").alias("g"), F.col("start").alias("pos")).agg(
             F.sum("n_convs").alias("b_n"), F.min("least").alias("b_least"), F.sum("n_leaves").alias("b_leaves"), F.sum("saved_tokens").alias("b_saved"), F.count("*").alias("b_count"))
-        below = tops.where("g is not null")
+    done = reduce(DataFrame.unionByName, levels)
     # the root, and every node's parent
-    top = done.where("pos = start + 1 and up is null").agg(F.sum("n_leaves").alias("leaves"), F.sum("saved_tokens").alias("saved"), F.count("*").alias("children"))
-    root = convs.agg(F.min("conv_id").alias("least"), F.count("*").alias("n_convs")).where("n_convs > 0").join(top, F.lit(True)).select(
-        F.lit(None).cast("long").alias("g"), zero.alias("pos"), zero.alias("p"), zero.alias("q"), "least", "n_convs", F.col("children").alias("n_children"),
-        F.when(F.col("children") == 0, 1).otherwise(F.col("leaves")).alias("n_leaves"), F.coalesce("saved", zero).alias("saved_tokens"))
+    own = convs.agg(F.min("conv_id").alias("least"), F.count("*").alias("n_convs"))
+    hung = below.where("g is null").select(F.col("b_leaves").alias("n_leaves"), F.col("b_saved").alias("saved_tokens"), F.col("b_count").alias("n_children"))
+    root = own.unionByName(hung, allowMissingColumns=True).agg(F.min("least").alias("least"), *[F.sum(c).alias(c) for c in ("n_convs", "n_leaves", "saved_tokens", "n_children")])
+    root = root.where("n_convs > 0").select(F.lit(None).cast("long").alias("g"), zero.alias("pos"), zero.alias("p"), zero.alias("q"), "least", "n_convs", none("n_children").alias("n_children"),
+                                            F.coalesce("n_leaves", F.lit(1)).alias("n_leaves"), none("saved_tokens").alias("saved_tokens"))
+    root = store.keep(root)
     first = F.col("pos") == F.col("start") + 1
     nodes = done.withColumns({"up_g": F.when(first, F.col("up")).otherwise(F.col("g")), "up_pos": F.col("pos") - 1})
     parents = done.select("g", "pos", "least").unionByName(root.select("g", "pos", "least")).select(F.col("g").alias("up_g"), F.col("pos").alias("up_pos"), F.col("least").alias("parent"))
