@@ -19,9 +19,10 @@ draw meets a heavy branch likely, so batches are about the logarithm of the
 number of conversations. Equal conversations are one member with a count.
 
 At last edges are expanded to a row per depth, and sums over subtrees run up
-the paths, batch by batch from the last. No step gives a conversation, a place
-or a group of copies whole to one task: running sums work in blocks, joins meet
-unique keys on one side, and end lists are hashed from pre-sorted pieces.
+the paths, batch by batch from the last. No step gives a place or a group of
+copies whole to one task: joins meet unique keys on one side, and end lists are
+hashed from pre-sorted pieces. Conversations of more than BLOCK turns are cut:
+what follows hangs from the prefix at the cut like a sequence of its own.
 
 Defined cases: null role or text is empty; rows without conv_id belong to no
 conversation; turns are ordered with null first, ties by the MD5 of role, then
@@ -42,8 +43,10 @@ from skyfold.llm import bytekit as bk
 from skyfold.llm.store import Store
 from skyfold.operators.ranking import prefix_sum
 
-#: Rows of one key that a window takes at once, and ids of an end list that are sorted at once.
-BLOCK = 4096
+#: Turns of one conversation that a row or a window holds at once; longer ones are cut into stretches.
+BLOCK = 1 << 16
+#: Ids of an end list that are sorted at once.
+PIECE = 4096
 #: Lookups of the search in one plan.
 STEPS = 6
 
@@ -73,29 +76,32 @@ def shared_heads(numbered: DataFrame, share: int = 100, heads: int = 6) -> DataF
     return taken.unionByName(rest)
 
 
-def _running(rows: DataFrame, key: str, up: bool, **values: tuple) -> DataFrame:
-    """Running aggregates along ``pos``, own row included (``up``: from the deepest on); a value is
-    (aggregate, column). Windows hold BLOCK rows of a key at most, then one row per block."""
-    blk = F.floor(F.col("pos") / BLOCK)
-    order = lambda c: c.desc() if up else c.asc()
-    inner = Window.partitionBy(key, "_blk").orderBy(order(F.col("pos"))).rowsBetween(Window.unboundedPreceding, 0)
-    outer = Window.partitionBy(key).orderBy(order(F.col("_blk"))).rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("_blk", blk)
-    total = rows.groupBy(key, "_blk").agg(*[fn(c).alias(f"_{k}") for k, (fn, c) in values.items()])
-    total = total.select(key, "_blk", *[fn(f"_{k}").over(outer).alias(f"_{k}") for k, (fn, _) in values.items()])
-    inside = rows.select("*", *[fn(c).over(inner).alias(k) for k, (fn, c) in values.items()])
-    both = {F.sum: lambda a, b: a + F.coalesce(b, F.lit(0)), F.min: F.least, F.bit_xor: lambda a, b: a.bitwiseXOR(F.coalesce(b, F.lit(0)))}
-    return inside.join(total, [key, "_blk"]).withColumns({k: both[fn](F.col(k), F.col(f"_{k}")) for k, (fn, _) in values.items()}) \
-                 .drop("_blk", *[f"_{k}" for k in values])
-
-
 def prefixes(rows: DataFrame) -> DataFrame:
-    """(conv_id, pos, p, q, chars, upto): p and q are the 128 bits of the first ``pos`` turns, ``upto``
-    their code points."""
+    """(conv_id, pos, p, q, p0, q0, chars, upto): p and q are the 128 bits of the first ``pos`` turns, p0
+    and q0 those of one turn less, ``upto`` the code points. Windows hold BLOCK turns at most, then
+    one row per block."""
     lane = lambda seed: F.xxhash64(F.lit(seed), "pos", "role", "text")
-    rows = rows.select("conv_id", F.col("pos").cast("long").alias("pos"), "chars", lane(1).alias("x"), lane(2).alias("y"))
-    rows = _running(rows, "conv_id", False, p=(F.bit_xor, F.col("x")), q=(F.bit_xor, F.col("y")), upto=(F.sum, F.col("chars")))
-    return rows.select("conv_id", "pos", "p", "q", "chars", "upto")
+    rows = rows.select("conv_id", F.col("pos").cast("long").alias("pos"), F.col("chars").cast("long").alias("chars"), lane(1).alias("x"), lane(2).alias("y"),
+                       F.floor((F.col("pos") - 1) / BLOCK).alias("blk"))
+    inner = Window.partitionBy("conv_id", "blk").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    outer = Window.partitionBy("conv_id").orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
+    sums = {"x": F.bit_xor, "y": F.bit_xor, "chars": F.sum}
+    total = rows.groupBy("conv_id", "blk").agg(*[fn(c).alias(c) for c, fn in sums.items()])
+    total = total.select("conv_id", "blk", *[F.coalesce(fn(c).over(outer), F.lit(0)).alias(f"{c}_before") for c, fn in sums.items()])
+    rows = rows.withColumns({f"{c}_in": fn(c).over(inner) for c, fn in sums.items()}).join(total, ["conv_id", "blk"])
+    p, q = (F.col(f"{c}_in").bitwiseXOR(F.col(f"{c}_before")) for c in "xy")
+    return rows.select("conv_id", "pos", p.alias("p"), q.alias("q"), p.bitwiseXOR(F.col("x")).alias("p0"), q.bitwiseXOR(F.col("y")).alias("q0"),
+                       "chars", (F.col("chars_in") + F.col("chars_before")).alias("upto"))
+
+
+def segments(path: DataFrame) -> DataFrame:
+    """(g, base, p0, q0, end, p, q, steps): conversations cut into stretches (base, end] of BLOCK turns at
+    most, equal ones once; p0, q0 and p, q are the prefixes at both ends, ``steps`` (p, q, chars, upto) all between."""
+    cut = path.groupBy("conv_id", (F.floor((F.col("pos") - 1) / BLOCK) * BLOCK).alias("base")).agg(
+        F.min(F.struct("pos", "p0", "q0")).alias("first"), F.max(F.struct("pos", "p", "q")).alias("last"), F.sort_array(F.collect_list(F.struct("pos", "p", "q", "chars", "upto"))).alias("steps"))
+    cut = cut.select("conv_id", "base", "first.p0", "first.q0", F.col("last.pos").alias("end"), "last.p", "last.q", "steps")
+    once = cut.groupBy("end", "p", "q").agg(F.min_by(F.struct("conv_id", "base", "p0", "q0", "steps"), "conv_id").alias("s"))
+    return once.select(F.struct(F.col("s.conv_id").alias("conv_id"), F.col("s.base").alias("base")).alias("g"), "s.base", "s.p0", "s.q0", "end", "p", "q", "s.steps")
 
 
 def two_fattest(low: Column, high: Column) -> Column:
@@ -104,75 +110,76 @@ def two_fattest(low: Column, high: Column) -> Column:
     return high - high % F.pow(F.lit(2), zeros).cast("long")
 
 
-def _search(found: DataFrame, nodes: DataFrame, path: DataFrame, steps: int) -> DataFrame:
-    """Fat binary search: ``found`` (conv_id, len, l, r, low) moves to the deepest node whose handle
-    is a prefix of the conversation, ``low`` being the depth of that node's parent."""
-    own = path.select("conv_id", F.col("pos").alias("fat"), "p", "q")
+def _step(pos: Column) -> Column:
+    return F.get(F.col("steps"), (pos - F.col("base") - 1).cast("int"))
+
+
+def _search(found: DataFrame, nodes: DataFrame, lookups: int) -> DataFrame:
+    """Fat binary search: ``found`` (.., base, steps, l, r, low) moves to the deepest node whose handle is a
+    prefix of the stretch, ``low`` being the depth of that node's parent."""
     nodes = nodes.select("fat", "p", "q", "lo", "hi")
-    for _ in range(steps):
+    own = [c for c in found.columns if c not in ("l", "r", "low")]
+    for _ in range(lookups):
         found = found.withColumn("fat", F.when(F.col("l") < F.col("r"), two_fattest(F.col("l"), F.col("r"))))
-        found = found.join(own, ["conv_id", "fat"], "left").join(nodes, ["fat", "p", "q"], "left")
-        hit = F.col("hi").isNotNull()
-        found = found.select("conv_id", "len", F.coalesce("hi", "l").alias("l"), F.when(hit | F.col("fat").isNull(), F.col("r")).otherwise(F.col("fat") - 1).alias("r"),
-                             F.coalesce("lo", "low").alias("low"))
+        found = found.withColumns({"p": _step(F.col("fat"))["p"], "q": _step(F.col("fat"))["q"]}).join(nodes, ["fat", "p", "q"], "left")
+        miss = F.col("hi").isNull() & F.col("fat").isNotNull()
+        found = found.select(*own, F.coalesce("hi", "l").alias("l"), F.when(miss, F.col("fat") - 1).otherwise(F.col("r")).alias("r"), F.coalesce("lo", "low").alias("low"))
     return found
 
 
-def _exits(found: DataFrame, edges: DataFrame, path: DataFrame) -> DataFrame:
-    """(conv_id, len, g, m, b, c): the place (leader g or null for the root, depth m) where each
-    conversation leaves the trie, and its prefix one turn further (null at its end)."""
-    own = path.select("conv_id", "pos", "p", "q")
-    # from the parent of the node found on, the deepest prefix shared with a leader's stretch
-    walk = found.select("conv_id", "len", "low").join(own, "conv_id").where("pos > low")
-    met = walk.join(edges.select("g", "pos", "p", "q"), ["pos", "p", "q"], "left")
-    m = F.coalesce(F.max(F.when(F.col("g").isNotNull(), F.col("pos"))), F.min("low"))
-    out = met.groupBy("conv_id").agg(F.first("len").alias("len"), m.alias("m"), F.max_by("g", F.when(F.col("g").isNotNull(), F.col("pos"))).alias("g"))
-    nxt = own.select("conv_id", (F.col("pos") - 1).alias("m"), F.col("p").alias("b"), F.col("q").alias("c"))
-    return out.join(nxt, ["conv_id", "m"], "left").select("conv_id", "len", "g", "m", "b", "c")
+def _exits(found: DataFrame, edges: DataFrame) -> DataFrame:
+    """``found`` with the place where each stretch leaves the trie: leader ``up`` (null at the root) and depth ``m``."""
+    # from the parent of the node found on, the deepest prefix shared with a leader
+    rest = F.slice("steps", (F.col("low") - F.col("base") + 1).cast("int"), F.size("steps"))
+    walk = found.select("g", F.explode(rest).alias("s")).select("g", "s.pos", "s.p", "s.q")
+    met = walk.join(edges.select(F.col("g").alias("up"), "pos", "p", "q"), ["pos", "p", "q"])
+    met = met.groupBy("g").agg(F.max(F.struct("pos", "up")).alias("x"))
+    found = found.join(met, "g", "left")
+    return found.select("g", "base", "p0", "q0", "end", "steps", F.coalesce("x.pos", "low").alias("m"), F.col("x.up").alias("up"))
 
 
-def _nodes(leaders: DataFrame, cuts: DataFrame, edges: DataFrame) -> DataFrame:
+def _nodes(leaders: DataFrame, cuts: DataFrame) -> DataFrame:
     """Compacted nodes: the prefix (p, q) at the handle ``fat`` of each stretch (lo, hi] between cuts."""
-    on = cuts.join(leaders.select("g", "start"), "g").withColumn("blk", F.floor(F.col("hi") / BLOCK))
-    inner, outer = Window.partitionBy("g", "blk").orderBy("hi"), Window.partitionBy("g").orderBy("blk")
-    last = on.groupBy("g", "blk").agg(F.max("hi").alias("end")).select("g", "blk", F.lag("end").over(outer).alias("before"))
-    on = on.withColumn("prior", F.lag("hi").over(inner)).join(last, ["g", "blk"])
-    on = on.select("g", "hi", F.coalesce("prior", "before", "start").alias("lo"))
-    return on.withColumn("fat", two_fattest(F.col("lo"), F.col("hi"))).join(edges.select("g", F.col("pos").alias("fat"), "p", "q"), ["g", "fat"])
-
-
-def insert_all(store: Store, classes: DataFrame, path: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-    """Inserts ``classes`` (conv_id, len), whose prefixes are ``path``. Returns the leaders' stretches (g,
-    start, up, len, turn and the columns of path), where each class ends (conv_id, g, m), and the
-    number of batches."""
-    todo = classes.select("conv_id", "len", F.lit(0).cast("long").alias("l"))
-    longest = classes.agg(F.max("len")).first()[0] or 0
-    leaders, ends, cuts, edges, turn = [], [], [], [], 0
+    on = cuts.join(leaders.select("g", "base", "start", "steps"), "g")
+    on = on.withColumn("lo", F.coalesce(F.lag("hi").over(Window.partitionBy("g").orderBy("hi")), "start"))
+    on = on.withColumn("fat", two_fattest(F.col("lo"), F.col("hi")))
+    return on.select("lo", "hi", "fat", _step(F.col("fat"))["p"].alias("p"), _step(F.col("fat"))["q"].alias("q"))
+
+
+def insert_all(store: Store, segs: DataFrame) -> tuple[DataFrame, int]:
+    """Inserts the stretches ``segs`` in batches. Returns a row for each depth of the leaders' own stretches
+    (g, pos, p, q, chars, upto, base, p0, q0, start, up, end, turn), and the number of batches."""
+    todo, turn = segs.select("g", "base", "p0", "q0", "end", "steps", F.col("base").alias("l")), 0
+    leaders, cuts, edges = [], [], []
     union = lambda parts: reduce(DataFrame.unionByName, parts)
     while True:
         if not turn:            # the empty trie: everything leaves at the root
-            first = path.where("pos = 1").select("conv_id", F.col("p").alias("b"), F.col("q").alias("c"))
-            out = todo.join(first, "conv_id").select("conv_id", "len", F.lit(None).cast("long").alias("g"), F.lit(0).cast("long").alias("m"), "b", "c")
+            out = todo.select("g", "base", "p0", "q0", "end", "steps", F.col("base").alias("m"), F.lit(None).cast(segs.schema["g"].dataType).alias("up"))
         else:
-            grown = union(edges)
-            nodes = store.keep(_nodes(union(leaders), union(cuts).distinct(), grown))
+            nodes = store.keep(_nodes(union(leaders), union(cuts).distinct()))
             # the place where it left before is a node by now, and the search goes on below it
-            found, left = todo.select("conv_id", "len", "l", F.col("len").alias("r"), F.col("l").alias("low")), longest.bit_length()
+            found, left = todo.withColumns({"r": F.col("end"), "low": F.col("l")}), BLOCK.bit_length()
+            if turn == 1:
+                longest = (segs.agg(F.max("end")).first()[0] or 0).bit_length()
+            left = min(left, longest)
             while left > STEPS:
-                found, left = store.keep(_search(found, nodes, path, STEPS)), left - STEPS
-            out = _exits(_search(found, nodes, path, left), grown, path)
-        out = store.keep(out)
-        drawn = out.where("b is not null").groupBy("b", "c").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "conv_id"), "conv_id", "len", "g", "m")).alias("x"))
-        new = store.keep(drawn.select(F.col("x.conv_id").alias("g"), F.col("x.m").alias("start"), F.col("x.g").alias("up"), F.col("x.len").alias("len"), F.lit(turn).alias("turn")))
-        edges.append(store.keep(path.withColumnRenamed("conv_id", "g").join(new, "g").where("pos > start")))
-        ended = out.where("b is null").select("conv_id", "g", "m")
+                found, left = store.keep(_search(found, nodes, STEPS)), left - STEPS
+            out = _exits(_search(found, nodes, left), union(edges))
+        # the next turn of its own names the branch
+        out = store.keep(out.withColumns({"b": _step(F.col("m") + 1)["p"], "c": _step(F.col("m") + 1)["q"]}))
+        rest = out.where("m < end")
+        drawn = rest.groupBy("b", "c").agg(F.min_by(F.struct("g", "base", "p0", "q0", "end", "steps", "m", "up"), F.xxhash64(F.lit(turn), "g")).alias("x"))
+        new = store.keep(drawn.select("x.*").withColumnRenamed("m", "start").withColumn("turn", F.lit(turn)))
+        after = F.slice("steps", (F.col("start") - F.col("base") + 1).cast("int"), F.size("steps"))
+        edge = new.select("g", "base", "p0", "q0", "start", "up", "end", "turn", F.explode(after).alias("s"))
+        edges.append(store.keep(edge.select("g", "s.*", "base", "p0", "q0", "start", "up", "end", "turn")))
         leaders.append(new)
-        ends += [ended, new.select(F.col("g").alias("conv_id"), "g", F.col("len").alias("m"))]
-        cuts += [new.select("g", F.col("len").alias("hi")), new.where("up is not null").select(F.col("up").alias("g"), F.col("start").alias("hi")), ended.select("g", F.col("m").alias("hi"))]
-        todo = store.keep(out.where("b is not null").join(new.select(F.col("g").alias("conv_id")), "conv_id", "left_anti").select("conv_id", "len", F.col("m").alias("l")))
+        inside = out.where("m = end").select(F.col("up").alias("g"), F.col("m").alias("hi"))
+        cuts += [new.select("g", F.col("end").alias("hi")), new.where("up is not null").select(F.col("up").alias("g"), F.col("start").alias("hi")), inside]
+        todo = store.keep(rest.join(new.select("g"), "g", "left_anti").select("g", "base", "p0", "q0", "end", "steps", F.col("m").alias("l")))
         turn += 1
         if todo.isEmpty():
-            return union(edges), union(ends), turn
+            return union(edges), turn
 
 
 def _end_hashes(batches):
@@ -197,7 +204,7 @@ def _end_hashes(batches):
 def end_hashes(convs: DataFrame) -> DataFrame:
     """(pos, p, q, ends_sha256) of each place (len, p, q) at which conversations end; ids are sorted
     in pieces of neighbouring ids, and one stream hashes a place's pieces."""
-    pieces = convs.groupBy("len", "p", "q", F.floor(F.col("conv_id") / BLOCK).alias("piece")).agg(F.sort_array(F.collect_list("conv_id")).alias("ids"))
+    pieces = convs.groupBy("len", "p", "q", F.floor(F.col("conv_id") / PIECE).alias("piece")).agg(F.sort_array(F.collect_list("conv_id")).alias("ids"))
     rows = pieces.select("len", "p", "q", "piece", F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids"))
     rows = rows.repartition("len", "p", "q").sortWithinPartitions("len", "p", "q", "piece").select("len", "p", "q", "ids")
     return bk.map_batches(rows, _end_hashes, "pos long, p long, q long, ends_sha256 string")
@@ -208,48 +215,60 @@ def trie(store: Store, ids: DataFrame, rows: DataFrame) -> DataFrame:
     (conv_id) are the members, those without rows too. One row per node: conv_id, depth,
     parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256."""
     path = store.keep(prefixes(rows))
+    zero, none = F.lit(0).cast("long"), lambda c: F.coalesce(c, F.lit(0).cast("long"))
     ends = path.groupBy("conv_id").agg(F.max(F.struct("pos", "p", "q")).alias("x"))
-    zero = F.lit(0).cast("long")
-    convs = store.keep(ids.join(ends, "conv_id", "left").select("conv_id", *(F.coalesce(f"x.{a}", zero).alias(b) for a, b in (("pos", "len"), ("p", "p"), ("q", "q")))))
-    classes = store.keep(convs.groupBy("len", "p", "q").agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n")))
-    path = store.keep(path.join(classes.select("conv_id"), "conv_id", "left_semi"))
-    edges, placed, batches = insert_all(store, classes.where("len > 0").select("conv_id", "len"), path)
-
-    # a row per depth, with the members that end there; sums run up each stretch and on to the one it hangs from
-    at = placed.join(classes.select("conv_id", "n"), "conv_id").select("g", F.col("m").alias("pos"), F.col("n").alias("n_end"), F.col("conv_id").alias("least_end"))
-    steps = store.keep(edges.join(at, ["g", "pos"], "left"))
-    none = lambda c: F.coalesce(c, zero)
+    convs = store.keep(ids.join(ends, "conv_id", "left").select("conv_id", none("x.pos").alias("len"), none("x.p").alias("p"), none("x.q").alias("q")))
+    segs = store.keep(segments(path))
+    edges, batches = insert_all(store, segs)
+
+    # a row per depth, with the members that end there; stretches that begin at a cut of BLOCK turns hang from the prefix there
+    at = convs.groupBy(F.col("len").alias("pos"), "p", "q").agg(F.count("*").alias("n_end"), F.min("conv_id").alias("least_end"))
+    steps = store.keep(edges.join(at, ["pos", "p", "q"], "left"))
+    bases = [r[0] for r in segs.select("base").distinct().orderBy(F.desc("base")).collect()]
+    if len(bases) > 1:
+        under = steps.select(F.col("g").alias("found"), F.col("pos").alias("start"), F.col("p").alias("p0"), F.col("q").alias("q0"))
+        hung = (F.col("up").isNull()) & (F.col("start") > 0)
+        tied = steps.where(hung).join(under, ["start", "p0", "q0"]).withColumn("up", F.col("found")).select(*steps.columns)
+        steps = store.keep(steps.where(~hung).unionByName(tied))
+
+    # sums run up each stretch and on to the one it hangs from
     levels, below = [], None
-    for turn in reversed(range(batches)):
-        level = steps.where(F.col("turn") == turn)
+    up = Window.partitionBy("g").orderBy(F.col("pos").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    for base, turn in [(b, t) for b in bases for t in reversed(range(batches))]:
+        level = steps.where((F.col("turn") == turn) & (F.col("base") == base))
         if below is not None:
             level = level.join(below.where("g is not null"), ["g", "pos"], "left")
         else:
             level = level.withColumns({c: F.lit(None).cast("long") for c in ("b_n", "b_least", "b_leaves", "b_saved", "b_count")})
-        level = level.withColumns({"own_n": none("n_end") + none("b_n"), "n_children": none("b_count") + (F.col("pos") < F.col("len")).cast("long")})
-        level = _running(level, "g", True, n_convs=(F.sum, F.col("own_n")), least=(F.min, F.least("least_end", "b_least")), weighed=(F.sum, F.col("own_n") * F.col("upto")),
-                         n_leaves=(F.sum, none("b_leaves") + (F.col("n_children") == 0).cast("long")), saved=(F.sum, none("b_saved") - F.col("chars")))
-        # the sum of n_convs * chars from here to the end, by the members that end at each depth
-        level = level.withColumn("saved_tokens", F.col("weighed") - F.col("n_convs") * (F.col("upto") - F.col("chars")) + F.col("saved"))
+        level = level.withColumns({"own_n": none("n_end") + none("b_n"), "n_children": none("b_count") + (F.col("pos") < F.col("end")).cast("long")})
+        total = lambda c: F.sum(c).over(up)
+        # the sum of (n_convs - 1) * chars from here to the end, by the members that end at each depth
+        level = level.withColumns({"n_convs": total("own_n"), "least": F.min(F.least("least_end", "b_least")).over(up), "n_leaves": total(none("b_leaves") + (F.col("n_children") == 0).cast("long")),
+                                   "saved_tokens": total(F.col("own_n") * F.col("upto")) - total("own_n") * (F.col("upto") - F.col("chars")) + total(none("b_saved") - F.col("chars"))})
         level = store.keep(level.select("g", "pos", "p", "q", "start", "up", "least", "n_convs", "n_children", "n_leaves", "saved_tokens"))
         levels.append(level)
-        tops = reduce(DataFrame.unionByName, levels).where("pos = start + 1")
-        below = tops.groupBy(F.col("up").alias("g"), F.col("start").alias("pos")).agg(
+        below = reduce(DataFrame.unionByName, levels).where("pos = start + 1").groupBy(F.col("up").alias("g"), F.col("start").alias("pos")).agg(
             F.sum("n_convs").alias("b_n"), F.min("least").alias("b_least"), F.sum("n_leaves").alias("b_leaves"), F.sum("saved_tokens").alias("b_saved"), F.count("*").alias("b_count"))
-    done = reduce(DataFrame.unionByName, levels)
+
     # the root, and every node's parent
     own = convs.agg(F.min("conv_id").alias("least"), F.count("*").alias("n_convs"))
-    hung = below.where("g is null").select(F.col("b_leaves").alias("n_leaves"), F.col("b_saved").alias("saved_tokens"), F.col("b_count").alias("n_children"))
-    root = own.unionByName(hung, allowMissingColumns=True).agg(F.min("least").alias("least"), *[F.sum(c).alias(c) for c in ("n_convs", "n_leaves", "saved_tokens", "n_children")])
-    root = root.where("n_convs > 0").select(F.lit(None).cast("long").alias("g"), zero.alias("pos"), zero.alias("p"), zero.alias("q"), "least", "n_convs", none("n_children").alias("n_children"),
-                                            F.coalesce("n_leaves", F.lit(1)).alias("n_leaves"), none("saved_tokens").alias("saved_tokens"))
-    root = store.keep(root)
-    first = F.col("pos") == F.col("start") + 1
-    nodes = done.withColumns({"up_g": F.when(first, F.col("up")).otherwise(F.col("g")), "up_pos": F.col("pos") - 1})
-    parents = done.select("g", "pos", "least").unionByName(root.select("g", "pos", "least")).select(F.col("g").alias("up_g"), F.col("pos").alias("up_pos"), F.col("least").alias("parent"))
-    nodes = nodes.join(parents, nodes["up_g"].eqNullSafe(parents["up_g"]) & (nodes["up_pos"] == parents["up_pos"]))
-    kept = ["least", "pos", "parent", "n_convs", "n_children", "n_leaves", "saved_tokens", "p", "q"]
-    nodes = nodes.select(*(nodes[c] if c != "parent" else F.col(c) for c in kept)).unionByName(root.withColumn("parent", F.lit(None).cast("long")).select(*kept))
-    nodes = nodes.join(end_hashes(convs), ["pos", "p", "q"], "left")
-    return nodes.select(F.col("least").alias("conv_id"), F.col("pos").alias("depth"), F.col("parent").alias("parent_conv_id"), "n_convs", "n_children", "n_leaves",
+    kept = ["g", "pos", "p", "q", "up_pos", "least", "n_convs", "n_children", "n_leaves", "saved_tokens"]
+    kind = segs.schema["g"].dataType
+    if levels:
+        hung = below.where("g is null").select(F.col("b_leaves").alias("n_leaves"), F.col("b_saved").alias("saved_tokens"), F.col("b_count").alias("n_children"))
+        own = own.unionByName(hung, allowMissingColumns=True).agg(F.min("least").alias("least"), *[F.sum(c).alias(c) for c in ("n_convs", "n_leaves", "saved_tokens", "n_children")])
+    else:
+        own = own.withColumns({c: F.lit(None).cast("long") for c in ("n_leaves", "saved_tokens", "n_children")})
+    nodes = own.where("n_convs > 0").select(F.lit(None).cast(kind).alias("g"), zero.alias("pos"), zero.alias("p"), zero.alias("q"), F.lit(-1).cast("long").alias("up_pos"), "least", "n_convs",
+                                            none("n_children").alias("n_children"), F.coalesce("n_leaves", F.lit(1)).alias("n_leaves"), none("saved_tokens").alias("saved_tokens"))
+    nodes = nodes.withColumn("up_g", F.col("g"))
+    if levels:
+        below_own = F.col("pos") > F.col("start") + 1
+        done = reduce(DataFrame.unionByName, levels)
+        nodes = nodes.unionByName(done.select(*(c for c in kept if c != "up_pos"), F.when(below_own, F.col("g")).otherwise(F.col("up")).alias("up_g"), (F.col("pos") - 1).alias("up_pos")))
+    nodes = store.keep(nodes)
+    key = lambda g, pos: F.struct(F.col(f"{g}.conv_id"), F.col(f"{g}.base"), F.col(pos))
+    parents = nodes.select(key("g", "pos").alias("place"), F.col("least").alias("parent_conv_id"))
+    nodes = nodes.withColumn("place", key("up_g", "up_pos")).join(parents, "place", "left").join(end_hashes(convs), ["pos", "p", "q"], "left")
+    return nodes.select(F.col("least").alias("conv_id"), F.col("pos").alias("depth"), "parent_conv_id", "n_convs", "n_children", "n_leaves",
                         "saved_tokens", F.coalesce("ends_sha256", F.lit(hashlib.sha256(b"").hexdigest())).alias("ends_sha256"))

@@ -77,10 +77,11 @@ def _members(rng, n):
     return {c: tuple(rng.choice("ab") for _ in range(rng.choice((0, 1, 3, 17, 40)))) for c in range(n)}
 
 
-@pytest.mark.parametrize("block", [4096, 3])
+@pytest.mark.parametrize("block", [4096, 16])
 def test_trie_of_random_sequences(spark, monkeypatch, block):
     monkeypatch.setattr(trie, "BLOCK", block)
     monkeypatch.setattr(trie, "STEPS", 2)
+    monkeypatch.setattr(trie, "PIECE", 7)
     members = _members(random.Random(block), 60)
     rows = spark.createDataFrame([(c, k + 1, b"r", x.encode(), 2) for c, v in members.items() for k, x in enumerate(v)], "conv_id long, pos long, role binary, text binary, chars long")
     ids = spark.createDataFrame([(c,) for c in members], "conv_id long")
