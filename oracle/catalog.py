@@ -34,7 +34,7 @@ for _n in ("dim_date", "dim_route", "dim_fare", "dim_flight", "dim_channel", "fa
            "fact_flight_occupancy", "fact_reservation_lifecycle", "occupancy_by_route", "revenue_by_fare",
            "cancellation_patterns", "lead_time_by_class",
            "flight_availability", "available_flights", "cheapest_eligible_fare", "one_stop_connections",
-           "search_direct", "search_one_stop", "search_offers", "next_sellable_flight", "two_stop_connections",
+           "search_direct", "search_one_stop", "search_two_stop", "search_offers", "next_sellable_flight", "two_stop_connections",
            "seat_map_seats", "seat_map_capacity", "materialize_flights", "assign_aircraft", "flight_inventory_init",
            "fare_grid", "seed_scarcity", "scarce_inventory", "oversell_check", "inventory_reconciliation",
            "inventory_from_events", "capacity_cut_impact",

@@ -77,14 +77,13 @@ FROM sched_conns c1 JOIN sched_conns c2 ON c2.l1_id = c1.l2_id
 WHERE c2.l2_dest <> c1.l1_orig""", ("sched_conns",))
 
 cte("search_requests", """
-SELECT l.reservation_id AS request_id, r.origin_iata AS origin, r.destination_iata AS destination,
+SELECT l.ticket_id AS request_id, r.origin_iata AS origin, r.destination_iata AS destination,
        fi.flight_date, l.cabin_code, pax.passengers, 'COP' AS currency, CAST(l.created_at AS DATE) AS search_date
 FROM lines l JOIN flight_instance fi ON fi.flight_instance_id = l.flight_instance_id
 JOIN scheduled_flight sf ON sf.scheduled_flight_id = fi.scheduled_flight_id
 JOIN route r ON r.route_id = sf.route_id
 JOIN (SELECT reservation_id, count(*) AS passengers FROM reservation_passenger
-      WHERE passenger_type <> 'INF' GROUP BY reservation_id) pax ON pax.reservation_id = l.reservation_id
-WHERE l.line_seq = 1""", ("lines", "flight_instance", "scheduled_flight", "route", "reservation_passenger"))
+      WHERE passenger_type <> 'INF' GROUP BY reservation_id) pax ON pax.reservation_id = l.reservation_id""", ("lines", "flight_instance", "scheduled_flight", "route", "reservation_passenger"))
 
 cte("sd_cand", """
 SELECT q.request_id, q.passengers, q.search_date, a.flight_instance_id AS l1_id, a.route_id AS l1_route,
@@ -150,24 +149,70 @@ def _tax_cents(p: str) -> str:
     return he(f"CAST({p}_base * 100 AS BIGINT) * CAST({p}_tax * 100 AS BIGINT)", "10000")
 
 
+def _connects(before: str, after: str, hub: str) -> str:
+    return (f"{after}.departure_utc >= {before}.arrival_utc + to_minutes(CAST({hub}.min_connection_min AS BIGINT))"
+            f" AND {after}.departure_utc <= {before}.arrival_utc + INTERVAL 12 HOUR")
+
+
+cte("st_cand", f"""
+SELECT q.request_id, q.passengers, q.search_date, q.cabin_code,
+       a.flight_instance_id AS l1_id, a.route_id AS l1_route, a.flight_date AS l1_date, a.departure_utc AS l1_dep, a.seats_available AS l1_seats,
+       b.flight_instance_id AS l2_id, b.route_id AS l2_route, b.flight_date AS l2_date, b.seats_available AS l2_seats,
+       c.flight_instance_id AS l3_id, c.route_id AS l3_route, c.flight_date AS l3_date, c.arrival_utc AS l3_arr, c.seats_available AS l3_seats,
+       (epoch_us(b.departure_utc) - epoch_us(a.arrival_utc)) // 60000000 AS connection_minutes,
+       (epoch_us(c.departure_utc) - epoch_us(b.arrival_utc)) // 60000000 AS connection2_minutes
+FROM search_requests q
+JOIN flight_availability a ON a.origin_iata = q.origin AND a.flight_date = q.flight_date AND a.cabin_code = q.cabin_code
+JOIN airport h ON h.iata_code = a.destination_iata
+JOIN flight_availability b ON b.origin_iata = a.destination_iata AND b.cabin_code = q.cabin_code
+ AND b.flight_date BETWEEN a.flight_date AND a.flight_date + 1 AND {_connects('a', 'b', 'h')}
+JOIN airport k ON k.iata_code = b.destination_iata
+JOIN flight_availability c ON c.origin_iata = b.destination_iata AND c.destination_iata = q.destination AND c.cabin_code = q.cabin_code
+ AND c.flight_date BETWEEN b.flight_date AND b.flight_date + 1 AND {_connects('b', 'c', 'k')}
+WHERE a.flight_status = 'SCHEDULED' AND b.flight_status = 'SCHEDULED' AND c.flight_status = 'SCHEDULED'
+  AND a.seats_available >= q.passengers AND b.seats_available >= q.passengers AND c.seats_available >= q.passengers
+  AND a.destination_iata <> q.destination AND b.destination_iata NOT IN (q.origin, q.destination)""",
+    ("search_requests", "flight_availability", "airport"))
+
+cte("st_keys", """
+SELECT l1_route AS route_id, cabin_code, l1_date AS flight_date, search_date AS as_of FROM st_cand
+UNION ALL SELECT l2_route, cabin_code, l2_date, search_date FROM st_cand
+UNION ALL SELECT l3_route, cabin_code, l3_date, search_date FROM st_cand""", ("st_cand",))
+cte("st_fares", fare_pick("st_keys"), ("st_keys", "fare", "fare_class", "fare_rule"))
+
+cte("search_two_stop", """
+SELECT * FROM (
+  SELECT c.*, """ + ", ".join(f"f{i}.fare_id AS l{i}_fare_id, f{i}.base_amount AS l{i}_base, f{i}.tax_pct AS l{i}_tax" for i in (1, 2, 3)) + """,
+         row_number() OVER (PARTITION BY c.request_id
+                            ORDER BY f1.price_e6 + f2.price_e6 + f3.price_e6, epoch(c.l3_arr) - epoch(c.l1_dep), c.l1_id, c.l2_id, c.l3_id) AS rank
+  FROM st_cand c """ + " ".join(
+    f"JOIN st_fares f{i} ON f{i}.route_id = c.l{i}_route AND f{i}.cabin_code = c.cabin_code AND f{i}.flight_date = c.l{i}_date AND f{i}.as_of = c.search_date"
+    for i in (1, 2, 3)) + """) x
+WHERE rank <= 50""", ("st_cand", "st_fares"))
+
+
 cte("so_offers_all", f"""
-SELECT request_id, 0 AS stops, l1_id AS first_flight_id, CAST(NULL AS BIGINT) AS second_flight_id,
-       (epoch(l1_arr) - epoch(l1_dep)) // 60 AS total_duration_minutes, CAST(NULL AS BIGINT) AS connection_minutes,
+SELECT request_id, 0 AS stops, l1_id AS first_flight_id, CAST(NULL AS BIGINT) AS second_flight_id, CAST(NULL AS BIGINT) AS third_flight_id,
+       (epoch(l1_arr) - epoch(l1_dep)) // 60 AS total_duration_minutes, CAST(NULL AS BIGINT) AS connection_minutes, CAST(NULL AS BIGINT) AS connection2_minutes,
        CAST(l1_base * 100 AS BIGINT) AS fare_c, {_tax_cents('l1')} AS tax_c, passengers
 FROM search_direct
 UNION ALL
-SELECT request_id, 1, l1_id, l2_id, (epoch(l2_arr) - epoch(l1_dep)) // 60, connection_minutes,
+SELECT request_id, 1, l1_id, l2_id, NULL, (epoch(l2_arr) - epoch(l1_dep)) // 60, connection_minutes, NULL,
        CAST(l1_base * 100 AS BIGINT) + CAST(l2_base * 100 AS BIGINT), {_tax_cents('l1')} + {_tax_cents('l2')}, passengers
-FROM search_one_stop""", ("search_direct", "search_one_stop"))
+FROM search_one_stop
+UNION ALL
+SELECT request_id, 2, l1_id, l2_id, l3_id, (epoch(l3_arr) - epoch(l1_dep)) // 60, connection_minutes, connection2_minutes,
+       CAST(l1_base * 100 AS BIGINT) + CAST(l2_base * 100 AS BIGINT) + CAST(l3_base * 100 AS BIGINT), {_tax_cents('l1')} + {_tax_cents('l2')} + {_tax_cents('l3')}, passengers
+FROM search_two_stop""", ("search_direct", "search_one_stop", "search_two_stop"))
 
 cte("search_offers", """
 SELECT * FROM (
-  SELECT request_id, stops, first_flight_id, second_flight_id, total_duration_minutes, connection_minutes,
+  SELECT request_id, stops, first_flight_id, second_flight_id, third_flight_id, total_duration_minutes, connection_minutes, connection2_minutes,
          CAST(fare_c * passengers AS DOUBLE) / 100 AS fare_amount, CAST(tax_c * passengers AS DOUBLE) / 100 AS tax_amount,
          CAST((fare_c + tax_c) * passengers AS DOUBLE) / 100 AS total_amount,
          CAST(fare_c + tax_c AS DOUBLE) / 100 AS price_per_passenger,
          row_number() OVER (PARTITION BY request_id ORDER BY (fare_c + tax_c) * passengers, total_duration_minutes,
-                            stops, first_flight_id, second_flight_id NULLS FIRST) AS rank
+                            stops, first_flight_id, second_flight_id NULLS FIRST, third_flight_id NULLS FIRST) AS rank
   FROM so_offers_all) x
 WHERE rank <= 40""", ("so_offers_all",))
 

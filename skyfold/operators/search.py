@@ -20,6 +20,12 @@ Scale notes
   and the exact range is a residual filter. Hub skew is left to AQE.
 * Top-k per request uses ``row_number`` over the request, which Spark plans
   as a window group limit (partial top-k before the shuffle).
+* Requests that ask the same thing are searched once (``fold_requests``) and
+  get the answer back by an equi join.
+* Two-stop itineraries meet in the middle leg: first and last legs are found
+  from the request's own ends, only hub pairs with a route between them look
+  for a middle leg, and the k-th least lower bound of a middle leg bounds the
+  k-th price, so that chains above it are never made.
 """
 
 from __future__ import annotations
@@ -28,6 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyfold.functions import exprs as X
+from skyfold.session import checkpoint_dir
 
 REQUEST_COLS = ("request_id", "origin", "destination", "flight_date", "cabin_code",
                 "passengers", "currency", "search_date")
@@ -104,6 +111,22 @@ def unit_price(base: str | F.Column, tax_pct: str | F.Column) -> F.Column:
     return X.col(base) * (F.lit(1) + X.col(tax_pct) / F.lit(100))
 
 
+REQUEST_KEY = REQUEST_COLS[1:]
+
+
+def fold_requests(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct searches (a request_id of its own each, the least that asks it), and
+    (request_id, search_id) of every request."""
+    searches = requests.groupBy(*REQUEST_KEY).agg(F.min("request_id").alias("request_id"))
+    members = requests.select(*REQUEST_COLS).join(searches.withColumnRenamed("request_id", "search_id"), list(REQUEST_KEY))
+    return searches.select(*REQUEST_COLS), members.select("request_id", "search_id")
+
+
+def unfold_results(results: DataFrame, members: DataFrame) -> DataFrame:
+    """The rows of each search for every request that asks it."""
+    return results.withColumnRenamed("request_id", "search_id").join(members, "search_id").drop("search_id")
+
+
 # J11
 def _connection_window(l1: DataFrame, airport: DataFrame, max_hours: int) -> DataFrame:
     hub = F.broadcast(airport.select(F.col("iata_code").alias("_hub"), "min_connection_min"))
@@ -211,6 +234,87 @@ def search_one_stop(requests: DataFrame, avail: DataFrame, ladder: DataFrame, ai
     return _top(c, [F.col("sort_price"), F.col("elapsed_s"), F.col("l1_id"), F.col("l2_id")], limit)
 
 
+def _price_leg(df: DataFrame, ladder: DataFrame, prefix: str) -> DataFrame:
+    """J10 joined to each row itself: rows without an eligible fare go, rows stay unique."""
+    steps = ladder.withColumnRenamed("route_id", f"{prefix}_route")
+    lead = F.datediff(F.col(f"{prefix}_date"), F.col("search_date"))
+    j = df.join(steps, [f"{prefix}_route", "cabin_code", "currency"]).where(
+        F.col("search_date").between(F.col("valid_from"), F.col("valid_to")) & (F.col("min_advance_days") <= lead) & (F.col("next_adv").isNull() | (lead < F.col("next_adv"))))
+    g = j.groupBy(*df.columns).agg(F.min("best").alias("b"))
+    return g.select(*df.columns, F.col("b.fare_id").alias(f"{prefix}_fare_id"), F.col("b.fare_class_code").alias(f"{prefix}_class"),
+                    F.col("b.base_amount").alias(f"{prefix}_base"), F.col("b.tax_pct").alias(f"{prefix}_tax"))
+
+
+def _hub_window(arrival: str, minutes: str, max_hours: int) -> tuple[F.Column, F.Column]:
+    """First and last departure that connects with an arrival."""
+    lo = F.col(arrival) + F.make_dt_interval(F.lit(0), F.lit(0), F.col(minutes).cast("int"))
+    return lo, F.col(arrival) + F.make_dt_interval(F.lit(0), F.lit(max_hours))
+
+
+# O2 with one stop more
+def search_two_stop(requests: DataFrame, avail: DataFrame, ladder: DataFrame, airport: DataFrame,
+                    limit: int = 50, max_hours: int = X.MAX_CONNECTION_HOURS) -> DataFrame:
+    """Two-stop offers per request: the first leg on the date, each later leg at most a day after the
+    one before by flight date, four different airports, MCT of each hub <= gap <= max_hours, seats and
+    an eligible fare on every leg; cheapest total unrounded price first, then elapsed time, then
+    flight ids; at most ``limit`` per request.
+
+    Given the middle leg, first and last leg are free of each other. The cheapest of both give the
+    middle leg's bound, which one chain attains; so ``limit`` bounds not above a price prove as many
+    chains, and only middle legs, first legs and last legs that can stay within it are combined.
+    The two halves are read several times and checkpointed."""
+    checkpoint_dir(requests.sparkSession)
+    sched = avail.where(F.col("flight_status") == "SCHEDULED")
+    req = requests.select(*REQUEST_COLS)
+    mct = airport.select("iata_code", F.col("min_connection_min").cast("int").alias("mct"))
+    # hub pairs of a request: reached from its origin, joined by a route, leading to its destination
+    a = sched.select("cabin_code", "flight_date", F.col("origin_iata").alias("origin"), F.col("destination_iata").alias("hub1")).distinct()
+    z = sched.select("cabin_code", F.col("flight_date").alias("z_date"), F.col("origin_iata").alias("hub2"), F.col("destination_iata").alias("destination")).distinct()
+    edges = sched.select(F.col("origin_iata").alias("hub1"), F.col("destination_iata").alias("hub2")).distinct()
+    last_day = F.col("z_date").between(F.col("flight_date"), F.date_add("flight_date", 2))
+    days = req.withColumn("z_date", F.explode(F.sequence("flight_date", F.date_add("flight_date", 2))))
+    into = days.join(z, ["cabin_code", "destination", "z_date"]).where(last_day).select("request_id", "hub2").distinct()
+    pairs = (req.join(a, ["cabin_code", "origin", "flight_date"]).where(F.col("hub1") != F.col("destination"))
+             .select(*REQUEST_COLS, "hub1").join(edges, "hub1").where((F.col("hub2") != F.col("origin")) & (F.col("hub2") != F.col("destination")))
+             .join(into, ["request_id", "hub2"]))
+    # first leg and middle leg
+    l1 = _legs(sched, "l1").withColumnsRenamed({"l1_orig": "origin", "l1_dest": "hub1", "l1_date": "flight_date"})
+    m = _legs(sched, "l2").withColumnsRenamed({"l2_orig": "hub1", "l2_dest": "hub2"}).withColumn("day", F.to_date("l2_dep"))
+    enough = lambda p: F.col(f"{p}_seats") >= F.col("passengers")
+    first = pairs.join(l1, ["origin", "hub1", "flight_date", "cabin_code"]).where(enough("l1")).withColumn("l1_date", F.col("flight_date"))
+    first = first.join(mct.withColumnRenamed("iata_code", "hub1"), "hub1")
+    lo, hi = _hub_window("l1_arr", "mct", max_hours)
+    first = first.withColumns({"lo": lo, "hi": hi}).withColumn("day", F.explode(F.sequence(F.to_date("lo"), F.to_date("hi")))).drop("mct")
+    two = (first.join(m, ["hub1", "hub2", "cabin_code", "day"])
+           .where(enough("l2") & F.col("l2_dep").between(F.col("lo"), F.col("hi")) & F.col("l2_date").between(F.col("l1_date"), F.date_add("l1_date", 1)))
+           .withColumn("connection_minutes", X.minutes_between("l1_arr", "l2_dep")).drop("day", "lo", "hi"))
+    two = _price_leg(_price_leg(two, ladder, "l1"), ladder, "l2")
+    two = two.withColumns({"p1": unit_price("l1_base", "l1_tax"), "p2": unit_price("l2_base", "l2_tax")}).checkpoint()
+    # middle leg and last leg
+    middle = two.groupBy(*REQUEST_COLS, "hub2", "l2_id", "l2_arr", "l2_date", "p2").agg(F.min("p1").alias("p1_least"))
+    middle = middle.join(mct.withColumnRenamed("iata_code", "hub2"), "hub2")
+    lo, hi = _hub_window("l2_arr", "mct", max_hours)
+    middle = middle.withColumns({"lo": lo, "hi": hi}).withColumn("day", F.explode(F.sequence(F.to_date("lo"), F.to_date("hi")))).drop("mct")
+    l3 = _legs(sched, "l3").withColumnsRenamed({"l3_orig": "hub2", "l3_dest": "destination"}).withColumn("day", F.to_date("l3_dep"))
+    tail = (middle.join(l3, ["hub2", "destination", "cabin_code", "day"])
+            .where(enough("l3") & F.col("l3_dep").between(F.col("lo"), F.col("hi")) & F.col("l3_date").between(F.col("l2_date"), F.date_add("l2_date", 1)))
+            .withColumn("connection2_minutes", X.minutes_between("l2_arr", "l3_dep")).drop("day", "lo", "hi", "l2_arr", "l2_date"))
+    tail = _price_leg(tail, ladder, "l3").withColumn("p3", unit_price("l3_base", "l3_tax")).checkpoint()
+    bound = tail.groupBy("request_id", "l2_id").agg(F.min(F.col("p1_least") + F.col("p2") + F.col("p3")).alias("bound"), F.min("p3").alias("p3_least"))
+    w = Window.partitionBy("request_id").orderBy("bound")
+    enough_at = (bound.select("request_id", "bound", F.row_number().over(w).alias("n")).where(F.col("n") <= limit)
+                 .groupBy("request_id").agg(F.max("bound").alias("most"), F.count(F.lit(1)).alias("n"))
+                 .select("request_id", F.when(F.col("n") == limit, F.col("most")).alias("most")))
+    open_ = bound.join(enough_at, "request_id").where(F.col("most").isNull() | (F.col("bound") <= F.col("most"))).drop("bound")
+    within = lambda price: F.col("most").isNull() | (price <= F.col("most"))
+    heads = two.join(open_, ["request_id", "l2_id"]).where(within(F.col("p1") + F.col("p2") + F.col("p3_least"))).drop("p3_least")
+    ends = tail.join(open_.drop("p3_least"), ["request_id", "l2_id"]).where(within(F.col("p1_least") + F.col("p2") + F.col("p3")))
+    ends = ends.select("request_id", "l2_id", *[c for c in ends.columns if c.startswith("l3_")], "connection2_minutes", "p3")
+    c = heads.join(ends, ["request_id", "l2_id"]).withColumn("sort_price", F.col("p1") + F.col("p2") + F.col("p3")).where(within(F.col("sort_price")))
+    c = c.withColumn("elapsed_s", F.unix_seconds("l3_arr") - F.unix_seconds("l1_dep")).drop("most")
+    return _top(c, [F.col("sort_price"), F.col("elapsed_s"), F.col("l1_id"), F.col("l2_id"), F.col("l3_id")], limit)
+
+
 def _priced(df: DataFrame, legs: list[str]) -> DataFrame:
     for p in legs:
         fare, tax = X.tax_split(f"{p}_base", f"{p}_tax")
@@ -222,10 +326,12 @@ def _priced(df: DataFrame, legs: list[str]) -> DataFrame:
     return df.select(
         "request_id", F.lit(len(legs) - 1).alias("stops"),
         F.col("l1_id").alias("first_flight_id"),
-        (F.col(f"{last}_id") if len(legs) > 1 else F.lit(None).cast("bigint")).alias("second_flight_id"),
+        (F.col("l2_id") if len(legs) > 1 else F.lit(None).cast("bigint")).alias("second_flight_id"),
+        (F.col("l3_id") if len(legs) > 2 else F.lit(None).cast("bigint")).alias("third_flight_id"),
         F.col("l1_dep").alias("departure_utc"), F.col(f"{last}_arr").alias("arrival_utc"),
         X.duration_minutes("l1_dep", f"{last}_arr").alias("total_duration_minutes"),
         (F.col("connection_minutes") if len(legs) > 1 else F.lit(None).cast("int")).alias("connection_minutes"),
+        (F.col("connection2_minutes") if len(legs) > 2 else F.lit(None).cast("int")).alias("connection2_minutes"),
         (fare_sum * pax).cast(X.MONEY_TOTAL).alias("fare_amount"),
         (tax_sum * pax).cast(X.MONEY_TOTAL).alias("tax_amount"),
         ((fare_sum + tax_sum) * pax).cast(X.MONEY_TOTAL).alias("total_amount"),
@@ -233,13 +339,32 @@ def _priced(df: DataFrame, legs: list[str]) -> DataFrame:
 
 
 # O3
-def search_offers(direct: DataFrame, one_stop: DataFrame, limit: int = 40) -> DataFrame:
-    """Direct and one-stop offers with rounded money (half-even) times
+def search_offers(direct: DataFrame, one_stop: DataFrame, two_stop: DataFrame | None = None, limit: int = 40) -> DataFrame:
+    """Direct, one-stop and (if given) two-stop offers with rounded money (half-even) times
     passengers, best ``limit`` per request by (total, duration); remaining
     ties by stops and flight ids (the reference keeps list order)."""
     offers = _priced(direct, ["l1"]).unionByName(_priced(one_stop, ["l1", "l2"]))
-    return _top(offers, [F.col("total_amount"), F.col("total_duration_minutes"), F.col("stops"),
-                         F.col("first_flight_id"), F.col("second_flight_id").asc_nulls_first()], limit)
+    if two_stop is not None:
+        offers = offers.unionByName(_priced(two_stop, ["l1", "l2", "l3"]))
+    return _top(offers, [F.col("total_amount"), F.col("total_duration_minutes"), F.col("stops"), F.col("first_flight_id"),
+                         F.col("second_flight_id").asc_nulls_first(), F.col("third_flight_id").asc_nulls_first()], limit)
+
+
+def search_itineraries(requests: DataFrame, avail: DataFrame, ladder: DataFrame, airport: DataFrame,
+                       max_stops: int = 1, limit: int = 40, per_kind: int = 50) -> DataFrame:
+    """O1 to O3 for any number of requests: each distinct search is made once, with up to ``max_stops``
+    (0, 1 or 2) stops, and its best ``limit`` offers go to every request that asks it."""
+    if max_stops not in (0, 1, 2):
+        raise ValueError("max_stops is 0, 1 or 2")
+    searches, members = fold_requests(requests)
+    direct = search_direct(searches, avail, ladder, per_kind)
+    one = search_one_stop(searches, avail, ladder, airport, per_kind) if max_stops else None
+    two = search_two_stop(searches, avail, ladder, airport, per_kind) if max_stops == 2 else None
+    if one is None:
+        best = _top(_priced(direct, ["l1"]), [F.col("total_amount"), F.col("total_duration_minutes"), F.col("first_flight_id")], limit)
+    else:
+        best = search_offers(direct, one, two, limit)
+    return unfold_results(best, members)
 
 
 # O6
@@ -250,16 +375,14 @@ def offer_documents(offers: DataFrame, avail: DataFrame) -> DataFrame:
                        F.col("origin_iata").alias("origin"), F.col("destination_iata").alias("destination"),
                        "departure_utc", "arrival_utc", "seats_available")
     legs = offers.select("request_id", "rank", F.posexplode(F.array_compact(
-        F.array("first_flight_id", "second_flight_id"))).alias("seq", "_fid"), "cabin_code")
+        F.array("first_flight_id", "second_flight_id", "third_flight_id"))).alias("seq", "_fid"), "cabin_code")
     j = legs.join(seg, ["_fid", "cabin_code"])
     docs = (j.groupBy("request_id", "rank")
             .agg(F.sort_array(F.collect_list(F.struct("seq", F.col("_fid").alias("flight_instance_id"),
                                                        "flight_number", "origin", "destination", "departure_utc",
                                                        "arrival_utc", "cabin_code", "seats_available"))).alias("segments")))
     return (offers.join(docs, ["request_id", "rank"])
-            .withColumn("connection_minutes",
-                        F.when(F.col("connection_minutes").isNull(), F.array().cast("array<int>"))
-                        .otherwise(F.array("connection_minutes"))))
+            .withColumn("connection_minutes", F.array_compact(F.array("connection_minutes", "connection2_minutes"))))
 
 
 # O5
@@ -279,7 +402,8 @@ def flexible_dates(requests: DataFrame, avail: DataFrame, ladder: DataFrame, day
     """Cheapest direct unit fare per request and day within ± ``days``."""
     shifted = (requests.select(*REQUEST_COLS, F.explode(F.sequence(F.lit(-days), F.lit(days))).alias("shift"))
                .withColumn("flight_date", F.date_add("flight_date", F.col("shift"))))
-    d = search_direct(shifted.withColumn("request_id", F.struct("request_id", "shift")), avail, ladder, limit=1)
+    searches, members = fold_requests(shifted.withColumn("request_id", F.struct("request_id", "shift")))
+    d = unfold_results(search_direct(searches, avail, ladder, limit=1), members)
     return d.select(F.col("request_id.request_id").alias("request_id"), F.col("request_id.shift").alias("shift"),
                     F.col("flight_date"), F.col("l1_id").alias("flight_instance_id"),
                     F.col("sort_price").alias("unit_price"))

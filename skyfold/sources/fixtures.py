@@ -441,10 +441,9 @@ class FlightModel:
 
     @cached_property
     def search_requests(self) -> DataFrame:
-        """One shopping request per reservation: the route, date and cabin of
-        its first segment, its seated passengers, searched on its creation day."""
-        first = self.lines.where(F.col("line_seq") == 1).select(
-            "reservation_id", "flight_instance_id", "cabin_code", "created_at")
+        """One shopping request per segment: its route, date and cabin, the seated
+        passengers of its reservation, searched on the reservation's creation day."""
+        first = self.lines.select("ticket_id", "reservation_id", "flight_instance_id", "cabin_code", "created_at")
         fi = self.flight_instance.select("flight_instance_id", "scheduled_flight_id", "flight_date")
         sf = self.scheduled_flight.select("scheduled_flight_id", "route_id")
         r = self.route.select("route_id", "origin_iata", "destination_iata")
@@ -452,7 +451,7 @@ class FlightModel:
                   .groupBy("reservation_id").agg(F.count(F.lit(1)).cast("int").alias("passengers")))
         j = first.join(fi, "flight_instance_id").join(sf, "scheduled_flight_id").join(r, "route_id") \
             .join(seated, "reservation_id")
-        return j.select(F.col("reservation_id").alias("request_id"), F.col("origin_iata").alias("origin"),
+        return j.select(F.col("ticket_id").alias("request_id"), F.col("origin_iata").alias("origin"),
                         F.col("destination_iata").alias("destination"), "flight_date", "cabin_code",
                         "passengers", F.lit(CURRENCY).alias("currency"),
                         F.to_date("created_at").alias("search_date"))
