@@ -37,7 +37,7 @@ for _n in ("dim_date", "dim_route", "dim_fare", "dim_flight", "dim_channel", "fa
            "search_direct", "search_one_stop", "search_two_stop", "search_offers", "next_sellable_flight", "two_stop_connections",
            "seat_map_seats", "seat_map_capacity", "materialize_flights", "assign_aircraft", "flight_inventory_init",
            "fare_grid", "seed_scarcity", "scarce_inventory", "oversell_check", "inventory_reconciliation",
-           "inventory_from_events", "capacity_cut_impact",
+           "inventory_from_events", "inventory_curve", "card_number_scan", "capacity_cut_impact",
            "itinerary_validation", "transition_audit", "expired_holds", "seat_demand", "quote_segments",
            "reservation_total", "issue_tickets", "apply_cancellations", "state_as_of", "dedupe_payments",
            "upsert_passengers", "agency_credit_ledger", "expire_holds", "unknown_flights", "reservation_by_name",

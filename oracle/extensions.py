@@ -49,3 +49,21 @@ FROM reservation r JOIN (SELECT payment_id AS reservation_id, count(*) AS paymen
                                 min(received_at) AS first_payment_at
                          FROM payment_event GROUP BY 1) p ON p.reservation_id = r.reservation_id
 WHERE r.status = 'HELD' AND r.hold_expires_at < TIMESTAMP '1998-01-01 00:00:00'""", ("reservation", "payment_event"))
+
+_CARD_CELLS = [("reservation_event", "payload", "event_id", "payload"), ("reservation", "contact_email", "reservation_id", "'c' || o_custkey || '@mail.test'"),
+               ("reservation", "pnr", "reservation_id", "pnr")] + [("passenger", c, "passenger_id", c) for c in ("first_name", "last_name", "email", "phone")]
+_CARD_TABLES = {"passenger": "passenger_x"}
+cte("card_cells", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, CAST({k} AS VARCHAR) AS row_key, CAST({v} AS VARCHAR) AS value FROM {_CARD_TABLES.get(t, t)}"
+    for t, c, k, v in _CARD_CELLS), ("reservation_event", "reservation", "passenger_x"))
+cte("card_number_scan", r"""
+SELECT table_name, column_name, row_key, '****' || right(d, 4) AS masked FROM (
+  SELECT DISTINCT table_name, column_name, row_key, array_to_string(g[i:i + k - 1], '') AS d FROM (
+    SELECT *, unnest(range(1, len(g) - i + 2)) AS k FROM (
+      SELECT *, unnest(range(1, len(g) + 1)) AS i FROM (
+        SELECT table_name, column_name, row_key, string_split_regex(r, '[ -]') AS g FROM (
+          SELECT table_name, column_name, row_key, unnest(regexp_extract_all(value, '[0-9]+(?:[ -][0-9]+)*')) AS r FROM card_cells) a
+        WHERE length(regexp_replace(r, '[ -]', '', 'g')) >= 13) b) c) e) f
+WHERE length(d) BETWEEN 13 AND 19
+  AND list_sum([CASE WHEN (length(d) - p) % 2 = 1 THEN (2 * CAST(d[p] AS INTEGER)) // 10 + (2 * CAST(d[p] AS INTEGER)) % 10
+                     ELSE CAST(d[p] AS INTEGER) END for p in range(1, length(d) + 1)]) % 10 = 0""", ("card_cells",))

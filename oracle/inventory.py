@@ -116,19 +116,41 @@ LEFT JOIN layout_capacity c ON c.seat_map_id = sf.seat_map_id AND c.cabin_code =
 WHERE inv.seats_sold + inv.seats_held > coalesce(c.capacity, 0)""",
     ("flight_inventory", "flight_instance", "scheduled_flight", "layout_capacity"))
 
+cte("sold_seats", """
+SELECT flight_instance_id, cabin_code, ticket_id, hi - seats + unnest(range(1, seats + 1)) AS seat_rank
+FROM (SELECT sg.flight_instance_id, sg.cabin_code, t.ticket_id, t.seats,
+             sum(t.seats) OVER (PARTITION BY sg.flight_instance_id, sg.cabin_code ORDER BY t.ticket_id
+                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS hi
+      FROM ticket t JOIN reservation r ON r.reservation_id = t.reservation_id
+      JOIN itinerary_segment sg ON sg.segment_id = t.segment_id
+      WHERE t.status <> 'CANCELLED' AND r.status = 'CONFIRMED') x""", ("ticket", "reservation", "itinerary_segment"))
+cte("seat_grid", """
+SELECT fi.flight_instance_id, s.cabin_code, s.seat_number,
+       row_number() OVER (PARTITION BY fi.flight_instance_id, s.cabin_code ORDER BY s.row_num, s.seat_letter) AS seat_rank
+FROM flight_instance fi JOIN scheduled_flight sf ON sf.scheduled_flight_id = fi.scheduled_flight_id
+JOIN seats s ON s.seat_map_id = sf.seat_map_id""", ("flight_instance", "scheduled_flight", "seats"))
 cte("seat_map_status", """
-SELECT g.flight_instance_id, g.cabin_code, g.seat_number, g.seat_rank,
-       CASE WHEN r.ticket_id IS NULL THEN 'FREE' ELSE 'TAKEN' END AS status, r.ticket_id
-FROM (SELECT fi.flight_instance_id, s.cabin_code, s.seat_number, s.seat_rank
-      FROM flight_instance fi JOIN scheduled_flight sf ON sf.scheduled_flight_id = fi.scheduled_flight_id
-      JOIN (SELECT *, row_number() OVER (PARTITION BY seat_map_id, cabin_code ORDER BY row_num, seat_letter) AS seat_rank
-            FROM seats) s ON s.seat_map_id = sf.seat_map_id) g
-LEFT JOIN (SELECT sg.flight_instance_id, sg.cabin_code, t.ticket_id,
-                  sum(t.seats) OVER (PARTITION BY sg.flight_instance_id, sg.cabin_code ORDER BY t.ticket_id
-                                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS hi, t.seats
-           FROM ticket t JOIN reservation r ON r.reservation_id = t.reservation_id
-           JOIN itinerary_segment sg ON sg.segment_id = t.segment_id
-           WHERE t.status <> 'CANCELLED' AND r.status = 'CONFIRMED') r
-  ON r.flight_instance_id = g.flight_instance_id AND r.cabin_code = g.cabin_code
- AND g.seat_rank > r.hi - r.seats AND g.seat_rank <= r.hi""",
-    ("flight_instance", "scheduled_flight", "seats", "ticket", "reservation", "itinerary_segment"))
+SELECT coalesce(g.flight_instance_id, t.flight_instance_id) AS flight_instance_id, coalesce(g.cabin_code, t.cabin_code) AS cabin_code,
+       g.seat_number, coalesce(g.seat_rank, t.seat_rank) AS seat_rank, t.ticket_id,
+       CASE WHEN g.seat_rank IS NULL THEN 'UNSEATED' WHEN t.ticket_id IS NULL THEN 'FREE' ELSE 'TAKEN' END AS status
+FROM seat_grid g FULL OUTER JOIN sold_seats t
+  ON t.flight_instance_id = g.flight_instance_id AND t.cabin_code = g.cabin_code AND t.seat_rank = g.seat_rank""", ("seat_grid", "sold_seats"))
+
+cte("inventory_curve", """
+SELECT flight_instance_id, cabin_code, occurred_at, seats_held, seats_sold, lowest_held, lowest_sold, lowest_held < 0 OR lowest_sold < 0 AS dipped
+FROM (SELECT *, min(seats_held) OVER w AS lowest_held, min(seats_sold) OVER w AS lowest_sold
+      FROM (SELECT flight_instance_id, cabin_code, occurred_at, sum(h) OVER w AS seats_held, sum(s) OVER w AS seats_sold
+            FROM (SELECT g.flight_instance_id, g.cabin_code, e.occurred_at, sum(e.h * g.seats) AS h, sum(e.s * g.seats) AS s
+                  FROM itinerary_segment g JOIN itinerary i ON i.itinerary_id = g.itinerary_id
+                  JOIN (SELECT reservation_id, occurred_at,
+                               CASE WHEN (prior IS NULL OR prior IN ('EXPIRED', 'CANCELLED')) AND to_status = 'HELD' THEN 1
+                                    WHEN prior = 'HELD' AND to_status IN ('CONFIRMED', 'CANCELLED', 'EXPIRED') THEN -1 ELSE 0 END AS h,
+                               CASE WHEN prior = 'HELD' AND to_status = 'CONFIRMED' THEN 1
+                                    WHEN prior = 'CONFIRMED' AND to_status = 'CANCELLED' THEN -1 ELSE 0 END AS s
+                        FROM (SELECT reservation_id, occurred_at, to_status,
+                                     lag(to_status) OVER (PARTITION BY reservation_id ORDER BY occurred_at, event_id) AS prior
+                              FROM reservation_event WHERE to_status IS NOT NULL) p) e ON e.reservation_id = i.reservation_id
+                  WHERE e.h <> 0 OR e.s <> 0
+                  GROUP BY ALL) a
+            WINDOW w AS (PARTITION BY flight_instance_id, cabin_code ORDER BY occurred_at)) b
+      WINDOW w AS (PARTITION BY flight_instance_id, cabin_code ORDER BY occurred_at)) c""", ("itinerary_segment", "itinerary", "reservation_event"))

@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from skyfold.functions import exprs as X
 
 ANONYMISE_AFTER_YEARS = 5
-CARD_PATTERN = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
+#: A run of digit groups, one space or dash apart.
+DIGIT_RUN = "[0-9]+(?:[ -][0-9]+)*"
+CARD_DIGITS = (13, 19)
 
 
 # X3
@@ -77,19 +79,32 @@ def luhn_ok(digits: Column) -> Column:
 
 
 # X7
+def card_candidates(text: Column) -> Column:
+    """All strings of 13 to 19 digits made of whole neighbouring digit groups of a text (a run of
+    digits, or groups one space or dash apart), so that a number after a year or a code is seen too."""
+    low, high = CARD_DIGITS
+    runs = F.filter(F.regexp_extract_all(text, F.lit(DIGIT_RUN), 0), lambda r: F.length(F.regexp_replace(r, "[ -]", "")) >= low)
+
+    def windows(groups: Column) -> Column:
+        # a group holds a digit at least, so no window has more groups than digits
+        return F.flatten(F.transform(F.sequence(F.lit(1), F.size(groups)), lambda i: F.transform(
+            F.sequence(F.lit(1), F.least(F.lit(high), F.size(groups) - i + 1)), lambda k: F.array_join(F.slice(groups, i, k), ""))))
+
+    found = F.flatten(F.transform(runs, lambda r: windows(F.split(r, "[ -]"))))
+    return F.filter(found, lambda d: F.length(d).between(low, high))
+
+
 def card_number_scan(tables: dict[str, tuple[DataFrame, str, list[str]]]) -> DataFrame:
-    """Card-like numbers (13–19 digits, spaces or dashes allowed) in text
-    columns that pass the Luhn check. ``tables``: name -> (frame, key
-    column, text columns). Zero hits expected."""
+    """Card-like numbers in text columns that pass the Luhn check, once per row and column. ``tables``:
+    name -> (frame, key column, text columns); a table is scanned once for all its columns. Zero
+    hits expected."""
     parts = []
     for name, (df, key, cols) in tables.items():
-        for c in cols:
-            hits = (df.select(F.col(key).cast("string").alias("row_key"),
-                              F.explode(F.regexp_extract_all(F.col(c), F.lit(CARD_PATTERN), 0)).alias("candidate"))
-                    .withColumn("digits", F.regexp_replace("candidate", "[ -]", ""))
-                    .where(luhn_ok(F.col("digits"))))
-            parts.append(hits.select(F.lit(name).alias("table_name"), F.lit(c).alias("column_name"), "row_key",
-                                     F.concat(F.lit("****"), F.substring("digits", -4, 4)).alias("masked")))
+        cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in cols]))
+        hits = df.select(F.col(key).cast("string").alias("row_key"), cells.alias("cell")).select("row_key", "cell.column_name", F.col("cell.value").alias("value"))
+        hits = hits.where(F.col("value").rlike("[0-9]")).select("row_key", "column_name", F.explode(F.array_distinct(card_candidates(F.col("value")))).alias("digits"))
+        parts.append(hits.where(luhn_ok(F.col("digits"))).select(F.lit(name).alias("table_name"), "column_name", "row_key",
+                                                                 F.concat(F.lit("****"), F.substring("digits", -4, 4)).alias("masked")))
     return reduce(DataFrame.unionByName, parts)
 
 

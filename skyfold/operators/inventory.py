@@ -4,7 +4,7 @@ S5 seat_map_seats, A3 seat_map_capacity, J9 assign_aircraft,
 M1 materialize_flights, J16 flight_inventory_init, J15/P20/M3 fare_grid,
 M4 seed_scarcity, A12 scarce_inventory, F6 oversell_check,
 A4/J17 inventory_reconciliation, E5 inventory_from_events,
-X2 seat_map_status, X8 capacity_cut_impact.
+X2 seat_map_status, E5 inventory_curve, X8 capacity_cut_impact.
 """
 
 from __future__ import annotations
@@ -13,8 +13,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyfold.functions import exprs as X
+from skyfold.operators.ranking import prefix_sum, running_level
 from skyfold.sources.tables import values
 
+#: Ticket ids that one running sum of a flight cabin covers (4,295 reservations of the supplied ids).
+TICKETS_PER_BUCKET = 1 << 32
+
 # ---------------------------------------------------------------------------
 # Seat layouts of the reference seed and its fare-class grid.
 # (seat_map_id, model, cabin, first row, last row, letters, exit rows)
@@ -239,6 +243,26 @@ def inventory_from_events(reservation_event: DataFrame, segment: DataFrame, itin
     return agg.withColumn("is_negative", (F.col("seats_held") < 0) | (F.col("seats_sold") < 0))
 
 
+def inventory_curve(reservation_event: DataFrame, segment: DataFrame, itinerary: DataFrame) -> DataFrame:
+    """E5 over time: per (flight, cabin) and instant at which a counter moved, the seats held and sold
+    after it, the least they have been so far, and whether either has been below zero by then
+    (``dipped``). Moves of one instant count together; a hot flight is summed day by day."""
+    ev = with_prior_status(reservation_event)
+    ev = ev.select("reservation_id", "occurred_at", _delta(F.col("prior_status"), F.col("to_status"), 0).alias("h"),
+                   _delta(F.col("prior_status"), F.col("to_status"), 1).alias("s")).where("h != 0 or s != 0")
+    ev = ev.groupBy("reservation_id", "occurred_at").agg(F.sum("h").alias("h"), F.sum("s").alias("s"))
+    seg = (segment.select("itinerary_id", "flight_instance_id", "cabin_code", "seats")
+           .join(itinerary.select("itinerary_id", "reservation_id"), "itinerary_id")
+           .groupBy("reservation_id", "flight_instance_id", "cabin_code").agg(F.sum("seats").alias("seats")))
+    keys = ["flight_instance_id", "cabin_code"]
+    moves = (seg.join(ev, "reservation_id").groupBy(*keys, "occurred_at")
+             .agg(F.sum(F.col("h") * F.col("seats")).alias("held"), F.sum(F.col("s") * F.col("seats")).alias("sold")))
+    d = running_level(moves, keys, ["occurred_at"], ["held", "sold"], F.to_date("occurred_at"))
+    return d.select(*keys, "occurred_at", F.col("held_level").alias("seats_held"), F.col("sold_level").alias("seats_sold"),
+                    F.col("held_lowest").alias("lowest_held"), F.col("sold_lowest").alias("lowest_sold"),
+                    ((F.col("held_lowest") < 0) | (F.col("sold_lowest") < 0)).alias("dipped"))
+
+
 # X8
 def capacity_cut_impact(inventory: DataFrame, flight_instance: DataFrame, scheduled_flight: DataFrame,
                         capacity: DataFrame) -> DataFrame:
@@ -261,26 +285,31 @@ def capacity_cut_impact(inventory: DataFrame, flight_instance: DataFrame, schedu
 def seat_map_status(flight_instance: DataFrame, scheduled_flight: DataFrame, seats: DataFrame,
                     taken: DataFrame) -> DataFrame:
     """Every seat of every flight instance (its schedule's seat map) as FREE
-    or TAKEN, with the ticket holding it. ``taken``: flight_instance_id,
-    cabin_code, ticket_id, seats. Seats are handed out per (flight, cabin)
-    in ticket order, in seat order (row, letter): ticket k holds the seat
-    ranks (seats of earlier tickets, + its own seats]. The range join is on
-    (flight, cabin), so fan-out is bounded by seats × tickets of one flight
-    cabin."""
+    or TAKEN, with the ticket holding it, and every seat sold beyond the map
+    as UNSEATED. ``taken``: flight_instance_id, cabin_code, ticket_id, seats.
+    Seats are handed out per (flight, cabin) in ticket order, in seat order
+    (row, letter): ticket k holds the ranks (seats of earlier tickets, + its
+    own seats]; a rank past the cabin's seats has no seat number. So a ticket
+    is in the result once per seat it paid for.
+
+    Neither a grid of all seats nor a range join is made: tickets name their
+    ranks, what a cabin has left names its own, and both look their seat up by
+    (seat map, cabin, rank). Earlier tickets' seats are summed in buckets of
+    ticket ids, so that a hot flight is no single task."""
     w_seat = Window.partitionBy("seat_map_id", "cabin_code").orderBy("row_num", "seat_letter")
-    ranked = seats.select("seat_map_id", "cabin_code", "seat_number", "row_num", "seat_letter") \
-        .withColumn("seat_rank", F.row_number().over(w_seat))
+    ranked = seats.select("seat_map_id", "cabin_code", "seat_number", F.row_number().over(w_seat).cast("long").alias("seat_rank"))
+    room = ranked.groupBy("seat_map_id", "cabin_code").agg(F.max("seat_rank").alias("room"))
     fl = (flight_instance.select("flight_instance_id", "scheduled_flight_id")
           .join(scheduled_flight.select("scheduled_flight_id", "seat_map_id"), "scheduled_flight_id")
           .drop("scheduled_flight_id"))
-    grid = fl.join(F.broadcast(ranked), "seat_map_id")          # seat layouts: a few hundred rows
-    w_t = Window.partitionBy("flight_instance_id", "cabin_code").orderBy("ticket_id")
-    ranges = (taken.select("flight_instance_id", "cabin_code", "ticket_id", "seats")
-              .withColumn("hi", F.sum("seats").over(w_t.rowsBetween(Window.unboundedPreceding, 0)))
-              .withColumn("lo", F.col("hi") - F.col("seats"))
-              .select(F.col("flight_instance_id").alias("_f"), F.col("cabin_code").alias("_c"), "ticket_id", "lo", "hi"))
-    j = grid.join(ranges, (grid.flight_instance_id == ranges._f) & (grid.cabin_code == ranges._c)
-                  & (grid.seat_rank > ranges.lo) & (grid.seat_rank <= ranges.hi), "left")
-    return j.select("flight_instance_id", "cabin_code", "seat_number", "seat_rank",
-                    F.when(F.col("ticket_id").isNull(), F.lit("FREE")).otherwise(F.lit("TAKEN")).alias("status"),
-                    "ticket_id")
+    t = taken.where("seats > 0").select("flight_instance_id", "cabin_code", "ticket_id", F.col("seats").cast("long").alias("seats"))
+    t = prefix_sum(t, ["flight_instance_id", "cabin_code"], ["ticket_id"], "seats", F.floor(F.col("ticket_id") / TICKETS_PER_BUCKET), "lo")
+    held = t.select("flight_instance_id", "cabin_code", "ticket_id", F.explode(F.sequence(F.col("lo") + 1, F.col("lo") + F.col("seats"))).alias("seat_rank"))
+    held = held.join(fl, "flight_instance_id", "left")
+    used = taken.groupBy("flight_instance_id", "cabin_code").agg(F.sum("seats").alias("used"))
+    left = fl.join(room, "seat_map_id").join(used, ["flight_instance_id", "cabin_code"], "left").withColumn("used", F.coalesce("used", F.lit(0)).cast("long"))
+    free = left.where("used < room").select("flight_instance_id", "cabin_code", F.lit(None).cast(taken.schema["ticket_id"].dataType).alias("ticket_id"),
+                                            F.explode(F.sequence(F.col("used") + 1, F.col("room"))).alias("seat_rank"), "seat_map_id")
+    j = held.unionByName(free).join(ranked, ["seat_map_id", "cabin_code", "seat_rank"], "left")
+    status = F.when(F.col("ticket_id").isNull(), F.lit("FREE")).when(F.col("seat_number").isNull(), F.lit("UNSEATED")).otherwise(F.lit("TAKEN"))
+    return j.select("flight_instance_id", "cabin_code", "seat_number", "seat_rank", status.alias("status"), "ticket_id")

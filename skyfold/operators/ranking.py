@@ -40,6 +40,28 @@ def prefix_sum(df: DataFrame, keys: list[str], order: list[str], value: str | li
     return d.drop("_ps_bucket", *[f"_ps_{p}{i}" for i in range(len(values)) for p in ("in", "before")])
 
 
+def running_level(df: DataFrame, keys: list[str], order: list[str], values: list[str], bucket: Column) -> DataFrame:
+    """For each of ``values`` its running sum per ``keys`` in ``order``, own row
+    included (``<value>_level``), and the least level so far (``<value>_lowest``).
+
+    A bucket is summed up by the pair (its total, the least level inside it,
+    counted from zero); pairs of earlier buckets compose to what a bucket
+    starts from, so no window ever holds more than one bucket of a key."""
+    w_in = Window.partitionBy(*keys, "_rl_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    w_b = Window.partitionBy(*keys).orderBy("_rl_b").rowsBetween(Window.unboundedPreceding, -1)
+    d = df.withColumn("_rl_b", bucket).withColumns({f"_rl_in_{v}": F.sum(v).over(w_in) for v in values})
+    d = d.withColumns({f"_rl_low_{v}": F.min(f"_rl_in_{v}").over(w_in) for v in values})
+    tot = d.groupBy(*keys, "_rl_b").agg(*[F.sum(v).alias(f"_rl_t_{v}") for v in values], *[F.min(f"_rl_in_{v}").alias(f"_rl_m_{v}") for v in values])
+    tot = tot.withColumns({f"_rl_from_{v}": F.coalesce(F.sum(f"_rl_t_{v}").over(w_b), F.lit(0)) for v in values})
+    tot = tot.withColumns({f"_rl_was_{v}": F.min(F.col(f"_rl_from_{v}") + F.col(f"_rl_m_{v}")).over(w_b) for v in values})
+    d = d.join(tot.select(*keys, "_rl_b", *[f"_rl_{p}_{v}" for p in ("from", "was") for v in values]), [*keys, "_rl_b"])
+    for v in values:
+        start = F.col(f"_rl_from_{v}")
+        d = d.withColumn(f"{v}_level", start + F.col(f"_rl_in_{v}")) \
+             .withColumn(f"{v}_lowest", F.least(F.col(f"_rl_was_{v}"), start + F.col(f"_rl_low_{v}")))
+    return d.drop("_rl_b", *[f"_rl_{p}_{v}" for p in ("in", "low", "from", "was") for v in values])
+
+
 def prior_value(df: DataFrame, keys: list[str], order: list[str], value: str, bucket: Column,
                 out: str) -> DataFrame:
     """``value`` of the previous row per ``keys`` in ``order`` (a lag),

@@ -93,6 +93,13 @@ def q_inventory_from_events(spark, sf_dir):
     return I.inventory_from_events(m.reservation_event, m.itinerary_segment, m.itinerary)
 
 
+@register("inventory_curve", "flight_instance_id:i cabin_code:s occurred_at:t seats_held:i seats_sold:i lowest_held:i "
+                             "lowest_sold:i dipped:b")
+def q_inventory_curve(spark, sf_dir):
+    m = FlightModel.shared(spark, sf_dir)
+    return I.inventory_curve(m.reservation_event, m.itinerary_segment, m.itinerary)
+
+
 @register("capacity_cut_impact", "flight_instance_id:i cabin_code:s seat_map_id:i old_capacity:i new_capacity:i "
                                  "committed:i seats_to_reaccommodate:i")
 def q_capacity_cut_impact(spark, sf_dir):
@@ -104,7 +111,7 @@ def q_capacity_cut_impact(spark, sf_dir):
 @register("seat_map_status", "flight_instance_id:i cabin_code:s seat_number:s seat_rank:i status:s ticket_id:n")
 def q_seat_map_status(spark, sf_dir):
     """Seat status of every flight: seats go to the issued tickets of
-    confirmed reservations in ticket order."""
+    confirmed reservations in ticket order, what exceeds the map is UNSEATED."""
     m = FlightModel.shared(spark, sf_dir)
     seats = I.seat_map_seats(I.seat_layouts(spark))
     taken = (m.ticket.where(F.col("status") != "CANCELLED").select("ticket_id", "segment_id", "reservation_id", "seats")
