@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from skyfold.functions import exprs as X
 from skyfold.operators import search as S
 from skyfold.operators.ranking import prefix_sum, prior_value
-from skyfold.session import checkpoint_dir
+from skyfold.session import checkpoint_dir, ship_package
 
 # Legal moves of a reservation (code of the reference: B2B also starts HELD).
 LEGAL_TRANSITIONS = [(None, "HELD"), ("HELD", "CONFIRMED"), ("HELD", "CANCELLED"),
@@ -137,6 +137,26 @@ def reservation_total(quotes: DataFrame, seats: DataFrame) -> DataFrame:
                  .alias("total_amount"), F.count(F.lit(1)).alias("quoted_segments")))
 
 
+#: Waiting requests that one task decides in arrival order, each round.
+CHAIN = 50_000
+
+
+def _admit_in_order(legs):
+    """(requested_at, request_id, fits) of a block of waiting requests, first come first served.
+    ``lower``: demand accepted before a leg outside the block."""
+    taken: dict = {}
+    out = []
+    legs = legs.sort_values(["requested_at", "request_id"], kind="stable")
+    for place, own in legs.groupby(["requested_at", "request_id"], sort=False):
+        rows = list(zip(own["flight_instance_id"], own["cabin_code"], own["demand"], own["lower"], own["remaining"]))
+        fits = all(low + taken.get((f, c), 0) + d <= left for f, c, d, low, left in rows)
+        if fits:
+            for f, c, d, _, _ in rows:
+                taken[f, c] = taken.get((f, c), 0) + d
+        out.append((*place, fits))
+    return legs.iloc[0:0][["requested_at", "request_id"]].assign(fits=False) if not out else type(legs)(out, columns=["requested_at", "request_id", "fits"])
+
+
 # E1
 def seat_admission(requests: DataFrame, remaining: DataFrame, bucket: Column | None = None) -> DataFrame:
     """All-or-nothing admission in arrival order, computed in exact parallel
@@ -148,10 +168,15 @@ def seat_admission(requests: DataFrame, remaining: DataFrame, bucket: Column | N
     lower = demand already accepted before me, upper = lower + demand still
     undecided before me. A request is accepted when upper + d <= remaining on
     all its legs, refused when lower + d > remaining on any, else it waits.
-    The earliest undecided request always decides, so every round decides at
-    least one and the loop runs until none is left; accepted sets equal a
-    sequential loop. Each round is checkpointed."""
+
+    Requests can wait for each other in long chains, so each round then takes
+    the earliest ``CHAIN`` requests that still wait. Everything they can
+    depend on is decided or among them, so one pass over this bounded block in
+    arrival order settles all of it, however long its chains. Rounds go on
+    until none waits; accepted sets equal a sequential loop. Each round is
+    checkpointed."""
     checkpoint_dir(requests.sparkSession)
+    ship_package(requests.sparkSession)
     bucket = bucket if bucket is not None else F.to_date("requested_at")
     key = ["flight_instance_id", "cabin_code"]
     cols = [*requests.columns, "remaining", "state", "decided_round"]
@@ -175,10 +200,20 @@ def seat_admission(requests: DataFrame, remaining: DataFrame, bucket: Column | N
         new_state = (F.when(F.col("state") != "U", F.col("state"))
                      .when(F.col("fits_all"), F.lit("A")).when(F.col("over_any"), F.lit("R"))
                      .otherwise(F.lit("U")))
-        decided = (acc.join(verdict, "request_id", "left")
-                   .withColumn("decided_round", F.when((F.col("state") == "U") & (new_state != "U"), F.lit(rnd))
-                               .otherwise(F.col("decided_round")))
-                   .withColumn("state", new_state))
+        bulk = (acc.join(verdict, "request_id", "left").withColumn("was", F.col("state")).withColumn("state", new_state)
+                .select(*requests.columns, "remaining", "was", "state", "decided_round").checkpoint())
+        waits = bulk.where(F.col("state") == "U")
+        decided = bulk
+        if not waits.isEmpty():
+            block = waits.select(*order).distinct().orderBy(*order).limit(CHAIN)
+            # what was accepted before each of the block's legs, by this round's verdicts too
+            after = bulk.withColumn("_acc", F.when(F.col("state") == "A", F.col("demand")).otherwise(0))
+            after = prefix_sum(after, key, order, "_acc", bucket, "lower").where(F.col("state") == "U")
+            legs_in = after.join(block, order, "left_semi").select(*order, *key, "demand", "remaining", "lower")
+            kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in legs_in.select(*order).schema)
+            passed = legs_in.groupBy(F.lit(0).alias("block")).applyInPandas(_admit_in_order, f"{kinds}, fits boolean")
+            decided = bulk.join(passed, order, "left").withColumn("state", F.when(F.col("fits").isNull(), F.col("state")).when(F.col("fits"), F.lit("A")).otherwise(F.lit("R")))
+        decided = decided.withColumn("decided_round", F.when((F.col("was") == "U") & (F.col("state") != "U"), F.lit(rnd)).otherwise(F.col("decided_round")))
         # A key with no undecided leg can no longer influence anyone (every leg of
         # an undecided request is undecided): its legs leave the working set.
         open_keys = decided.groupBy(*key).agg(F.max(F.col("state") == "U").alias("_open"))

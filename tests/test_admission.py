@@ -52,15 +52,42 @@ def test_equals_sequential_on_random_inputs(spark):
     assert got == want
 
 
-def test_a_chain_of_two_leg_requests_equals_the_loop(spark):
-    """Each request waits for the one before it: as many rounds as requests, and no cap on them."""
+def _chain(spark, n):
     legs, left = [], {(0, "ECO"): 1}
-    for i in range(40):
+    for i in range(n):
         left[i + 1, "ECO"] = 1
         for f in (i, i + 1):
-            legs.append({"request_id": i, "requested_at": f"2024-01-01 00:00:{i:02d}", "flight_instance_id": f, "cabin_code": "ECO", "demand": 1})
-    want = seat_admission_sequential(legs, left)
+            legs.append({"request_id": i, "requested_at": f"2024-01-01 00:{i // 60:02d}:{i % 60:02d}", "flight_instance_id": f, "cabin_code": "ECO", "demand": 1})
     rq = spark.createDataFrame([tuple(x.values()) for x in legs], "request_id int, requested_at string, flight_instance_id int, cabin_code string, demand int") \
               .withColumn("requested_at", F.col("requested_at").cast("timestamp"))
     rem = spark.createDataFrame([(f, c, n) for (f, c), n in left.items()], "flight_instance_id int, cabin_code string, remaining int")
-    assert {r.request_id: r.accepted for r in seat_admission(rq, rem).collect()} == want
+    return seat_admission_sequential(legs, left), seat_admission(rq, rem).collect()
+
+
+def test_a_long_chain_takes_few_rounds(spark):
+    """Each request waits for the one before it."""
+    want, rows = _chain(spark, 1000)
+    assert {r.request_id: r.accepted for r in rows} == want
+    assert max(r.decided_round for r in rows) <= 2
+
+
+def test_chains_longer_than_a_block(spark, monkeypatch):
+    from skyfold.operators import reservations
+    monkeypatch.setattr(reservations, "CHAIN", 9)
+    want, rows = _chain(spark, 40)
+    assert {r.request_id: r.accepted for r in rows} == want
+    assert 3 <= max(r.decided_round for r in rows) <= 6
+
+
+def test_blocks_equal_sequential_on_random_inputs(spark, monkeypatch):
+    from skyfold.operators import reservations
+    monkeypatch.setattr(reservations, "CHAIN", 7)
+    rnd = random.Random(11)
+    keys = [(f, c) for f in range(5) for c in ("ECO", "BUS")]
+    remaining = {k: rnd.randint(0, 9) for k in keys}
+    reqs = []
+    for rid in range(70):
+        at = _ts(rnd.randint(0, 60))
+        reqs += [(rid, at, k[0], k[1], rnd.randint(1, 4)) for k in rnd.sample(keys, rnd.randint(1, 4))]
+    want = seat_admission_sequential([dict(request_id=r[0], requested_at=r[1], flight_instance_id=r[2], cabin_code=r[3], demand=r[4]) for r in reqs], remaining)
+    assert _run(spark, reqs, remaining) == want
