@@ -22,10 +22,10 @@ Scale notes
   as a window group limit (partial top-k before the shuffle).
 * Requests that ask the same thing are searched once (``fold_requests``) and
   get the answer back by an equi join.
-* Two-stop itineraries meet in the middle leg: first and last legs are found
-  from the request's own ends, only hub pairs with a route between them look
-  for a middle leg, and the k-th least lower bound of a middle leg bounds the
-  k-th price, so that chains above it are never made.
+* Two-stop itineraries meet in the middle leg: first legs leave the request's
+  origin, middle legs go only to hubs that lead on to its destination in time,
+  and the k-th least lower bound of a middle leg bounds the k-th price, so that
+  chains above it are never made.
 """
 
 from __future__ import annotations
@@ -267,26 +267,23 @@ def search_two_stop(requests: DataFrame, avail: DataFrame, ladder: DataFrame, ai
     sched = avail.where(F.col("flight_status") == "SCHEDULED")
     req = requests.select(*REQUEST_COLS)
     mct = airport.select("iata_code", F.col("min_connection_min").cast("int").alias("mct"))
-    # hub pairs of a request: reached from its origin, joined by a route, leading to its destination
-    a = sched.select("cabin_code", "flight_date", F.col("origin_iata").alias("origin"), F.col("destination_iata").alias("hub1")).distinct()
+    # hubs that lead on to a destination in time
+    ends_at = ["destination", "cabin_code", "flight_date"]
     z = sched.select("cabin_code", F.col("flight_date").alias("z_date"), F.col("origin_iata").alias("hub2"), F.col("destination_iata").alias("destination")).distinct()
-    edges = sched.select(F.col("origin_iata").alias("hub1"), F.col("destination_iata").alias("hub2")).distinct()
-    last_day = F.col("z_date").between(F.col("flight_date"), F.date_add("flight_date", 2))
-    days = req.withColumn("z_date", F.explode(F.sequence("flight_date", F.date_add("flight_date", 2))))
-    into = days.join(z, ["cabin_code", "destination", "z_date"]).where(last_day).select("request_id", "hub2").distinct()
-    pairs = (req.join(a, ["cabin_code", "origin", "flight_date"]).where(F.col("hub1") != F.col("destination"))
-             .select(*REQUEST_COLS, "hub1").join(edges, "hub1").where((F.col("hub2") != F.col("origin")) & (F.col("hub2") != F.col("destination")))
-             .join(into, ["request_id", "hub2"]))
+    days = req.select(*ends_at).distinct().withColumn("z_date", F.explode(F.sequence("flight_date", F.date_add("flight_date", 2))))
+    into = days.join(z, ["cabin_code", "destination", "z_date"]).select(*ends_at, "hub2").distinct()
     # first leg and middle leg
     l1 = _legs(sched, "l1").withColumnsRenamed({"l1_orig": "origin", "l1_dest": "hub1", "l1_date": "flight_date"})
     m = _legs(sched, "l2").withColumnsRenamed({"l2_orig": "hub1", "l2_dest": "hub2"}).withColumn("day", F.to_date("l2_dep"))
     enough = lambda p: F.col(f"{p}_seats") >= F.col("passengers")
-    first = pairs.join(l1, ["origin", "hub1", "flight_date", "cabin_code"]).where(enough("l1")).withColumn("l1_date", F.col("flight_date"))
+    first = req.join(l1, ["origin", "flight_date", "cabin_code"]).where(enough("l1") & (F.col("hub1") != F.col("destination"))).withColumn("l1_date", F.col("flight_date"))
     first = first.join(mct.withColumnRenamed("iata_code", "hub1"), "hub1")
     lo, hi = _hub_window("l1_arr", "mct", max_hours)
     first = first.withColumns({"lo": lo, "hi": hi}).withColumn("day", F.explode(F.sequence(F.to_date("lo"), F.to_date("hi")))).drop("mct")
-    two = (first.join(m, ["hub1", "hub2", "cabin_code", "day"])
-           .where(enough("l2") & F.col("l2_dep").between(F.col("lo"), F.col("hi")) & F.col("l2_date").between(F.col("l1_date"), F.date_add("l1_date", 1)))
+    two = (first.join(m, ["hub1", "cabin_code", "day"])
+           .where(enough("l2") & F.col("l2_dep").between(F.col("lo"), F.col("hi")) & F.col("l2_date").between(F.col("l1_date"), F.date_add("l1_date", 1))
+                  & (F.col("hub2") != F.col("origin")) & (F.col("hub2") != F.col("destination")))
+           .join(into, [*ends_at, "hub2"], "left_semi")
            .withColumn("connection_minutes", X.minutes_between("l1_arr", "l2_dep")).drop("day", "lo", "hi"))
     two = _price_leg(_price_leg(two, ladder, "l1"), ladder, "l2")
     two = two.withColumns({"p1": unit_price("l1_base", "l1_tax"), "p2": unit_price("l2_base", "l2_tax")}).checkpoint()
