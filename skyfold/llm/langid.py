@@ -42,6 +42,8 @@ MAX_LANGUAGES = 1000
 PRIOR = 200.0
 FOLDS = 3
 _CHUNK_CELLS = 4 << 20
+#: Scores that a worker keeps of words it has seen, in each of two generations.
+MEMO_CELLS = 3 << 20
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = True
 
@@ -159,10 +161,10 @@ def expected_counts(arcs: Arcs, p: np.ndarray, times: np.ndarray) -> np.ndarray:
 
 
 def _distinct(buf: np.ndarray, off: np.ndarray, languages: int):
-    """Chunks of a slice's distinct words: starts, ends, and for every word of the slice its number and row."""
+    """A slice's distinct words: starts, ends, for every word of the slice its number and row, words of a chunk, hashes."""
     starts, ends, h, row = word_parts(buf, off)
-    _, index, inverse = np.unique(h, return_index=True, return_inverse=True)
-    return starts[index], ends[index], inverse, row, max(1, _CHUNK_CELLS // ((WORD_BYTES + 2) * languages))
+    words, index, inverse = np.unique(h, return_index=True, return_inverse=True)
+    return starts[index], ends[index], inverse, row, max(1, _CHUNK_CELLS // ((WORD_BYTES + 2) * languages)), words
 
 
 def training_sample(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> DataFrame:
@@ -179,21 +181,55 @@ def training_sample(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> DataFra
     return rows.where(F.col("h") / F.lit(2.0 ** 63) < 2 * share - 1).select("lang", "text")
 
 
+class WordScores:
+    """Scores of words by their hash, for words that come again in later slices: two generations of
+    sorted hashes of at most ``limit`` words each. Scores don't depend on what is kept."""
+
+    def __init__(self, languages: int) -> None:
+        self.limit = max(1, MEMO_CELLS // (languages + 1))
+        self.empty = np.zeros(0, np.uint64), np.zeros((0, languages))
+        self.young, self.old = self.empty, self.empty
+
+    def look_up(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """[word, language] of sorted distinct ``words``, and which of them are known."""
+        scores, known = np.zeros((len(words), self.empty[1].shape[1])), np.zeros(len(words), bool)
+        for hashes, kept in (self.old, self.young):
+            if len(hashes):
+                at = np.minimum(np.searchsorted(hashes, words), len(hashes) - 1)
+                hit = hashes[at] == words
+                scores[hit] = kept[at[hit]]
+                known |= hit
+        return scores, known
+
+    def keep(self, words: np.ndarray, scores: np.ndarray) -> None:
+        """Adds the words of a slice, known or not: those in use stay young."""
+        if len(self.young[0]) + len(words) > self.limit:
+            self.old, self.young = self.young, self.empty
+        hashes, first = np.unique(np.concatenate([words, self.young[0]]), return_index=True)
+        self.young = hashes, np.concatenate([scores, self.young[1]])[first]
+
+
 @dataclass
 class Model:
     languages: list[str]
     pieces: Pieces
     p: np.ndarray            # [piece, language]
+    memo: WordScores | None = None
 
     def predict(self, buf: np.ndarray, off: np.ndarray) -> tuple[list[str], np.ndarray]:
         rows = len(off) - 1
         total = np.zeros((rows, len(self.languages)))
-        starts, ends, inverse, row, chunk = _distinct(buf, off, len(self.languages))
+        starts, ends, inverse, row, chunk, words = _distinct(buf, off, len(self.languages))
         if len(starts) and self.languages:
-            scores = np.concatenate([log_probability(find_arcs(self.pieces, buf, starts[i:i + chunk], ends[i:i + chunk]), self.p)
-                                     for i in range(0, len(starts), chunk)])[inverse]
+            self.memo = self.memo or WordScores(len(self.languages))
+            scores, known = self.memo.look_up(words)
+            fresh = np.flatnonzero(~known)
+            for i in range(0, len(fresh), chunk):
+                k = fresh[i:i + chunk]
+                scores[k] = log_probability(find_arcs(self.pieces, buf, starts[k], ends[k]), self.p)
+            self.memo.keep(words, scores)
             new = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-            total[row[new]] = np.add.reduceat(scores, new, axis=0)
+            total[row[new]] = np.add.reduceat(scores[inverse], new, axis=0)
         known = np.add.reduceat(np.r_[_LETTER[buf], False], np.minimum(off[:-1], len(buf))) > 0 if rows else np.zeros(0, bool)
         known &= np.diff(off) > 0
         for r in np.flatnonzero(~known & (np.diff(off) > 0)):      # no ASCII letter: perhaps another
@@ -223,7 +259,7 @@ def fit(store: Store, docs: DataFrame, model: str = MODEL, per_lang: int = SAMPL
                 buf, off = bk.text_bytes(batch)
                 lang = np.array([number[x] for x in batch.column(0).to_pylist()], np.int64)
                 for i, j, part, part_off in bk.slices(buf, off):
-                    starts, ends, inverse, row, chunk = _distinct(part, part_off, len(languages))
+                    starts, ends, inverse, row, chunk, _ = _distinct(part, part_off, len(languages))
                     times = np.bincount(inverse * len(languages) + lang[i:j][row], minlength=len(starts) * len(languages)).reshape(len(starts), -1)
                     for k in range(0, len(starts), chunk):
                         counts += expected_counts(find_arcs(pieces, part, starts[k:k + chunk], ends[k:k + chunk]), p, times[k:k + chunk])

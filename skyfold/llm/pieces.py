@@ -8,9 +8,11 @@ unknown, at the least score less ``UNKNOWN_PENALTY``; it is written as the
 byte pieces of its UTF-8 form.
 
 No piece continues over a space, so the words of a text are independent, and
-a bounded cache holds the result of words that come again. Spaces stand in
-the automaton as spaces (the vocabulary's U+2581), so that a U+2581 in the
-text is an ordinary unknown character and every text decodes to itself.
+a bounded cache of two generations holds the result of words that come again.
+Spaces stand in the automaton as spaces (the vocabulary's U+2581), so that a
+U+2581 in the text is an ordinary unknown character and every text decodes to
+itself. Each word is decoded again when it enters the cache, which proves the
+round trip of the texts made of such words.
 
 Of equal scores the longer last piece wins. Defined cases: null text gives null
 ids, zero tokens and a true round trip; an empty text gives no token.
@@ -18,20 +20,24 @@ ids, zero tokens and a true round trip; an empty text gives no token.
 
 from __future__ import annotations
 
+import hashlib
+import pickle
 import re
-import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructType
 
 from skyfold.llm import bytekit as bk
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
-CACHE_WORDS, CACHE_CHARS = 200_000, 48
+#: Units of a generation of the cache, and the longest unit kept there.
+CACHE_WORDS, CACHE_CHARS = 300_000, 48
+_LEAST, _ALONE = -float("inf"), (1, -1, 0.0)
 
 
 class Vocabulary:
@@ -80,6 +86,8 @@ class Encoder:
             alone = "".join(c for c in "\n\t\r" if not any(c in p for p in vocabulary.pieces))
             self.units = re.compile(rf" *[^ {alone}]+| +" + (f"|[{alone}]" if alone else ""))
         self.cache: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.lossy: set[str] = set()
 
     def _link(self) -> None:
         """Fail links, and of every state the pieces along its output links, longest first."""
@@ -97,27 +105,36 @@ class Encoder:
                 self.out[child] = ((own,) if own else ()) + self.out[self.fail[child]]
                 queue.append(child)
 
+    def _step(self, state: int, c: str) -> int:
+        """The state after ``c``; what the fail links lead to is noted in the state."""
+        at = state
+        while at and c not in self.next[at]:
+            at = self.fail[at]
+        after = self.next[at].get(c, 0)
+        if after:
+            self.next[state][c] = after
+        return after
+
     def segment(self, text: str) -> list[int]:
         """Ids of the best segmentation of a stretch of text."""
-        nxt, fail, out, unknown = self.next, self.fail, self.out, self.unknown
-        best, back, state = [0.0], [(0, -1)], 0
-        for i, c in enumerate(text, 1):
-            while state and c not in nxt[state]:
-                state = fail[state]
-            state = nxt[state].get(c, 0)
-            top, how, alone = -float("inf"), (1, -1), False
-            for length, piece, score in out[state]:
-                score += best[i - length]
+        nxt, out, unknown = self.next, self.out, self.unknown
+        best, back, state, i = [0.0], [_ALONE], 0, 0
+        for c in text:
+            i += 1
+            state = nxt[state].get(c) or self._step(state, c)
+            top, how, alone = _LEAST, _ALONE, False
+            for piece in out[state]:
+                score = piece[2] + best[i - piece[0]]
                 if score > top:
-                    top, how = score, (length, piece)
-                alone = length == 1
+                    top, how = score, piece
+                alone = piece[0] == 1
             if not alone and best[i - 1] + unknown > top:
-                top, how = best[i - 1] + unknown, (1, -1)
+                top, how = best[i - 1] + unknown, _ALONE
             best.append(top)
             back.append(how)
         ids, i = [], len(text)
         while i:
-            length, piece = back[i]
+            length, piece, _ = back[i]
             if piece >= 0:
                 ids.append(piece)
             else:
@@ -126,42 +143,52 @@ class Encoder:
         return ids[::-1]
 
     def word(self, unit: str) -> bytes:
-        got = self.cache.get(unit)
+        """Ids of a unit as bytes, from the cache's older generation or anew."""
+        got = self.old.get(unit)
         if got is None:
-            got = np.array(self.segment(unit), np.int32).tobytes()
-            if len(unit) <= CACHE_CHARS:
-                if len(self.cache) >= CACHE_WORDS:
-                    self.cache.clear()
-                self.cache[unit] = got
+            ids = np.array(self.segment(unit), np.int32)
+            got = ids.tobytes()
+            if b"".join(map(self.bytes_of.__getitem__, ids.tolist())) != unit.encode():
+                self.lossy.add(unit)
+        if len(unit) <= CACHE_CHARS:
+            if len(self.cache) >= CACHE_WORDS:
+                self.old, self.cache = self.cache, {}
+            self.cache[unit] = got
         return got
 
-    def encode(self, text: str) -> np.ndarray:
+    def encode_bytes(self, text: str) -> tuple[bytes, bool]:
+        """The ids as bytes of an int32 array, and whether every unit decodes to itself."""
         if not text:
-            return np.zeros(0, np.int32)
+            return b"", True
         get, word = self.cache.get, self.word
-        return np.frombuffer(b"".join([get(u) or word(u) for u in self.units.findall(" " + text)]), np.int32)
+        units = self.units.findall(" " + text)
+        ids = b"".join([get(u) or word(u) for u in units])
+        return ids, not self.lossy or self.lossy.isdisjoint(units)
+
+    def encode(self, text: str) -> np.ndarray:
+        return np.frombuffer(self.encode_bytes(text)[0], np.int32)
 
     def decode(self, ids: np.ndarray) -> bytes:
         """UTF-8 bytes of the text; the space that encoding puts first goes."""
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist()))[1:]
 
 
-_ENCODERS: dict[str, Encoder] = {}
+#: The encoder of a worker process: that of the last vocabulary used.
+_ENCODER: list = [None, None]
 
 
 def _encoder(shared) -> Encoder:
-    """One automaton for each worker process and vocabulary."""
-    if shared.id not in _ENCODERS:
-        _ENCODERS[shared.id] = Encoder(shared.value)
-    return _ENCODERS[shared.id]
+    if _ENCODER[0] != shared.id:
+        _ENCODER[:] = shared.id, Encoder(shared.value)
+    return _ENCODER[1]
 
 
 class _Shared:
-    """A broadcast and a name for it that workers can keep."""
+    """A broadcast vocabulary and a name for it by which workers know it again."""
 
-    def __init__(self, spark, value) -> None:
+    def __init__(self, spark, value: Vocabulary) -> None:
         self.broadcast = spark.sparkContext.broadcast(value)
-        self.id = uuid.uuid4().hex
+        self.id = hashlib.sha256(pickle.dumps((sorted(value.pieces.items()), value.byte_ids))).hexdigest()
 
     @property
     def value(self):
@@ -180,14 +207,10 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
         coder = _encoder(shared)
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text"))
-            ids, ends, same = [], [0], []
-            for t in texts:
-                t = t.as_py() or ""
-                got = coder.encode(t)
-                ids.append(got)
-                ends.append(ends[-1] + len(got))
-                same.append(coder.decode(got) == t.encode())
-            flat = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32))
+            coded = [coder.encode_bytes(t) if t else (b"", True) for t in texts.to_pylist()]
+            ends = np.concatenate([[0], np.cumsum([len(ids) // 4 for ids, _ in coded], dtype=np.int64)])
+            same = [x for _, x in coded]
+            flat = pa.array(np.frombuffer(b"".join(ids for ids, _ in coded), np.int32))
             mask = texts.is_null() if texts.null_count else None
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat, mask=mask)
             yield pa.RecordBatch.from_arrays([*batch.columns, lists, pa.array(np.diff(ends), pa.int64()), pa.array(same, pa.bool_())],
@@ -197,3 +220,21 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     for name, kind in added.items():
         schema = schema.add(name, kind)
     return bk.map_batches(docs.select(*own), run, schema)
+
+
+def decode(encoded: DataFrame, model: str = MODEL, ids: str = "token_ids") -> DataFrame:
+    """``encoded`` with ``decoded`` string, the text of the column ``ids`` (null where that is null; bytes
+    that are no UTF-8 become U+FFFD); a column of this name is replaced."""
+    own = [c for c in encoded.columns if c != "decoded"]
+    shared = _Shared(encoded.sparkSession, Vocabulary.load(model))
+
+    def run(batches):
+        pieces = pa.array(_encoder(shared).bytes_of, pa.binary())
+        for batch in batches:
+            lists = batch.column(batch.schema.get_field_index(ids))
+            ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())]).astype(np.int32)
+            joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends), pieces.take(lists.flatten())), b"")
+            text = pa.array([None if x is None else x[1:].decode("utf-8", "replace") for x in pc.if_else(lists.is_null(), pa.scalar(None, pa.binary()), joined).to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, text], names=[*batch.schema.names, "decoded"])
+
+    return bk.map_batches(encoded.select(*own), run, StructType(encoded.select(*own).schema.fields).add("decoded", StringType()))

@@ -98,3 +98,40 @@ def test_two_fattest(spark):
     got = spark.range(1, 40).selectExpr("id r").crossJoin(spark.range(0, 40).selectExpr("id l")).where("l < r")
     for r in got.select("l", "r", trie.two_fattest(*(got[c] for c in "lr")).alias("f")).collect():
         assert r["f"] == max(range(r["l"] + 1, r["r"] + 1), key=lambda x: (x & -x))
+
+
+def test_sentencepiece_decodes_a_column_of_ids(spark):
+    from skyfold.llm import pieces
+    texts = ["Plain words", "", None, "▁ odd ▁▁ spaces  and\ttabs\r\n", "日本語 é \x00", "a" * 3000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    rows = pieces.decode(pieces.encode(docs)).orderBy("k").collect()
+    assert [r["decoded"] for r in rows] == texts and all(r["round_trip"] for r in rows)
+
+
+def test_sentencepiece_cache_turns_over(monkeypatch):
+    from skyfold.llm import pieces
+    whole = pieces.Encoder(pieces.Vocabulary.load())
+    monkeypatch.setattr(pieces, "CACHE_WORDS", 4)
+    small = pieces.Encoder(whole_vocabulary := pieces.Vocabulary.load())
+    text = " ".join(f"word{i % 11}" for i in range(100))
+    assert small.encode(text).tolist() == whole.encode(text).tolist() and len(small.cache) <= 5
+    assert whole_vocabulary.pieces and small.encode_bytes(text)[1]
+
+
+def test_language_scores_do_not_depend_on_what_is_kept(monkeypatch):
+    import pyarrow as pa
+    from skyfold.llm import bytekit as bk
+    from skyfold.llm import langid
+    pieces = langid.Pieces.load()
+    rng = np.random.default_rng(3)
+    p = rng.random((pieces.count, 3)) * pieces.start[:, None]
+    texts = [X.prose(random.Random(k), 80, ("en", "fr", "de")[k % 3]) for k in range(12)]
+    slices = [bk.text_bytes(pa.RecordBatch.from_arrays([pa.array(texts[i:i + 3])], names=["text"])) for i in range(0, 12, 3)]
+    fresh = [langid.Model(["x", "y", "z"], pieces, p).predict(*part) for part in slices]
+    for cells in (1 << 20, 400):
+        monkeypatch.setattr(langid, "MEMO_CELLS", cells)
+        model = langid.Model(["x", "y", "z"], pieces, p)
+        for _ in range(2):
+            for part, (langs, scores) in zip(slices, fresh):
+                got = model.predict(*part)
+                assert got[0] == langs and np.array_equal(got[1], scores)
