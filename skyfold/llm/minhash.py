@@ -34,6 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from skyfold.llm import bytekit as bk
 from skyfold.llm.store import Store
@@ -47,6 +48,8 @@ MAX_BITS = 60
 PIVOTS = 256
 #: Components of at least this many nodes are compared as a whole, in blocks of about so many shingles.
 LARGE, BLOCK = 64, 1_000_000
+#: Bits of the bitmap of nodes that share a bucket (4 MB).
+SIEVE = 1 << 25
 _CHUNK = 1 << 14
 _CACHE: dict[str, np.ndarray] = {}
 
@@ -108,6 +111,11 @@ def low_bits(sig: np.ndarray) -> np.ndarray:
     return np.pad(packed, ((0, 0), (0, 8 * len(BITS) - packed.shape[1]))).view(np.int64)
 
 
+def _names(values: np.ndarray, set_off: np.ndarray) -> list[bytes | None]:
+    """The 128-bit hash of each set, null for an empty one."""
+    return [xxhash.xxh3_128_digest(values[s:e].tobytes()) if e > s else None for s, e in zip(set_off[:-1].tolist(), set_off[1:].tolist())]
+
+
 def _sketch(shingle: int, bands: bool):
     """Batches (doc_id, text) to (doc_id, node, n_shingles[, BITS, bands] or [, text]); node: 128-bit hash of the set."""
     def run(batches):
@@ -116,8 +124,7 @@ def _sketch(shingle: int, bands: bool):
             for i, j, part, part_off in bk.slices(buf, off):
                 values, set_off = shingle_sets(part, part_off, shingle)
                 size = np.diff(set_off)
-                node = [xxhash.xxh3_128_digest(values[s:e].tobytes()) if e > s else None
-                        for s, e in zip(set_off[:-1].tolist(), set_off[1:].tolist())]
+                node = _names(values, set_off)
                 cols = [batch.column(0).slice(i, j - i), pa.array(node, pa.binary()), pa.array(size)]
                 if bands:
                     full = np.flatnonzero(size)
@@ -263,30 +270,92 @@ def _component_links(store: Store, targets: DataFrame, label: DataFrame, texts:
     return store.keep(bk.map_batches(rows, _block_links(shingle), "a binary, b binary"))
 
 
+def _texts(docs: DataFrame, near: DataFrame, shingle: int, schema: str) -> DataFrame:
+    """(node, n_shingles, text) of the nodes ``near``, one text each. A bitmap of SIEVE bits, whatever the
+    number of nodes, leaves out most other texts before the join that decides."""
+    place = F.pmod(F.xxhash64("node"), F.lit(SIEVE))
+    words = near.select(place.alias("place")).selectExpr("shiftright(place, 6) word", "shiftleft(1L, cast(place & 63 as int)) bit") \
+                .groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    sieve = np.zeros(SIEVE // 64, np.int64)
+    sieve[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    sieve = near.sparkSession.sparkContext.broadcast(sieve)
+    again = bk.map_batches(docs, _sketch(shingle, False), schema + "text string").where("node is not null").select("node", "n_shingles", "text", place.alias("place"))
+
+    def sift(batches):
+        bits = sieve.value
+        for batch in batches:
+            at = batch.column(3).to_numpy()
+            keep = bits[at >> 6] >> (at & 63) & 1
+            yield pa.RecordBatch.from_arrays(batch.columns[:3], names=batch.schema.names[:3]).filter(pa.array(keep.astype(bool)))
+
+    some = bk.map_batches(again, sift, "node binary, n_shingles long, text string")
+    return some.join(near, "node", "left_semi").groupBy("node").agg(F.first("n_shingles").alias("n_shingles"), F.first("text").alias("text"))
+
+
 def duplicate_groups(docs: DataFrame, shingle: int = 2) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
-    spark = docs.sparkSession
-    store = Store(spark, "minhash")
+    return _verdicts(Store(docs.sparkSession, "minhash"), docs, shingle).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def keep_one(docs: DataFrame, shingle: int = 2) -> DataFrame:
+    """``docs`` with one row of each group: a row of its least doc_id (of several texts of this id that of
+    the least set hash, of equal rows one). Rows without words are in no group and stay. Verdicts meet
+    rows by doc_id and set, so that rows of one id are told apart."""
+    store = Store(docs.sparkSession, "minhash-keep")
+    verdicts = _verdicts(store, docs, shingle).where("kept and node is not null")
+    best = verdicts.groupBy("component", "doc_id", "node").agg(F.count("*").alias("n")) \
+                   .groupBy("component").agg(F.min(F.struct("node", "doc_id", "n")).alias("x"))
+    best = store.keep(best.select(F.col("x.node").alias("k_node"), F.col("x.doc_id").alias("k_id"), F.col("x.n").alias("k_n")))
+    names = [f"c{k}" for k in range(len(docs.columns))]      # whatever the columns are called
+    at = names[docs.columns.index("text")]
+    rows = docs.toDF(*names)
+    schema = StructType([*rows.schema.fields, StructField("k_set", BinaryType())])
+
+    def add_set(batches):
+        for batch in batches:
+            buf, off = bk.text_bytes(batch, at)
+            nodes = []
+            for _, _, part, part_off in bk.slices(buf, off):
+                values, set_off = shingle_sets(part, part_off, shingle)
+                nodes += _names(values, set_off)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nodes, pa.binary())], names=[*names, "k_set"])
+
+    rows = bk.map_batches(rows, add_set, schema)
+    doc_id = F.col(names[docs.columns.index("doc_id")]).cast("long")
+    out = rows.join(best, (F.col("k_set") == F.col("k_node")) & doc_id.eqNullSafe(F.col("k_id")), "left").where("k_set is null or k_n is not null")
+    if not best.where("k_n > 1").isEmpty():
+        out = store.keep(out)
+        out = out.where("k_n is null or k_n = 1").unionByName(out.where("k_n > 1").dropDuplicates(["k_set"]))
+    return out.select(*names).toDF(*docs.columns)
+
+
+def _verdicts(store: Store, docs: DataFrame, shingle: int) -> DataFrame:
+    """(doc_id, node, component, n_shingles, component_id, kept) of every row."""
     docs = docs.select("doc_id", "text")
     schema = "doc_id long, node binary, n_shingles long, "
     docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
     bits = ", ".join(f"{b} long" for b in BITS)
     sketch = store.keep(bk.map_batches(docs, _sketch(shingle, True), f"{schema}{bits}, bands array<long>"))
     nodes = store.keep(sketch.where("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("least"), F.first(F.struct("n_shingles", *BITS, "bands")).alias("set")))
-    entries = nodes.select(F.struct("node", "set.n_shingles", *(f"set.{b}" for b in BITS)).alias("x"), F.explode("set.bands").alias("bucket"))
-    shared = entries.groupBy("bucket").agg(F.min("x").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    members = store.keep(entries.join(shared, "bucket").select("bucket", "x.node", "x", "first"))
-    near = members.select("node").distinct()
-    again = bk.map_batches(docs, _sketch(shingle, False), schema + "text string").where("node is not null").select("node", "n_shingles", "text")
-    texts = store.keep(again.join(near, "node", "left_semi").groupBy("node")
-                       .agg(F.first("n_shingles").alias("n_shingles"), F.first("text").alias("text")))
-    done = store.keep(members.where("node != first.node").where(_may_link("x", "first"))
-                      .select(F.col("first.node").alias("a"), F.col("node").alias("b")).distinct())
+        F.min("doc_id").alias("least"), F.first(F.struct("n_shingles", *BITS)).alias("set"), F.first("bands").alias("bands")))
+    x = nodes.select("node", F.struct("node", "set.n_shingles", *(f"set.{b}" for b in BITS)).alias("x"))
+    # buckets of one node go first, by counts alone; only then do the others' nodes travel
+    entries = nodes.select("node", F.explode("bands").alias("bucket"))
+    shared = entries.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    members = store.keep(entries.join(shared, "bucket", "left_semi").select("bucket", "node"))
+    near = store.keep(members.select("node").distinct())
+    texts = store.keep(_texts(docs, near, shingle, schema))
+    first = members.groupBy("bucket").agg(F.min("node").alias("a"))
+    pairs = members.join(first, "bucket").where("node != a").select("a", F.col("node").alias("b")).distinct()
+    done = store.keep(pairs.join(x.select(F.col("node").alias("a"), F.col("x").alias("p")), "a").join(x.select(F.col("node").alias("b"), "x"), "b")
+                      .where(_may_link("x", "p")).select("a", "b"))
     links = _links(store, done, texts, shingle)
     # a component keeps its name while it grows, so members bear the turn that brought them under it
     label = components(store, links).withColumn("since", F.lit(-1))
-    active = members.select("bucket", "node", "x")
+    # the sets' bits are carried only in buckets that still hold several components
+    named = members.join(label.select("node", "component"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    several = named.groupBy("bucket", "component").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.count("*").alias("parts")).where("parts > 1").select("bucket")
+    active = store.keep(members.join(several, "bucket", "left_semi").join(x, "node").select("bucket", "node", "x"))
     compared = store.keep(label.select("node", "component", F.col("since").alias("turn")).where("false"))
     turn = 0
     while True:
@@ -326,7 +395,7 @@ def duplicate_groups(docs: DataFrame, shingle: int = 2) -> DataFrame:
         turn += 1
     least = nodes.select("node", "least").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     ids = least.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_node = least.join(ids, "component").select("node", "component_id")
+    by_node = least.join(ids, "component").select("node", "component", "component_id")
     out = sketch.select("doc_id", "node", "n_shingles").join(by_node, "node", "left")
     own = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"))
+    return out.select("doc_id", "node", "component", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"))

@@ -135,3 +135,17 @@ def test_language_scores_do_not_depend_on_what_is_kept(monkeypatch):
             for part, (langs, scores) in zip(slices, fresh):
                 got = model.predict(*part)
                 assert got[0] == langs and np.array_equal(got[1], scores)
+
+
+def test_one_row_of_each_group_stays(spark):
+    """Repeated ids with other texts, equal rows, null ids, and columns named like the operator's."""
+    from skyfold.llm.minhash import keep_one
+    rng = random.Random(6)
+    a, b, c = (X.prose(rng, 60) for _ in range(3))
+    near = X.edited(rng, a, 0.01)
+    rows = [(3, a, 1), (None, near, 2), (None, b, 3), (5, near, 4), (5, near, 5), (5, c, 6), (9, c, 7), (None, "", 8), (5, None, 9), (5, None, 10), (6, "alone", 11), (6, "alone", 11)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, k_set int")
+    out = sorted(tuple(r) for r in keep_one(docs, 2).select("k_set", "doc_id").collect())
+    assert keep_one(docs, 2).columns == docs.columns
+    assert out == [(1, 3), (3, None), (6, 5), (8, None), (9, 5), (10, 5), (11, 6)]
+    assert keep_one(docs.limit(0), 2).collect() == []
