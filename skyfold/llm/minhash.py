@@ -270,25 +270,25 @@ def _component_links(store: Store, targets: DataFrame, label: DataFrame, texts:
     return store.keep(bk.map_batches(rows, _block_links(shingle), "a binary, b binary"))
 
 
-def _texts(docs: DataFrame, near: DataFrame, shingle: int, schema: str) -> DataFrame:
+def _texts(docs: DataFrame, near: DataFrame, shingle: int) -> DataFrame:
     """(node, n_shingles, text) of the nodes ``near``, one text each. A bitmap of SIEVE bits, whatever the
     number of nodes, leaves out most other texts before the join that decides."""
-    place = F.pmod(F.xxhash64("node"), F.lit(SIEVE))
+    place = F.conv(F.hex(F.substring("node", 1, 4)), 16, 10).cast("long") % SIEVE
     words = near.select(place.alias("place")).selectExpr("shiftright(place, 6) word", "shiftleft(1L, cast(place & 63 as int)) bit") \
                 .groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
     sieve = np.zeros(SIEVE // 64, np.int64)
     sieve[words.column("word").to_numpy()] = words.column("bits").to_numpy()
     sieve = near.sparkSession.sparkContext.broadcast(sieve)
-    again = bk.map_batches(docs, _sketch(shingle, False), schema + "text string").where("node is not null").select("node", "n_shingles", "text", place.alias("place"))
+    sketch = _sketch(shingle, False)
 
     def sift(batches):
         bits = sieve.value
-        for batch in batches:
-            at = batch.column(3).to_numpy()
-            keep = bits[at >> 6] >> (at & 63) & 1
-            yield pa.RecordBatch.from_arrays(batch.columns[:3], names=batch.schema.names[:3]).filter(pa.array(keep.astype(bool)))
+        for batch in sketch(batches):
+            batch = batch.filter(batch.column(1).is_valid()).select(["node", "n_shingles", "text"])
+            at = np.frombuffer(b"".join(batch.column(0).to_pylist()), ">u4")[::4].astype(np.int64) % SIEVE
+            yield batch.filter(pa.array((bits[at >> 6] >> (at & 63) & 1).astype(bool)))
 
-    some = bk.map_batches(again, sift, "node binary, n_shingles long, text string")
+    some = bk.map_batches(docs, sift, "node binary, n_shingles long, text string")
     return some.join(near, "node", "left_semi").groupBy("node").agg(F.first("n_shingles").alias("n_shingles"), F.first("text").alias("text"))
 
 
@@ -344,7 +344,7 @@ def _verdicts(store: Store, docs: DataFrame, shingle: int) -> DataFrame:
     shared = entries.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     members = store.keep(entries.join(shared, "bucket", "left_semi").select("bucket", "node"))
     near = store.keep(members.select("node").distinct())
-    texts = store.keep(_texts(docs, near, shingle, schema))
+    texts = store.keep(_texts(docs, near, shingle))
     first = members.groupBy("bucket").agg(F.min("node").alias("a"))
     pairs = members.join(first, "bucket").where("node != a").select("a", F.col("node").alias("b")).distinct()
     done = store.keep(pairs.join(x.select(F.col("node").alias("a"), F.col("x").alias("p")), "a").join(x.select(F.col("node").alias("b"), "x"), "b")

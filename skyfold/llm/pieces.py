@@ -36,7 +36,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Units of a generation of the cache, and the longest unit kept there.
-CACHE_WORDS, CACHE_CHARS = 300_000, 48
+CACHE_WORDS, CACHE_CHARS = 150_000, 48
 _LEAST, _ALONE = -float("inf"), (1, -1, 0.0)
 
 
