@@ -1,25 +1,33 @@
 """Operator 9, quality rules with perplexity bands of a modified Kneser-Ney model.
 
 Base rules count words, symbols, repeated lines and repeated five-word
-windows of a text. Texts that pass them are judged by an n-gram model of the
-corpus itself, one per language, over the texts' bytes (``ORDER`` = 5, four
-start marks before a text), so that the model's size depends on the language
-and not on the number of documents.
+windows of a text. Texts that pass them are judged by n-gram models of the
+corpus itself over the texts' bytes (``ORDER`` = 5, four start marks before a
+text), so that a model's size depends on the language and not on the number of
+documents.
+
+No text is judged by a model that counted it: texts are dealt to two folds by a
+hash of the text, so that exact copies share a fold, every language has a model of each fold, and
+a text of one fold is scored by the model of the other, backing off to shorter
+n-grams where it has not seen a longer one.
 
 Counting: tasks count 5-grams of their rows, Spark sums them over all
 documents; lower orders are continuation counts of distinct longer n-grams.
 Discounts D1, D2, D3+ and interpolation weights follow modified Kneser-Ney and
-are joined order by order in Spark, where the tables stay. The texts judged are
-those counted, so that each of their 5-grams has its own probability, and only
-the 5-grams are looked up, by language and bytes and without hashing. They are
-dealt to pieces of about ``PIECE`` n-grams; one piece at a time goes through the driver
-to the tasks, which sum its n-grams' bits in every text, and the sums of the
-pieces are added. A corpus of more n-grams takes more passes, not more memory.
-
-Bands: per language the quartiles of bits per byte over all texts that pass the base
-rules, from a histogram of thousandths; a text is rejected outside
-[q1 - SPREAD * iqr, q3 + SPREAD * iqr], widened by ``NOISE`` standard errors of
-its own length, so that short texts aren't rejected for chance alone.
+are joined order by order in Spark, where the tables stay. Scoring takes them as
+sorted arrays of keys (model, order and bytes packed in 64 bits: a hash without
+collisions). The probability of a byte and all it may back off to depend on the
+two bytes before it, whose mix deals the n-grams of order 3 and above to pieces
+of about ``PIECE`` entries; n-grams of one and two bytes (65,792 a model at most) are in
+every piece. One piece at a time goes through the driver to the tasks, which sum the bits
+of its places in every text, and the sums of the pieces are added. A
+corpus of more n-grams takes more passes, not more memory.
+
+Bands: per language the quartiles of the held-out bits per byte over all texts that
+pass the base rules, from a histogram of thousandths; a text is rejected outside
+[q1 - SPREAD * iqr, q3 + SPREAD * iqr]. A mean over few bytes spreads more, so
+the same fences are taken of (bits - median) * sqrt(bytes), in tenths within
++-CLIP, and a text is judged by the wider ones at its own length.
 
 Defined cases: null or empty texts have no words and fail the base rules; a
 null language is one of its own; a language without a text that passes has no
@@ -40,10 +48,10 @@ from skyfold.llm import bytekit as bk
 from skyfold.llm.store import Store
 
 ORDER = 5
-HASH_BITS = 64
-#: 5-grams of one broadcast, 12 bytes each.
-PIECE = 1 << 22
-SPREAD, NOISE = 3.0, 4.0
+FOLDS = 2
+#: Entries of one broadcast, 12 bytes each.
+PIECE = 1 << 23
+SPREAD, CLIP = 2.0, 1000.0
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 10, 20, 5
 MAX_LANGUAGES = 1000
 _FLUSH = 1 << 20
@@ -122,8 +130,15 @@ def languages(docs: DataFrame) -> list[str]:
 
 
 def _numbered(docs: DataFrame, langs: list[str]) -> DataFrame:
+    """(doc_id, text, lang): FOLDS times the language's number plus the text's fold."""
     number = F.create_map(*[x for i, name in enumerate(langs) for x in (F.lit(name), F.lit(i))]) if langs else F.create_map(F.lit(""), F.lit(0))
-    return docs.select("doc_id", "text", number[_language()].alias("lang"))
+    fold = F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int")
+    return docs.select("doc_id", "text", (FOLDS * number[_language()] + fold).alias("lang"))
+
+
+def other_fold(lang):
+    """The model that scores texts of a numbered language and fold."""
+    return lang ^ 1
 
 
 def count_grams(docs: DataFrame) -> DataFrame:
@@ -191,20 +206,27 @@ def kneser_ney(store: Store, counts: DataFrame) -> list[tuple[DataFrame, DataFra
     return out
 
 
-def _slots(lang: np.ndarray, gram: np.ndarray, k: int) -> np.ndarray:
-    h = bk.mix(gram ^ bk.mix((lang.astype(np.uint64) << np.uint64(8)) | np.uint64(k)))
-    return h >> np.uint64(64 - HASH_BITS)
+_WEIGHT = 8
+#: The mix that deals the pairs of bytes to pieces (models below 2^15).
+MIX, SHIFT = 2654435761, 20
+
+
+def _key(lang, order, gram):
+    """Model, order (plus _WEIGHT for a context's weight) and bytes in 64 bits."""
+    return (lang << 44) | (order << 40) | gram
+
+
+def _shard(lang, gram):
+    """A mix of the model and the last two bytes (``entries`` does the same in columns)."""
+    return (lang * 65536 + gram % 65536) * MIX >> SHIFT
 
 
 class HashArrays:
-    """Sorted keys (or hashes) of n-grams with a value each."""
+    """Sorted keys of n-grams with a value each."""
 
-    def __init__(self, parts: list[tuple[np.ndarray, np.ndarray]]) -> None:
-        keys, values = (np.concatenate(x) for x in zip(*parts))
-        order = np.lexsort((-values, keys))
-        keys, values = keys[order], values[order]
-        first = np.r_[True, keys[1:] != keys[:-1]] if len(keys) else np.zeros(0, bool)
-        self.keys, self.values = keys[first], values[first].astype(np.float32)
+    def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], values[order].astype(np.float32)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """The values; nan where there is none."""
@@ -215,66 +237,76 @@ class HashArrays:
 
 
 class Model:
-    """Log probabilities of the n-grams of all orders, and log weights of their contexts, for any
-    n-gram whether seen or not. Holds the tables whole, for small corpora; ``judge`` doesn't need it."""
+    """Log probabilities of n-grams of all orders and log weights of their contexts: the
+    ``part``-th of ``parts`` pieces, which scores the places that it ``owns``, seen or not."""
 
-    def __init__(self, orders: list[tuple[DataFrame, DataFrame]]) -> None:
-        def arrays(which: int, value: str) -> HashArrays:
-            parts = []
-            for k, pair in enumerate(orders, 1):
-                got = pair[which].select("lang", "gram", F.log(value).cast("float").alias("v")).toArrow()
-                lang, gram, v = (got.column(c).to_numpy() for c in ("lang", "gram", "v"))
-                parts.append((_slots(lang.astype(np.int64), gram.astype(np.int64).view(np.uint64), k), v.astype(np.float32)))
-            return HashArrays(parts)
+    def __init__(self, entries: DataFrame, part: int = 0, parts: int = 1) -> None:
+        mine = entries.where(F.col("shard").isNull() | (F.col("shard") % parts == part)).select("key", "v").toArrow()
+        self.part, self.parts = part, parts
+        self.table = HashArrays(mine.column("key").to_numpy(), mine.column("v").to_numpy())
 
-        self.p, self.weight = arrays(0, "p"), arrays(1, "weight")
+    def owns(self, grams: np.ndarray) -> np.ndarray:
+        return _shard(grams >> 40, grams >> 8) % self.parts == self.part
 
     def log_p(self, grams: np.ndarray) -> np.ndarray:
         """Natural log probability of the last byte of each 5-gram (as ``_grams`` makes them)."""
-        lang, gram = (grams >> np.uint64(40)).astype(np.int64), grams & np.uint64((1 << 40) - 1)
+        lang, gram = grams >> 40, grams & ((1 << 40) - 1)
         out = np.zeros(len(grams))
         open_ = np.arange(len(grams))
         for k in range(ORDER, 0, -1):
-            g = gram[open_] & np.uint64((1 << (8 * k)) - 1)
-            found = self.p.find(_slots(lang[open_], g, k))
+            g = gram[open_] & ((1 << (8 * k)) - 1)
+            found = self.table.find(_key(lang[open_], k, g))
             hit = ~np.isnan(found)
             out[open_[hit]] += found[hit]
             open_, g = open_[~hit], g[~hit]
             if not len(open_):
                 return out
-            weight = self.weight.find(_slots(lang[open_], g >> np.uint64(8), k))
+            weight = self.table.find(_key(lang[open_], k + _WEIGHT, g >> 8))
             out[open_] += np.where(np.isnan(weight), 0.0, weight)
         out[open_] += np.log(1 / 256)
         return out
 
 
-def _pieces(seen: DataFrame) -> Iterator[tuple[int, HashArrays]]:
-    """The number of pieces and one piece after another of the 5-grams' log probabilities, for (lang, gram, p)."""
-    n = max(1, -(-seen.count() // PIECE))
-    key = F.shiftleft(F.col("lang").cast("long"), 40).bitwiseOR(F.col("gram"))
-    keyed = seen.select(key.alias("key"), F.log("p").cast("float").alias("v"))
+def entries(orders: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """(key, v, shard) of the n-grams and contexts of all orders; no shard for what every piece holds."""
+    out = None
+    for k, (p, weight) in enumerate(orders, 1):
+        for table, value, order, before in ((p, "p", k, 8), (weight, "weight", k + _WEIGHT, 0)):
+            lang, gram = F.col("lang").cast("long"), F.col("gram")
+            key = F.shiftleft(lang, 44).bitwiseOR(F.lit(order << 40)).bitwiseOR(gram)
+            two = F.shiftright(gram, before).bitwiseAND(F.lit(65535))
+            shard = F.shiftright((lang * 65536 + two) * MIX, SHIFT) if k > 2 else F.lit(None).cast("long")
+            part = table.select(key.alias("key"), F.log(value).cast("float").alias("v"), shard.alias("shard"))
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _pieces(store: Store, orders: list[tuple[DataFrame, DataFrame]]) -> Iterator[tuple[int, Model]]:
+    """The number of pieces and one piece after another of the models."""
+    table = store.keep(entries(orders))
+    n = max(1, -(-table.count() // PIECE))
     for i in range(n):
-        got = keyed.where(F.pmod(F.xxhash64("key"), F.lit(n)) == i).toArrow()
-        yield n, HashArrays([(got.column("key").to_numpy().astype(np.int64).view(np.uint64), got.column("v").to_numpy().astype(np.float32))])
+        yield n, Model(table, i, n)
 
 
-def _bits(batch: pa.RecordBatch, i: int, j: int, part: np.ndarray, part_off: np.ndarray, scores: HashArrays) -> list[pa.Array]:
-    """Of each row, the 5-grams that are in ``scores``, the sum of their bits and of the squares."""
-    grams, rows = _grams(part, part_off, batch.column(2).slice(i, j - i).to_numpy(zero_copy_only=False))
-    bits = scores.find(grams) / -np.log(2)
-    found = ~np.isnan(bits)
-    bits, rows = bits[found], rows[found]
-    return [pa.array(np.bincount(rows, minlength=j - i)), pa.array(np.bincount(rows, bits, j - i)), pa.array(np.bincount(rows, bits * bits, j - i))]
+def _bits(batch: pa.RecordBatch, i: int, j: int, part: np.ndarray, part_off: np.ndarray, model: Model) -> pa.Array:
+    """Of each row, the sum of the bits of the places that ``model`` owns."""
+    grams, rows = _grams(part, part_off, other_fold(batch.column(2).slice(i, j - i).to_numpy(zero_copy_only=False)))
+    grams = grams.view(np.int64)
+    if model.parts > 1:
+        own = model.owns(grams)
+        grams, rows = grams[own], rows[own]
+    bits = model.log_p(grams) / -np.log(2)
+    return pa.array(np.bincount(rows, bits, j - i))
 
 
-def measure(store: Store, docs: DataFrame, seen: DataFrame) -> DataFrame:
-    """(doc_id, lang, base counts, n_bytes, bits, variance): bits per byte and their variance within the text.
+def measure(store: Store, docs: DataFrame, orders: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """(doc_id, lang, base counts, n_bytes, bits): held-out bits per byte.
 
-    With one piece of scores the texts are read once; with more, once for the base counts and once a
+    With one piece of the models the texts are read once; with more, once for the base counts and once a
     piece, and the sums are joined by language and 128-bit hash of the text."""
-    sums, names = ["n_found", "sum", "square"], ["doc_id", "lang", *BASE, "n_bytes"]
+    names = ["doc_id", "lang", *BASE, "n_bytes"]
     kinds = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang int, " + ", ".join(f"{c} long" for c in BASE) + ", n_bytes long"
-    sum_kinds = "n_found long, sum double, square double"
     texts = docs.select("doc_id", "text", "lang")
 
     def scan(base: bool, shared=None):
@@ -293,66 +325,68 @@ def measure(store: Store, docs: DataFrame, seen: DataFrame) -> DataFrame:
                         cols.append(pa.array([xxhash.xxh3_128_digest(raw[s:e]) for s, e in zip(part_off[:-1].tolist(), part_off[1:].tolist())], pa.binary()))
                         header.append("text_key")
                     if shared:
-                        cols += _bits(batch, i, j, part, part_off, shared.value)
-                        header += sums
+                        cols.append(_bits(batch, i, j, part, part_off, shared.value))
+                        header.append("sum")
                     yield pa.RecordBatch.from_arrays(cols, names=header)
 
-        schema = [kinds if base else "lang int", *([] if base and shared else ["text_key binary"]), *([sum_kinds] if shared else [])]
+        schema = [kinds if base else "lang int", *([] if base and shared else ["text_key binary"]), *(["sum double"] if shared else [])]
         return bk.map_batches(texts, run, ", ".join(schema))
 
     parts = None
-    for n, scores in _pieces(seen):
-        shared = store.spark.sparkContext.broadcast(scores)
-        del scores
+    for n, model in _pieces(store, orders):
+        shared = store.spark.sparkContext.broadcast(model)
+        del model
         out = store.keep(scan(n == 1, shared) if n == 1 else scan(False, shared).dropDuplicates(["lang", "text_key"]))
         shared.destroy()
         parts = out if parts is None else parts.unionByName(out)
     if n > 1:
-        total = parts.groupBy("lang", "text_key").agg(*(F.sum(c).alias(c) for c in sums))
+        total = parts.groupBy("lang", "text_key").agg(F.sum("sum").alias("sum"))
         parts = scan(True).join(total, ["lang", "text_key"])
-    size = F.greatest(F.col("n_bytes"), F.lit(1))
-    mean = F.col("sum") / size
-    whole = F.when(F.col("n_found") == F.col("n_bytes"), mean).otherwise(F.raise_error(F.lit("the texts changed after their n-grams were counted")))
-    return parts.select(*names, whole.alias("bits"), F.greatest(F.col("square") / size - mean * mean, F.lit(0.0)).alias("variance"))
+    return parts.select(*names, (F.col("sum") / _size()).alias("bits"))
+
+
+def _size() -> Column:
+    return F.greatest(F.col("n_bytes"), F.lit(1))
 
 
 def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
 
 
-def bands(measured: DataFrame) -> list[tuple[int, float, float, float]]:
-    """(lang, low, high, deviation) from the texts that pass the base rules."""
-    good = measured.where(~base_failed())
-    hist: dict[int, list[tuple[int, int, float]]] = {}
-    for lang, at, n, v in good.groupBy("lang", F.round(F.col("bits") * 1000).cast("long").alias("bin")) \
-                              .agg(F.count("*").alias("n"), F.sum("variance").alias("v")).orderBy("lang", "bin").collect():
-        hist.setdefault(lang, []).append((at, n, v))
-    out = []
+def _quartiles(good: DataFrame, value: Column, unit: float) -> dict[int, tuple[float, float, float]]:
+    """Per language the quartiles of a value, from a histogram of its rounded units."""
+    hist: dict[int, list[tuple[int, int]]] = {}
+    for lang, at, n in good.groupBy("lang", F.round(value / unit).cast("long").alias("bin")).count().orderBy("lang", "bin").collect():
+        hist.setdefault(lang, []).append((at, n))
+    out = {}
     for lang, bins in hist.items():
-        total = sum(n for _, n, _ in bins)
-
-        def quantile(q, bins=bins, total=total):
-            seen = 0
-            for at, n, _ in bins:
-                seen += n
-                if seen >= q * total:
-                    return at / 1000
-            return bins[-1][0] / 1000
-
-        q1, q3 = quantile(0.25), quantile(0.75)
-        spread = SPREAD * (q3 - q1)
-        out.append((lang, q1 - spread, q3 + spread, float(np.sqrt(sum(v for _, _, v in bins) / total))))
+        at, upto = np.array([b for b, _ in bins]), np.cumsum([n for _, n in bins])
+        out[lang] = tuple(float(at[np.searchsorted(upto, q * upto[-1])] * unit) for q in (0.25, 0.5, 0.75))
     return out
 
 
+def _fences(q1: float, q3: float) -> tuple[float, float]:
+    return q1 - SPREAD * (q3 - q1), q3 + SPREAD * (q3 - q1)
+
+
+def bands(store: Store, measured: DataFrame) -> DataFrame:
+    """(lang, low, high, middle, low_root, high_root) from the texts that pass the base rules, one row a language."""
+    good = measured.where(~base_failed()).select("lang", "bits", "n_bytes")
+    whole = _quartiles(good, F.col("bits"), 0.001)
+    middle = F.broadcast(store.spark.createDataFrame([(x, q[1]) for x, q in whole.items()], "lang int, middle double"))
+    apart = (F.col("bits") - F.col("middle")) * F.sqrt(_size())
+    rooted = _quartiles(good.join(middle, "lang"), F.greatest(F.least(apart, F.lit(CLIP)), F.lit(-CLIP)), 0.1)
+    rows = [(x, *_fences(q[0], q[2]), q[1], *_fences(rooted[x][0], rooted[x][2])) for x, q in whole.items()]
+    return store.spark.createDataFrame(rows, "lang int, low double, high double, middle double, low_root double, high_root double")
+
+
 def judge(store: Store, docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, the base counts, base_failed, kept, bits_per_byte."""
     numbered = _numbered(docs, languages(docs))
-    seen = kneser_ney(store, count_grams(numbered))[-1][0]
-    measured = store.keep(measure(store, numbered, seen))
-    rows = bands(measured)
-    limits = F.broadcast(store.spark.createDataFrame(rows, "lang int, low double, high double, deviation double"))      # one row a language
-    slack = NOISE * F.col("deviation") / F.sqrt(F.greatest(F.col("n_bytes"), F.lit(1)))
-    inside = F.col("bits").between(F.col("low") - slack, F.col("high") + slack)
-    return measured.join(limits, "lang", "left").withColumn("base_failed", base_failed()).select(
+    measured = store.keep(measure(store, numbered, kneser_ney(store, count_grams(numbered)))
+                          .withColumn("lang", F.floor(F.col("lang") / FOLDS).cast("int")))
+    root = F.sqrt(_size())
+    inside = F.col("bits").between(F.least(F.col("low"), F.col("middle") + F.col("low_root") / root),
+                                   F.greatest(F.col("high"), F.col("middle") + F.col("high_root") / root))
+    return measured.join(F.broadcast(bands(store, measured)), "lang", "left").withColumn("base_failed", base_failed()).select(
         "doc_id", *BASE, "base_failed", (~F.col("base_failed") & F.coalesce(inside, F.lit(True))).alias("kept"), F.col("bits").alias("bits_per_byte"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import collections
 import hashlib
 import itertools
+import math
 import random
 import re
 import zlib
@@ -266,3 +267,84 @@ def base_counts(text: str | None) -> tuple:
 
 def rows_of(df, *columns: str) -> list[tuple]:
     return sorted((tuple(r) for r in df.select(*columns).collect()), key=str)
+
+
+def _kn_model(texts: list[bytes], order: int = 5):
+    """log2 probability of a byte after four, from a modified Kneser-Ney model counted in dicts."""
+    counts: list[dict] = [collections.Counter() for _ in range(order + 1)]
+    for t in texts:
+        padded = bytes(order - 1) + t
+        for i in range(len(t)):
+            counts[order][padded[i:i + order]] += 1
+    for k in range(order - 1, 0, -1):
+        for g in counts[k + 1]:
+            counts[k][g[1:]] += 1
+    discount, total, less = [None], [None], [None]
+    for k in range(1, order + 1):
+        n = collections.Counter(min(c, 5) for c in counts[k].values())
+        d = (0.5, 1.0, 1.5)
+        if n[1] and n[2] and n[3]:
+            y = n[1] / (n[1] + 2 * n[2])
+            d = tuple(min(max(i - (i + 1) * y * n[i + 1] / n[i], 0.05), i - 0.05) for i in (1, 2, 3))
+        sums, cut = collections.Counter(), collections.Counter()
+        for g, c in counts[k].items():
+            sums[g[:-1]] += c
+            cut[g[:-1]] += d[min(c, 3) - 1]
+        discount.append(d), total.append(sums), less.append(cut)
+
+    def p(g: bytes) -> float:
+        k = len(g)
+        if not k:
+            return 1 / 256
+        below, n = p(g[1:]), total[k][g[:-1]]
+        if not n:
+            return below
+        c = counts[k][g]
+        return (c - discount[k][min(c, 3) - 1] if c else 0.0) / n + less[k][g[:-1]] / n * below
+
+    return lambda g: math.log2(p(g))
+
+
+def held_out_bits(rows: list[tuple], fold: list[int]) -> list[float]:
+    """Of each (text, lang), the bits per byte by the model of its language's other fold."""
+    texts = collections.defaultdict(list)
+    for (t, lang), f in zip(rows, fold):
+        texts[lang or "", f].append((t or "").encode())
+    models = {(x, f): _kn_model(texts.get((x, f), [])) for x, _ in list(texts) for f in (0, 1)}
+    out = []
+    for (t, lang), f in zip(rows, fold):
+        raw = (t or "").encode()
+        padded, log2 = bytes(4) + raw, models[lang or "", 1 - f]
+        out.append(sum(-log2(padded[i:i + 5]) for i in range(len(raw))) / max(len(raw), 1))
+    return out
+
+
+def within_bands(rows: list[tuple], spread: float) -> list[bool]:
+    """Of each (text, lang, bits), whether it is inside the wider of its language's two bands."""
+    def size(t):
+        return max(len((t or "").encode()), 1)
+
+    def quartile(values, q, unit):
+        units = sorted(math.floor(abs(v) / unit + 0.5) * (1 if v >= 0 else -1) for v in values)
+        return units[math.ceil(q * len(units)) - 1] * unit
+
+    fences = {}
+    for lang in {x or "" for _, x, _ in rows}:
+        good = []
+        for t, x, b in rows:
+            c = base_counts(t)
+            if (x or "") == lang and c[0] >= 10 and 100 * c[4] <= 20 * c[0]:
+                good.append((b, size(t)))
+        if good:
+            q1, q2, q3 = (quartile([b for b, _ in good], q, 0.001) for q in (0.25, 0.5, 0.75))
+            r1, r3 = (quartile([(b - q2) * math.sqrt(n) for b, n in good], q, 0.1) for q in (0.25, 0.75))
+            fences[lang] = (q1 - spread * (q3 - q1), q3 + spread * (q3 - q1), q2, r1 - spread * (r3 - r1), r3 + spread * (r3 - r1))
+    out = []
+    for t, x, b in rows:
+        if (x or "") not in fences:
+            out.append(True)
+            continue
+        low, high, mid, r_low, r_high = fences[x or ""]
+        root = math.sqrt(size(t))
+        out.append(min(low, mid + r_low / root) <= b <= max(high, mid + r_high / root))
+    return out
