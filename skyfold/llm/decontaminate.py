@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyfold.llm import bytekit as bk
+from skyfold.llm.names import shielded
 
 WINDOW = 10
 BLOCK_WORDS = 1_000_000
@@ -195,7 +196,7 @@ def _blocks(benchmark: DataFrame, block_words: int) -> list[DataFrame]:
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` with ``_sk_words`` (number of words), ``_sk_spans`` (hit words, as flat pairs
-    [first, last + 1)) and ``_sk_items`` (ids of the items found)."""
+    [first, last + 1)) and ``_sk_items`` (ids of the items found), which replace columns of these names."""
     sc = docs.sparkSession.sparkContext
     out = docs.withColumns({"_sk_words": F.lit(0).cast("long"), "_sk_spans": F.array().cast("array<long>"),
                             "_sk_items": F.array().cast("array<string>")})
@@ -232,8 +233,9 @@ def _n_hit() -> Column:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_coverage: float = 0.5) -> DataFrame:
     """The documents without hit spans; those whose hit share of words exceeds ``max_coverage`` go.
-    Columns are those of ``docs``."""
-    found = find_hits(docs, benchmark, window)
+    Columns are those of ``docs``, whatever their names."""
+    inner = shielded(docs)
+    found = find_hits(inner, benchmark, window)
     found = found.where((F.col("_sk_words") == 0) | (_n_hit() <= max_coverage * F.col("_sk_words")))
 
     def cut(batches):
@@ -254,7 +256,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
                 batch = batch.set_column(at, batch.schema.field(at), pa.array(text, batch.schema.field(at).type))
             yield batch
 
-    return bk.map_batches(found, cut, found.schema).select(*docs.columns)
+    return bk.map_batches(found, cut, found.schema).select(*inner.columns).toDF(*docs.columns)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyfold.llm import bytekit as bk
+from skyfold.llm.names import free_names
 from skyfold.llm.store import Store
 
 BUCKETS = 10_000
@@ -86,7 +87,9 @@ def log_ratio(docs: DataFrame, good: DataFrame) -> np.ndarray:
 
 
 def weigh(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
-    """``docs`` with ``_sk_weight``: the log importance, null without n-grams."""
+    """``docs`` with ``_sk_weight`` as the last column: the log importance, null without n-grams;
+    the name gets leading underscores where ``docs`` has such a column."""
+    name = free_names(docs.columns, "_sk_weight")[0]
     shared = docs.sparkSession.sparkContext.broadcast(ratio)
 
     def run(batches):
@@ -98,9 +101,9 @@ def weigh(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
                 n = np.bincount(row, minlength=len(part_off) - 1)
                 total = np.bincount(row, shared.value[bucket], len(part_off) - 1)
                 out.append(np.where(n > 0, SCALE * total / np.maximum(n, 1), np.nan))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(out), from_pandas=True)], names=[*batch.schema.names, "_sk_weight"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(out), from_pandas=True)], names=[*batch.schema.names, name])
 
-    return bk.map_batches(docs, run, docs.withColumn("_sk_weight", F.lit(None).cast("double")).schema)
+    return bk.map_batches(docs, run, docs.withColumn(name, F.lit(None).cast("double")).schema)
 
 
 def gumbel(*row: Column) -> Column:

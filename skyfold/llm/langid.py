@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyfold.llm import bytekit as bk
+from skyfold.llm.names import free_names
 from skyfold.llm.pieces import MODEL, Vocabulary
 from skyfold.llm.store import Store
 
@@ -277,7 +278,9 @@ def fit(store: Store, docs: DataFrame, model: str = MODEL, per_lang: int = SAMPL
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``_sk_lang`` and ``_sk_score``."""
+    """``docs`` with ``_sk_lang`` and ``_sk_score`` as the last columns; the names get leading
+    underscores where ``docs`` has such columns."""
+    names = free_names(docs.columns, "_sk_lang", "_sk_score")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -289,6 +292,6 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                 langs += lang
                 scores.append(score)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(np.concatenate(scores))],
-                                             names=[*batch.schema.names, "_sk_lang", "_sk_score"])
+                                             names=[*batch.schema.names, *names])
 
-    return bk.map_batches(docs, run, docs.withColumns({"_sk_lang": F.lit(""), "_sk_score": F.lit(0.0)}).schema)
+    return bk.map_batches(docs, run, docs.withColumns({names[0]: F.lit(""), names[1]: F.lit(0.0)}).schema)

@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyfold.llm.names import free_names, shielded
+
 LINES = 3
 _KEY = ["_sk_null", "_sk_id", "_sk_t1", "_sk_t2"]
 
@@ -72,8 +74,10 @@ def covered_runs(later: DataFrame, lines: int = LINES) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, lines: int = LINES) -> DataFrame:
-    """``docs`` with the text cut, and ``_sk_lines`` (number of lines before) and ``_sk_removed``."""
-    keyed = _keyed(docs)
+    """``docs`` with the text cut, and as the last columns ``_sk_lines`` (number of lines before) and
+    ``_sk_removed``; the names get leading underscores where ``docs`` has such columns."""
+    inner = shielded(docs)
+    keyed = _keyed(inner)
     runs = covered_runs(later_windows(keyed.select(*_KEY, "text"), lines), lines)
     out = keyed.join(runs, _KEY, "left").withColumn("_sk_split", _lines())
     end = F.struct(F.size("_sk_split").alias("from"), F.size("_sk_split").alias("to"))
@@ -89,4 +93,5 @@ def dedup_lines(docs: DataFrame, lines: int = LINES) -> DataFrame:
     return out.withColumns({
         "text": F.when(F.col("_sk_runs").isNull(), F.col("text")).otherwise(kept),
         "_sk_lines": F.coalesce(F.size("_sk_split"), F.lit(0)).cast("long"),
-        "_sk_removed": F.coalesce(removed, F.lit(0)).cast("long")}).select(*docs.columns, "_sk_lines", "_sk_removed")
+        "_sk_removed": F.coalesce(removed, F.lit(0)).cast("long")}).select(*inner.columns, "_sk_lines", "_sk_removed") \
+        .toDF(*docs.columns, *free_names(docs.columns, "_sk_lines", "_sk_removed"))

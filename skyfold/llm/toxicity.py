@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyfold.llm import bytekit as bk
+from skyfold.llm.names import free_names
 from skyfold.llm.store import Store
 
 SAMPLE_ROWS = 20_000
@@ -299,13 +300,15 @@ def fit(store: Store, docs: DataFrame, labels: DataFrame, sample_rows: int = SAM
 
 
 def scores(docs: DataFrame, classifier: Classifier) -> DataFrame:
-    """``docs`` with ``_sk_score``, the probability that a text is toxic."""
+    """``docs`` with ``_sk_score`` as the last column, the probability that a text is toxic; the
+    name gets leading underscores where ``docs`` has such a column."""
+    name = free_names(docs.columns, "_sk_score")[0]
     shared = docs.sparkSession.sparkContext.broadcast(classifier)
 
     def run(batches):
         for batch in batches:
             buf, off = bk.text_bytes(batch)
             out = [shared.value.score(part, part_off) for _, _, part, part_off in bk.slices(buf, off)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(out) if out else np.zeros(0))], names=[*batch.schema.names, "_sk_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(out) if out else np.zeros(0))], names=[*batch.schema.names, name])
 
-    return bk.map_batches(docs, run, docs.withColumn("_sk_score", F.lit(0.0)).schema)
+    return bk.map_batches(docs, run, docs.withColumn(name, F.lit(0.0)).schema)
