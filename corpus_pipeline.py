@@ -29,13 +29,15 @@ def _text_changed(out: DataFrame, columns: list[str]) -> DataFrame:
 def toxic_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier takes for toxic go."""
     classifier = toxicity.fit(Store(spark, "toxicity"), docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.scores(docs, classifier).where(F.col("_sk_score") < TOXIC).select(*docs.columns)
+    scored = toxicity.scores(docs, classifier)
+    return scored.where(F.col(scored.columns[-1]) < TOXIC).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of three-line passages go; a document that loses all its lines goes."""
     out = linededup.dedup_lines(docs)
-    return _text_changed(out.where("_sk_removed = 0 or _sk_removed < _sk_lines"), docs.columns)
+    lines, removed = (F.col(c) for c in out.columns[-2:])
+    return _text_changed(out.where((removed == 0) | (removed < lines)), docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
