@@ -45,7 +45,7 @@ for _n in ("dim_date", "dim_route", "dim_fare", "dim_flight", "dim_channel", "fa
            "dq_range_checks", "dq_enum_checks", "dq_unique_checks", "dq_foreign_keys", "star_vs_source",
            "incremental_tickets", "watermark_advance", "upsert_occupancy", "insert_if_absent_channel",
            "star_row_counts", "catalog_report", "etl_run_log",
-           "stream_status_counts", "stream_payment_dedup", "stream_ticket_fact",
+           "stream_status_counts", "stream_payment_dedup", "stream_ticket_fact", "stream_hold_expiry", "stream_reservation_state",
            "agency_settlement", "refund_due", "anonymise_passengers", "payment_reconciliation",
            "seat_map_status", "first_status_times", "trip_summary", "flexible_dates"):
     oracle(_n)
