@@ -47,5 +47,6 @@ for _n in ("dim_date", "dim_route", "dim_fare", "dim_flight", "dim_channel", "fa
            "star_row_counts", "catalog_report", "etl_run_log",
            "stream_status_counts", "stream_payment_dedup", "stream_ticket_fact", "stream_hold_expiry", "stream_reservation_state",
            "agency_settlement", "refund_due", "anonymise_passengers", "payment_reconciliation",
+           "offer_documents", "reservation_document",
            "seat_map_status", "first_status_times", "trip_summary", "flexible_dates"):
     oracle(_n)

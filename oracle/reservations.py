@@ -216,3 +216,37 @@ one AS (SELECT min(reservation_id) AS reservation_id, pnr
               WHERE reservation_id NOT IN (SELECT reservation_id FROM zero)) b
         WHERE pnr NOT IN (SELECT pnr FROM zero) GROUP BY pnr)
 SELECT reservation_id, pnr, 0 AS salt FROM zero UNION ALL SELECT reservation_id, pnr, 1 FROM one""", ("reservation",))
+
+cte("document_passengers", """
+SELECT rp.reservation_id, '"passengers":[' || string_agg(
+         '{"passenger_ref":' || rp.passenger_ref || ',"passenger_type":"' || rp.passenger_type || '","first_name":"' || p.first_name
+         || '","last_name":"' || p.last_name || '"}', ',' ORDER BY rp.passenger_ref) || ']' AS body
+FROM reservation_passenger rp JOIN passenger_x p ON p.passenger_id = rp.passenger_id GROUP BY 1""",
+    ("reservation_passenger", "passenger_x"))
+
+cte("document_segments", """
+SELECT itinerary_id, ',"segments":[' || string_agg(
+         '{"sequence_no":' || sequence_no || ',"segment_id":' || segment_id || ',"flight_instance_id":' || flight_instance_id
+         || ',"cabin_code":"' || cabin_code || '","fare_class_code":"' || fare_class_code || '","status":"' || status || '"}',
+         ',' ORDER BY sequence_no) || ']' AS body
+FROM itinerary_segment GROUP BY 1""", ("itinerary_segment",))
+
+cte("document_itineraries", """
+SELECT i.reservation_id, '"itineraries":[' || string_agg(
+         '{"sequence_no":1,"itinerary_id":' || i.itinerary_id || ',"status":"' || i.status || '"'
+         || coalesce(s.body, '') || '}', ',' ORDER BY i.itinerary_id) || ']' AS body
+FROM itinerary i LEFT JOIN document_segments s ON s.itinerary_id = i.itinerary_id GROUP BY 1""",
+    ("itinerary", "document_segments"))
+
+cte("document_tickets", """
+SELECT reservation_id, '"tickets":[' || string_agg(
+         '{"ticket_id":' || ticket_id || ',"ticket_number":"' || ticket_number || '","status":"' || status || '","total":'
+         || CAST(fare_amount + tax_amount AS DECIMAL(18, 2)) || '}', ',' ORDER BY ticket_id) || ']' AS body
+FROM ticket GROUP BY 1""", ("ticket",))
+
+cte("reservation_document", """
+SELECT r.reservation_id, r.pnr, r.status, '{' || concat_ws(',', p.body, i.body, t.body) || '}' AS document
+FROM reservation r LEFT JOIN document_passengers p ON p.reservation_id = r.reservation_id
+LEFT JOIN document_itineraries i ON i.reservation_id = r.reservation_id
+LEFT JOIN document_tickets t ON t.reservation_id = r.reservation_id""",
+    ("reservation", "document_passengers", "document_itineraries", "document_tickets"))

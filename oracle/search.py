@@ -244,3 +244,24 @@ SELECT request_id, shift, flight_date, flight_instance_id, unit_price FROM (
   FROM fx_cand c JOIN fx_fares f ON f.route_id = c.l1_route AND f.cabin_code = c.cabin_code
    AND f.flight_date = c.l1_date AND f.as_of = c.search_date) x
 WHERE rn = 1""", ("fx_cand", "fx_fares"))
+
+cte("offer_legs", """
+SELECT request_id, rank, 0 AS seq, first_flight_id AS flight_id FROM search_offers
+UNION ALL SELECT request_id, rank, 1, second_flight_id FROM search_offers WHERE second_flight_id IS NOT NULL
+UNION ALL SELECT request_id, rank, 2, third_flight_id FROM search_offers WHERE third_flight_id IS NOT NULL""", ("search_offers",))
+
+cte("offer_segments", """
+SELECT l.request_id, l.rank, '[' || string_agg(
+         '{"seq":' || l.seq || ',"flight_instance_id":' || a.flight_instance_id || ',"flight_number":"' || a.flight_number
+         || '","origin":"' || a.origin_iata || '","destination":"' || a.destination_iata
+         || '","departure_utc":"' || strftime(a.departure_utc, '%Y-%m-%dT%H:%M:%S.000Z')
+         || '","arrival_utc":"' || strftime(a.arrival_utc, '%Y-%m-%dT%H:%M:%S.000Z')
+         || '","cabin_code":"' || a.cabin_code || '","seats_available":' || a.seats_available || '}', ',' ORDER BY l.seq) || ']' AS segments_json
+FROM offer_legs l JOIN search_requests q ON q.request_id = l.request_id
+JOIN flight_availability a ON a.flight_instance_id = l.flight_id AND a.cabin_code = q.cabin_code
+GROUP BY 1, 2""", ("offer_legs", "search_requests", "flight_availability"))
+
+cte("offer_documents", """
+SELECT o.request_id, o.rank, o.stops, o.total_amount, s.segments_json
+FROM search_offers o JOIN offer_segments s ON s.request_id = o.request_id AND s.rank = o.rank""",
+    ("search_offers", "offer_segments"))
