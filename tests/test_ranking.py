@@ -43,3 +43,15 @@ def test_number_rows_equals_row_number_on_many_rows(spark):
     got = number_rows(df, ["k"], ["v", "id"], "n")
     want = df.withColumn("m", F.row_number().over(Window.partitionBy("k").orderBy("v", "id")))
     assert got.join(want, "id").where("n != m").count() == 0
+
+
+def test_number_rows_ranges_only_large_keys(spark):
+    rows = [(k, i, i % 3) for k, n in (("a", 40), ("b", 7), ("c", 1), (None, 5)) for i in range(n)]
+    df = spark.createDataFrame(rows, "k string, t int, v int")
+    want = df.where("k is not null").withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("v", "t")))
+    for most in (0, 7, 1000):
+        got = number_rows(df, ["k"], ["v", "t"], "n", most)
+        assert got.columns == want.columns
+        assert sorted(got.collect()) == sorted(want.collect())
+    plan = number_rows(df, ["k"], ["v", "t"], "n")._jdf.queryExecution().analyzed().toString()
+    assert "Join" not in plan      # no key is large: one window, nothing ranged or checkpointed
