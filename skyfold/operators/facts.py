@@ -67,18 +67,19 @@ def fact_ticket_sale(ticket: DataFrame, segment: DataFrame, itinerary: DataFrame
     t = t.select("ticket_id", "ticket_number", "segment_id", "reservation_id", "fare_id",
                  "fare_amount", "tax_amount", "discount_amount", "commission_amount", "currency",
                  "status", "issued_at", "seats")
+    # Narrow joins first: the ticket rows are dealt out three times only, by segment, reservation and ticket.
     s = segment.select("segment_id", "itinerary_id", "flight_instance_id")
     i = itinerary.select("itinerary_id")
     ag = agency.select("agency_id", F.col("legal_name").alias("agency_name"))
     r = (reservation.select("reservation_id", "pnr", "channel", "agency_id")
          .join(ag, "agency_id", "left").drop("agency_id"))
+    r = with_channel_key(r, channels).select("reservation_id", "pnr", "channel_key")
     fi = flight_instance.select("flight_instance_id", "scheduled_flight_id", "flight_date")
     sf = scheduled_flight.select("scheduled_flight_id", "route_id")
+    fl = fi.join(sf, "scheduled_flight_id").drop("scheduled_flight_id")
+    seg = s.join(i, "itinerary_id").drop("itinerary_id").join(fl, "flight_instance_id")
     anc = ancillary_per_ticket(ancillary)
-    j = (t.join(s, "segment_id").join(i, "itinerary_id").join(r, "reservation_id")
-         .join(fi, "flight_instance_id").join(sf, "scheduled_flight_id")
-         .join(anc, "ticket_id", "left"))
-    j = with_channel_key(j, channels)
+    j = (t.join(anc, "ticket_id", "left").join(seg, "segment_id").join(r, "reservation_id"))
     anc_amt = F.coalesce(F.col("ancillary_total"), F.lit(0).cast(X.MONEY)).cast(X.MONEY)
     return j.select(
         F.col("ticket_id").alias("ticket_key"), "ticket_number",
