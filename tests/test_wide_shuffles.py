@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from skyfold.operators import inventory as I
 from skyfold.operators import search as S
 from skyfold.plans.star import Star
 from skyfold.sources.fixtures import FlightModel
@@ -66,3 +67,15 @@ def test_flexible_dates_keeps_one_row_a_request_up_to_the_last_join(spark):
     got = S.flexible_dates(requests, avail, ladder)
     ids = [n.child().output().mkString(",") for n in _named(got, "Generate") if "request_id" in n.child().output().mkString(",")]
     assert len(ids) == 1
+
+
+def test_a_row_per_seat_is_not_shuffled(spark):
+    seats = I.seat_map_seats(I.seat_layouts(spark))
+    fi = spark.createDataFrame([(1, 100)], "flight_instance_id long, scheduled_flight_id int")
+    sf = spark.createDataFrame([(100, 1)], "scheduled_flight_id int, seat_map_id int")
+    taken = spark.createDataFrame([(1, "ECO", 7, 2), (9, "ECO", 8, 1)], "flight_instance_id long, cabin_code string, ticket_id long, seats int")
+    out = I.seat_map_status(fi, sf, seats, taken)
+    named = [(r["flight_instance_id"], r["seat_rank"], r["status"]) for r in out.where("ticket_id is not null").collect()]
+    assert sorted(named) == [(1, 1, "TAKEN"), (1, 2, "TAKEN"), (9, 1, "UNSEATED")]
+    above = [j for j in _named(out, "Join") if "explode(sequence((lo" in j.left().toString()]
+    assert above and all("broadcast" in j.hint().toString() for j in above)
