@@ -55,12 +55,17 @@ def anonymise_passengers(passenger: DataFrame, reservation_passenger: DataFrame,
                          years: int = ANONYMISE_AFTER_YEARS) -> DataFrame:
     """Passengers whose last travel ended more than ``years`` ago lose names,
     passenger id, document, contact data and birth date (a digest of a document
-    number could be reversed by trying all numbers). Others are unchanged."""
-    last = (reservation_passenger.select("reservation_id", "passenger_id")
-            .join(itinerary.select("itinerary_id", "reservation_id"), "reservation_id")
-            .join(segment.select("itinerary_id", "flight_instance_id"), "itinerary_id")
-            .join(flight_instance.select("flight_instance_id", "flight_date"), "flight_instance_id")
-            .groupBy("passenger_id").agg(F.max("flight_date").alias("last_travel")))
+    number could be reversed by trying all numbers). Others are unchanged.
+
+    The latest date is taken per itinerary, then per reservation, before
+    passengers come in, so that no row per segment and passenger is made."""
+    latest = F.max("last_travel").alias("last_travel")
+    trip = (segment.select("itinerary_id", "flight_instance_id")
+            .join(flight_instance.select("flight_instance_id", F.col("flight_date").alias("last_travel")), "flight_instance_id")
+            .groupBy("itinerary_id").agg(latest))
+    booked = trip.join(itinerary.select("itinerary_id", "reservation_id"), "itinerary_id").groupBy("reservation_id").agg(latest)
+    last = (reservation_passenger.select("reservation_id", "passenger_id").join(booked, "reservation_id")
+            .groupBy("passenger_id").agg(latest))
     cutoff = F.add_months(F.lit(as_of).cast("date"), -12 * years)
     p = passenger.join(last, "passenger_id", "left")
     old = F.coalesce(F.col("last_travel") < cutoff, F.lit(False))

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from skyfold.operators import extensions as XT
 from skyfold.operators import inventory as I
 from skyfold.operators import search as S
 from skyfold.plans.star import Star
@@ -79,3 +80,19 @@ def test_a_row_per_seat_is_not_shuffled(spark):
     assert sorted(named) == [(1, 1, "TAKEN"), (1, 2, "TAKEN"), (9, 1, "UNSEATED")]
     above = [j for j in _named(out, "Join") if "explode(sequence((lo" in j.left().toString()]
     assert above and all("broadcast" in j.hint().toString() for j in above)
+
+
+def test_last_travel_is_found_before_passengers_come_in(spark):
+    passenger = spark.createDataFrame([(p, f"F{p}", "L", "CC", f"{p}") for p in (1, 2, 3, 4)],
+                                      "passenger_id long, first_name string, last_name string, document_type string, document_number string")
+    passenger = passenger.select("*", F.lit("1980-01-01").cast("date").alias("birth_date"), F.lit("a@b").alias("email"), F.lit("1").alias("phone"))
+    on = spark.createDataFrame([(10, 1), (20, 1), (20, 2), (30, 3)], "reservation_id long, passenger_id long")
+    itinerary = spark.createDataFrame([(100, 10), (200, 20), (201, 20), (300, 30)], "itinerary_id long, reservation_id long")
+    segment = spark.createDataFrame([(100, 1), (200, 2), (201, 3), (300, 99)], "itinerary_id long, flight_instance_id long")
+    flight = spark.createDataFrame([(1, "2001-05-01"), (2, "1996-01-01"), (3, "1997-01-01")], "flight_instance_id long, d string")
+    out = XT.anonymise_passengers(passenger, on, segment, itinerary, flight.select("flight_instance_id", F.col("d").cast("date").alias("flight_date")), "2003-01-01")
+    got = sorted((str(r.document_number), str(r.last_travel), r.is_anonymised) for r in out.collect())
+    assert got == [("1", "2001-05-01", False), ("3", "None", False), ("4", "None", False), ("None", "1997-01-01", True)]
+    for j in _named(out, "Join"):
+        columns = j.output().mkString(",")
+        assert not ("passenger_id" in columns and ("flight_instance_id" in columns or "itinerary_id" in columns))
