@@ -35,3 +35,10 @@ def test_requests_equal_those_joined_from_schedules_and_routes(spark):
             .selectExpr("ticket_id request_id", "origin_iata origin", "destination_iata destination", "flight_date", "cabin_code"))
     got = m.search_requests.select(*want.columns)
     assert got.count() == want.count() > 0 and got.exceptAll(want).isEmpty()
+
+
+def test_written_copies_are_packed_by_zstd(spark, tmp_path):
+    model = StoredModel(spark, SF_SMALL, str(tmp_path))
+    assert model.agency.count() == FlightModel(spark, SF_SMALL).agency.count()
+    files = [f.name for f in tmp_path.rglob("part-*.parquet")]
+    assert files and all(".zstd." in f for f in files)
