@@ -7,7 +7,9 @@ from decimal import Decimal
 
 import pytest
 
+from skyfold.operators import itineraries
 from skyfold.operators import search as S
+from tests.test_wide_shuffles import _named
 
 MCT = {"AAA": 30, "BBB": 45, "CCC": 60, "DDD": 30, "EEE": 90}
 DAY = dt.date(2026, 5, 10)
@@ -96,3 +98,23 @@ def test_itineraries_are_searched_once_and_returned_to_all(network):
     assert {r["stops"] for r in plan.collect()} == {0}
     with pytest.raises(ValueError):
         S.search_itineraries(req, avail, ladder, airport, max_stops=3)
+
+
+def _rows(df):
+    return sorted((r["request_id"], r["stops"], r["rank"], r["first_flight_id"], r["second_flight_id"] or 0, r["third_flight_id"] or 0) for r in df.collect())
+
+
+def test_a_large_day_is_dealt_out_without_another_result(network, monkeypatch):
+    _, _, _, avail, ladder, airport, req = network
+    whole = _rows(S.search_itineraries(req, avail, ladder, airport, max_stops=2))
+    monkeypatch.setattr(itineraries, "REQUESTS", 7)
+    assert _rows(S.search_itineraries(req, avail, ladder, airport, max_stops=2)) == whole
+
+
+def test_chains_are_never_rows_of_a_shuffle(network):
+    _, _, _, avail, ladder, airport, req = network
+    for df, column in ((S.search_one_stop(req, avail, ladder, airport), "l2_id"), (S.search_two_stop(req, avail, ladder, airport), "l2_id"),
+                       (S.offer_documents(S.search_itineraries(req, avail, ladder, airport, max_stops=2, segments=True), avail), "second_flight_id")):
+        assert column in df.columns
+        wide = [n for name in ("Join", "Window", "Aggregate", "RepartitionByExpression") for n in _named(df, name)]
+        assert wide and not any(c in n.output().mkString(",") for n in wide for c in ("l2_id", "second_flight_id"))
