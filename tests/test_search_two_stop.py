@@ -118,3 +118,13 @@ def test_chains_are_never_rows_of_a_shuffle(network):
         assert column in df.columns
         wide = [n for name in ("Join", "Window", "Aggregate", "RepartitionByExpression") for n in _named(df, name)]
         assert wide and not any(c in n.output().mkString(",") for n in wide for c in ("l2_id", "second_flight_id"))
+
+
+def test_documents_of_repeated_requests_list_their_segments_as_the_joins_do(network):
+    _, _, _, avail, ladder, airport, req = network
+    for asked, copies in ((req, 1), (req.unionByName(req.where("request_id = 3")), 2)):
+        docs = S.itinerary_documents(asked, avail, ladder, airport, max_stops=2).where("request_id = 3").collect()
+        joined = S.offer_documents(S.search_itineraries(asked, avail, ladder, airport, max_stops=2), avail).where("request_id = 3").collect()
+        plain = lambda rows: sorted((r["rank"], r["segments"], r["connection_minutes"]) for r in rows)
+        assert docs and plain(docs) == plain(joined)
+        assert all(len(r["segments"]) == copies * (r["stops"] + 1) for r in docs)
