@@ -27,6 +27,20 @@ def test_ticket_rows_pass_three_joins(spark):
     assert 0 < len(wide) <= 3
 
 
+def test_ticket_rows_are_dealt_out_by_ticket_and_reservation_only(spark):
+    previous = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        fact = Star(FlightModel(spark, SF_SMALL)).fact_ticket_sale
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        plan = fact._jdf.sparkSession().sessionState().executePlan(fact._jdf.queryExecution().logical(), fact._jdf.queryExecution().mode()).executedPlan()
+        wide = [n for n in _nodes(plan) if n.nodeName() == "Exchange" and "commission_amount" in n.output().mkString(",")]
+    finally:
+        for k, v in previous.items():
+            spark.conf.set(k, v)
+    assert len(wide) == 2
+
+
 def _small(spark):
     avail = spark.createDataFrame(
         [(i, f"2020-01-{day:02d}", f"2020-01-{day:02d} {hour:02d}:00:00", route, cabin, seats, status)
