@@ -9,15 +9,16 @@ window task ever holds a whole key.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyfold.functions import exprs as X
 from skyfold.operators import search as S
-from skyfold.operators.ranking import prefix_sum, prior_value
-from skyfold.session import checkpoint_dir, ship_package
+from skyfold.operators.ranking import large_keys, prefix_sum, prefix_sum_by_size, prior_value
+from skyfold.session import checkpoint_dir, ship_package, work_dir
 
 # Legal moves of a reservation (code of the reference: B2B also starts HELD).
 LEGAL_TRANSITIONS = [(None, "HELD"), ("HELD", "CONFIRMED"), ("HELD", "CANCELLED"),
@@ -139,6 +140,8 @@ def reservation_total(quotes: DataFrame, seats: DataFrame) -> DataFrame:
 
 #: Waiting requests that one task decides in arrival order, each round.
 CHAIN = 50_000
+#: Legs of one (flight, cabin) that one running sum covers; those of larger ones are summed day by day.
+HOT_LEGS = 100_000
 
 
 def _admit_in_order(legs):
@@ -173,60 +176,66 @@ def seat_admission(requests: DataFrame, remaining: DataFrame, bucket: Column | N
     the earliest ``CHAIN`` requests that still wait. Everything they can
     depend on is decided or among them, so one pass over this bounded block in
     arrival order settles all of it, however long its chains. Rounds go on
-    until none waits; accepted sets equal a sequential loop. Each round is
-    checkpointed."""
-    checkpoint_dir(requests.sparkSession)
-    ship_package(requests.sparkSession)
+    until none waits; accepted sets equal a sequential loop.
+
+    A leg carries ``lower`` from round to round, so that a round reads only the
+    legs that still waited and those its last block accepted. Each step is a
+    packed copy on the shared folder."""
+    spark = requests.sparkSession
+    ship_package(spark)
+    folder = work_dir(spark, f"admission/{uuid.uuid4().hex}")
+
+    def stored(name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("errorifexists").option("compression", "zstd").parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
     bucket = bucket if bucket is not None else F.to_date("requested_at")
-    key = ["flight_instance_id", "cabin_code"]
-    cols = [*requests.columns, "remaining", "state", "decided_round"]
+    key, order = ["flight_instance_id", "cabin_code"], ["requested_at", "request_id"]
+    requests = stored("requests", requests.select(*order, *key, "demand"))
+    large = large_keys(requests, key, HOT_LEGS)
     legs = (requests.join(remaining.select(*key, "remaining"), key, "left")
             .withColumn("remaining", F.coalesce("remaining", F.lit(0)))
-            .withColumn("state", F.lit("U"))
-            .withColumn("decided_round", F.lit(None).cast("int")))
-    order = ["requested_at", "request_id"]
+            .withColumn("lower", F.lit(0).cast("long")).withColumn("state", F.lit("U")))
+    accepted = F.when(F.col("state") == "A", F.col("demand")).otherwise(0)
+    waiting_demand = F.when(F.col("state") == "U", F.col("demand")).otherwise(0)
+    whole = Window.partitionBy("request_id")
+
+    def settle(df: DataFrame, rnd: int) -> DataFrame:
+        return df.where(F.col("state") != "U").select(*order, "state", F.lit(rnd).alias("decided_round"), "demand")
+
     settled: list[DataFrame] = []
     rnd, waiting = 0, None
     while True:
         rnd += 1
-        acc = legs.withColumn("_acc", F.when(F.col("state") == "A", F.col("demand")).otherwise(0)) \
-                  .withColumn("_und", F.when(F.col("state") == "U", F.col("demand")).otherwise(0))
-        acc = prefix_sum(acc, key, order, ["_acc", "_und"], bucket, ["lower", "_und_before"])
-        acc = acc.withColumn("upper", F.col("lower") + F.col("_und_before"))
-        verdict = (acc.where(F.col("state") == "U")
-                   .groupBy("request_id")
-                   .agg(F.min(F.col("upper") + F.col("demand") <= F.col("remaining")).alias("fits_all"),
-                        F.max(F.col("lower") + F.col("demand") > F.col("remaining")).alias("over_any")))
-        new_state = (F.when(F.col("state") != "U", F.col("state"))
-                     .when(F.col("fits_all"), F.lit("A")).when(F.col("over_any"), F.lit("R"))
-                     .otherwise(F.lit("U")))
-        bulk = (acc.join(verdict, "request_id", "left").withColumn("was", F.col("state")).withColumn("state", new_state)
-                .select(*requests.columns, "remaining", "was", "state", "decided_round").checkpoint())
-        waits = bulk.where(F.col("state") == "U")
-        decided = bulk
-        if not waits.isEmpty():
-            block = waits.select(*order).distinct().orderBy(*order).limit(CHAIN)
-            # what was accepted before each of the block's legs, by this round's verdicts too
-            after = bulk.withColumn("_acc", F.when(F.col("state") == "A", F.col("demand")).otherwise(0))
-            after = prefix_sum(after, key, order, "_acc", bucket, "lower").where(F.col("state") == "U")
-            legs_in = after.join(block, order, "left_semi").select(*order, *key, "demand", "remaining", "lower")
-            kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in legs_in.select(*order).schema)
-            passed = legs_in.groupBy(F.lit(0).alias("block")).applyInPandas(_admit_in_order, f"{kinds}, fits boolean")
-            decided = bulk.join(passed, order, "left").withColumn("state", F.when(F.col("fits").isNull(), F.col("state")).when(F.col("fits"), F.lit("A")).otherwise(F.lit("R")))
-        decided = decided.withColumn("decided_round", F.when((F.col("was") == "U") & (F.col("state") != "U"), F.lit(rnd)).otherwise(F.col("decided_round")))
-        # A key with no undecided leg can no longer influence anyone (every leg of
-        # an undecided request is undecided): its legs leave the working set.
-        open_keys = decided.groupBy(*key).agg(F.max(F.col("state") == "U").alias("_open"))
-        marked = decided.join(open_keys, key).select(*cols, "_open").checkpoint()
-        settled.append(marked.where(~F.col("_open")).select(*cols))
-        legs = marked.where(F.col("_open")).select(*cols)
-        undecided = legs.where(F.col("state") == "U").select("request_id").distinct().count()
+        acc = legs.withColumn("_acc", accepted).withColumn("_und", waiting_demand)
+        acc = prefix_sum_by_size(acc, key, order, ["_acc", "_und"], bucket, ["_acc_before", "_und_before"], large).where(F.col("state") == "U")
+        acc = acc.withColumn("lower", F.col("lower") + F.col("_acc_before"))
+        acc = acc.withColumn("_fits", F.min(F.col("lower") + F.col("_und_before") + F.col("demand") <= F.col("remaining")).over(whole)) \
+                 .withColumn("_over", F.max(F.col("lower") + F.col("demand") > F.col("remaining")).over(whole))
+        acc = acc.withColumn("state", F.when(F.col("_fits"), F.lit("A")).when(F.col("_over"), F.lit("R")).otherwise(F.lit("U")))
+        bulk = stored(f"bulk-{rnd}", acc.select(*order, *key, "demand", "remaining", "lower", "state"))
+        settled.append(settle(bulk, rnd))
+        if bulk.where(F.col("state") == "U").isEmpty():
+            break
+        # what was accepted before each leg that waits, by this round's verdicts too
+        after = prefix_sum_by_size(bulk.where(F.col("state") != "R").withColumn("_acc", accepted), key, order, "_acc", bucket, "_acc_before", large)
+        waits = stored(f"waits-{rnd}", after.where(F.col("state") == "U").withColumn("lower", F.col("lower") + F.col("_acc_before")).select(*bulk.columns))
+        block = waits.select(*order).distinct().orderBy(*order).limit(CHAIN)
+        legs_in = waits.join(block, order, "left_semi").select(*order, *key, "demand", "remaining", "lower")
+        kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in legs_in.select(*order).schema)
+        passed = legs_in.groupBy(F.lit(0).alias("block")).applyInPandas(_admit_in_order, f"{kinds}, fits boolean")
+        decided = waits.join(passed, order, "left").withColumn(
+            "state", F.when(F.col("fits").isNull(), F.col("state")).when(F.col("fits"), F.lit("A")).otherwise(F.lit("R")))
+        decided = stored(f"decided-{rnd}", decided.select(*bulk.columns))
+        settled.append(settle(decided, rnd))
+        undecided = decided.where(F.col("state") == "U").select("request_id").distinct().count()
         if not undecided:
             break
         if undecided == waiting:
             raise RuntimeError(f"seat admission: round {rnd} decided none of {undecided} requests")
         waiting = undecided
-    out = reduce(DataFrame.unionByName, settled + [legs])
+        legs = decided.where(F.col("state") != "R")
+    out = reduce(DataFrame.unionByName, settled)
     return (out.groupBy("request_id", "requested_at")
             .agg(F.first("state").alias("state"), F.max("decided_round").alias("decided_round"),
                  F.count(F.lit(1)).alias("legs"), F.sum("demand").alias("seats"))

@@ -91,3 +91,38 @@ def test_blocks_equal_sequential_on_random_inputs(spark, monkeypatch):
         reqs += [(rid, at, k[0], k[1], rnd.randint(1, 4)) for k in rnd.sample(keys, rnd.randint(1, 4))]
     want = seat_admission_sequential([dict(request_id=r[0], requested_at=r[1], flight_instance_id=r[2], cabin_code=r[3], demand=r[4]) for r in reqs], remaining)
     assert _run(spark, reqs, remaining) == want
+
+
+def _random_requests(seed):
+    rnd = random.Random(seed)
+    keys = [(f, c) for f in range(5) for c in ("ECO", "BUS")]
+    remaining = {k: rnd.randint(0, 12) for k in keys}
+    reqs = []
+    for rid in range(80):
+        at = _ts(rnd.randint(0, 9000))       # several days, so that hot keys have several buckets
+        reqs += [(rid, at, k[0], k[1], rnd.randint(1, 3)) for k in rnd.sample(keys, rnd.randint(1, 4))]
+    want = seat_admission_sequential([dict(request_id=r[0], requested_at=r[1], flight_instance_id=r[2], cabin_code=r[3], demand=r[4]) for r in reqs], remaining)
+    return reqs, remaining, want
+
+
+def test_hot_flights_equal_sequential(spark, monkeypatch):
+    from skyfold.operators import reservations
+    for hot, chain in ((0, 7), (14, 7), (14, 50_000)):
+        monkeypatch.setattr(reservations, "HOT_LEGS", hot)
+        monkeypatch.setattr(reservations, "CHAIN", chain)
+        reqs, remaining, want = _random_requests(hot + chain)
+        assert _run(spark, reqs, remaining) == want
+
+
+def test_a_round_reads_only_what_still_waits(spark, monkeypatch, tmp_path):
+    """A hundred requests that are accepted at once on the flight that the others wait for."""
+    from skyfold.operators import reservations
+    monkeypatch.setattr(reservations, "CHAIN", 2)
+    monkeypatch.setattr(reservations, "work_dir", lambda _, name: str(tmp_path / name.split("/")[0]))
+    reqs = [(i, _ts(0), 0, "ECO", 1) for i in range(100)]
+    reqs += [(100 + i, _ts(30 + 3 * i), f, "ECO", 1) for i in range(8) for f in (0, i + 1, i + 2)]
+    remaining = {(0, "ECO"): 103} | {(i, "ECO"): 1 for i in range(1, 11)}
+    want = seat_admission_sequential([dict(request_id=r[0], requested_at=r[1], flight_instance_id=r[2], cabin_code=r[3], demand=r[4]) for r in reqs], remaining)
+    assert _run(spark, reqs, remaining) == want
+    rows = [spark.read.parquet(str(p)).count() for p in sorted((tmp_path / "admission").glob("bulk-*"))]
+    assert rows[0] == len(reqs) and len(rows) > 1 and max(rows[1:]) <= 24
