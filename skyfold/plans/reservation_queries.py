@@ -126,7 +126,7 @@ def q_upsert_passengers(spark, sf_dir):
 @register("agency_credit_ledger", "agency_id:i reservation_id:i entry_at:t kind:i amount:d credit_used:d is_breach:b")
 def q_agency_credit_ledger(spark, sf_dir):
     m = FlightModel.shared(spark, sf_dir)
-    return R.agency_credit_ledger(m.reservation, m.agency)
+    return R.agency_credit_ledger(m.agency_reservation, m.agency)
 
 
 @register("expire_holds", "flight_instance_id:i cabin_code:s capacity:i seats_sold:i seats_held_before:i "

@@ -42,3 +42,16 @@ def test_written_copies_are_packed_by_zstd(spark, tmp_path):
     assert model.agency.count() == FlightModel(spark, SF_SMALL).agency.count()
     files = [f.name for f in tmp_path.rglob("part-*.parquet")]
     assert files and all(".zstd." in f for f in files)
+
+
+def test_the_credit_ledger_joins_and_writes_agency_reservations_only(spark, tmp_path, monkeypatch):
+    from skyfold.operators.reservations import agency_credit_ledger
+    from skyfold.plans import reservation_queries as Q
+    from skyfold.plans.catalog import columns, shaped
+    folder = str(tmp_path / "stored")
+    m, plain = StoredModel(spark, SF_SMALL, folder), FlightModel(spark, SF_SMALL)
+    monkeypatch.setattr(Q.FlightModel, "shared", classmethod(lambda *_: m))
+    got = Q.q_agency_credit_ledger(spark, SF_SMALL)
+    want = shaped(agency_credit_ledger(plain.reservation, plain.agency), columns("agency_credit_ledger"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() > 0
+    assert _written(folder) == ["agency", "agency_reservation"]
