@@ -55,3 +55,15 @@ def test_number_rows_ranges_only_large_keys(spark):
         assert sorted(got.collect()) == sorted(want.collect())
     plan = number_rows(df, ["k"], ["v", "t"], "n")._jdf.queryExecution().analyzed().toString()
     assert "Join" not in plan      # no key is large: one window, nothing ranged or checkpointed
+
+
+def test_sums_of_large_and_other_keys_equal_those_by_bucket(spark):
+    from skyfold.operators.ranking import large_keys, prefix_sum, prefix_sum_by_size
+    rows = [(k, None if i % 11 == 0 else i // 3, i, None if i % 7 == 0 else i % 5, i % 4) for k in (1, 2, None) for i in range(30 if k == 1 else 9)]
+    df = spark.createDataFrame(rows, "k int, day int, id int, v int, w int")
+    key, order, bucket = ["k"], ["day", "id"], F.col("day")
+    want = sorted(map(tuple, prefix_sum(df, key, order, ["v", "w"], bucket, ["a", "b"]).collect()), key=str)
+    for most in (100, 10, 0):
+        large = large_keys(df.where("k is not null"), key, most)
+        assert (large is None) == (most == 100)
+        assert sorted(map(tuple, prefix_sum_by_size(df, key, order, ["v", "w"], bucket, ["a", "b"], large).collect()), key=str) == want
